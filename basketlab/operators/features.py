@@ -11,8 +11,8 @@ Two forms compute the same table:
   as a cross-check.
 
 The recency anchor (latest date of the *filtered* frame, returns and rows
-without customer included) is a scalar subquery: computed once, inlined as a
-literal, no join at all.
+without customer included) is a scalar subquery, inlined as a literal, so no
+join is needed to attach it.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import guarded_divide, whole_days
 from ..schemas import FEATURE_COLUMNS
+from ..session import shared_dir
 from .prepare import fill_zero, drop_incomplete
 
 def _q() -> Column:
@@ -138,12 +139,20 @@ def customer_features(typed: DataFrame) -> DataFrame:
         F.max("n_purch").alias("n_purch"),
         F.max("InvoiceDate").alias("max_any"))
     # The anchor covers every filtered row; rows without customer sit in the
-    # NULL group of level2, so the same shuffle output serves both.
+    # NULL group of level2. level2 (one row per customer, far smaller than the input) feeds both
+    # the anchor and the final projection. Column pruning makes the two uses
+    # different plans, so Spark would not share their shuffle; a reliable
+    # checkpoint in the shared checkpoint folder computes it once, cuts the
+    # lineage and survives executor loss. The anchor is then one scalar
+    # subquery over the checkpointed rows: no join at all.
+    shared_dir(typed.sparkSession)
+    level2 = level2.checkpoint(eager=True)
     anchor = level2.agg(F.max("max_any")).scalar()
     days = whole_days(F.col("last_"), F.col("first_")) + 1
+    keep = (F.col("CustomerID").isNotNull() & (F.col("n_purch") > 0)
+            & F.col("last_").isNotNull())
     return (level2
-            .where(F.col("CustomerID").isNotNull() & (F.col("n_purch") > 0)
-                   & F.col("last_").isNotNull())
+            .where(keep)
             .select(
                 F.col("CustomerID"),
                 F.coalesce(F.col("rev"), F.lit(0.0)).alias("gross_revenue"),
