@@ -21,14 +21,14 @@ def curated_where(as_of: str = "current_date") -> str:
             f" AND StockCode NOT IN ({_in_list(EXCLUDED_STOCK_CODES)}) AND {cust}")
 
 
-def base_ctes(as_of: str = "current_date") -> str:
-    """raw, curated, t (typed), p (purchases), r (returns)."""
-    return f"""raw AS ({RAW_SQL}),
-curated AS (SELECT * FROM raw WHERE {curated_where(as_of)}),
-t AS (SELECT InvoiceNo, StockCode, Quantity, InvoiceDate, UnitPrice,
-             CAST(trunc(CustomerID) AS BIGINT) AS CustomerID, Country FROM curated),
-p AS (SELECT * FROM t WHERE Quantity >= 0),
-r AS (SELECT CustomerID, Quantity FROM t WHERE Quantity < 0)"""
+def base_ctes(as_of: str = "current_date", x: str = "", with_raw: bool = True) -> str:
+    """raw, {x}curated, {x}t (typed), {x}p (purchases), {x}r (returns)."""
+    raw = f"raw AS ({RAW_SQL}),\n" if with_raw else ""
+    return f"""{raw}{x}curated AS (SELECT * FROM raw WHERE {curated_where(as_of)}),
+{x}t AS (SELECT InvoiceNo, StockCode, Quantity, InvoiceDate, UnitPrice,
+             CAST(trunc(CustomerID) AS BIGINT) AS CustomerID, Country FROM {x}curated),
+{x}p AS (SELECT * FROM {x}t WHERE Quantity >= 0),
+{x}r AS (SELECT CustomerID, Quantity FROM {x}t WHERE Quantity < 0)"""
 
 
 def feature_ctes(t: str = "t", p: str = "p", r: str = "r", prefix: str = "") -> str:
@@ -73,3 +73,101 @@ ORACLE["curated"] = with_(base_ctes(), "SELECT * FROM curated")
 ORACLE["customer_features"] = with_(base_ctes() + ",\n" + feature_ctes(),
                                     f"SELECT {FEATURE_SELECT} FROM feat")
 ORACLE["features_join"] = ORACLE["customer_features"]
+
+B = base_ctes()
+TYPED8 = """SELECT InvoiceNo, StockCode, Description, Quantity, InvoiceDate, UnitPrice,
+  CAST(trunc(CustomerID) AS BIGINT) AS CustomerID, Country FROM curated"""
+ORACLE["scan_until"] = with_(B, TYPED8 + " WHERE InvoiceDate <= DATE '1998-08-02'")
+ORACLE["run_sql"] = with_(B, """SELECT Country, COUNT(*) AS n_lines, CAST(SUM(Quantity) AS BIGINT) AS qty
+FROM curated WHERE InvoiceDate <= CURRENT_DATE GROUP BY Country""")
+ORACLE["curated_roundtrip"] = ORACLE["curated"]
+ORACLE["write_modes"] = with_(B, TYPED8)
+ORACLE["clean_not_null"] = with_(f"raw AS ({RAW_SQL})",
+    "SELECT * FROM raw WHERE InvoiceDate <= current_date AND CustomerID IS NOT NULL AND Description IS NOT NULL")
+ORACLE["clean_business"] = with_(f"raw AS ({RAW_SQL})",
+    f"SELECT * FROM raw WHERE UnitPrice >= {PRICE_FLOOR} AND Country NOT IN ({_in_list(EXCLUDED_COUNTRIES)})"
+    f" AND StockCode NOT IN ({_in_list(EXCLUDED_STOCK_CODES)}) AND CustomerID != 16446")
+ORACLE["project_filtered"] = with_(B, "SELECT * FROM t")
+ORACLE["split_returns"] = with_(B, "SELECT * FROM r")
+ORACLE["split_purchases"] = with_(B, """SELECT InvoiceNo, StockCode, Description, Quantity, InvoiceDate,
+  UnitPrice, CAST(trunc(CustomerID) AS BIGINT) AS CustomerID, Country FROM curated WHERE Quantity >= 0""")
+FC = B + ",\n" + feature_ctes()
+ORACLE["gross_revenue"] = with_(FC, "SELECT CustomerID, ROUND(gross_revenue, 2) AS gross_revenue FROM rev")
+ORACLE["recency"] = with_(FC, "SELECT * FROM rec")
+ORACLE["qty_products"] = with_(FC, "SELECT * FROM qp")
+ORACLE["frequency"] = with_(B, """SELECT CustomerID, max(InvoiceDate) AS max_, min(InvoiceDate) AS min_,
+  CAST(date_diff('day', min(InvoiceDate), max(InvoiceDate)) + 1 AS BIGINT) AS days_,
+  COUNT(InvoiceNo) AS buy_,
+  CAST(COUNT(InvoiceNo) AS DOUBLE) / CAST(date_diff('day', min(InvoiceDate), max(InvoiceDate)) + 1 AS DOUBLE) AS frequency
+FROM (SELECT DISTINCT CustomerID, InvoiceNo, InvoiceDate FROM p WHERE CustomerID IS NOT NULL)
+GROUP BY CustomerID""")
+ORACLE["qty_returns"] = with_(FC, "SELECT * FROM rt")
+ORACLE["distinct_customers"] = with_(B, "SELECT DISTINCT CustomerID FROM t")
+ORACLE["active_customers"] = with_(f"raw AS ({RAW_SQL})",
+    "SELECT DISTINCT CustomerID FROM raw WHERE InvoiceDate = DATE '1998-07-21'")
+ORACLE["daily_quantity"] = with_(B, """SELECT InvoiceDate, CAST(SUM(Quantity) AS BIGINT) AS Quantity
+FROM curated WHERE InvoiceDate BETWEEN DATE '1996-01-01' AND DATE '1997-01-01' GROUP BY InvoiceDate""")
+ORACLE["daily_quantity_by_country"] = with_(B, """SELECT Country, InvoiceDate, CAST(SUM(Quantity) AS BIGINT) AS Quantity
+FROM curated WHERE InvoiceDate BETWEEN DATE '1996-01-01' AND DATE '1997-01-01' GROUP BY Country, InvoiceDate""")
+ORACLE["cast_int"] = with_(f"raw AS ({RAW_SQL})", """SELECT InvoiceNo, StockCode, Quantity,
+  CAST(trunc(UnitPrice) AS BIGINT) AS UnitPrice, CustomerID,
+  true AS ok_quantity, true AS ok_price, false AS ok_customer FROM raw""")
+ORACLE["cast_date"] = with_(f"raw AS ({RAW_SQL})", """SELECT InvoiceNo, InvoiceDate AS d_iso,
+  InvoiceDate AS d_fmt, Description, true AS ok_iso, true AS ok_fmt, false AS ok_text FROM raw""")
+
+# ---- feature store --------------------------------------------------------
+T0, T1 = "2024-01-01 00:00:00", "2024-01-02 00:00:00"
+BUILD_AS_OF, REFRESH_DAY = "1998-07-20", "1998-07-21"
+
+
+def hash_key(ts: str, version: str) -> str:
+    return (f"sha256(CAST(CustomerID AS VARCHAR) || '|' || '{ts}' || '|' || "
+            f"CAST({version} AS VARCHAR))")
+
+
+FEATS = "CustomerID, gross_revenue, recency_days, qty_products, frequency, qty_returns"
+STORE_CTES = (
+    base_ctes(f"DATE '{BUILD_AS_OF}'", "a_") + ",\n" + feature_ctes("a_t", "a_p", "a_r", "a_") + ",\n"
+    + base_ctes(f"DATE '{REFRESH_DAY}'", "b_", with_raw=False) + ",\n"
+    + f"""act AS (SELECT DISTINCT CAST(trunc(CustomerID) AS BIGINT) AS CustomerID FROM raw
+        WHERE InvoiceDate = DATE '{REFRESH_DAY}' AND CustomerID IS NOT NULL),
+b_ts AS (SELECT * FROM b_t WHERE CustomerID IN (SELECT CustomerID FROM act)),
+b_ps AS (SELECT * FROM b_p WHERE CustomerID IN (SELECT CustomerID FROM act)),
+b_rs AS (SELECT * FROM b_r WHERE CustomerID IN (SELECT CustomerID FROM act)),
+""" + feature_ctes("b_ts", "b_ps", "b_rs", "b_") + ",\n"
+    + f"""v1 AS (SELECT {FEATS}, {hash_key(T0, '1')} AS "values",
+        TIMESTAMP '{T0}' AS "timestamp", 1 AS _version FROM a_feat),
+nw AS (SELECT {FEATS}, {hash_key(T1, '2')} AS "values",
+        TIMESTAMP '{T1}' AS "timestamp", 2 AS _version FROM b_feat),
+u AS (SELECT * FROM v1 UNION ALL SELECT * FROM nw),
+restamped AS (SELECT {FEATS},
+        CASE WHEN CustomerID IN (SELECT CustomerID FROM act) THEN {hash_key(T1, '_version')}
+             ELSE "values" END AS "values",
+        CASE WHEN CustomerID IN (SELECT CustomerID FROM act) THEN TIMESTAMP '{T1}'
+             ELSE "timestamp" END AS "timestamp", _version FROM v1),
+refreshed AS (SELECT {FEATS},
+        CASE WHEN CustomerID IN (SELECT CustomerID FROM act) THEN {hash_key(T1, '_version')}
+             ELSE "values" END AS "values",
+        CASE WHEN CustomerID IN (SELECT CustomerID FROM act) THEN TIMESTAMP '{T1}'
+             ELSE "timestamp" END AS "timestamp", _version FROM u),
+upserted AS (SELECT * FROM v1 WHERE CustomerID NOT IN (SELECT CustomerID FROM act)
+             UNION ALL SELECT * FROM nw)""")
+RF = "ROUND(gross_revenue, 2) AS gross_revenue"
+ORACLE["feature_table"] = with_(STORE_CTES, f'SELECT * REPLACE ({RF}) FROM v1')
+ORACLE["active_semi"] = with_(STORE_CTES, "SELECT * FROM b_ts")
+ORACLE["restamp"] = with_(STORE_CTES, f"SELECT * REPLACE ({RF}) FROM restamped")
+ORACLE["refresh"] = with_(STORE_CTES, f"SELECT * REPLACE ({RF}) FROM refreshed")
+ORACLE["refresh_upsert"] = with_(STORE_CTES, f"SELECT * REPLACE ({RF}) FROM upserted")
+ORACLE["read_instances"] = with_(STORE_CTES, 'SELECT "values", "timestamp" FROM v1')
+STORE_TYPED = f'''SELECT "values", "timestamp", {RF}, CAST(recency_days AS DOUBLE) AS recency_days,
+  CAST(qty_products AS DOUBLE) AS qty_products, frequency, qty_returns FROM v1'''
+ORACLE["ingest"] = with_(STORE_CTES, STORE_TYPED)
+ORACLE["train_set"] = with_(STORE_CTES, STORE_TYPED)
+ORACLE["asof_serve"] = """WITH rd AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'),
+ft AS (SELECT user_id, ts AS feat_ts, value AS feat_value, event_id AS feat_event_id
+       FROM events WHERE event_type = 'view'),
+j AS (SELECT rd.event_id, rd.user_id, rd.ts, ft.feat_ts, ft.feat_value, ft.feat_event_id,
+        row_number() OVER (PARTITION BY rd.event_id
+          ORDER BY ft.feat_ts DESC NULLS LAST, ft.feat_event_id DESC NULLS LAST) AS rn
+      FROM rd LEFT JOIN ft ON rd.user_id = ft.user_id AND ft.feat_ts <= rd.ts)
+SELECT event_id, user_id, ts, feat_ts, feat_value, feat_event_id FROM j WHERE rn = 1"""

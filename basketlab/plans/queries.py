@@ -54,3 +54,255 @@ def q_customer_features(spark, sf_dir):
 def q_features_join(spark, sf_dir):
     f, p, r = prepare.prepare(curated(spark, sf_dir), trusted=True)
     return report_features(features.features_join(f, p, r))
+
+
+# ---- sources and sinks ----------------------------------------------------
+from ..functions import casts  # noqa: E402
+from ..schemas import CURATED, PREPARED  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import tables  # noqa: E402
+
+SCAN_CUTOFF = "1998-08-02"
+
+
+@register("scan_until")
+def q_scan_until(spark, sf_dir):
+    return tables.read_until(typed(spark, sf_dir), "InvoiceDate", SCAN_CUTOFF)
+
+
+RUN_SQL_TEXT = """SELECT Country, COUNT(*) AS n_lines, CAST(SUM(Quantity) AS BIGINT) AS qty
+FROM curated WHERE InvoiceDate <= CURRENT_DATE GROUP BY Country"""
+
+
+@register("run_sql")
+def q_run_sql(spark, sf_dir):
+    curated(spark, sf_dir).createOrReplaceTempView("curated")
+    return tables.run_sql(spark, RUN_SQL_TEXT)
+
+
+@register("curated_roundtrip")
+def q_curated_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "curated")
+    tables.write_partitioned(curated(spark, sf_dir), path, "InvoiceDate")
+    return tables.read_partitioned(spark, path, CURATED)
+
+
+@register("write_modes")
+def q_write_modes(spark, sf_dir):
+    t = typed(spark, sf_dir)
+    path = scratch_path(spark, "modes")
+    tables.write_table(prepare.purchases(t), path, "fail")
+    tables.write_table(prepare.purchases(t), path, "replace")
+    tables.write_table(t.where(~(F.col("Quantity") >= 0) | F.col("Quantity").isNull()), path, "append")
+    return tables.read_table(spark, path, PREPARED)
+
+
+# ---- cleaning and preparation ---------------------------------------------
+@register("clean_not_null")
+def q_clean_not_null(spark, sf_dir):
+    return clean.not_null_rows(raw(spark, sf_dir))
+
+
+@register("clean_business")
+def q_clean_business(spark, sf_dir):
+    return clean.business_rows(raw(spark, sf_dir))
+
+
+@register("project_filtered")
+def q_project_filtered(spark, sf_dir):
+    return prepare.filtered(typed(spark, sf_dir))
+
+
+@register("split_returns")
+def q_split_returns(spark, sf_dir):
+    return prepare.returns(typed(spark, sf_dir))
+
+
+@register("split_purchases")
+def q_split_purchases(spark, sf_dir):
+    return prepare.purchases(typed(spark, sf_dir))
+
+
+# ---- single features ------------------------------------------------------
+def _fpr(spark, sf_dir):
+    return prepare.prepare(curated(spark, sf_dir), trusted=True)
+
+
+@register("gross_revenue")
+def q_gross_revenue(spark, sf_dir):
+    f, p, r = _fpr(spark, sf_dir)
+    return features.gross_revenue(p).withColumn("gross_revenue", F.round("gross_revenue", 2))
+
+
+@register("recency")
+def q_recency(spark, sf_dir):
+    f, p, r = _fpr(spark, sf_dir)
+    return features.recency(p, f)
+
+
+@register("qty_products")
+def q_qty_products(spark, sf_dir):
+    f, p, r = _fpr(spark, sf_dir)
+    return features.qty_products(p)
+
+
+@register("frequency")
+def q_frequency(spark, sf_dir):
+    f, p, r = _fpr(spark, sf_dir)
+    return features.frequency(p)
+
+
+@register("qty_returns")
+def q_qty_returns(spark, sf_dir):
+    f, p, r = _fpr(spark, sf_dir)
+    return features.qty_returns(r)
+
+
+@register("distinct_customers")
+def q_distinct_customers(spark, sf_dir):
+    f, p, r = _fpr(spark, sf_dir)
+    return features.distinct_customers(f)
+
+
+ACTIVE_DAY = "1998-07-21"
+
+
+@register("active_customers")
+def q_active_customers(spark, sf_dir):
+    return features.active_customers(raw(spark, sf_dir), ACTIVE_DAY)
+
+
+SERIES_FROM, SERIES_TO = "1996-01-01", "1997-01-01"
+
+
+@register("daily_quantity")
+def q_daily_quantity(spark, sf_dir):
+    return features.daily_quantity(curated(spark, sf_dir), SERIES_FROM, SERIES_TO)
+
+
+@register("daily_quantity_by_country")
+def q_daily_quantity_by_country(spark, sf_dir):
+    return features.daily_quantity(curated(spark, sf_dir), SERIES_FROM, SERIES_TO, keys=("Country",))
+
+
+# ---- casts ----------------------------------------------------------------
+@register("cast_int")
+def q_cast_int(spark, sf_dir):
+    df = raw(spark, sf_dir).select("InvoiceNo", "StockCode", "Quantity", "UnitPrice", "CustomerID")
+    df, ok_q = casts.column_to_int(df, "Quantity")
+    df, ok_p = casts.column_to_int(df, "UnitPrice")     # finite doubles: truncated
+    df, ok_c = casts.column_to_int(df, "CustomerID")    # has NULLs: left as is
+    return df.select("*", F.lit(ok_q).alias("ok_quantity"), F.lit(ok_p).alias("ok_price"),
+                     F.lit(ok_c).alias("ok_customer"))
+
+
+@register("cast_date")
+def q_cast_date(spark, sf_dir):
+    df = raw(spark, sf_dir).select(
+        "InvoiceNo",
+        F.col("InvoiceDate").cast("string").alias("d_iso"),
+        F.date_format("InvoiceDate", "dd/MM/yyyy").alias("d_fmt"),
+        "Description")
+    df, ok_iso = casts.column_to_date(df, "d_iso")
+    df, ok_fmt = casts.column_to_date(df, "d_fmt", "dd/MM/yyyy")
+    df, ok_txt = casts.column_to_date(df, "Description")   # free text: left as is
+    return df.select("*", F.lit(ok_iso).alias("ok_iso"), F.lit(ok_fmt).alias("ok_fmt"),
+                     F.lit(ok_txt).alias("ok_text"))
+
+
+# ---- feature store --------------------------------------------------------
+from ..operators import store  # noqa: E402
+from ..operators.asof import asof_join  # noqa: E402
+from ..sources.versioned import VersionedTable  # noqa: E402
+from .oracle_sql import BUILD_AS_OF, REFRESH_DAY, T0, T1  # noqa: E402
+
+
+def _report(df):
+    return df.withColumn("gross_revenue", F.round("gross_revenue", 2))
+
+
+def built_table(spark, sf_dir) -> VersionedTable:
+    vt = VersionedTable(spark, scratch_path(spark, "feature-table"))
+    store.build_feature_table(vt, typed(spark, sf_dir, BUILD_AS_OF), at=T0, key="hash")
+    return vt
+
+
+@register("stamp")
+def q_stamp(spark, sf_dir):
+    # Random keys (the reference's behaviour): checked on rows and uniqueness.
+    return store.stamp(features.customer_features(typed(spark, sf_dir)), key="uuid")
+
+
+@register("feature_table")
+def q_feature_table(spark, sf_dir):
+    return _report(built_table(spark, sf_dir).read())
+
+
+@register("active_semi")
+def q_active_semi(spark, sf_dir):
+    t = prepare.filtered(typed(spark, sf_dir, REFRESH_DAY))
+    return store.semi_active(t, store.active_set(raw(spark, sf_dir), REFRESH_DAY))
+
+
+@register("restamp")
+def q_restamp(spark, sf_dir):
+    vt = built_table(spark, sf_dir)
+    return _report(store.restamp(vt.read(), store.active_set(raw(spark, sf_dir), REFRESH_DAY),
+                                 at=T1, key="hash"))
+
+
+def _refreshed(spark, sf_dir, mode):
+    vt = built_table(spark, sf_dir)
+    store.refresh_features(vt, typed(spark, sf_dir, REFRESH_DAY), raw(spark, sf_dir),
+                           REFRESH_DAY, at=T1, key="hash", mode=mode)
+    return _report(vt.read())
+
+
+@register("refresh")
+def q_refresh(spark, sf_dir):
+    return _refreshed(spark, sf_dir, "append")
+
+
+@register("refresh_upsert")
+def q_refresh_upsert(spark, sf_dir):
+    return _refreshed(spark, sf_dir, "upsert")
+
+
+@register("read_instances")
+def q_read_instances(spark, sf_dir):
+    return store.read_instances(built_table(spark, sf_dir).read())
+
+
+def ingested_store(spark, sf_dir):
+    vt = built_table(spark, sf_dir)
+    fs = store.FeatureStore(spark, scratch_path(spark, "feature-store")).get_or_create()
+    fs.register()
+    fs.ingest(vt.read(), ingest_date="2024-01-01")
+    return vt, fs
+
+
+STORE_COLS = ["values", "timestamp", "gross_revenue", "recency_days", "qty_products",
+              "frequency", "qty_returns"]
+
+
+@register("ingest")
+def q_ingest(spark, sf_dir):
+    _, fs = ingested_store(spark, sf_dir)
+    return _report(fs.log().select(*STORE_COLS))
+
+
+@register("train_set")
+def q_train_set(spark, sf_dir):
+    vt, fs = ingested_store(spark, sf_dir)
+    return _report(fs.serve(store.read_instances(vt.read()), "*"))
+
+
+@register("asof_serve")
+def q_asof_serve(spark, sf_dir):
+    ev = fixtures.table(spark, sf_dir, "events")
+    reads = ev.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
+    feats = ev.where(F.col("event_type") == "view").select(
+        "user_id", F.col("ts").alias("feat_ts"), F.col("value").alias("feat_value"),
+        F.col("event_id").alias("feat_event_id"))
+    return asof_join(reads, feats, "user_id", "ts", "feat_ts",
+                     ["feat_ts", "feat_value", "feat_event_id"], order_by=["feat_event_id"])

@@ -24,8 +24,10 @@ from basketlab.session import get_session  # noqa: E402
 
 
 def norm(v):
-    if v is None or (isinstance(v, float) and math.isnan(v)):
+    if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
         return "NULL"
+    if isinstance(v, float) and v.is_integer() and abs(v) < 2**53:
+        return str(int(v))
     if isinstance(v, float):
         return repr(round(v, 6))
     if isinstance(v, (pd.Timestamp, datetime.datetime)):
