@@ -171,3 +171,24 @@ j AS (SELECT rd.event_id, rd.user_id, rd.ts, ft.feat_ts, ft.feat_value, ft.feat_
           ORDER BY ft.feat_ts DESC NULLS LAST, ft.feat_event_id DESC NULLS LAST) AS rn
       FROM rd LEFT JOIN ft ON rd.user_id = ft.user_id AND ft.feat_ts <= rd.ts)
 SELECT event_id, user_id, ts, feat_ts, feat_value, feat_event_id FROM j WHERE rn = 1"""
+
+# ---- clustering -----------------------------------------------------------
+FEAT = B + ",\n" + feature_ctes()
+_MF = ["qty_products", "qty_returns", "frequency", "recency_days"]
+_pairs = [(a, b) for i, a in enumerate(_MF) for b in _MF[i:]]
+ORACLE["feature_cov"] = with_(FEAT, " UNION ALL ".join(
+    f"SELECT '{a}' AS row, '{b}' AS col, ROUND(covar_samp(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 4) AS cov FROM feat"
+    for a, b in _pairs))
+SCALED = FEAT + """,
+mm AS (SELECT min(recency_days) AS r0, max(recency_days) AS r1, min(frequency) AS f0,
+              max(frequency) AS f1 FROM feat),
+scaled AS (SELECT CustomerID,
+  ROUND(CASE WHEN r1 = r0 THEN 0.5 ELSE (recency_days - r0) / (r1 - r0) END, 9) AS recency_days_mm,
+  ROUND(CASE WHEN f1 = f0 THEN 0.5 ELSE (frequency - f0) / (f1 - f0) END, 9) AS frequency_mm
+  FROM feat, mm)"""
+ORACLE["minmax"] = with_(SCALED, "SELECT * FROM scaled")
+_GRID = [[0.1, 0.1], [0.1, 0.5], [0.1, 0.9], [0.5, 0.1], [0.5, 0.9], [0.9, 0.1], [0.9, 0.5], [0.9, 0.9]]
+_centres = " UNION ALL ".join(f"SELECT {i} AS i, {a} AS a, {b} AS b" for i, (a, b) in enumerate(_GRID))
+ORACLE["cluster_assign"] = with_(SCALED + f",\ncentres AS ({_centres})", """SELECT CustomerID,
+  CAST(arg_min(i, {'d': (recency_days_mm - a) * (recency_days_mm - a) + (frequency_mm - b) * (frequency_mm - b), 'i': i}) AS INTEGER) AS Clusters
+FROM scaled, centres GROUP BY CustomerID""")

@@ -306,3 +306,72 @@ def q_asof_serve(spark, sf_dir):
         F.col("event_id").alias("feat_event_id"))
     return asof_join(reads, feats, "user_id", "ts", "feat_ts",
                      ["feat_ts", "feat_value", "feat_event_id"], order_by=["feat_event_id"])
+
+
+# ---- clustering -----------------------------------------------------------
+from ..operators import cluster  # noqa: E402
+from ..schemas import MODEL_FEATURES  # noqa: E402
+
+# Fixed centres for the exact scoring check (a 3x3 grid without its middle).
+GRID_CENTRES = [[0.1, 0.1], [0.1, 0.5], [0.1, 0.9], [0.5, 0.1],
+                [0.5, 0.9], [0.9, 0.1], [0.9, 0.5], [0.9, 0.9]]
+
+
+def training_set(spark, sf_dir):
+    return features.customer_features(typed(spark, sf_dir))
+
+
+def fitted(spark, sf_dir):
+    train = training_set(spark, sf_dir)
+    return train, cluster.fit(train)
+
+
+@register("feature_cov")
+def q_feature_cov(spark, sf_dir):
+    return (cluster.feature_covariance(training_set(spark, sf_dir))
+            .withColumn("cov", F.round("cov", 4)))
+
+
+def _scaled(spark, sf_dir):
+    mm = cluster.minmax_columns(training_set(spark, sf_dir), ["recency_days", "frequency"])
+    return mm.select("CustomerID", F.round("recency_days_mm", 9).alias("recency_days_mm"),
+                     F.round("frequency_mm", 9).alias("frequency_mm"))
+
+
+@register("minmax")
+def q_minmax(spark, sf_dir):
+    return _scaled(spark, sf_dir)
+
+
+@register("cluster_assign")
+def q_cluster_assign(spark, sf_dir):
+    return cluster.assign_clusters(_scaled(spark, sf_dir), ["recency_days_mm", "frequency_mm"],
+                                   GRID_CENTRES).select("CustomerID", "Clusters")
+
+
+@register("pca_project")
+def q_pca_project(spark, sf_dir):
+    train, model = fitted(spark, sf_dir)
+    return cluster.pca_projection(model, train).select("CustomerID", "pc1", "pc2", "s1", "s2")
+
+
+@register("kmeans_train")
+def q_kmeans_train(spark, sf_dir):
+    _, model = fitted(spark, sf_dir)
+    rows = [(i, c[0], c[1]) for i, c in enumerate(cluster.centers(model))]
+    # k rows derived from the fitted model (a model summary, not an input).
+    return spark.createDataFrame(rows, "cluster int, c1 double, c2 double")
+
+
+@register("batch_predict")
+def q_batch_predict(spark, sf_dir):
+    train, model = fitted(spark, sf_dir)
+    return cluster.predict(model, train)
+
+
+@register("model_reload")
+def q_model_reload(spark, sf_dir):
+    train, model = fitted(spark, sf_dir)
+    path = scratch_path(spark, "model")
+    cluster.save_model(model, path)
+    return cluster.predict(cluster.load_model(path), train)
