@@ -192,3 +192,32 @@ _centres = " UNION ALL ".join(f"SELECT {i} AS i, {a} AS a, {b} AS b" for i, (a,
 ORACLE["cluster_assign"] = with_(SCALED + f",\ncentres AS ({_centres})", """SELECT CustomerID,
   CAST(arg_min(i, {'d': (recency_days_mm - a) * (recency_days_mm - a) + (frequency_mm - b) * (frequency_mm - b), 'i': i}) AS INTEGER) AS Clusters
 FROM scaled, centres GROUP BY CustomerID""")
+
+# ---- forecasting ----------------------------------------------------------
+SERIES = B + """,
+daily AS (SELECT Country, InvoiceDate, CAST(SUM(Quantity) AS BIGINT) AS Quantity FROM curated
+          WHERE InvoiceDate BETWEEN DATE '1996-01-01' AND DATE '1997-01-01' GROUP BY Country, InvoiceDate),
+span AS (SELECT Country, min(InvoiceDate) AS lo, max(InvoiceDate) AS hi FROM daily GROUP BY Country),
+days AS (SELECT Country, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS InvoiceDate FROM span),
+j AS (SELECT days.Country, days.InvoiceDate, CAST(daily.Quantity AS DOUBLE) AS y
+      FROM days LEFT JOIN daily USING (Country, InvoiceDate)),
+nb AS (SELECT *,
+  last_value(CASE WHEN y IS NOT NULL THEN InvoiceDate END IGNORE NULLS) OVER w1 AS pd,
+  last_value(y IGNORE NULLS) OVER w1 AS py,
+  first_value(CASE WHEN y IS NOT NULL THEN InvoiceDate END IGNORE NULLS) OVER w2 AS nd,
+  first_value(y IGNORE NULLS) OVER w2 AS ny
+  FROM j WINDOW w1 AS (PARTITION BY Country ORDER BY InvoiceDate ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+                w2 AS (PARTITION BY Country ORDER BY InvoiceDate ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+series AS (SELECT Country, InvoiceDate,
+  CASE WHEN y IS NOT NULL THEN y ELSE py + (ny - py) * CAST(date_diff('day', pd, InvoiceDate) AS DOUBLE)
+       / CAST(date_diff('day', pd, nd) AS DOUBLE) END AS Quantity, y IS NULL AS filled FROM nb)"""
+ORACLE["fill_calendar"] = with_(SERIES, "SELECT Country, InvoiceDate, ROUND(Quantity, 6) AS Quantity, filled FROM series")
+ORACLE["decompose"] = with_(SERIES + """,
+tr AS (SELECT *, CASE WHEN count(Quantity) OVER w = 7 THEN sum(Quantity) OVER w / 7.0 END AS trend,
+         (date_diff('day', DATE '1970-01-01', InvoiceDate) % 7 + 7) % 7 AS phase
+       FROM series WINDOW w AS (PARTITION BY Country ORDER BY InvoiceDate ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)),
+ph AS (SELECT Country, phase, avg(Quantity - trend) AS s FROM tr GROUP BY Country, phase),
+ph2 AS (SELECT Country, phase, s - avg(s) OVER (PARTITION BY Country) AS seasonal FROM ph)""",
+"""SELECT Country, InvoiceDate, ROUND(Quantity, 6) AS Quantity, ROUND(trend, 6) AS trend,
+  ROUND(seasonal, 6) AS seasonal, ROUND(Quantity - trend - seasonal, 6) AS residual
+FROM tr LEFT JOIN ph2 USING (Country, phase)""")

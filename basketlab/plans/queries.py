@@ -375,3 +375,53 @@ def q_model_reload(spark, sf_dir):
     path = scratch_path(spark, "model")
     cluster.save_model(model, path)
     return cluster.predict(cluster.load_model(path), train)
+
+
+# ---- forecasting ----------------------------------------------------------
+from ..operators import forecast as fcst  # noqa: E402
+
+SERIES_KEYS = ("Country",)
+
+
+def country_series(spark, sf_dir):
+    daily = features.daily_quantity(curated(spark, sf_dir), SERIES_FROM, SERIES_TO, keys=SERIES_KEYS)
+    return fcst.fill_calendar(daily, SERIES_KEYS)
+
+
+@register("fill_calendar")
+def q_fill_calendar(spark, sf_dir):
+    return country_series(spark, sf_dir).withColumn("Quantity", F.round("Quantity", 6))
+
+
+@register("decompose")
+def q_decompose(spark, sf_dir):
+    d = fcst.decompose(country_series(spark, sf_dir), SERIES_KEYS, period=7)
+    return d.select("Country", "InvoiceDate", *[F.round(c, 6).alias(c) for c in
+                                                ["Quantity", "trend", "seasonal", "residual"]])
+
+
+def _model(spark, sf_dir):
+    s = country_series(spark, sf_dir)
+    return s, fcst.fit_arima(s, SERIES_KEYS)
+
+
+@register("arima_evaluate")
+def q_arima_evaluate(spark, sf_dir):
+    return fcst.arima_evaluate(country_series(spark, sf_dir), SERIES_KEYS)
+
+
+@register("arima_fit")
+def q_arima_fit(spark, sf_dir):
+    return _model(spark, sf_dir)[1]
+
+
+@register("forecast")
+def q_forecast(spark, sf_dir):
+    s, m = _model(spark, sf_dir)
+    return fcst.forecast(s, m, SERIES_KEYS, horizon=10, level=0.8)
+
+
+@register("explain_forecast")
+def q_explain_forecast(spark, sf_dir):
+    s, m = _model(spark, sf_dir)
+    return fcst.explain_forecast(s, m, SERIES_KEYS, horizon=30, level=0.8)
