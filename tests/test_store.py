@@ -1,0 +1,142 @@
+"""Feature table build / refresh, registry, ingest and as-of serving."""
+
+import datetime as dt
+import json
+
+import pytest
+from conftest import D, raw_df
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from basketlab.operators import prepare, store
+from basketlab.operators.asof import asof_join
+from basketlab.session import scratch_path
+from basketlab.sources import tables
+from basketlab.sources.versioned import VersionedTable
+
+DAY1, DAY2 = D(2020, 1, 1), D(2020, 1, 2)
+
+
+def line(inv, cust, qty, day):
+    return (inv, "A1", "x", qty, day, 1.0, None if cust is None else float(cust), "UK")
+
+
+BASE = [line("a", 1, 1, DAY1), line("b", 2, 2, DAY1), line("c", 3, 3, DAY1)]
+
+
+def built(spark):
+    vt = VersionedTable(spark, scratch_path(spark, "t-ftable"))
+    store.build_feature_table(vt, prepare.cast_trusted(raw_df(spark, BASE)), "2024-01-01", "hash")
+    return vt
+
+
+def refresh(spark, vt, today_rows, mode="append"):
+    raw = raw_df(spark, BASE + today_rows)
+    typed = prepare.cast_trusted(raw.where("CustomerID is not null"))
+    return store.refresh_features(vt, typed, raw, DAY2, "2024-01-02", "hash", mode)
+
+
+def test_refresh_empty_is_noop(spark):
+    vt = built(spark)
+    assert refresh(spark, vt, []) is None
+    assert vt.current_version() == 1
+
+
+def test_refresh_one_and_null(spark):
+    vt = built(spark)
+    assert refresh(spark, vt, [line("d", 2, 5, DAY2), line("e", None, 1, DAY2)]) == 2
+    rows = vt.read().where("CustomerID = 2").collect()
+    assert len(rows) == 2                                        # append keeps both
+    assert {str(r["timestamp"]) for r in rows} == {"2024-01-02 00:00:00"}
+    assert len({r["values"] for r in rows}) == 2
+    other = vt.read().where("CustomerID = 1").first()
+    assert str(other["timestamp"]) == "2024-01-01 00:00:00"
+    assert vt.read().count() == 4
+
+
+def test_refresh_upsert(spark):
+    vt = built(spark)
+    refresh(spark, vt, [line("d", 2, 5, DAY2)], mode="upsert")
+    rows = vt.read().where("CustomerID = 2").collect()
+    assert len(rows) == 1 and rows[0]["qty_products"] == 2
+    assert vt.read().count() == 3
+
+
+def test_build_fails_if_present(spark):
+    vt = built(spark)
+    with pytest.raises(FileExistsError):
+        store.build_feature_table(vt, prepare.cast_trusted(raw_df(spark, BASE)))
+
+
+def test_write_modes_and_exists(spark):
+    p = scratch_path(spark, "t-modes")
+    df = spark.range(3)
+    assert not tables.table_exists(spark, p)
+    tables.write_table(df, p, "fail")
+    assert tables.table_exists(spark, p)
+    with pytest.raises(Exception):
+        tables.write_table(df, p, "fail")
+    tables.write_table(df, p, "append")
+    assert spark.read.parquet(p).count() == 6
+    tables.write_table(df, p, "replace")
+    assert spark.read.parquet(p).count() == 3
+
+
+def test_registry_metadata_survives_parquet(spark):
+    vt = built(spark)
+    fs = store.FeatureStore(spark, scratch_path(spark, "t-store")).get_or_create()
+    sch = fs.register()
+    assert [f.name for f in sch.fields] == ["gross_revenue", "recency_days", "qty_products",
+                                            "frequency", "qty_returns"]
+    fs.register()                                                 # idempotent
+    assert len(fs.schema().fields) == 5
+    fs.ingest(vt.read(), ingest_date="2024-01-01")
+    log = fs.log()
+    md = log.schema["qty_returns"].metadata
+    assert md["description"] == "Quantity returns" and md["labels"] == {"status": "passed"}
+    assert log.schema["recency_days"].dataType.simpleString() == "double"
+    assert log.schema["qty_returns"].dataType.simpleString() == "bigint"
+
+
+def test_serve_later_ingest_wins(spark):
+    vt = built(spark)
+    fs = store.FeatureStore(spark, scratch_path(spark, "t-store2")).get_or_create()
+    fs.register()
+    fs.ingest(vt.read(), ingest_date="2024-01-01")
+    changed = vt.read().withColumn("qty_returns", F.lit(99).cast("bigint"))
+    fs.ingest(changed, ingest_date="2024-01-02")
+    served = fs.serve(store.read_instances(vt.read()))
+    assert {r["qty_returns"] for r in served.collect()} == {99}
+    early = store.read_instances(vt.read()).withColumn("timestamp", F.lit("2023-12-31").cast("timestamp"))
+    assert {r["qty_returns"] for r in fs.serve(early).collect()} == {None}
+
+
+T0 = dt.datetime(2024, 1, 1)
+
+
+def brute(left, right):
+    out = {}
+    for lid, ent, lt in left:
+        best = None
+        for rid, rent, rt, val in right:
+            if rent == ent and rt <= lt and (best is None or (rt, rid) > (best[0], best[1])):
+                best = (rt, rid, val)
+        out[lid] = None if best is None else best[2]
+    return out
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 200)), min_size=1, max_size=25),
+       st.lists(st.tuples(st.integers(0, 3), st.integers(0, 200), st.integers(0, 9)), max_size=25),
+       st.sampled_from([3600, 86400, 7 * 86400]))
+def test_asof_matches_brute_force(spark, reads, feats, width):
+    left = [(i, e, T0 + dt.timedelta(hours=h)) for i, (e, h) in enumerate(reads)]
+    right = [(i, e, T0 + dt.timedelta(hours=h), v) for i, (e, h, v) in enumerate(feats)]
+    ldf = spark.createDataFrame(left, "lid int, ent int, lt timestamp")
+    rdf = spark.createDataFrame(right, "rid int, ent int, rt timestamp, val int")
+    got = {r["lid"]: r["val"] for r in
+           asof_join(ldf, rdf, "ent", "lt", "rt", ["val"], order_by=["rid"],
+                     bucket_seconds=width).collect()}
+    assert got == brute(left, right)
+    assert len(got) == len(left)
