@@ -9,8 +9,8 @@ candidates; forecasts are one grouped job per series.
 
 The fitting method is Hannan-Rissanen (long-AR residuals, then least squares
 on lagged values and residuals) with conditional-sum-of-squares likelihood.
-The differencing order d is chosen first per series (the d in 0..2 with the
-smallest variance of the differenced series), and AIC compares orders only
+The differencing order d is chosen first per series (difference while a
+KPSS test rejects stationarity, at most twice), and AIC compares orders only
 within that d.
 """
 
@@ -102,16 +102,32 @@ def decompose(df: DataFrame, keys=(), date_col: str = DATE, value_col: str = VAL
 
 
 # ---- numpy helpers (one series, one order) ----------------------------------
+# Fixed value: 5% critical value of the KPSS level-stationarity statistic.
+KPSS_CRITICAL_5PCT = 0.463
+
+
+def kpss_stat(y: np.ndarray) -> float:
+    """KPSS level-stationarity statistic with a Bartlett-window long-run
+    variance (lag truncation 4 * (n / 100) ** 0.25)."""
+    n = len(y)
+    e = y - y.mean()
+    s = np.cumsum(e)
+    lags = int(4 * (n / 100.0) ** 0.25)
+    lrv = float(e @ e) / n
+    for k in range(1, min(lags, n - 1) + 1):
+        lrv += 2 * (1 - k / (lags + 1)) * float(e[k:] @ e[:-k]) / n
+    if lrv <= 0:
+        return 0.0
+    return float(s @ s) / (n * n * lrv)
+
+
 def choose_d(y: np.ndarray, max_d: int = 2) -> int:
-    best_d, best_v, cur = 0, float(np.var(y)), y
-    for d in range(1, max_d + 1):
+    """Difference while the KPSS test rejects stationarity at 5%."""
+    d, cur = 0, y
+    while d < max_d and len(cur) > 8 and kpss_stat(cur) > KPSS_CRITICAL_5PCT:
         cur = np.diff(cur)
-        if len(cur) < 8:
-            break
-        v = float(np.var(cur))
-        if v < best_v:
-            best_d, best_v = d, v
-    return best_d
+        d += 1
+    return d
 
 
 def _lags(x: np.ndarray, k: int, rows: range) -> np.ndarray:
