@@ -104,7 +104,12 @@ def refresh_features(table: VersionedTable, typed: DataFrame, raw: DataFrame, da
     active customers keep only their new row. An empty active set is a no-op
     (returns None).
     """
-    active = active_set(raw, day)
+    return refresh_for(table, typed, active_set(raw, day), at, key, mode)
+
+
+def refresh_for(table: VersionedTable, typed: DataFrame, active: DataFrame, at=None,
+                key: str = "uuid", mode: str = "append") -> int | None:
+    """K2 for an explicit active set (one BIGINT ``CustomerID`` per row)."""
     if active.isEmpty():
         return None
     cur = table.current_version()
