@@ -20,6 +20,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has task
+    slots (e.g. one large single-row-group file), so the joins and partial
+    aggregates after it run in parallel. A scan of many files already has
+    enough splits and is left as is (no extra shuffle at scale)."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
 def _when_mod(c: str, m: int) -> Column:
     return (F.col(c) % F.lit(m)) == 0
 
@@ -32,8 +43,8 @@ def raw_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     planner (sort-merge, or broadcast when AQE sees a small side at run time).
     nation has 25 rows by definition and is broadcast explicitly.
     """
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag")
+    li = spread(table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag"))
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
