@@ -1,109 +1,98 @@
 """Point-in-time (as-of) join: for each left row, the latest right row of the
 same entity whose time is at or before the left row's time.
 
-Spark has no as-of join operator. A range join (entity equal, right time <=
-left time, keep the latest) emits every earlier pair for an entity first,
-which explodes on busy entities. Instead, both sides are unioned and scanned
-in time order by window functions, in two levels so that no task ever holds
-one entity's whole history:
+Spark has no as-of join operator, and a range join (entity equal, right time
+<= left time, keep the latest) first emits every earlier pair of an entity,
+which explodes on busy entities. Here the match is computed on *keys* with
+built-in operators, in a way that bounds every task even when one entity,
+one instant or one group of duplicate rows holds a large share of the data:
 
-1. rows are placed in (entity, time bucket) groups; inside a group a running
-   ``last(ignorenulls)`` finds the latest earlier right row;
-2. for left rows without a match in their own bucket, the carry from earlier
-   buckets comes from a per-(entity, bucket) summary (one row per bucket), so
-   the per-entity window runs over bucket summaries, not rows.
+1. Duplicates collapse first: left keys (entity, time) are made distinct and
+   the right side is reduced to one row per (entity, time), the winner of the
+   tie rule (both partial + final aggregates).
+2. The union of both key sets is range-partitioned on (entity, time). The
+   range bounds come from a sample of the keys, so a busy entity is cut into
+   as many time slices as its share of the data needs. Each key then carries
+   its slice number.
+3. Within (entity, slice), a running ``last(ignorenulls)`` window finds the
+   latest right time at or before each left time.
+4. Left keys without a match in their own slice take the latest right time
+   of an earlier slice of the entity. That comes from a summary with one row
+   per (entity, slice), so the per-entity window runs over at most
+   #partitions rows.
+5. Equi-joins bring back the right values (by entity and matched time) and
+   the left rows (by entity and time). AQE splits skewed join partitions.
 
-Ties: a right row at exactly the left time qualifies (right rows sort before
-left rows at equal time); among right rows with equal time the one with the
-greatest ``order_by`` value wins (e.g. an append sequence number).
+Ties: a right row at exactly the left time qualifies; among right rows with
+equal entity and time, the one with the greatest ``order_by`` value wins.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _bucket(t: Column, seconds: int) -> Column:
-    return F.floor(F.unix_micros(t.cast("timestamp")) / F.lit(seconds * 1_000_000)).cast("bigint")
-
-
 def asof_join(left: DataFrame, right: DataFrame, by: str | list[str],
               left_time: str, right_time: str, right_cols: list[str],
-              order_by: list[str] | None = None, bucket_seconds: int = 86_400,
-              prefix: str = "") -> DataFrame:
+              order_by: list[str] | None = None, prefix: str = "",
+              partitions: int | None = None) -> DataFrame:
     """Left join each ``left`` row to the latest ``right`` row with equal
     ``by`` and ``right_time <= left_time``.
 
     Output: all left columns, then ``prefix + c`` for ``c`` in ``right_cols``
-    (NULL when nothing qualifies). ``bucket_seconds`` bounds the rows one
-    window group holds; choose it so a bucket of the busiest entity fits a
-    task (one day by default).
+    (NULL when nothing qualifies; NULL entity or time never matches).
+    ``partitions`` sets the number of range slices (default: the session's
+    shuffle partitions, adjusted by AQE).
     """
     by = [by] if isinstance(by, str) else list(by)
     order_by = list(order_by or [])
-    lt = F.col(left_time).cast("timestamp")
-    # NULL entity or time never matches.
-    right = right.where(F.col(right_time).isNotNull())
+    t, side, sl = "__t", "__side", "__slice"
+
+    # 1. one right row per (entity, time): the tie winner carries the values
+    r = right.where(F.col(right_time).isNotNull())
     for c in by:
-        right = right.where(F.col(c).isNotNull())
-    ptype = payload_type(right, right_time, order_by, right_cols)
-    ltype = left.select(F.struct(*left.columns).alias("l")).schema["l"].dataType
+        r = r.where(F.col(c).isNotNull())
+    win = F.max(F.struct(*[F.col(c).alias(f"__o{i}") for i, c in enumerate(order_by)],
+                         *[F.col(c).alias(f"__v{i}") for i, c in enumerate(right_cols)]))
+    rk = (r.groupBy(*by, F.col(right_time).cast("timestamp").alias(t))
+          .agg(win.alias("__w")))
+    lk = left.select(*by, F.col(left_time).cast("timestamp").alias(t)).distinct()
+    lk = lk.where(F.col(t).isNotNull())
+    for c in by:
+        lk = lk.where(F.col(c).isNotNull())
+
+    # 2. range slices over the key union (features sort before reads at equal time)
+    keys = rk.select(*by, t, F.lit(0).alias(side)).unionByName(
+        lk.select(*by, t, F.lit(1).alias(side)))
+    ranged = (keys.repartitionByRange(partitions, *by, t, side) if partitions
+              else keys.repartitionByRange(*by, t, side))
+    keys = ranged.withColumn(sl, F.spark_partition_id())
 
-    # Payload of a right row: its time first, then tie-breakers, then values,
-    # so struct ordering is (time, ties) and max/last agree on "latest".
-    payload = F.struct(F.col(right_time).cast("timestamp").alias("__t"),
-                       *[F.col(c).alias(f"__o{i}") for i, c in enumerate(order_by)],
-                       *[F.col(c).alias(f"__v_{c}") for c in right_cols])
-    r = right.select(*[F.col(c) for c in by],
-                     _bucket(F.col(right_time), bucket_seconds).alias("__b"),
-                     F.col(right_time).cast("timestamp").alias("__ts"),
-                     F.lit(0).alias("__side"),
-                     *[F.col(c).alias(f"__ord{i}") for i, c in enumerate(order_by)],
-                     payload.alias("__p"),
-                     F.lit(None).cast(ltype).alias("__l"))
-    # Left rows travel whole (as a struct) so nothing has to be joined back.
-    l_ = left.select(*[F.col(c) for c in by], _bucket(lt, bucket_seconds).alias("__b"),
-                     lt.alias("__ts"), F.lit(1).alias("__side"),
-                     *[F.lit(None).cast(right.schema[c].dataType).alias(f"__ord{i}")
-                       for i, c in enumerate(order_by)],
-                     F.lit(None).cast(ptype).alias("__p"),
-                     F.struct(*left.columns).alias("__l"))
-    w = (Window.partitionBy(*by, "__b")
-         .orderBy("__ts", "__side", *[f"__ord{i}" for i in range(len(order_by))])
+    # 3. in-slice match
+    w = (Window.partitionBy(*by, sl).orderBy(t, side)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    scanned = (r.unionByName(l_)
-               .withColumn("__m", F.last("__p", ignorenulls=True).over(w))
-               .where(F.col("__side") == 1)
-               .select(*by, "__b", "__l", "__m"))
-    hit = scanned.where(F.col("__m").isNotNull()).select("__l", F.col("__m").alias("__x"))
-    miss = scanned.where(F.col("__m").isNull()).select(*by, "__b", "__l")
+    scanned = keys.withColumn("__m", F.last(F.when(F.col(side) == 0, F.col(t)), ignorenulls=True).over(w))
+    reads = scanned.where(F.col(side) == 1).select(*by, t, sl, "__m")
 
-    # Carry for the misses: latest right row of any *earlier* bucket of the
-    # entity, from a one-row-per-(entity, bucket) summary of the right side.
-    summary = (right.select(*by, _bucket(F.col(right_time), bucket_seconds).alias("__b"),
-                            payload.alias("__p"))
-               .groupBy(*by, "__b").agg(F.max("__p").alias("__p")))
-    need = miss.select(*by, "__b").distinct()
-    wc = (Window.partitionBy(*by).orderBy("__b", "__side")
+    # 4. carry from earlier slices of the same entity
+    last_in_slice = (keys.where(F.col(side) == 0).groupBy(*by, sl)
+                     .agg(F.max(t).alias("__last")))
+    need = reads.where(F.col("__m").isNull()).select(*by, sl).distinct()
+    wc = (Window.partitionBy(*by).orderBy(sl, "__k")
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    carry = (summary.withColumn("__side", F.lit(1))
-             .unionByName(need.withColumn("__side", F.lit(0))
-                              .withColumn("__p", F.lit(None).cast(ptype)))
-             .withColumn("__c", F.last("__p", ignorenulls=True).over(wc))
-             .where(F.col("__side") == 0)
-             .select(*by, "__b", "__c"))
-    # Equality on NULL entities never matches, as in any join.
-    miss_out = (miss.join(carry, [*by, "__b"], "left")
-                .select("__l", F.col("__c").alias("__x")))
-    out = hit.unionByName(miss_out)
-    return out.select(*[F.col(f"__l.{c}").alias(c) for c in left.columns],
-                      *[F.col(f"__x.__v_{c}").alias(prefix + c) for c in right_cols])
+    carry = (last_in_slice.withColumn("__k", F.lit(1))
+             .unionByName(need.withColumn("__k", F.lit(0))
+                              .withColumn("__last", F.lit(None).cast("timestamp")))
+             .withColumn("__c", F.last("__last", ignorenulls=True).over(wc))
+             .where(F.col("__k") == 0).select(*by, sl, "__c"))
+    matched = (reads.join(carry, [*by, sl], "left")
+               .select(*by, t, F.coalesce("__m", "__c").alias("__rt")))
 
-
-def payload_type(right: DataFrame, right_time: str, order_by: list[str], right_cols: list[str]):
-    from pyspark.sql import types as T
-    fields = [T.StructField("__t", T.TimestampType())]
-    fields += [T.StructField(f"__o{i}", right.schema[c].dataType) for i, c in enumerate(order_by)]
-    fields += [T.StructField(f"__v_{c}", right.schema[c].dataType) for c in right_cols]
-    return T.StructType(fields)
+    # 5. values of the matched right row, then back to every left row
+    vals = matched.join(rk.withColumnRenamed(t, "__rt"), [*by, "__rt"], "left") \
+                  .select(*by, t, "__w")
+    lt = F.col(left_time).cast("timestamp")
+    out = left.withColumn(t, lt).join(vals, [*by, t], "left")
+    return out.select(*left.columns,
+                      *[F.col(f"__w.__v{i}").alias(prefix + c) for i, c in enumerate(right_cols)])

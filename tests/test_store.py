@@ -129,14 +129,15 @@ def brute(left, right):
 @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
 @given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 200)), min_size=1, max_size=25),
        st.lists(st.tuples(st.integers(0, 3), st.integers(0, 200), st.integers(0, 9)), max_size=25),
-       st.sampled_from([3600, 86400, 7 * 86400]))
-def test_asof_matches_brute_force(spark, reads, feats, width):
-    left = [(i, e, T0 + dt.timedelta(hours=h)) for i, (e, h) in enumerate(reads)]
-    right = [(i, e, T0 + dt.timedelta(hours=h), v) for i, (e, h, v) in enumerate(feats)]
+       st.sampled_from([1, 3, 16]))
+def test_asof_matches_brute_force(spark, reads, feats, slices):
+    # duplicate reads and a hot entity (every third read on entity 0)
+    left = [(i, e if i % 3 else 0, T0 + dt.timedelta(hours=h)) for i, (e, h) in enumerate(reads + reads[:3])]
+    right = [(i, e, T0 + dt.timedelta(hours=h), v) for i, (e, h, v) in enumerate(feats + feats[:2])]
     ldf = spark.createDataFrame(left, "lid int, ent int, lt timestamp")
     rdf = spark.createDataFrame(right, "rid int, ent int, rt timestamp, val int")
     got = {r["lid"]: r["val"] for r in
            asof_join(ldf, rdf, "ent", "lt", "rt", ["val"], order_by=["rid"],
-                     bucket_seconds=width).collect()}
+                     partitions=slices).collect()}
     assert got == brute(left, right)
     assert len(got) == len(left)
