@@ -219,6 +219,19 @@ def forecast_values(y: np.ndarray, d: int, phi, theta, mu: float, h: int) -> np.
     return out
 
 
+def _spread_groups(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Hash-partition on the group columns with an explicit partition count.
+
+    The grouped Python stages are compute-heavy on little data, so AQE's
+    size-based coalescing would pack every group into one task. An explicit
+    count (the session's shuffle partitions, sized for the cluster) keeps
+    them spread; the following groupBy reuses this partitioning (no second
+    exchange).
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *cols)
+
+
 # ---- T4/T5: order search -----------------------------------------------------
 CANDIDATE_SCHEMA = T.StructType([
     T.StructField("non_seasonal_p", T.IntegerType()),
@@ -274,6 +287,7 @@ def arima_evaluate(series: DataFrame, keys=(), date_col: str = DATE, value_col:
             .select("*", F.col("__o.p").alias("__p"), F.col("__o.q").alias("__q")).drop("__o"))
     key_fields = [series.schema[k] for k in keys]
     schema = T.StructType([*key_fields, *CANDIDATE_SCHEMA.fields])
+    rows = _spread_groups(rows, [*keys, "__p", "__q"])
     return rows.groupBy(*keys, "__p", "__q").applyInPandas(_fit_group(keys, value_col), schema)
 
 
@@ -340,7 +354,7 @@ def forecast(series: DataFrame, model: DataFrame, keys=(), date_col: str = DATE,
     j = (series.select(*keys, date_col, F.col(value_col).cast("double").alias(value_col))
          .join(model.select(*keys, *mcols), keys))
     schema = T.StructType([*[series.schema[k] for k in keys], *FORECAST_FIELDS])
-    out = j.groupBy(*keys).applyInPandas(
+    out = _spread_groups(j, keys).groupBy(*keys).applyInPandas(
         _forecast_group(keys, date_col, value_col, horizon, level), schema)
     return out.drop("__series") if single else out
 
