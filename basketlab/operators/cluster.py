@@ -43,6 +43,8 @@ def fit(train: DataFrame, features=MODEL_FEATURES, k: int = N_CLUSTERS, seed: in
     seed, seed+1, … and the lowest training cost kept (PCA and scaler are
     fitted once). Requires at least ``k`` rows."""
     del target
+    if train.limit(k).count() < k:
+        raise ValueError(f"k-means needs at least k={k} rows")
     pipe = clustering_pipeline(features, k, seed)
     stages = pipe.getStages()
     prep = Pipeline(stages=stages[:3]).fit(train)

@@ -114,12 +114,13 @@ def features_join(f: DataFrame, p: DataFrame, r: DataFrame) -> DataFrame:
     return drop_incomplete(joined.select(*FEATURE_COLUMNS))
 
 
-def customer_features(typed: DataFrame) -> DataFrame:
+def customer_features(typed: DataFrame, anchor: Column | None = None) -> DataFrame:
     """A6 (fused): one feature row per customer with at least one purchase.
 
     ``typed`` has the prepared schema (CustomerID BIGINT, InvoiceDate DATE);
     ``filtered`` / ``purchases`` / ``returns`` are the three row predicates of
     it, evaluated inside the aggregation instead of as three frames.
+    ``anchor`` overrides the recency anchor (default: latest date of ``typed``).
     """
     Q = _q()
     purch = Q >= 0
@@ -147,7 +148,8 @@ def customer_features(typed: DataFrame) -> DataFrame:
     # subquery over the checkpointed rows: no join at all.
     shared_dir(typed.sparkSession)
     level2 = level2.checkpoint(eager=True)
-    anchor = level2.agg(F.max("max_any")).scalar()
+    if anchor is None:
+        anchor = level2.agg(F.max("max_any")).scalar()
     days = whole_days(F.col("last_"), F.col("first_")) + 1
     keep = (F.col("CustomerID").isNotNull() & (F.col("n_purch") > 0)
             & F.col("last_").isNotNull())

@@ -94,7 +94,8 @@ def build_feature_table(table: VersionedTable, typed: DataFrame, at=None,
 
 
 def refresh_features(table: VersionedTable, typed: DataFrame, raw: DataFrame, day,
-                     at=None, key: str = "uuid", mode: str = "append") -> int | None:
+                     at=None, key: str = "uuid", mode: str = "append",
+                     anchor: str = "active") -> int | None:
     """K2 incremental build for customers active on ``day``.
 
     The typed input is restricted to active customers *before* aggregating
@@ -102,19 +103,23 @@ def refresh_features(table: VersionedTable, typed: DataFrame, raw: DataFrame, da
     the reference. ``append``: the new rows are added and every row of an
     active customer gets a new key and time (duplicates kept). ``upsert``:
     active customers keep only their new row. An empty active set is a no-op
-    (returns None).
+    (returns None). ``anchor='all'`` measures recency against the latest date
+    of the whole input instead of the active customers' rows.
     """
-    return refresh_for(table, typed, active_set(raw, day), at, key, mode)
+    return refresh_for(table, typed, active_set(raw, day), at, key, mode, anchor)
 
 
 def refresh_for(table: VersionedTable, typed: DataFrame, active: DataFrame, at=None,
-                key: str = "uuid", mode: str = "append") -> int | None:
+                key: str = "uuid", mode: str = "append", anchor: str = "active") -> int | None:
     """K2 for an explicit active set (one BIGINT ``CustomerID`` per row)."""
     if active.isEmpty():
         return None
     cur = table.current_version()
     nxt = (cur or 0) + 1
-    new_rows = stamp(customer_features(semi_active(typed, active)), at, key, version=nxt)
+    if anchor not in ("active", "all"):
+        raise ValueError(f"unknown anchor {anchor!r}")
+    whole = typed.agg(F.max("InvoiceDate")).scalar() if anchor == "all" else None
+    new_rows = stamp(customer_features(semi_active(typed, active), whole), at, key, version=nxt)
     old = table.read()
     if mode == "upsert":
         old = old.join(active, "CustomerID", "left_anti")
@@ -126,6 +131,13 @@ def refresh_for(table: VersionedTable, typed: DataFrame, active: DataFrame, at=N
     return table.write(combined, mode="replace")
 
 
+def with_customer(served: DataFrame, feature_table: DataFrame) -> DataFrame:
+    """Bring CustomerID back to served rows or predictions (the served
+    training set carries only the entity key): equi-join on the key, which is
+    unique per feature-table row."""
+    return served.join(feature_table.select(ENTITY_COL, "CustomerID"), ENTITY_COL, "left")
+
+
 def read_instances(feature_table: DataFrame) -> DataFrame:
     """K6: the (entity, time) pairs to serve."""
     return feature_table.select(ENTITY_COL, TIME_COL)

@@ -141,3 +141,22 @@ def test_asof_matches_brute_force(spark, reads, feats, slices):
                      partitions=slices).collect()}
     assert got == brute(left, right)
     assert len(got) == len(left)
+
+
+def test_refresh_anchor_all(spark):
+    vt = built(spark)
+    raw = raw_df(spark, BASE + [line("d", 2, 5, DAY2), line("z", 3, 1, D(2020, 1, 5))])
+    typed = prepare.cast_trusted(raw)
+    store.refresh_features(vt, typed, raw, DAY2, "2024-01-02", "hash", "upsert", anchor="all")
+    row = vt.read().where("CustomerID = 2").first()
+    assert row["recency_days"] == 3                  # against 2020-01-05, not 2020-01-02
+    vt2 = built(spark)
+    store.refresh_features(vt2, typed, raw, DAY2, "2024-01-02", "hash", "upsert")
+    assert vt2.read().where("CustomerID = 2").first()["recency_days"] == 0
+
+
+def test_with_customer(spark):
+    vt = built(spark)
+    served = store.read_instances(vt.read())
+    back = store.with_customer(served, vt.read())
+    assert back.where("CustomerID is null").count() == 0 and back.count() == 3
