@@ -55,17 +55,16 @@ def write_table(df: DataFrame, name: str, mode: str = "replace") -> None:
 
 
 def write_partitioned(df: DataFrame, name: str, part_col: str = "InvoiceDate",
-                      spread_col: str | None = "CustomerID", mode: str = "replace") -> None:
+                      mode: str = "replace") -> None:
     """Create-or-replace a table partitioned by ``part_col``.
 
-    Rows are range-partitioned on (part_col, spread_col): each task writes a
-    contiguous run of dates (few files per date), and a date holding a large
-    share of all rows is split over several tasks by the second key instead of
-    landing in one task as plain ``repartition(part_col)`` would do.
+    A ``rebalance`` hint on the partition column hash-distributes rows by
+    date (few files per date), and AQE splits a date that holds a large
+    share of all rows over several tasks and merges small ones. There is no
+    sampling pass over the input (range partitioning would recompute the
+    whole upstream plan once more to sample it).
     """
-    keys = [part_col] + ([spread_col] if spread_col else [])
-    out = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    w = out.write.mode(MODES[mode]).partitionBy(part_col)
+    w = df.hint("rebalance", part_col).write.mode(MODES[mode]).partitionBy(part_col)
     if is_path(name):
         w.parquet(name)
     else:
