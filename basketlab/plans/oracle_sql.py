@@ -221,3 +221,7 @@ ph2 AS (SELECT Country, phase, s - avg(s) OVER (PARTITION BY Country) AS seasona
 """SELECT Country, InvoiceDate, ROUND(Quantity, 6) AS Quantity, ROUND(trend, 6) AS trend,
   ROUND(seasonal, 6) AS seasonal, ROUND(Quantity - trend - seasonal, 6) AS residual
 FROM tr LEFT JOIN ph2 USING (Country, phase)""")
+
+# ---- streaming ------------------------------------------------------------
+ORACLE["stream_build"] = with_(base_ctes() + ",\n" + feature_ctes(), f"""SELECT {FEATS.replace('gross_revenue', 'ROUND(gross_revenue, 2) AS gross_revenue')},
+  {hash_key(T0, '1')} AS "values", TIMESTAMP '{T0}' AS "timestamp", 1 AS _version FROM feat""")

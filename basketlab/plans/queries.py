@@ -425,3 +425,19 @@ def q_forecast(spark, sf_dir):
 def q_explain_forecast(spark, sf_dir):
     s, m = _model(spark, sf_dir)
     return fcst.explain_forecast(s, m, SERIES_KEYS, horizon=30, level=0.8)
+
+
+# ---- streaming ------------------------------------------------------------
+from ..streaming import start_refresh_stream  # noqa: E402
+
+
+@register("stream_build")
+def q_stream_build(spark, sf_dir):
+    """Raw lines land as files; one availableNow run of the refresh stream
+    curates them and builds the feature table (no table existed yet)."""
+    root = scratch_path(spark, "stream")
+    raw(spark, sf_dir).write.parquet(f"{root}/landing")
+    q = start_refresh_stream(spark, f"{root}/landing", f"{root}/curated", f"{root}/table",
+                             f"{root}/checkpoint", at=T0, key="hash")
+    q.awaitTermination()
+    return _report(VersionedTable(spark, f"{root}/table").read())
