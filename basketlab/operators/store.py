@@ -87,10 +87,10 @@ def restamp(table: DataFrame, active: DataFrame, at=None, key: str = "uuid") ->
 
 
 def build_feature_table(table: VersionedTable, typed: DataFrame, at=None,
-                        key: str = "uuid") -> int:
+                        key: str = "uuid", note: str | None = None) -> int:
     """K1 full build: features of every customer, stamped, written once
-    (fails if the table exists)."""
-    return table.write(stamp(customer_features(typed), at, key, version=1), mode="fail")
+    (fails if the table exists). ``note`` is committed with the version."""
+    return table.write(stamp(customer_features(typed), at, key, version=1), mode="fail", note=note)
 
 
 def refresh_features(table: VersionedTable, typed: DataFrame, raw: DataFrame, day,
@@ -110,8 +110,10 @@ def refresh_features(table: VersionedTable, typed: DataFrame, raw: DataFrame, da
 
 
 def refresh_for(table: VersionedTable, typed: DataFrame, active: DataFrame, at=None,
-                key: str = "uuid", mode: str = "append", anchor: str = "active") -> int | None:
-    """K2 for an explicit active set (one BIGINT ``CustomerID`` per row)."""
+                key: str = "uuid", mode: str = "append", anchor: str = "active",
+                note: str | None = None) -> int | None:
+    """K2 for an explicit active set (one BIGINT ``CustomerID`` per row).
+    ``note`` is committed with the new version."""
     if active.isEmpty():
         return None
     cur = table.current_version()
@@ -128,7 +130,7 @@ def refresh_for(table: VersionedTable, typed: DataFrame, active: DataFrame, at=N
         combined = restamp(old.unionByName(new_rows), active, at, key)
     else:
         raise ValueError(f"unknown refresh mode {mode!r}")
-    return table.write(combined, mode="replace")
+    return table.write(combined, mode="replace", note=note)
 
 
 def with_customer(served: DataFrame, feature_table: DataFrame) -> DataFrame:

@@ -78,8 +78,11 @@ def read_partitioned(spark: SparkSession, name: str, schema: T.StructType) -> Da
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
-    """Table or path present (a path counts once a write committed)."""
+    """Table or path present (a path counts once a write committed: a
+    plain table's ``_SUCCESS`` file, or a committed version of a versioned
+    table)."""
     if is_path(name):
-        return path_exists(spark, name.rstrip("/") + "/_SUCCESS") or \
-            path_exists(spark, name.rstrip("/") + "/_CURRENT")
+        from .versioned import VersionedTable
+        return (path_exists(spark, name.rstrip("/") + "/_SUCCESS")
+                or VersionedTable(spark, name).exists())
     return spark.catalog.tableExists(name)

@@ -8,8 +8,11 @@ in the batch are the active set of a feature refresh. ``availableNow``
 processes whatever has arrived and stops, which is the daily-trigger shape.
 
 Exactly-once: the stream's checkpoint (in the shared folder) tracks consumed
-files; the feature table records the last refreshed batch id, so a batch that
-is replayed after a failure is not applied twice.
+files. Each batch writes its curated rows into its own folder
+(``batch_id=N``), so a replayed batch overwrites its files instead of
+appending them twice. The feature-table version that a batch produces is
+committed together with the batch id, so a batch that is replayed after a
+failure is applied at most once.
 """
 
 from __future__ import annotations
@@ -19,29 +22,36 @@ from pyspark.sql import functions as F
 
 from ..operators import clean, prepare, store
 from ..schemas import RAW
-from ..session import read_text, write_text
 from ..sources import tables
 from ..sources.versioned import VersionedTable
 
 
+BATCH_NOTE = "batch="
+
+
+def applied_batch(vt: VersionedTable) -> int:
+    """Id of the last stream batch committed into the table (-1 if none)."""
+    note = vt.current_note()
+    return int(note[len(BATCH_NOTE):]) if note and note.startswith(BATCH_NOTE) else -1
+
+
 def _process(spark: SparkSession, curated_path: str, table_root: str, at, key, mode, rules):
     vt = VersionedTable(spark, table_root)
-    marker = f"{table_root}/_LAST_BATCH"
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        last = read_text(spark, marker)
-        if last is not None and int(last) >= batch_id:
+        if batch_id <= applied_batch(vt):
             return                                   # replayed batch: already applied
         cur = clean.curate(batch, None, rules)
-        tables.write_partitioned(cur, curated_path, "InvoiceDate", mode="append")
+        tables.write_partitioned(cur, f"{curated_path}/batch_id={batch_id}", "InvoiceDate",
+                                 mode="replace")
         typed = prepare.cast_trusted(tables.read_table(spark, curated_path, RAW))
         active = (batch.where(F.col("CustomerID").isNotNull())
                   .select(F.col("CustomerID").cast("bigint").alias("CustomerID")).distinct())
+        note = f"{BATCH_NOTE}{batch_id}"
         if not vt.exists():
-            store.build_feature_table(vt, typed, at, key)
+            store.build_feature_table(vt, typed, at, key, note=note)
         else:
-            store.refresh_for(vt, typed, active, at, key, mode)
-        write_text(spark, marker, str(batch_id))
+            store.refresh_for(vt, typed, active, at, key, mode, note=note)
     return fn
 
 
