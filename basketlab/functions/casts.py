@@ -3,8 +3,8 @@
 The reference converts a column in place and reports success; on any value
 that does not convert, the column is left unchanged and ``False`` returned.
 Here the conversion is a lazy projection (``try_cast`` / ``try_to_timestamp``)
-and the success flag is one distributed aggregate (a single boolean comes
-back to the driver).
+and the success flags of all requested columns come from one distributed
+aggregate (one pass over the data; one boolean per column reaches the driver).
 """
 
 from __future__ import annotations
@@ -24,16 +24,6 @@ def _int_expr(df: DataFrame, name: str) -> Column:
     return F.expr(f"try_cast(`{name}` AS BIGINT)")
 
 
-def column_to_int(df: DataFrame, name: str) -> tuple[DataFrame, bool]:
-    """Cast ``name`` to BIGINT if *every* row converts; NULL counts as bad
-    (an integer column cannot hold a missing value). Returns (frame, ok)."""
-    conv = _int_expr(df, name)
-    bad = df.select(F.max(F.when(conv.isNull(), 1).otherwise(0)).alias("bad")).first()["bad"]
-    if bad:  # any bad row (None on an empty frame means nothing is bad)
-        return df, False
-    return df.withColumn(name, conv), True
-
-
 def _date_expr(name: str, fmt: str | None) -> Column:
     c = F.col(name)
     if fmt:
@@ -41,20 +31,59 @@ def _date_expr(name: str, fmt: str | None) -> Column:
     return F.to_date(F.try_to_timestamp(c.cast("string")))
 
 
+def _plan(df: DataFrame, name: str, kind: str, fmt: str | None):
+    """(converted expression, bad-row flag or None when nothing can fail)."""
+    dt = df.schema[name].dataType
+    if kind == "int":
+        conv = _int_expr(df, name)
+        # NULL counts as bad: an integer column cannot hold a missing value.
+        return conv, conv.isNull()
+    if kind == "date":
+        if isinstance(dt, T.DateType):
+            return F.col(name), None
+        if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+            return F.to_date(F.col(name)), None
+        conv = _date_expr(name, fmt)
+        # Missing values stay missing and are allowed.
+        return conv, F.col(name).isNotNull() & conv.isNull()
+    raise ValueError(f"unknown cast kind {kind!r}")
+
+
+def convert_columns(df: DataFrame, spec) -> tuple[DataFrame, dict[str, bool]]:
+    """All-or-nothing conversion of several columns with ONE pass over the
+    data. ``spec``: iterable of ``(name, kind)`` or ``(name, kind, fmt)``,
+    ``kind`` in {"int", "date"}. Each column converts only if every row does;
+    otherwise it is left unchanged. Returns (frame, {name: ok})."""
+    plans = []
+    for item in spec:
+        name, kind, fmt = (tuple(item) + (None,))[:3]
+        plans.append((name, *_plan(df, name, kind, fmt)))
+    checks = [(n, bad) for n, _, bad in plans if bad is not None]
+    flags = {}
+    if checks:
+        row = df.agg(*[F.max(F.when(bad, 1).otherwise(0)).alias(f"b{i}")
+                       for i, (_, bad) in enumerate(checks)]).first()
+        # An empty frame gives NULL: nothing is bad.
+        flags = {n: not row[f"b{i}"] for i, (n, _) in enumerate(checks)}
+    ok = {n: flags.get(n, True) for n, _, _ in plans}
+    conv = {n: c for n, c, _ in plans if ok[n]}
+    if conv:
+        df = df.withColumns(conv)
+    return df, ok
+
+
+def column_to_int(df: DataFrame, name: str) -> tuple[DataFrame, bool]:
+    """Cast ``name`` to BIGINT if *every* row converts; NULL counts as bad
+    (an integer column cannot hold a missing value). Returns (frame, ok)."""
+    df, ok = convert_columns(df, [(name, "int")])
+    return df, ok[name]
+
+
 def column_to_date(df: DataFrame, name: str, fmt: str | None = None) -> tuple[DataFrame, bool]:
     """Convert ``name`` to DATE if every non-null value parses (missing values
     stay missing and are allowed). Date/timestamp columns convert directly."""
-    dt = df.schema[name].dataType
-    if isinstance(dt, T.DateType):
-        return df, True
-    if isinstance(dt, T.TimestampType) or isinstance(dt, T.TimestampNTZType):
-        return df.withColumn(name, F.to_date(F.col(name))), True
-    conv = _date_expr(name, fmt)
-    bad = df.select(F.max(F.when(F.col(name).isNotNull() & conv.isNull(), 1)
-                          .otherwise(0)).alias("bad")).first()["bad"]
-    if bad:
-        return df, False
-    return df.withColumn(name, conv), True
+    df, ok = convert_columns(df, [(name, "date", fmt)])
+    return df, ok[name]
 
 
 def int_ok_expr(df: DataFrame, name: str) -> Column:
@@ -64,7 +93,5 @@ def int_ok_expr(df: DataFrame, name: str) -> Column:
 
 def normalise_types(df: DataFrame) -> DataFrame:
     """CustomerID -> BIGINT and InvoiceDate -> DATE, each all-or-nothing and
-    with the flags ignored, as in the reference."""
-    df, _ = column_to_int(df, "CustomerID")
-    df, _ = column_to_date(df, "InvoiceDate")
-    return df
+    with the flags ignored, as in the reference (both checked in one pass)."""
+    return convert_columns(df, [("CustomerID", "int"), ("InvoiceDate", "date")])[0]

@@ -189,11 +189,12 @@ def q_daily_quantity_by_country(spark, sf_dir):
 @register("cast_int")
 def q_cast_int(spark, sf_dir):
     df = raw(spark, sf_dir).select("InvoiceNo", "StockCode", "Quantity", "UnitPrice", "CustomerID")
-    df, ok_q = casts.column_to_int(df, "Quantity")
-    df, ok_p = casts.column_to_int(df, "UnitPrice")     # finite doubles: truncated
-    df, ok_c = casts.column_to_int(df, "CustomerID")    # has NULLs: left as is
-    return df.select("*", F.lit(ok_q).alias("ok_quantity"), F.lit(ok_p).alias("ok_price"),
-                     F.lit(ok_c).alias("ok_customer"))
+    # One pass checks all three: finite doubles truncate; NULLs leave a column as is.
+    df, ok = casts.convert_columns(df, [("Quantity", "int"), ("UnitPrice", "int"),
+                                        ("CustomerID", "int")])
+    return df.select("*", F.lit(ok["Quantity"]).alias("ok_quantity"),
+                     F.lit(ok["UnitPrice"]).alias("ok_price"),
+                     F.lit(ok["CustomerID"]).alias("ok_customer"))
 
 
 @register("cast_date")
@@ -203,11 +204,11 @@ def q_cast_date(spark, sf_dir):
         F.col("InvoiceDate").cast("string").alias("d_iso"),
         F.date_format("InvoiceDate", "dd/MM/yyyy").alias("d_fmt"),
         "Description")
-    df, ok_iso = casts.column_to_date(df, "d_iso")
-    df, ok_fmt = casts.column_to_date(df, "d_fmt", "dd/MM/yyyy")
-    df, ok_txt = casts.column_to_date(df, "Description")   # free text: left as is
-    return df.select("*", F.lit(ok_iso).alias("ok_iso"), F.lit(ok_fmt).alias("ok_fmt"),
-                     F.lit(ok_txt).alias("ok_text"))
+    # One pass checks all three; free text (Description) is left as is.
+    df, ok = casts.convert_columns(df, [("d_iso", "date"), ("d_fmt", "date", "dd/MM/yyyy"),
+                                        ("Description", "date")])
+    return df.select("*", F.lit(ok["d_iso"]).alias("ok_iso"), F.lit(ok["d_fmt"]).alias("ok_fmt"),
+                     F.lit(ok["Description"]).alias("ok_text"))
 
 
 # ---- feature store --------------------------------------------------------

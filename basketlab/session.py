@@ -43,13 +43,18 @@ def get_session(master: str | None = None, app: str = "basketlab",
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a private
-    directory is created and registered, so ``checkpoint()`` works too.
+    Read from the session. Only when it is unset on a ``local`` master (tests)
+    a private directory is created and registered, so ``checkpoint()`` works
+    too. On a cluster an unset folder is an error: a machine-local folder
+    would not survive the loss of the executor that wrote it.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder "
+                               "(HDFS / object store) for checkpoints and scratch tables")
         d = tempfile.mkdtemp(prefix="basketlab-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
