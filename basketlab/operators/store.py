@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -197,22 +198,31 @@ class FeatureStore:
                            "value_type": f["value_type"]})
             for f in reg["features"]])
 
-    def ingest(self, df: DataFrame, feature_ids=None, ingest_date=None) -> None:
+    def ingest(self, df: DataFrame, feature_ids=None, ingest_date=None,
+               batch: str | None = None) -> str:
         """K5: append rows (entity, time, features cast to registered types)
-        to the log, partitioned by ingest date. An ingest sequence number
-        orders rows with equal entity and time (later ingest wins)."""
+        to the log, partitioned by ingest date and ingest batch. An ingest
+        sequence number orders rows with equal entity and time (later ingest
+        wins).
+
+        ``batch`` names the source (e.g. the feature-table version). Each
+        batch owns one folder that is written with overwrite, so ingesting
+        the same batch again after a failure replaces it instead of adding
+        the rows twice. Without ``batch`` a fresh id is used (plain append).
+        Returns the batch id."""
         sch = self.schema()
         fields = [f for f in sch.fields if feature_ids is None or f.name in feature_ids]
-        day = (F.current_date() if ingest_date is None
-               else F.lit(str(ingest_date)).cast("date"))
+        day = _dt.date.fromisoformat(str(ingest_date)) if ingest_date is not None else today()
+        batch = f"b-{batch}" if batch is not None else f"b-{uuid.uuid4().hex}"
         out = df.select(
             F.col(self.entity).cast("string").alias(self.entity),
             F.col(self.time).cast("timestamp").alias(self.time),
             *[F.col(f.name).cast(f.dataType).alias(f.name, metadata=f.metadata) for f in fields],
             F.current_timestamp().alias("_ingested_at"),
-            F.monotonically_increasing_id().alias("_ingest_seq"),
-            day.alias("_ingest_date"))
-        out.write.mode("append").partitionBy("_ingest_date").parquet(self.log_path)
+            F.monotonically_increasing_id().alias("_ingest_seq"))
+        out.write.mode("overwrite").parquet(
+            f"{self.log_path}/_ingest_date={day.isoformat()}/_ingest_batch={batch}")
+        return batch
 
     def log(self) -> DataFrame:
         return self.spark.read.parquet(self.log_path)

@@ -73,7 +73,10 @@ def feature_engineering(spark: SparkSession, raw: DataFrame, conf: Conf) -> str:
 def create_feature_store(spark: SparkSession, conf: Conf, ingest_date=None) -> store.FeatureStore:
     fs = store.FeatureStore(spark, conf.path("feature_store")).get_or_create()
     fs.register()
-    fs.ingest(VersionedTable(spark, conf.path("feature_table")).read(), ingest_date=ingest_date)
+    vt = VersionedTable(spark, conf.path("feature_table"))
+    # One ingest batch per feature-table version: a re-run replaces it.
+    v = vt.current_version()
+    fs.ingest(vt.read(v), ingest_date=ingest_date, batch=f"v{v:06d}")
     return fs
 
 

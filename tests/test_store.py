@@ -112,6 +112,18 @@ def test_serve_later_ingest_wins(spark):
     assert {r["qty_returns"] for r in fs.serve(early).collect()} == {None}
 
 
+def test_ingest_same_batch_twice_replaces(spark):
+    vt = built(spark)
+    fs = store.FeatureStore(spark, scratch_path(spark, "t-store3")).get_or_create()
+    fs.register()
+    n = vt.read().count()
+    fs.ingest(vt.read(), ingest_date="2024-01-01", batch="v000001")
+    fs.ingest(vt.read(), ingest_date="2024-01-01", batch="v000001")   # re-run
+    assert fs.log().count() == n
+    fs.ingest(vt.read(), ingest_date="2024-01-01")                    # new batch: appended
+    assert fs.log().count() == 2 * n
+
+
 T0 = dt.datetime(2024, 1, 1)
 
 
