@@ -5,7 +5,9 @@ local[$BENCH_CPUS], writes every result through the ``noop`` sink (the whole
 result is computed, nothing is collected), and prints ONE JSON line:
 {"metric": ..., "value": total_sec, "unit": "sec", "queries": {...}, "sf": ...}
 Each query is timed warm (after one untimed run) as the median of
-$BENCH_REPS runs (default 3).
+$BENCH_REPS runs (default 3). Shuffle bytes written per run come from
+Spark's event log, written to a fresh scratch folder (every job of a query
+runs in that query's job group).
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ import os
 import re
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -32,14 +35,20 @@ def main() -> None:
     from basketlab.plans.queries import QUERIES
     from basketlab.session import get_session
 
+    log_dir = tempfile.mkdtemp(prefix="basketlab-bench-events-")
+    shuffle_partitions = max(8, int(cpus) * 2)
     spark = get_session(f"local[{cpus}]", "basketlab-bench", {
-        "spark.sql.shuffle.partitions": str(max(8, int(cpus) * 2)),
+        "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": "16g",
+        "spark.eventLog.enabled": "true",
+        "spark.eventLog.dir": log_dir,
+        "spark.eventLog.compress": "false",
     })
     spark.sparkContext.setLogLevel("ERROR")
     times = {}
-    for name in only or HEADLINE:
+    names = only or HEADLINE
+    for name in names:
         q = QUERIES[name]
 
         def run_once():
@@ -47,14 +56,42 @@ def main() -> None:
             q(spark, sf_dir).write.format("noop").mode("overwrite").save()
             return time.perf_counter() - t0
 
+        spark.sparkContext.setJobGroup(f"bench:{name}", name)
         run_once()
         times[name] = round(statistics.median(run_once() for _ in range(reps)), 3)
+    version = spark.version
+    spark.stop()
+    runs = reps + 1
+    shuffle = {n: int(b / runs) for n, b in shuffle_bytes(log_dir).items() if n in times}
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times,
                       "sf": float(m.group(1)) if m else sf_dir, "cpus": int(cpus),
-                      "spark": spark.version}))
-    spark.stop()
+                      "spark": version, "shuffle_partitions": shuffle_partitions,
+                      "shuffle_bytes_per_run": shuffle}))
+
+
+def shuffle_bytes(log_dir: str) -> dict[str, int]:
+    """Shuffle bytes written per job group, summed over the event log."""
+    stage_group, total = {}, {}
+    files = [os.path.join(d, f) for d, _, fs in os.walk(log_dir) for f in fs
+             if not f.startswith((".", "appstatus"))]
+    for path in files:
+        with open(path, encoding="utf-8") as fh:
+            for line in fh:
+                ev = json.loads(line)
+                kind = ev.get("Event")
+                if kind == "SparkListenerJobStart":
+                    group = (ev.get("Properties") or {}).get("spark.jobGroup.id", "")
+                    if group.startswith("bench:"):
+                        for sid in ev.get("Stage IDs", []):
+                            stage_group[sid] = group[len("bench:"):]
+                elif kind == "SparkListenerTaskEnd":
+                    g = stage_group.get(ev.get("Stage ID"))
+                    sw = (ev.get("Task Metrics") or {}).get("Shuffle Write Metrics") or {}
+                    if g is not None:
+                        total[g] = total.get(g, 0) + int(sw.get("Shuffle Bytes Written", 0))
+    return total
 
 
 if __name__ == "__main__":
