@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
+
 DATE, VALUE = "InvoiceDate", "Quantity"
 MAX_ORDER = 5
 
@@ -228,6 +230,7 @@ def _spread_groups(df: DataFrame, cols: list[str]) -> DataFrame:
     them spread; the following groupBy reuses this partitioning (no second
     exchange).
     """
+    ship_package(df.sparkSession)       # the group functions live in this package
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, *cols)
 
