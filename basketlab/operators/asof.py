@@ -13,7 +13,11 @@ one instant or one group of duplicate rows holds a large share of the data:
 2. The union of both key sets is range-partitioned on (entity, time). The
    range bounds come from a sample of the keys, so a busy entity is cut into
    as many time slices as its share of the data needs. Each key then carries
-   its slice number.
+   its slice number. The sliced keys (four narrow columns) are written once
+   as a reliable checkpoint in the shared folder: steps 3 and 4 read them
+   three times, and recomputing would repeat both scans, the aggregations
+   and the sampling pass, and could even draw other range bounds, which
+   would make the slice numbers of the three uses disagree.
 3. Within (entity, slice), a running ``last(ignorenulls)`` window finds the
    latest right time at or before each left time.
 4. Left keys without a match in their own slice take the latest right time
@@ -32,6 +36,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 
 def asof_join(left: DataFrame, right: DataFrame, by: str | list[str],
               left_time: str, right_time: str, right_cols: list[str],
@@ -67,7 +73,8 @@ def asof_join(left: DataFrame, right: DataFrame, by: str | list[str],
         lk.select(*by, t, F.lit(1).alias(side)))
     ranged = (keys.repartitionByRange(partitions, *by, t, side) if partitions
               else keys.repartitionByRange(*by, t, side))
-    keys = ranged.withColumn(sl, F.spark_partition_id())
+    shared_dir(keys.sparkSession)
+    keys = ranged.withColumn(sl, F.spark_partition_id()).checkpoint(eager=True)
 
     # 3. in-slice match
     w = (Window.partitionBy(*by, sl).orderBy(t, side)
