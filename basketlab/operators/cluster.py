@@ -61,10 +61,18 @@ def fit(train: DataFrame, features=MODEL_FEATURES, k: int = N_CLUSTERS, seed: in
     return PipelineModel(stages=[*prep.stages, best])
 
 
-def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+def predict(model: PipelineModel, df: DataFrame, stable_labels: bool = False) -> DataFrame:
     """M6: all input columns plus ``Clusters`` (int); helper vectors dropped.
-    Runs on the executors (each task holds the k centres)."""
-    return model.transform(df).drop(*_TMP).withColumn(OUT_COL, F.col(OUT_COL).cast("int"))
+    Runs on the executors (each task holds the k centres). k-means ids are
+    arbitrary; ``stable_labels`` renumbers them by centre order
+    (``relabel_by_centre``) with one map lookup, so refits that find the same
+    centres give the same ids."""
+    out = model.transform(df).drop(*_TMP)
+    label = F.col(OUT_COL).cast("int")
+    if stable_labels:
+        pairs = sorted(relabel_by_centre(model).items())
+        label = F.create_map(*[F.lit(x) for kv in pairs for x in kv])[label]
+    return out.withColumn(OUT_COL, label.cast("int"))
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -34,6 +34,7 @@ class Conf:
     refresh_mode: str = "append"    # append | upsert
     rules: clean.Rules = field(default_factory=clean.Rules)
     n_init: int = 1
+    stable_labels: bool = False     # number clusters by centre order
     k: int = N_CLUSTERS
     seed: int = SEED
 
@@ -99,7 +100,8 @@ def model_train(spark: SparkSession, conf: Conf):
 def batch_prediction(spark: SparkSession, conf: Conf) -> None:
     model = cluster.load_model(conf.path("model"))
     train = tables.read_table(spark, conf.path("train"))
-    tables.write_table(cluster.predict(model, train), conf.path("predictions"), "replace")
+    tables.write_table(cluster.predict(model, train, conf.stable_labels),
+                       conf.path("predictions"), "replace")
 
 
 def run(spark: SparkSession, raw: DataFrame, conf: Conf) -> dict:

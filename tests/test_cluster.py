@@ -83,3 +83,17 @@ def test_covariance_matches_numpy(train):
         for j, b in enumerate(COLS):
             if (a, b) in cov:
                 assert abs(cov[(a, b)] - C[i, j]) < 1e-6 * max(1, abs(C[i, j]))
+
+
+def test_stable_labels_follow_centre_order(train, model):
+    raw = cluster.predict(model, train).select("CustomerID", "Clusters").toPandas()
+    stable = cluster.predict(model, train, stable_labels=True).select("CustomerID", "Clusters").toPandas()
+    m = raw.merge(stable, on="CustomerID", suffixes=("_raw", "_stable"))
+    # a renumbering: one stable id per raw id and the other way round
+    assert (m.groupby("Clusters_raw")["Clusters_stable"].nunique() == 1).all()
+    assert (m.groupby("Clusters_stable")["Clusters_raw"].nunique() == 1).all()
+    mapping = cluster.relabel_by_centre(model)
+    cs = cluster.centers(model)
+    order = [old for old, _ in sorted(mapping.items(), key=lambda kv: kv[1])]
+    assert [tuple(cs[i]) for i in order] == sorted(tuple(c) for c in cs)
+    assert set(m["Clusters_stable"]) <= set(range(len(cs)))
