@@ -37,16 +37,26 @@ def clustering_pipeline(features=MODEL_FEATURES, k: int = N_CLUSTERS, seed: int
 
 
 def fit(train: DataFrame, features=MODEL_FEATURES, k: int = N_CLUSTERS, seed: int = SEED,
-        n_init: int = 1, target: str | None = None) -> PipelineModel:
+        n_init: int = 1, target: str | None = None,
+        order_by: list[str] | None = None) -> PipelineModel:
     """M5: fit the pipeline. ``target`` is accepted and unused, as in the
     reference. With ``n_init > 1`` the k-means stage is refitted from seeds
     seed, seed+1, … and the lowest training cost kept (PCA and scaler are
-    fitted once). Requires at least ``k`` rows."""
+    fitted once). Requires at least ``k`` rows.
+
+    k-means|| samples rows per partition in partition order, so the fitted
+    centres depend on how rows happen to be laid out. ``order_by`` (a unique
+    row key, e.g. the entity key) fixes that layout: range partitioning on
+    the key (balanced, as the key is unique) and a sort within partitions, so
+    the same table gives the same model whatever its upstream partitioning."""
     del target
     if train.limit(k).count() < k:
         raise ValueError(f"k-means needs at least k={k} rows")
     pipe = clustering_pipeline(features, k, seed)
     stages = pipe.getStages()
+    if order_by:
+        n = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        train = train.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
     prep = Pipeline(stages=stages[:3]).fit(train)
     scaled = prep.transform(train).select("__scaled")
     scaled = scaled.persist()

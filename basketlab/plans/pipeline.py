@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import clean, cluster, prepare, store
-from ..schemas import CURATED, MODEL_FEATURES, MODEL_TARGET, N_CLUSTERS, SEED
+from ..schemas import CURATED, ENTITY_COL, MODEL_FEATURES, MODEL_TARGET, N_CLUSTERS, SEED
 from ..sources import tables
 from ..sources.versioned import VersionedTable
 
@@ -92,7 +92,9 @@ def batch_serve(spark: SparkSession, conf: Conf) -> None:
 
 def model_train(spark: SparkSession, conf: Conf):
     train = tables.read_table(spark, conf.path("train"))
-    model = cluster.fit(train, MODEL_FEATURES, conf.k, conf.seed, conf.n_init, target=MODEL_TARGET)
+    # Ordered by the entity key: refitting on the same table gives the same model.
+    model = cluster.fit(train, MODEL_FEATURES, conf.k, conf.seed, conf.n_init, target=MODEL_TARGET,
+                        order_by=[ENTITY_COL])
     cluster.save_model(model, conf.path("model"))
     return model
 

@@ -97,3 +97,14 @@ def test_stable_labels_follow_centre_order(train, model):
     order = [old for old, _ in sorted(mapping.items(), key=lambda kv: kv[1])]
     assert [tuple(cs[i]) for i in order] == sorted(tuple(c) for c in cs)
     assert set(m["Clusters_stable"]) <= set(range(len(cs)))
+
+
+def test_ordered_fit_ignores_input_layout(train):
+    a = cluster.fit(train.repartition(3), order_by=["CustomerID"])
+    b = cluster.fit(train.repartition(7, "qty_returns").sortWithinPartitions("frequency"),
+                    order_by=["CustomerID"])
+    ca, cb = sorted(map(tuple, cluster.centers(a))), sorted(map(tuple, cluster.centers(b)))
+    assert np.allclose(ca, cb, atol=1e-9)
+    la = cluster.predict(a, train, stable_labels=True).orderBy("CustomerID").select("Clusters")
+    lb = cluster.predict(b, train, stable_labels=True).orderBy("CustomerID").select("Clusters")
+    assert [r[0] for r in la.collect()] == [r[0] for r in lb.collect()]
