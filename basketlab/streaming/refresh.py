@@ -41,17 +41,23 @@ def _process(spark: SparkSession, curated_path: str, table_root: str, at, key, m
     def fn(batch: DataFrame, batch_id: int) -> None:
         if batch_id <= applied_batch(vt):
             return                                   # replayed batch: already applied
-        cur = clean.curate(batch, None, rules)
-        tables.write_partitioned(cur, f"{curated_path}/batch_id={batch_id}", "InvoiceDate",
-                                 mode="replace")
-        typed = prepare.cast_trusted(tables.read_table(spark, curated_path, RAW))
-        active = (batch.where(F.col("CustomerID").isNotNull())
-                  .select(F.col("CustomerID").cast("bigint").alias("CustomerID")).distinct())
-        note = f"{BATCH_NOTE}{batch_id}"
-        if not vt.exists():
-            store.build_feature_table(vt, typed, at, key, note=note)
-        else:
-            store.refresh_for(vt, typed, active, at, key, mode, note=note)
+        # Read twice (curated rows, active set): keep it for this batch only.
+        # A lost executor's blocks are recomputed from the batch's files.
+        batch = batch.persist()
+        try:
+            cur = clean.curate(batch, None, rules)
+            tables.write_partitioned(cur, f"{curated_path}/batch_id={batch_id}", "InvoiceDate",
+                                     mode="replace")
+            typed = prepare.cast_trusted(tables.read_table(spark, curated_path, RAW))
+            active = (batch.where(F.col("CustomerID").isNotNull())
+                      .select(F.col("CustomerID").cast("bigint").alias("CustomerID")).distinct())
+            note = f"{BATCH_NOTE}{batch_id}"
+            if not vt.exists():
+                store.build_feature_table(vt, typed, at, key, note=note)
+            else:
+                store.refresh_for(vt, typed, active, at, key, mode, note=note)
+        finally:
+            batch.unpersist()
     return fn
 
 
