@@ -172,3 +172,17 @@ def test_with_customer(spark):
     served = store.read_instances(vt.read())
     back = store.with_customer(served, vt.read())
     assert back.where("CustomerID is null").count() == 0 and back.count() == 3
+
+
+def test_asof_null_entity_or_time_never_matches(spark):
+    left = spark.createDataFrame(
+        [(1, 1, T0), (2, None, T0), (3, 1, None), (4, 2, T0)],
+        "lid int, ent int, lt timestamp")
+    right = spark.createDataFrame(
+        [(1, 1, T0 - dt.timedelta(hours=1), 10), (2, None, T0 - dt.timedelta(hours=1), 20),
+         (3, 2, None, 30)],
+        "rid int, ent int, rt timestamp, val int")
+    got = {r["lid"]: r["val"] for r in
+           asof_join(left, right, "ent", "lt", "rt", ["val"], order_by=["rid"]).collect()}
+    # every left row is kept; only (1, 1, T0) has a qualifying right row
+    assert got == {1: 10, 2: None, 3: None, 4: None}
