@@ -91,3 +91,46 @@ def test_explain_has_history_and_forecast(spark):
     ex = fc.explain_forecast(df, m, ["k"], horizon=30).groupBy("time_series_type").count()
     got = {r[0]: r[1] for r in ex.collect()}
     assert got == {"history": 120, "forecast": 30}
+
+
+def brute_decompose(dates, y, period):
+    """Classical additive decomposition, written directly from its definition."""
+    n, m = len(y), period
+    h = m // 2
+    trend = np.full(n, np.nan)
+    for t in range(h, n - h):
+        w = y[t - h:t + h + 1].copy()
+        if m % 2 == 0:                       # 2xm average: half weights at both ends
+            w[0] *= 0.5
+            w[-1] *= 0.5
+        trend[t] = w.sum() / m
+    phase = np.array([(d - dt.date(1970, 1, 1)).days % m for d in dates])
+    det = y - trend
+    means = {p: np.nanmean(det[phase == p]) if np.any(~np.isnan(det[phase == p])) else np.nan
+             for p in set(phase)}
+    centre = np.mean([v for v in means.values()])
+    seasonal = np.array([means[p] - centre for p in phase])
+    return trend, seasonal, y - trend - seasonal
+
+
+@pytest.mark.parametrize("period", [4, 7, 12])
+def test_decompose_matches_definition(spark, period):
+    rng = np.random.default_rng(period)
+    y = np.round(rng.normal(50, 10, 60) + np.tile(np.arange(period), 60)[:60], 3)
+    start = dt.date(2021, 3, 5)
+    keep = [i for i in range(60) if i % 9 != 4]          # gaps, filled linearly first
+    df = spark.createDataFrame([("s", start + dt.timedelta(days=i), float(y[i])) for i in keep],
+                               "k string, InvoiceDate date, Quantity double")
+    filled = fc.fill_calendar(df, ["k"]).orderBy("InvoiceDate").toPandas()
+    yf = y.copy()
+    for i in range(60):
+        if i not in keep:
+            yf[i] = (y[i - 1] + y[i + 1]) / 2.0
+    assert np.allclose(filled["Quantity"].to_numpy(), yf)
+    got = fc.decompose(fc.fill_calendar(df, ["k"]), ["k"], period=period) \
+            .orderBy("InvoiceDate").toPandas()
+    dates = [start + dt.timedelta(days=i) for i in range(60)]
+    trend, seasonal, resid = brute_decompose(dates, yf, period)
+    for col, want in [("trend", trend), ("seasonal", seasonal), ("residual", resid)]:
+        have = got[col].to_numpy(dtype=float)
+        assert np.allclose(have, want, equal_nan=True, atol=1e-9), col
