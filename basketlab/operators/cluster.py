@@ -8,6 +8,8 @@ small summaries and the k centres reach the driver.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import MinMaxScaler, PCA, VectorAssembler
@@ -38,7 +40,7 @@ def clustering_pipeline(features=MODEL_FEATURES, k: int = N_CLUSTERS, seed: int
 
 def fit(train: DataFrame, features=MODEL_FEATURES, k: int = N_CLUSTERS, seed: int = SEED,
         n_init: int = 1, target: str | None = None,
-        order_by: list[str] | None = None) -> PipelineModel:
+        order_by: list[str] | None = None, tol: float = 1e-4) -> PipelineModel:
     """M5: fit the pipeline. ``target`` is accepted and unused, as in the
     reference. With ``n_init > 1`` the k-means stage is refitted from seeds
     seed, seed+1, … and the lowest training cost kept (PCA and scaler are
@@ -46,31 +48,58 @@ def fit(train: DataFrame, features=MODEL_FEATURES, k: int = N_CLUSTERS, seed: in
 
     k-means|| samples rows per partition in partition order, so the fitted
     centres depend on how rows happen to be laid out. ``order_by`` (a unique
-    row key, e.g. the entity key) fixes that layout: range partitioning on
-    the key (balanced, as the key is unique) and a sort within partitions, so
-    the same table gives the same model whatever its upstream partitioning."""
+    row key, e.g. the entity key) fixes that layout: hash partitioning on the
+    key (balanced, as the key is unique; no sample, so the partition of a row
+    depends on its key alone, not on input order) and a sort within
+    partitions, so the same table gives the same model whatever its upstream
+    partitioning and row order.
+
+    ``tol`` is relative, as in the reference's k-means: see
+    ``lloyd_tolerance``. Only the feature (and key) columns are kept and
+    persisted for the PCA, scaler and scaling passes; the scaled vectors are
+    persisted for the Lloyd iterations."""
     del target
     if train.limit(k).count() < k:
         raise ValueError(f"k-means needs at least k={k} rows")
-    pipe = clustering_pipeline(features, k, seed)
-    stages = pipe.getStages()
+    stages = clustering_pipeline(features, k, seed).getStages()
+    data = train.select(*dict.fromkeys([*features, *(order_by or [])]))
     if order_by:
         n = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        train = train.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
-    prep = Pipeline(stages=stages[:3]).fit(train)
-    scaled = prep.transform(train).select("__scaled")
-    scaled = scaled.persist()
+        data = data.repartition(n, *order_by).sortWithinPartitions(*order_by)
+    data = data.persist()
     try:
-        best = None
-        for i in range(max(1, n_init)):
-            km = stages[3].copy().setSeed(seed + i).fit(scaled)
-            if best is None or km.summary.trainingCost < best.summary.trainingCost:
-                best = km
+        prep = Pipeline(stages=stages[:3]).fit(data)
+        scaled = prep.transform(data).select("__scaled").persist()
+        try:
+            eps = lloyd_tolerance(scaled, tol, k, prep.stages[1].getK())
+            best = None
+            for i in range(max(1, n_init)):
+                km = stages[3].copy().setSeed(seed + i).setTol(eps).fit(scaled)
+                if best is None or km.summary.trainingCost < best.summary.trainingCost:
+                    best = km
+        finally:
+            scaled.unpersist()
     finally:
-        scaled.unpersist()
+        data.unpersist()
     return PipelineModel(stages=[*prep.stages, best])
 
 
+def lloyd_tolerance(scaled: DataFrame, tol: float, k: int, dims: int,
+                    col: str = "__scaled") -> float:
+    """Spark's stopping distance for a relative tolerance.
+
+    The reference's k-means stops when the summed squared shift of the k
+    centres is at most ``tol`` times the mean per-dimension (population)
+    variance of its input. Spark's stops when every centre moved less than
+    ``epsilon``. With ``epsilon = sqrt(tol * mean_var / k)`` the summed squared
+    shift is then below ``k * epsilon**2``, i.e. the reference's condition
+    holds whenever Spark stops. One aggregate over the scaled vectors."""
+    arr = vector_to_array(col)
+    row = scaled.select(*[F.var_pop(arr[i]) for i in range(dims)]).first()
+    mean_var = sum(float(v or 0.0) for v in row) / dims
+    return math.sqrt(tol * mean_var / k)
+
+
 def predict(model: PipelineModel, df: DataFrame, stable_labels: bool = False) -> DataFrame:
     """M6: all input columns plus ``Clusters`` (int); helper vectors dropped.
     Runs on the executors (each task holds the k centres). k-means ids are

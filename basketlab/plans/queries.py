@@ -324,7 +324,8 @@ def training_set(spark, sf_dir):
 
 def fitted(spark, sf_dir):
     train = training_set(spark, sf_dir)
-    return train, cluster.fit(train)
+    # Ordered by the unique customer key: the same tables give the same model.
+    return train, cluster.fit(train, order_by=["CustomerID"])
 
 
 @register("feature_cov")

@@ -108,3 +108,13 @@ def test_ordered_fit_ignores_input_layout(train):
     la = cluster.predict(a, train, stable_labels=True).orderBy("CustomerID").select("Clusters")
     lb = cluster.predict(b, train, stable_labels=True).orderBy("CustomerID").select("Clusters")
     assert [r[0] for r in la.collect()] == [r[0] for r in lb.collect()]
+
+
+def test_lloyd_tolerance_is_relative_to_variance(spark):
+    from pyspark.ml.linalg import Vectors
+    pts = [(Vectors.dense([x, 2.0 * x + (i % 3)]),) for i, x in enumerate(np.linspace(0, 1, 50))]
+    df = spark.createDataFrame(pts, ["__scaled"])
+    X = np.array([p[0].toArray() for p in pts])
+    eps = cluster.lloyd_tolerance(df, 1e-4, 8, 2)
+    # k * eps**2 equals the reference's threshold: tol * mean population variance
+    assert np.isclose(8 * eps ** 2, 1e-4 * X.var(axis=0).mean())
