@@ -9,6 +9,7 @@ small summaries and the k centres reach the driver.
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
@@ -40,7 +41,8 @@ def clustering_pipeline(features=MODEL_FEATURES, k: int = N_CLUSTERS, seed: int
 
 def fit(train: DataFrame, features=MODEL_FEATURES, k: int = N_CLUSTERS, seed: int = SEED,
         n_init: int = 1, target: str | None = None,
-        order_by: list[str] | None = None, tol: float = 1e-4) -> PipelineModel:
+        order_by: list[str] | None = None, tol: float = 1e-4,
+        parallelism: int = 1) -> PipelineModel:
     """M5: fit the pipeline. ``target`` is accepted and unused, as in the
     reference. With ``n_init > 1`` the k-means stage is refitted from seeds
     seed, seed+1, … and the lowest training cost kept (PCA and scaler are
@@ -57,7 +59,9 @@ def fit(train: DataFrame, features=MODEL_FEATURES, k: int = N_CLUSTERS, seed: in
     ``tol`` is relative, as in the reference's k-means: see
     ``lloyd_tolerance``. Only the feature (and key) columns are kept and
     persisted for the PCA, scaler and scaling passes; the scaled vectors are
-    persisted for the Lloyd iterations."""
+    persisted for the Lloyd iterations. ``parallelism`` runs up to that many
+    of the ``n_init`` fits as concurrent Spark jobs (as Spark ML's model
+    search does); the lowest cost wins, ties going to the lowest seed."""
     del target
     if train.limit(k).count() < k:
         raise ValueError(f"k-means needs at least k={k} rows")
@@ -72,11 +76,18 @@ def fit(train: DataFrame, features=MODEL_FEATURES, k: int = N_CLUSTERS, seed: in
         scaled = prep.transform(data).select("__scaled").persist()
         try:
             eps = lloyd_tolerance(scaled, tol, k, prep.stages[1].getK())
-            best = None
-            for i in range(max(1, n_init)):
+
+            def one(i):
                 km = stages[3].copy().setSeed(seed + i).setTol(eps).fit(scaled)
-                if best is None or km.summary.trainingCost < best.summary.trainingCost:
-                    best = km
+                return km.summary.trainingCost, i, km
+
+            seeds = range(max(1, n_init))
+            if parallelism > 1 and len(seeds) > 1:
+                with ThreadPoolExecutor(max_workers=min(parallelism, len(seeds))) as pool:
+                    fits = list(pool.map(one, seeds))
+            else:
+                fits = [one(i) for i in seeds]
+            best = min(fits, key=lambda f: (f[0], f[1]))[2]
         finally:
             scaled.unpersist()
     finally:

@@ -34,6 +34,7 @@ class Conf:
     refresh_mode: str = "append"    # append | upsert
     rules: clean.Rules = field(default_factory=clean.Rules)
     n_init: int = 1
+    fit_parallelism: int = 1        # concurrent k-means fits when n_init > 1
     stable_labels: bool = False     # number clusters by centre order
     k: int = N_CLUSTERS
     seed: int = SEED
@@ -94,7 +95,7 @@ def model_train(spark: SparkSession, conf: Conf):
     train = tables.read_table(spark, conf.path("train"))
     # Ordered by the entity key: refitting on the same table gives the same model.
     model = cluster.fit(train, MODEL_FEATURES, conf.k, conf.seed, conf.n_init, target=MODEL_TARGET,
-                        order_by=[ENTITY_COL])
+                        order_by=[ENTITY_COL], parallelism=conf.fit_parallelism)
     cluster.save_model(model, conf.path("model"))
     return model
 

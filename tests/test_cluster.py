@@ -118,3 +118,9 @@ def test_lloyd_tolerance_is_relative_to_variance(spark):
     eps = cluster.lloyd_tolerance(df, 1e-4, 8, 2)
     # k * eps**2 equals the reference's threshold: tol * mean population variance
     assert np.isclose(8 * eps ** 2, 1e-4 * X.var(axis=0).mean())
+
+
+def test_parallel_n_init_picks_the_same_model(train):
+    a = cluster.fit(train, n_init=3, order_by=["CustomerID"])
+    b = cluster.fit(train, n_init=3, order_by=["CustomerID"], parallelism=3)
+    assert np.allclose(sorted(map(tuple, cluster.centers(a))), sorted(map(tuple, cluster.centers(b))))
