@@ -38,3 +38,11 @@ def test_column_pruning(spark):
     p = inspect.physical(queries.q_qty_returns(spark, SF))
     ls = [l for l in p.splitlines() if "lineitem" in l and "ReadSchema" in l]
     assert ls and "l_extendedprice" not in ls[0] and "l_shipdate" not in ls[0]
+
+
+def test_asof_reads_its_sliced_keys_once(spark):
+    s = inspect.summary(queries.q_asof_serve(spark, SF))
+    # range slicing (with its sample) ran once, inside the checkpoint job;
+    # the final plan reads the checkpointed keys and each side at most twice
+    assert s["range_exchanges"] == 0
+    assert s["scans"] <= 2
