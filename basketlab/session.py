@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -89,9 +90,34 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique path under the shared folder for intermediate tables."""
+    """A fresh, unique path under the shared folder for intermediate tables.
+
+    The path is deleted when the driver process exits: results read from it
+    lazily stay readable for the whole session, and no scratch copy outlives
+    the application."""
     base = shared_dir(spark)
-    return f"{base}/basketlab/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/basketlab/{name}-{uuid.uuid4().hex[:12]}"
+    jvm = spark.sparkContext._jvm
+    hconf = spark.sparkContext._jsc.hadoopConfiguration()
+    if not _SCRATCH:
+        atexit.register(_drop_scratch)
+    _SCRATCH.append((jvm, hconf, path))
+    return path
+
+
+_SCRATCH: list = []
+
+
+def _drop_scratch() -> None:
+    """Delete this process's scratch paths (atexit; the JVM is still up, as
+    this handler was registered after the session started)."""
+    while _SCRATCH:
+        jvm, hconf, path = _SCRATCH.pop()
+        try:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(hconf).delete(p, True)
+        except Exception:  # noqa: BLE001 - best effort at exit
+            pass
 
 
 def is_local_path(path: str) -> bool:
