@@ -47,3 +47,30 @@ def test_every_row_in_exactly_one_branch(spark, ls):
     f, p, r = prepare.prepare(raw_df(spark, rows(ls)), trusted=True)
     n_null_q = sum(1 for x in ls if x[2] is None)
     assert p.count() + r.count() + n_null_q == f.count()
+
+
+def brute_features(ls):
+    """The five features from their definitions, in plain Python."""
+    rs = [(inv, code, q, D(2020, 1, 1 + d), p, c) for inv, code, q, d, p, c in ls]
+    anchor = max(r[3] for r in rs)                      # latest date of the whole frame
+    out = {}
+    for c in {r[5] for r in rs if r[5] is not None}:
+        mine = [r for r in rs if r[5] == c]
+        buys = [r for r in mine if r[2] is not None and r[2] >= 0]
+        if not buys:
+            continue                                     # return-only customers vanish
+        visits = {(r[0], r[3]) for r in buys}            # distinct (invoice, date)
+        days = (max(r[3] for r in buys) - min(r[3] for r in buys)).days + 1
+        out[c] = (round(sum(r[2] * r[4] for r in buys if r[4] is not None), 6),
+                  (anchor - max(r[3] for r in buys)).days,
+                  sum(1 for r in buys if r[1] is not None),
+                  round(len(visits) / days, 9),
+                  -sum(r[2] for r in mine if r[2] is not None and r[2] < 0))
+    return out
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(lines)
+def test_fused_matches_definition(spark, ls):
+    typed = prepare.cast_trusted(raw_df(spark, rows(ls)))
+    assert as_set(features.customer_features(typed)) == brute_features(ls)
