@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 from ..schemas import MODEL_FEATURES, N_CLUSTERS, SEED
 
 OUT_COL = "Clusters"
+# Rows per partition of an ordered (order_by) training set: a Lloyd
+# iteration is then a few hundred thousand 2-D distance sums per task.
+ROWS_PER_FIT_PARTITION = 250_000
 _TMP = ["__features", "__pca", "__scaled"]
 
 
@@ -63,13 +66,19 @@ def fit(train: DataFrame, features=MODEL_FEATURES, k: int = N_CLUSTERS, seed: in
     of the ``n_init`` fits as concurrent Spark jobs (as Spark ML's model
     search does); the lowest cost wins, ties going to the lowest seed."""
     del target
-    if train.limit(k).count() < k:
-        raise ValueError(f"k-means needs at least k={k} rows")
     stages = clustering_pipeline(features, k, seed).getStages()
     data = train.select(*dict.fromkeys([*features, *(order_by or [])]))
     if order_by:
-        n = int(train.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        # Partition count from the row count alone (not from AQE's size-based
+        # coalescing, which could regroup rows between runs): small training
+        # sets run in one task per iteration, large ones spread out.
+        rows = data.count()
+        if rows < k:
+            raise ValueError(f"k-means needs at least k={k} rows")
+        n = max(1, math.ceil(rows / ROWS_PER_FIT_PARTITION))
         data = data.repartition(n, *order_by).sortWithinPartitions(*order_by)
+    elif train.limit(k).count() < k:
+        raise ValueError(f"k-means needs at least k={k} rows")
     data = data.persist()
     try:
         prep = Pipeline(stages=stages[:3]).fit(data)
