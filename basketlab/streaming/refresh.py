@@ -65,7 +65,11 @@ def start_refresh_stream(spark: SparkSession, landing_dir: str, curated_path: st
                          table_root: str, checkpoint: str, at=None, key: str = "uuid",
                          mode: str = "append", rules: clean.Rules = clean.Rules(),
                          available_now: bool = True, max_files_per_trigger: int | None = None):
-    """Start the stream; returns the ``StreamingQuery``."""
+    """Start the stream; returns the ``StreamingQuery``.
+
+    ``checkpoint`` and ``table_root`` belong together: the table records the
+    last applied batch id of *this* checkpoint's numbering, so a new
+    checkpoint (batch ids from 0 again) needs a new table root."""
     reader = spark.readStream.schema(RAW)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
