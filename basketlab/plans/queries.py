@@ -311,7 +311,6 @@ def q_asof_serve(spark, sf_dir):
 
 # ---- clustering -----------------------------------------------------------
 from ..operators import cluster  # noqa: E402
-from ..schemas import MODEL_FEATURES  # noqa: E402
 
 # Fixed centres for the exact scoring check (a 3x3 grid without its middle).
 GRID_CENTRES = [[0.1, 0.1], [0.1, 0.5], [0.1, 0.9], [0.5, 0.1],

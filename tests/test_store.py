@@ -1,7 +1,6 @@
 """Feature table build / refresh, registry, ingest and as-of serving."""
 
 import datetime as dt
-import json
 
 import pytest
 from conftest import D, raw_df
