@@ -7,7 +7,11 @@ result is computed, nothing is collected), and prints ONE JSON line:
 Each query is timed warm (after one untimed run) as the median of
 $BENCH_REPS runs (default 3). Shuffle bytes written per run come from
 Spark's event log, written to a fresh scratch folder (every job of a query
-runs in that query's job group).
+runs in that query's job group). ``plan_shape`` counts exchanges, broadcasts,
+pairwise joins, Python nodes and scans in each query's planned physical plan
+(AQE may still change join kinds at run time). For queries that checkpoint
+an intermediate result (the fused features, the as-of keys) it shows the plan
+after the checkpoint; their shuffle bytes include the checkpoint jobs.
 """
 
 from __future__ import annotations
@@ -32,6 +36,7 @@ def main() -> None:
     reps = int(os.environ.get("BENCH_REPS", "3"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
 
+    from basketlab.plans import inspect
     from basketlab.plans.queries import QUERIES
     from basketlab.session import get_session
 
@@ -46,7 +51,7 @@ def main() -> None:
         "spark.eventLog.compress": "false",
     })
     spark.sparkContext.setLogLevel("ERROR")
-    times = {}
+    times, shapes = {}, {}
     names = only or HEADLINE
     for name in names:
         q = QUERIES[name]
@@ -56,6 +61,12 @@ def main() -> None:
             q(spark, sf_dir).write.format("noop").mode("overwrite").save()
             return time.perf_counter() - t0
 
+        # Eager checkpoints inside a query run while its DataFrame is built:
+        # keep those jobs out of the measured job group.
+        spark.sparkContext.setJobGroup(f"shape:{name}", name)
+        shape = inspect.summary(q(spark, sf_dir))
+        shapes[name] = {k: shape[k] for k in ("hash_exchanges", "range_exchanges", "broadcasts",
+                                              "pairwise_joins", "python_nodes", "scans")}
         spark.sparkContext.setJobGroup(f"bench:{name}", name)
         run_once()
         times[name] = round(statistics.median(run_once() for _ in range(reps)), 3)
@@ -68,7 +79,7 @@ def main() -> None:
                       "unit": "sec", "queries": times,
                       "sf": float(m.group(1)) if m else sf_dir, "cpus": int(cpus),
                       "spark": version, "shuffle_partitions": shuffle_partitions,
-                      "shuffle_bytes_per_run": shuffle}))
+                      "shuffle_bytes_per_run": shuffle, "plan_shape": shapes}))
 
 
 def shuffle_bytes(log_dir: str) -> dict[str, int]:
