@@ -59,7 +59,7 @@ def q_features_join(spark, sf_dir):
 # ---- sources and sinks ----------------------------------------------------
 from ..functions import casts  # noqa: E402
 from ..schemas import CURATED, PREPARED  # noqa: E402
-from ..session import scratch_path  # noqa: E402
+from ..session import scratch_path, shared_dir  # noqa: E402
 from ..sources import tables  # noqa: E402
 
 SCAN_CUTOFF = "1998-08-02"
@@ -385,8 +385,12 @@ SERIES_KEYS = ("Country",)
 
 
 def country_series(spark, sf_dir):
+    """Gapless daily series per country. Bounded by days x series, and read
+    by both the order search and the forecast, so it is checkpointed once in
+    the shared folder instead of being derived twice from the input tables."""
     daily = features.daily_quantity(curated(spark, sf_dir), SERIES_FROM, SERIES_TO, keys=SERIES_KEYS)
-    return fcst.fill_calendar(daily, SERIES_KEYS)
+    shared_dir(spark)
+    return fcst.fill_calendar(daily, SERIES_KEYS).checkpoint(eager=True)
 
 
 @register("fill_calendar")
