@@ -50,10 +50,14 @@ def get_data(spark: SparkSession, raw: DataFrame, conf: Conf) -> None:
 def data_preparation(spark: SparkSession, conf: Conf) -> None:
     cur = tables.read_until(tables.read_table(spark, conf.path("curated"), CURATED),
                             "InvoiceDate", conf.as_of)
-    f, p, r = prepare.prepare(cur)
+    f, p, _ = prepare.prepare(cur)
     tables.write_table(f, conf.path("filtered"), "replace")
     tables.write_table(p, conf.path("purchases"), "replace")
-    tables.write_table(r, conf.path("returns"), "replace")
+    # Returns are rows of the filtered table (two of its columns): read them
+    # from it, a plain column-pruned scan, instead of listing and filtering
+    # the date-partitioned curated table a third time.
+    tables.write_table(prepare.returns(tables.read_table(spark, conf.path("filtered"))),
+                       conf.path("returns"), "replace")
 
 
 def feature_engineering(spark: SparkSession, raw: DataFrame, conf: Conf) -> str:

@@ -17,3 +17,19 @@ def test_pipeline_build_then_refresh(spark):
     assert set(pred.columns) >= {"values", "timestamp", "qty_products", "Clusters"}
     assert pred.where("Clusters is null").count() == 0
     assert pred.select("Clusters").distinct().count() <= 8
+
+
+def test_returns_table_equals_curated_returns(spark):
+    from basketlab.operators import prepare
+    from basketlab.sources import tables
+    from basketlab.schemas import CURATED
+    raw = fixtures.raw_invoices(spark, "/root/testdata/sf0.001")
+    conf = pipeline.Conf(root=scratch_path(spark, "t-prep"), as_of="1998-07-20")
+    pipeline.get_data(spark, raw, conf)
+    pipeline.data_preparation(spark, conf)
+    cur = tables.read_until(tables.read_table(spark, conf.path("curated"), CURATED),
+                            "InvoiceDate", conf.as_of)
+    want = prepare.prepare(cur)[2]
+    got = spark.read.parquet(conf.path("returns"))
+    assert got.columns == want.columns and got.count() > 0
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
