@@ -33,3 +33,16 @@ def test_returns_table_equals_curated_returns(spark):
     got = spark.read.parquet(conf.path("returns"))
     assert got.columns == want.columns and got.count() > 0
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_ingest_step_rerun_does_not_duplicate(spark):
+    from basketlab.sources.versioned import VersionedTable
+    raw = fixtures.raw_invoices(spark, "/root/testdata/sf0.001")
+    conf = pipeline.Conf(root=scratch_path(spark, "t-rerun"), as_of="1998-07-20", key="hash")
+    pipeline.get_data(spark, raw, conf)
+    pipeline.data_preparation(spark, conf)
+    assert pipeline.feature_engineering(spark, raw, conf) == "build"
+    n = VersionedTable(spark, conf.path("feature_table")).read().count()
+    fs = pipeline.create_feature_store(spark, conf, ingest_date="2024-01-01")
+    pipeline.create_feature_store(spark, conf, ingest_date="2024-01-01")   # step re-run
+    assert n > 0 and fs.log().count() == n
