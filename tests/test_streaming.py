@@ -64,3 +64,14 @@ def test_uncommitted_version_is_never_read(spark):
     assert vt.current_note() == "batch=0"
     assert vt.write(df1, mode="append") == 3      # skips the broken folder
     assert vt.read().count() == 2 and vt.current_note() is None
+
+
+def test_table_exists_only_after_a_committed_version(spark):
+    from basketlab.sources import tables
+    root = scratch_path(spark, "t-exists")
+    vt = VersionedTable(spark, root)
+    assert not tables.table_exists(spark, root)
+    raw_df(spark, [line("x", 9, 9, D(2020, 1, 9))]).write.parquet(vt.path(1))   # no marker
+    assert not tables.table_exists(spark, root)
+    vt.write(raw_df(spark, [line("a", 1, 1, D(2020, 1, 1))]))
+    assert tables.table_exists(spark, root) and vt.current_version() == 2
