@@ -5,18 +5,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, idstore, packing, tokens
+from . import common, idstore, neardup, packing, tokens
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(common.read(spark, sf_dir, "documents"), tokens.default_path())
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(common.read(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
 def op8_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idstore.encode_documents(common.read(spark, sf_dir, "documents"), tokens.default_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op8_id_store)}
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op6_near_duplicates, op8_id_store)}
 
 #: DuckDB twins of the queries that SQL can express.
 ORACLE: dict[str, str] = {}
