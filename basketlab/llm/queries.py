@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, idstore, neardup, packing, tokens
+from . import common, idstore, neardup, packing, secrets, tokens
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,7 +20,14 @@ def op8_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idstore.encode_documents(common.read(spark, sf_dir, "documents"), tokens.default_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op6_near_duplicates, op8_id_store)}
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read(spark, sf_dir, "documents")
+    samples = secrets.samples_from(docs.select("doc_id", common.text_or_empty().alias("text")), documents=2000)
+    return secrets.digest(secrets.scan(docs, secrets.train(samples)))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op6_near_duplicates, op8_id_store,
+                                   op10_secret_scan)}
 
 #: DuckDB twins of the queries that SQL can express.
 ORACLE: dict[str, str] = {}
