@@ -4,8 +4,9 @@ production parameters, to its whole table."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import common, idstore, neardup, packing, secrets, tokens
+from . import common, idstore, neardup, packing, quality, secrets, tokens
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +17,17 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(common.read(spark, sf_dir, "documents"), shingle=4, percent=80)
 
 
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality.Model:
+    """Learnt only from labels of documents that aren't held out."""
+    learn = labels.filter(~quality.held_out()).select("doc_id", F.col("quality").alias("label"))
+    return quality.train(docs, learn)
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read(spark, sf_dir, "documents")
+    return quality.score(docs, quality_model(docs, common.read(spark, sf_dir, "labels")))
+
+
 def op8_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idstore.encode_documents(common.read(spark, sf_dir, "documents"), tokens.default_path())
 
@@ -26,7 +38,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(docs, secrets.train(samples)))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op6_near_duplicates, op8_id_store,
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op6_near_duplicates, op7_quality, op8_id_store,
                                    op10_secret_scan)}
 
 #: DuckDB twins of the queries that SQL can express.

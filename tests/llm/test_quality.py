@@ -1,0 +1,43 @@
+import random
+import zlib
+
+from llm_helpers import docs_df
+
+from basketlab.llm import quality, queries
+
+
+def test_op7_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.1"
+    out = {r.doc_id: r for r in queries.op7_quality(spark, sf).collect()}
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    assert len(out) == docs.count()
+    assert all(r.held_out == (zlib.crc32(str(d).encode()) % 5 == 0) for d, r in out.items())
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in out.values())
+    held = [(r.quality, out[r.doc_id].score) for r in spark.read.parquet(f"{sf}/labels.parquet").collect()
+            if out[r.doc_id].held_out]
+    right = sum((s >= 0.3) == (q == 1) for q, s in held) / len(held)
+    pairs = [(a > b) + 0.5 * (a == b) for q, a in held if q for p, b in held if not p]
+    assert right > 0.93 and sum(pairs) / len(pairs) > 0.95
+
+
+def test_scores_ignore_held_out_labels(spark):
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choice(["alpha", "beta", "gamma"] if i % 2 else ["!!!X", "&&&Y", "###Z"])
+                         for _ in range(40))) for i in range(60)] + [(500, None), (None, "alpha beta"), (7, "again")]
+    docs = docs_df(spark, rows)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(None, 1), (3, None)], "doc_id long, label int")
+    learn = labels.filter(~quality.held_out())
+    a = quality.train(docs, learn, dictionary_bytes=2048)
+    out = quality.score(docs, a).collect()
+    assert len(out) == len(rows)
+    of = {r.doc_id: r for r in out if r.doc_id != 7}
+    assert all((of[i].score > 0.5) == (i % 2 == 1) for i in range(60) if i != 7)
+    assert of[None].held_out is False and 0 <= of[500].score <= 1
+
+
+def test_no_labels_or_documents(spark):
+    docs = docs_df(spark, [(1, "a"), (2, None)])
+    none = spark.createDataFrame([], "doc_id long, label int")
+    assert [r.score for r in quality.score(docs, quality.train(docs, none)).collect()] == [0.5, 0.5]
+    empty = docs_df(spark, [])
+    assert quality.score(empty, quality.train(empty, none)).count() == 0
