@@ -1,0 +1,85 @@
+import random
+
+import numpy as np
+from llm_helpers import docs_df
+
+from basketlab.llm import contamination as c
+from basketlab.llm import queries
+
+
+def slow_score(a, b):
+    h = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            h[i + 1][j + 1] = max(0, h[i][j] + (c.MATCH if x == y else c.MISMATCH), h[i][j + 1] + c.GAP,
+                                  h[i + 1][j] + c.GAP)
+    return max(map(max, h))
+
+
+def test_alignment_equals_the_plain_recurrence():
+    rng = random.Random(4)
+    for _ in range(200):
+        a = [rng.randint(0, 4) for _ in range(rng.randint(1, 12))]
+        b = [rng.randint(-1, 4) for _ in range(rng.randint(0, 20))]
+        b = [x if x >= 0 else -1 for x in b]
+        assert c.align(np.array(a), np.array(b, dtype=np.int64))[0] == slow_score(a, b)
+
+
+VOCAB = [f"w{i}" for i in range(400)] + ["the"] * 40
+
+
+def make(rng, n):
+    return [rng.choice(VOCAB) for _ in range(n)]
+
+
+def test_exact_edited_and_clean(spark):
+    rng = random.Random(8)
+    items = {i: make(rng, 30) for i in range(20)}
+    rows, want = [], set()
+    for d in range(400):
+        text = make(rng, rng.choice([0, 5, 100, 400]))
+        if d % 3 == 0:
+            i = 0 if d % 2 else rng.randrange(20)  # item 0 leaks into a sixth of the documents
+            leak = list(items[i])
+            for p in rng.sample(range(30), rng.choice([0, 2, 4])):
+                leak[p] = f"edit{rng.random()}"
+            if d % 5 == 0:
+                leak[10:10] = ["more", "words"]
+            at = rng.randint(0, len(text))
+            text[at:at] = [w.upper() + "," for w in leak]
+            want.add((d, i))
+        rows.append((d, " ".join(text)))
+    rows += [(1000, None), (1001, ""), (None, " ".join(items[3])), (1002, " ".join(items[4])),
+             (1002, " ".join(items[4])), (1003, "x " * 60000 + " ".join(items[5]))]
+    want |= {(None, 3), (1002, 4), (1003, 5)}
+    bench = spark.createDataFrame([(i, " ".join(w), 1) for i, w in items.items()]
+                                  + [(50, None, 1), (51, "the", 1), (52, "", 1)], "item_id long, text string, score int")
+    for block_words in (2_000_000, 200):
+        out = c.contaminated(docs_df(spark, rows), bench, block_words=block_words).collect()
+        assert {(r.doc_id, r.item_id) for r in out} == want
+        assert len(out) == len(want) + 1  # the repeated row is reported twice
+    texts = dict(rows)
+    for r in out:
+        if r.doc_id and r.doc_id >= 1002:
+            assert texts[r.doc_id][r.start:r.end] == " ".join(items[r.item_id]) and r.score == 1
+    none = bench.filter("item_id = 50")
+    assert c.contaminated(docs_df(spark, rows), none).count() == 0
+    assert c.contaminated(docs_df(spark, []), bench).count() == 0
+
+
+def test_op5_against_exhaustive_alignment(spark, sf):
+    """Every document against every item, without seeds."""
+    docs = [(r.doc_id, c.words(r.text or "")) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    items = [(r.item_id, c.words(r.text)) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    got = {(r.doc_id, r.item_id) for r in queries.op5_decontamination(spark, sf).collect()}
+    number: dict = {}
+    code = lambda ws: np.array([number.setdefault(w, len(number)) for w in ws], dtype=np.int64)
+    coded = [(d, code(w)) for d, w in docs]
+    want = set()
+    for i, w in items:
+        item = code(w)
+        for d, text in coded:
+            if len(text) and len(item) >= 4 and np.isin(item, text).mean() >= 0.5:
+                if c.align(item, text)[0] >= 0.5 * c.MATCH * len(item):
+                    want.add((d, i))
+    assert got == want
