@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, contamination, idstore, neardup, packing, quality, secrets, tokens, vptree
+from . import common, contamination, html, idstore, neardup, packing, quality, secrets, tokens, vptree
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op3_vantage_point(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vptree.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0), 20)
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(common.read(spark, sf_dir, "pages"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contaminated(common.read(spark, sf_dir, "documents"), common.read(spark, sf_dir, "benchmark"))
 
@@ -47,7 +51,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(docs, secrets.train(samples)))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_vantage_point, op5_decontamination, op6_near_duplicates, op7_quality, op8_id_store,
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_vantage_point, op4_html_text, op5_decontamination, op6_near_duplicates, op7_quality, op8_id_store,
                                    op10_secret_scan)}
 
 #: DuckDB twins of the queries that SQL can express.
