@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, contamination, html, idstore, neardup, packing, quality, secrets, tokens, vptree
+from . import common, contamination, html, idstore, neardup, packing, quality, repeats, secrets, tokens, vptree
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,13 +45,17 @@ def op8_id_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idstore.encode_documents(common.read(spark, sf_dir, "documents"), tokens.default_path())
 
 
+def op9_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removed(common.read(spark, sf_dir, "documents"), length=100)
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.read(spark, sf_dir, "documents")
     samples = secrets.samples_from(docs.select("doc_id", common.text_or_empty().alias("text")), documents=2000)
     return secrets.digest(secrets.scan(docs, secrets.train(samples)))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_vantage_point, op4_html_text, op5_decontamination, op6_near_duplicates, op7_quality, op8_id_store,
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_vantage_point, op4_html_text, op5_decontamination, op6_near_duplicates, op7_quality, op8_id_store, op9_repeated_bytes,
                                    op10_secret_scan)}
 
 #: DuckDB twins of the queries that SQL can express.
