@@ -38,10 +38,6 @@ class Model:
     #: Intercept, weight of the difference, weight of the density.
     weights: tuple[float, float, float]
 
-    def probability(self, features):
-        z = self.weights[0] + sum(w * x for w, x in zip(self.weights[1:], features, strict=True))
-        return 1 / (1 + math.exp(-max(-60.0, min(60.0, z))))
-
 
 def _dictionary(samples: list[bytes], size: int) -> bytes:
     """A trained dictionary; from too little text, the text itself."""
@@ -154,8 +150,8 @@ def calibrate(x, y, share: float) -> tuple[float, float, float]:
     return w[0] + math.log(share / (1 - share)) - math.log(p / (1 - p)), w[1], w[2]
 
 
-def features(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """``keep`` columns of ``docs`` and the two features of its ``text``."""
+def features(docs: DataFrame, model: Model, keep: list[str], text_col: str = "text") -> DataFrame:
+    """``keep`` columns of ``docs`` and the two features of its text."""
     schema = T.StructType([*(docs.schema[c] for c in keep), *FEATURES.fields])
     good, bad, piece = model.good, model.bad, model.piece
 
@@ -163,12 +159,24 @@ def features(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
         import pyarrow as pa
         compressors = _compressors(good, bad)
         for batch in batches:
-            rows = [_features(t, compressors, piece) for t in batch.column("text").to_pylist()]
+            rows = [_features(t or "", compressors, piece) for t in batch.column(text_col).to_pylist()]
             columns = [batch.column(c) for c in keep]
             columns += [pa.array([r[i] for r in rows], pa.float64()) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
-    return docs.select(*keep, "text").mapInArrow(run, schema)
+    return docs.select(*dict.fromkeys([*keep, text_col])).mapInArrow(run, schema)
+
+
+def _probability(model: Model) -> Column:
+    z = F.lit(model.weights[0]) + sum(F.col(c) * w for c, w in zip(FEATURES.names, model.weights[1:], strict=True))
+    return 1 / (1 + F.exp(-F.greatest(F.lit(-60.0), F.least(F.lit(60.0), z))))
+
+
+def accepted(docs: DataFrame, model: Model, *, text_col="text", least: float = 0.3) -> DataFrame:
+    """The rows of ``docs``, as they are, whose score is at least ``least``."""
+    common.python_ready(docs.sparkSession)
+    row = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text"))
+    return features(row, model, ["row"]).filter(_probability(model) >= least).select("row.*")
 
 
 def score(docs: DataFrame, model: Model, *, id_col="doc_id", text_col="text", least: float = 0.3) -> DataFrame:
@@ -178,8 +186,6 @@ def score(docs: DataFrame, model: Model, *, id_col="doc_id", text_col="text", le
     empty table gives no rows, other columns play no part."""
     common.python_ready(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), common.text_or_empty(text_col).alias("text"))
-    z = F.lit(model.weights[0]) + sum(F.col(c) * w for c, w in zip(FEATURES.names, model.weights[1:], strict=True))
-    z = F.greatest(F.lit(-60.0), F.least(F.lit(60.0), z))
-    out = features(rows, model, ["doc_id"]).withColumn("score", 1 / (1 + F.exp(-z)))
+    out = features(rows, model, ["doc_id"]).withColumn("score", _probability(model))
     return out.select("doc_id", held_out().alias("held_out"), "score",
                       F.when(F.col("score") >= least, 1).otherwise(0).alias("predicted"))

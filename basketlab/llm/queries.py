@@ -6,13 +6,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, contamination, html, idstore, neardup, packing, quality, repeats, secrets, tokens, vptree
+from . import common, contamination, html, idstore, neardup, packing, preference, quality, repeats, secrets, tokens, vptree
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(common.read(spark, sf_dir, "documents"), tokens.default_path())
 
 
+def op2_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = preference.pairs(preference.swapped_answers(common.read(spark, sf_dir, "conversations")))
+    return rows.withColumns({c: preference.joined(F.col(c)) for c in ("chosen_mask", "rejected_mask")})
+
+
 def op3_vantage_point(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = common.read(spark, sf_dir, "embeddings")
     return vptree.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0), 20)
@@ -55,8 +60,9 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(docs, secrets.train(samples)))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op3_vantage_point, op4_html_text, op5_decontamination, op6_near_duplicates, op7_quality, op8_id_store, op9_repeated_bytes,
-                                   op10_secret_scan)}
+QUERIES = {f.__name__: f for f in (
+    op1_best_fit_packing, op2_preference_pairs, op3_vantage_point, op4_html_text, op5_decontamination,
+    op6_near_duplicates, op7_quality, op8_id_store, op9_repeated_bytes, op10_secret_scan)}
 
 #: DuckDB twins of the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op2_preference_pairs": preference.ORACLE_SQL}

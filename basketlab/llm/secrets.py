@@ -126,6 +126,11 @@ def scan(docs: DataFrame, model: Model, *, id_col="doc_id", text_col="text", lea
     are empty and have no spans, null ids stay null, repeated rows are
     scanned each, an empty table gives no rows."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), common.text_or_empty(text_col).alias("text"))
+    return _scanned(rows, model, least_chars, least_ratio).select("doc_id", "text", "spans")
+
+
+def _scanned(rows: DataFrame, model: Model, least_chars: int, least_ratio: float) -> DataFrame:
+    """``rows`` with ``text``, and the array ``spans``."""
     rows = _matches(base_spans(rows), "token", TOKEN % least_chars)
 
     def typed(name: str, spans=None) -> Column:
@@ -138,7 +143,17 @@ def scan(docs: DataFrame, model: Model, *, id_col="doc_id", text_col="text", lea
     rows = rows.withColumn("token", F.when(F.size("token") > 0, free).otherwise(F.col("token")))
     added = F.filter("token", lambda x: model.score(x["value"]) >= least_ratio)
     spans = F.array_sort(F.concat("base", typed("markov", F.when(F.size("token") > 0, added).otherwise(F.col("token")))))
-    return rows.select("doc_id", "text", spans.cast(SPANS).alias("spans"))
+    return rows.withColumn("spans", spans.cast(SPANS))
+
+
+def redacted(docs: DataFrame, model: Model, *, text_col="text", least_chars: int = 20,
+             least_ratio: float = 0.5) -> DataFrame:
+    """``docs`` with every span of its text replaced; the other columns, and
+    null texts, stay as they are."""
+    row = docs.select(F.struct(*docs.columns).alias("row"), common.text_or_empty(text_col).alias("text"))
+    done = _scanned(row, model, least_chars, least_ratio)
+    text = F.when(F.size("spans") > 0, redact(F.col("text"), F.col("spans"))).otherwise(F.col(f"row.{text_col}"))
+    return done.select(*(text.alias(c) if c == text_col else F.col(f"row.{c}") for c in docs.columns))
 
 
 def joined(spans: Column) -> Column:
