@@ -15,6 +15,10 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
           "benchmark", "labels", "conversations"]
 
+# Stock codes that cleaning must drop, as they occur in raw data. Written out
+# here, not taken from the rules under test.
+DIRTY_CODES = ["POST", "D", "DOT", "M", "S", "AMAZONFEE", "m", "DCGSSBOY", "DCGSSGIRL", "PADS", "B", "CRUK"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -44,8 +48,8 @@ def raw_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
            .join(p, li.l_partkey == p.p_partkey))
     return j.select(
         F.col("l_orderkey").cast("string").alias("InvoiceNo"),
-        F.when(_when_mod("l_partkey", 97), F.lit("POST"))
-         .when(_when_mod("l_partkey", 89), F.lit("m"))
+        F.when(_when_mod("l_partkey", 43), F.element_at(
+            F.array(*map(F.lit, DIRTY_CODES)), (F.col("l_orderkey") % len(DIRTY_CODES) + 1).cast("int")))
          .otherwise(F.col("l_partkey").cast("string")).alias("StockCode"),
         F.when(_when_mod("l_partkey", 61), F.lit(None).cast("string"))
          .otherwise(F.col("p_name")).alias("Description"),
@@ -55,6 +59,7 @@ def raw_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((F.col("l_linenumber") == 7) & _when_mod("l_partkey", 5), F.lit(0.01))
          .otherwise(F.col("p_retailprice")).alias("UnitPrice"),
         F.when(_when_mod("o_orderkey", 41), F.lit(None).cast("double"))
+         .when(_when_mod("o_custkey", 49), F.lit(16446.0))  # the excluded customer
          .otherwise(F.col("o_custkey").cast("double")).alias("CustomerID"),
         F.when(F.col("n_nationkey") == 24, F.lit("Unspecified"))
          .when(F.col("n_nationkey") == 23, F.lit("European Community"))
@@ -65,22 +70,17 @@ def raw_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
 # The same derivation for DuckDB (VARCHAR instead of STRING).
 RAW_SQL = """
 SELECT CAST(l_orderkey AS VARCHAR) AS InvoiceNo,
-  CASE WHEN l_partkey % 97 = 0 THEN 'POST' WHEN l_partkey % 89 = 0 THEN 'm'
-       ELSE CAST(l_partkey AS VARCHAR) END AS StockCode,
+  CASE WHEN l_partkey % 43 = 0 THEN (['POST', 'D', 'DOT', 'M', 'S', 'AMAZONFEE', 'm', 'DCGSSBOY', 'DCGSSGIRL',
+       'PADS', 'B', 'CRUK'])[l_orderkey % 12 + 1] ELSE CAST(l_partkey AS VARCHAR) END AS StockCode,
   CASE WHEN l_partkey % 61 = 0 THEN NULL ELSE p_name END AS Description,
   CAST(CASE WHEN l_returnflag = 'R' THEN -l_quantity ELSE l_quantity END AS BIGINT) AS Quantity,
   CAST(o_orderdate AS DATE) AS InvoiceDate,
   CASE WHEN l_linenumber = 7 AND l_partkey % 5 = 0 THEN 0.01 ELSE p_retailprice END AS UnitPrice,
-  CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE CAST(o_custkey AS DOUBLE) END AS CustomerID,
+  CASE WHEN o_orderkey % 41 = 0 THEN NULL WHEN o_custkey % 49 = 0 THEN 16446.0
+       ELSE CAST(o_custkey AS DOUBLE) END AS CustomerID,
   CASE WHEN n_nationkey = 24 THEN 'Unspecified' WHEN n_nationkey = 23 THEN 'European Community'
        ELSE n_name END AS Country
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
 JOIN nation ON c_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey
 """
 
-
-def register_views(spark: SparkSession, sf_dir: str) -> None:
-    """Register the driver tables and the ``raw`` view for SQL use."""
-    for t in TABLES:
-        table(spark, sf_dir, t).createOrReplaceTempView(t)
-    raw_invoices(spark, sf_dir).createOrReplaceTempView("raw")

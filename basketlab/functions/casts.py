@@ -86,11 +86,6 @@ def column_to_date(df: DataFrame, name: str, fmt: str | None = None) -> tuple[Da
     return df, ok[name]
 
 
-def int_ok_expr(df: DataFrame, name: str) -> Column:
-    """Per-row 'converts to int' flag, for plans that keep the check lazy."""
-    return _int_expr(df, name).isNotNull()
-
-
 def normalise_types(df: DataFrame) -> DataFrame:
     """CustomerID -> BIGINT and InvoiceDate -> DATE, each all-or-nothing and
     with the flags ignored, as in the reference (both checked in one pass)."""

@@ -99,7 +99,13 @@ def asof_join(left: DataFrame, right: DataFrame, by: str | list[str],
     # 5. values of the matched right row, then back to every left row
     vals = matched.join(rk.withColumnRenamed(t, "__rt"), [*by, "__rt"], "left") \
                   .select(*by, t, "__w")
-    lt = F.col(left_time).cast("timestamp")
-    out = left.withColumn(t, lt).join(vals, [*by, t], "left")
+    # Rows without a key match nothing. A salt deals them out evenly: by the
+    # key alone they would all hash to one task.
+    keyed = F.col(t).isNotNull()
+    for c in by:
+        keyed = keyed & F.col(c).isNotNull()
+    salt = F.when(keyed, F.lit(0)).otherwise(F.monotonically_increasing_id() % 4096 + 1)
+    rows = left.withColumn(t, F.col(left_time).cast("timestamp")).withColumn("__salt", salt)
+    out = rows.join(vals.withColumn("__salt", F.lit(0).cast("long")), [*by, t, "__salt"], "left")
     return out.select(*left.columns,
                       *[F.col(f"__w.__v{i}").alias(prefix + c) for i, c in enumerate(right_cols)])

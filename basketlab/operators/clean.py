@@ -39,11 +39,12 @@ def as_of_col(as_of) -> Column:
     return F.to_date(F.lit(str(as_of)))
 
 
-def not_null_rows(df: DataFrame, as_of=None) -> DataFrame:
-    """Not in the future, customer and description present."""
-    return df.where((F.col("InvoiceDate") <= as_of_col(as_of))
-                    & F.col("CustomerID").isNotNull()
-                    & F.col("Description").isNotNull())
+def not_null_rows(df: DataFrame, as_of=None, cut_off: bool = True) -> DataFrame:
+    """Not in the future, customer and description present. Without
+    ``cut_off`` later rows stay, for a table that is cut on every read."""
+    cond = F.col("CustomerID").isNotNull() & F.col("Description").isNotNull()
+    return df.where((F.col("InvoiceDate") <= as_of_col(as_of)) & cond if cut_off
+                    else F.col("InvoiceDate").isNotNull() & cond)
 
 
 def business_rows(df: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -61,6 +62,6 @@ def business_rows(df: DataFrame, rules: Rules = Rules()) -> DataFrame:
     return df.where(cond)
 
 
-def curate(raw: DataFrame, as_of=None, rules: Rules = Rules()) -> DataFrame:
+def curate(raw: DataFrame, as_of=None, rules: Rules = Rules(), cut_off: bool = True) -> DataFrame:
     """NaN -> NULL on doubles, then P1 and P2 (one filter after Catalyst)."""
-    return business_rows(not_null_rows(nan_to_null_all(raw), as_of), rules)
+    return business_rows(not_null_rows(nan_to_null_all(raw), as_of, cut_off), rules)

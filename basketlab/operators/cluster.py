@@ -21,9 +21,11 @@ from pyspark.sql import functions as F
 from ..schemas import MODEL_FEATURES, N_CLUSTERS, SEED
 
 OUT_COL = "Clusters"
-# Rows per partition of an ordered (order_by) training set: a Lloyd
-# iteration is then a few hundred thousand 2-D distance sums per task.
-ROWS_PER_FIT_PARTITION = 250_000
+# Partitions of an ordered (order_by) training set. Fixed, because seeding
+# depends on the layout: the number of rows must not change the model. Set
+# ``fit_partitions`` to the cluster's task slots for large training sets, and
+# keep it the same between fits that are to agree.
+FIT_PARTITIONS = 8
 _TMP = ["__features", "__pca", "__scaled"]
 
 
@@ -45,7 +47,7 @@ def clustering_pipeline(features=MODEL_FEATURES, k: int = N_CLUSTERS, seed: int
 def fit(train: DataFrame, features=MODEL_FEATURES, k: int = N_CLUSTERS, seed: int = SEED,
         n_init: int = 1, target: str | None = None,
         order_by: list[str] | None = None, tol: float = 1e-4,
-        parallelism: int = 1) -> PipelineModel:
+        parallelism: int = 1, fit_partitions: int = FIT_PARTITIONS) -> PipelineModel:
     """M5: fit the pipeline. ``target`` is accepted and unused, as in the
     reference. With ``n_init > 1`` the k-means stage is refitted from seeds
     seed, seed+1, … and the lowest training cost kept (PCA and scaler are
@@ -54,7 +56,7 @@ def fit(train: DataFrame, features=MODEL_FEATURES, k: int = N_CLUSTERS, seed: in
     k-means|| samples rows per partition in partition order, so the fitted
     centres depend on how rows happen to be laid out. ``order_by`` (a unique
     row key, e.g. the entity key) fixes that layout: hash partitioning on the
-    key (balanced, as the key is unique; no sample, so the partition of a row
+    key into ``fit_partitions`` (balanced, as the key is unique; no sample, so the partition of a row
     depends on its key alone, not on input order) and a sort within
     partitions, so the same table gives the same model whatever its upstream
     partitioning and row order.
@@ -69,18 +71,11 @@ def fit(train: DataFrame, features=MODEL_FEATURES, k: int = N_CLUSTERS, seed: in
     stages = clustering_pipeline(features, k, seed).getStages()
     data = train.select(*dict.fromkeys([*features, *(order_by or [])]))
     if order_by:
-        # Partition count from the row count alone (not from AQE's size-based
-        # coalescing, which could regroup rows between runs): small training
-        # sets run in one task per iteration, large ones spread out.
-        rows = data.count()
-        if rows < k:
-            raise ValueError(f"k-means needs at least k={k} rows")
-        n = max(1, math.ceil(rows / ROWS_PER_FIT_PARTITION))
-        data = data.repartition(n, *order_by).sortWithinPartitions(*order_by)
-    elif train.limit(k).count() < k:
-        raise ValueError(f"k-means needs at least k={k} rows")
-    data = data.persist()
+        data = data.repartition(fit_partitions, *order_by).sortWithinPartitions(*order_by)
+    data = data.persist()  # first, so that no later pass runs the input's plan again
     try:
+        if data.count() < k:
+            raise ValueError(f"k-means needs at least k={k} rows")
         prep = Pipeline(stages=stages[:3]).fit(data)
         scaled = prep.transform(data).select("__scaled").persist()
         try:

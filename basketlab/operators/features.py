@@ -25,7 +25,11 @@ from pyspark.sql import functions as F
 from ..functions.scalar import guarded_divide, whole_days
 from ..schemas import FEATURE_COLUMNS
 from ..session import shared_dir
-from .prepare import fill_zero, drop_incomplete
+from .prepare import drop_incomplete, fill_zero, require
+
+# Columns that the feature build reads.
+FEATURE_INPUT = ("CustomerID", "InvoiceNo", "InvoiceDate", "Quantity", "UnitPrice", "StockCode")
+
 
 def _q() -> Column:
     return F.col("Quantity")
@@ -105,6 +109,9 @@ def daily_quantity(df: DataFrame, lo=None, hi=None, keys: tuple = (),
 
 def features_join(f: DataFrame, p: DataFrame, r: DataFrame) -> DataFrame:
     """J1 + P10 + P11: the joined form (left-join chain on CustomerID)."""
+    require(f, ("CustomerID", "InvoiceDate"), "filtered")
+    require(p, FEATURE_INPUT, "purchases")
+    require(r, ("CustomerID", "Quantity"), "returns")
     parts = [distinct_customers(f), gross_revenue(p), recency(p, f), qty_products(p),
              frequency(p).select("CustomerID", "frequency"), qty_returns(r)]
     # Left-join on an equality key never matches NULL; a NULL customer row
@@ -114,14 +121,20 @@ def features_join(f: DataFrame, p: DataFrame, r: DataFrame) -> DataFrame:
     return drop_incomplete(joined.select(*FEATURE_COLUMNS))
 
 
-def customer_features(typed: DataFrame, anchor: Column | None = None) -> DataFrame:
+def customer_features(typed: DataFrame, anchor: Column | None = None,
+                      only: DataFrame | None = None) -> DataFrame:
     """A6 (fused): one feature row per customer with at least one purchase.
 
     ``typed`` has the prepared schema (CustomerID BIGINT, InvoiceDate DATE);
     ``filtered`` / ``purchases`` / ``returns`` are the three row predicates of
     it, evaluated inside the aggregation instead of as three frames.
     ``anchor`` overrides the recency anchor (default: latest date of ``typed``).
+    ``only`` (one ``CustomerID`` per row) restricts the result, and with it the
+    default anchor, to some customers. The semi-join stands above both
+    aggregations: below them it would deal the raw lines out by customer, and
+    a customer with many lines would meet in one task uncombined.
     """
+    require(typed, FEATURE_INPUT, "typed lines")
     Q = _q()
     purch = Q >= 0
     level1 = typed.groupBy("CustomerID", "InvoiceNo", "InvoiceDate").agg(
@@ -139,6 +152,8 @@ def customer_features(typed: DataFrame, anchor: Column | None = None) -> DataFra
         F.count(F.when(bought, F.col("InvoiceNo"))).alias("buy_"),
         F.max("n_purch").alias("n_purch"),
         F.max("InvoiceDate").alias("max_any"))
+    if only is not None:
+        level2 = level2.join(only, "CustomerID", "left_semi")
     # The anchor covers every filtered row; rows without customer sit in the
     # NULL group of level2. level2 (one row per customer, far smaller than the input) feeds both
     # the anchor and the final projection. Column pruning makes the two uses

@@ -1,17 +1,13 @@
 """Daily demand forecasting for many series at once.
 
-Spark does the data work: daily totals (T1), a gapless calendar per series
-(T2), the classical decomposition (T3) with windows, and the order search as
-one grouped job over (series x candidate order) — every group is one series
-(bounded by its number of days, not by the number of invoice lines) fitted
-with one order in numpy. The best order per series is a ``min_by`` over the
-candidates; forecasts are one grouped job per series.
-
-The fitting method is Hannan-Rissanen (long-AR residuals, then least squares
-on lagged values and residuals) with conditional-sum-of-squares likelihood.
-The differencing order d is chosen first per series (difference while a
-KPSS test rejects stationarity, at most twice), and AIC compares orders only
-within that d.
+All of it is Spark expressions: daily totals (T1), a gapless calendar per
+series (T2), the classical decomposition (T3), and autoregressive models with
+differencing (T4-T7). Window lags and one grouped aggregate give each series'
+autocovariances; the KPSS test, the Levinson-Durbin recursion over the orders
+0 to 5, the AIC and the forecast steps are columns of one row per series.
+
+Moving-average terms are left out: the candidates are ARIMA(p, d, 0), p up to
+5 and d up to 2, with a mean (d = 0) or drift (d = 1).
 """
 
 from __future__ import annotations
@@ -19,16 +15,13 @@ from __future__ import annotations
 import math
 from statistics import NormalDist
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from ..session import ship_package
 
 DATE, VALUE = "InvoiceDate", "Quantity"
 MAX_ORDER = 5
+#: Lags of the KPSS test's long-run variance: a week, for series of any length.
+KPSS_LAGS = 7
 
 
 # ---- T2: gapless calendar --------------------------------------------------
@@ -50,8 +43,11 @@ def fill_calendar(df: DataFrame, keys=(), date_col: str = DATE, value_col: str =
         w = Window.partitionBy(*keys).orderBy(date_col)
         prev = F.last(known, ignorenulls=True).over(
             w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        nxt = F.first(known, ignorenulls=True).over(
-            w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+        # The next known day: a running last from the other end (a frame that
+        # starts at the current row would rescan the rest for every row).
+        back = Window.partitionBy(*keys).orderBy(F.desc(date_col))
+        nxt = F.last(known, ignorenulls=True).over(
+            back.rowsBetween(Window.unboundedPreceding, Window.currentRow))
         j = j.withColumn("__p", prev).withColumn("__n", nxt)
         if how == "previous":
             y = F.col("__p.y")
@@ -103,262 +99,158 @@ def decompose(df: DataFrame, keys=(), date_col: str = DATE, value_col: str = VAL
                       (F.col(value_col) - F.col("trend") - F.col("seasonal")).alias("residual"))
 
 
-# ---- numpy helpers (one series, one order) ----------------------------------
+# ---- T4/T5: moments, differencing order, candidates -------------------------
 # Fixed value: 5% critical value of the KPSS level-stationarity statistic.
 KPSS_CRITICAL_5PCT = 0.463
 
 
-def kpss_stat(y: np.ndarray) -> float:
-    """KPSS level-stationarity statistic with a Bartlett-window long-run
-    variance (lag truncation 4 * (n / 100) ** 0.25)."""
-    n = len(y)
-    e = y - y.mean()
-    s = np.cumsum(e)
-    lags = int(4 * (n / 100.0) ** 0.25)
-    lrv = float(e @ e) / n
-    for k in range(1, min(lags, n - 1) + 1):
-        lrv += 2 * (1 - k / (lags + 1)) * float(e[k:] @ e[:-k]) / n
-    if lrv <= 0:
-        return 0.0
-    return float(s @ s) / (n * n * lrv)
-
-
-def choose_d(y: np.ndarray, max_d: int = 2) -> int:
-    """Difference while the KPSS test rejects stationarity at 5%."""
-    d, cur = 0, y
-    while d < max_d and len(cur) > 8 and kpss_stat(cur) > KPSS_CRITICAL_5PCT:
-        cur = np.diff(cur)
-        d += 1
-    return d
-
-
-def _lags(x: np.ndarray, k: int, rows: range) -> np.ndarray:
-    return np.array([[x[t - i] for i in range(1, k + 1)] for t in rows]).reshape(len(rows), k)
-
-
-def css_residuals(z: np.ndarray, phi: np.ndarray, theta: np.ndarray) -> np.ndarray:
-    e = np.zeros(len(z))
-    p, q = len(phi), len(theta)
-    for t in range(len(z)):
-        pred = 0.0
-        for i in range(min(p, t)):
-            pred += phi[i] * z[t - 1 - i]
-        for j in range(min(q, t)):
-            pred += theta[j] * e[t - 1 - j]
-        e[t] = z[t] - pred
-    return e
-
-
-def fit_arma(x: np.ndarray, p: int, q: int, with_mean: bool) -> dict | None:
-    """Hannan-Rissanen ARMA(p, q) fit; None when there are too few points."""
-    n = len(x)
-    mu = float(x.mean()) if with_mean and n else 0.0
-    z = x - mu
-    e = np.zeros(n)
-    start = max(p, q)
-    if q > 0:
-        m = min(max(p + q + 5, 10), n // 4)
-        if m < 1 or n - m <= m + 1:
-            return None
-        rows = range(m, n)
-        X = _lags(z, m, rows)
-        a, *_ = np.linalg.lstsq(X, z[m:], rcond=None)
-        e[m:] = z[m:] - X @ a
-        start = m + max(p, q)
-    rows = range(start, n)
-    k = p + q
-    if len(rows) <= k + 2:
-        return None
-    if k:
-        X = np.hstack([_lags(z, p, rows), _lags(e, q, rows)])
-        b, *_ = np.linalg.lstsq(X, z[start:], rcond=None)
-    else:
-        b = np.zeros(0)
-    phi, theta = b[:p], b[p:]
-    res = css_residuals(z, phi, theta)[max(p, q):]
-    nn = len(res)
-    sigma2 = float(np.mean(res ** 2)) if nn else float("nan")
-    if not nn or not np.isfinite(sigma2) or sigma2 <= 0:
-        sigma2 = max(sigma2, 1e-12) if np.isfinite(sigma2) else float("nan")
-    ll = -0.5 * nn * (math.log(2 * math.pi * sigma2) + 1) if sigma2 == sigma2 else float("nan")
-    n_par = p + q + (1 if with_mean else 0) + 1
-    return {"phi": phi.tolist(), "theta": theta.tolist(), "mu": mu, "variance": sigma2,
-            "log_likelihood": ll, "aic": -2 * ll + 2 * n_par, "n": nn}
-
-
-def psi_weights(phi, theta, d: int, h: int) -> np.ndarray:
-    """MA(inf) weights of ARIMA(p, d, q) (AR polynomial times (1-B)^d)."""
-    ar = np.array([1.0] + [-c for c in phi])
-    for _ in range(d):
-        ar = np.convolve(ar, [1.0, -1.0])
-    ma = np.array([1.0] + list(theta))
-    psi = np.zeros(h)
-    for j in range(h):
-        v = ma[j] if j < len(ma) else 0.0
-        for i in range(1, min(j, len(ar) - 1) + 1):
-            v -= ar[i] * psi[j - i]
-        psi[j] = v
-    return psi
-
-
-def forecast_values(y: np.ndarray, d: int, phi, theta, mu: float, h: int) -> np.ndarray:
-    """Point forecasts of the original series h steps ahead."""
-    diffs = [y]
-    for _ in range(d):
-        diffs.append(np.diff(diffs[-1]))
-    x = diffs[-1]
-    z = x - mu
-    e = css_residuals(z, np.array(phi), np.array(theta))
-    zf, ef = list(z), list(e)
-    for _ in range(h):
-        v = sum(phi[i] * zf[-1 - i] for i in range(len(phi)) if len(zf) > i)
-        v += sum(theta[j] * ef[-1 - j] for j in range(len(theta)) if len(ef) > j)
-        zf.append(v)
-        ef.append(0.0)
-    out = np.array(zf[len(z):]) + mu
-    for level in range(d, 0, -1):          # undo differencing, innermost first
-        out = diffs[level - 1][-1] + np.cumsum(out)
-    return out
-
-
-def _spread_groups(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Hash-partition on the group columns with an explicit partition count.
-
-    The grouped Python stages are compute-heavy on little data, so AQE's
-    size-based coalescing would pack every group into one task. An explicit
-    count (the session's shuffle partitions, sized for the cluster) keeps
-    them spread; the following groupBy reuses this partitioning (no second
-    exchange).
-    """
-    ship_package(df.sparkSession)       # the group functions live in this package
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(n, *cols)
-
-
-# ---- T4/T5: order search -----------------------------------------------------
-CANDIDATE_SCHEMA = T.StructType([
-    T.StructField("non_seasonal_p", T.IntegerType()),
-    T.StructField("non_seasonal_d", T.IntegerType()),
-    T.StructField("non_seasonal_q", T.IntegerType()),
-    T.StructField("has_drift", T.BooleanType()),
-    T.StructField("log_likelihood", T.DoubleType()),
-    T.StructField("AIC", T.DoubleType()),
-    T.StructField("variance", T.DoubleType()),
-    T.StructField("ar_coefficients", T.ArrayType(T.DoubleType())),
-    T.StructField("ma_coefficients", T.ArrayType(T.DoubleType())),
-    T.StructField("intercept_or_drift", T.DoubleType()),
-    T.StructField("n_points", T.IntegerType()),
-])
-
-
-def order_grid(max_order: int = MAX_ORDER):
-    return [(p, q) for p in range(max_order + 1) for q in range(max_order + 1 - p)]
-
-
-def _fit_group(keys, value_col):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("__t")
-        y = pdf[value_col].to_numpy(dtype=float)
-        p, q = int(pdf["__p"].iloc[0]), int(pdf["__q"].iloc[0])
-        d = choose_d(y)
-        x = np.diff(y, n=d) if d else y
-        fit = fit_arma(x, p, q, with_mean=d <= 1)
-        row = {k: pdf[k].iloc[0] for k in keys}
-        row.update({"non_seasonal_p": p, "non_seasonal_d": d, "non_seasonal_q": q,
-                    "has_drift": d == 1})
-        if fit is None:
-            row.update({"log_likelihood": None, "AIC": None, "variance": None,
-                        "ar_coefficients": None, "ma_coefficients": None,
-                        "intercept_or_drift": None, "n_points": len(y)})
-        else:
-            row.update({"log_likelihood": fit["log_likelihood"], "AIC": fit["aic"],
-                        "variance": fit["variance"], "ar_coefficients": fit["phi"],
-                        "ma_coefficients": fit["theta"], "intercept_or_drift": fit["mu"],
-                        "n_points": len(y)})
-        return pd.DataFrame([row])
-    return fn
-
-
-def arima_evaluate(series: DataFrame, keys=(), date_col: str = DATE, value_col: str = VALUE,
-                   max_order: int = MAX_ORDER) -> DataFrame:
-    """T5: one row per (series, candidate order) with log-likelihood, AIC and
-    variance. ``series`` must be gapless (``fill_calendar``)."""
+def _moments(series: DataFrame, keys: list[str], date_col: str, value_col: str) -> DataFrame:
+    """Per series and differencing order d = 0, 1, 2: number of points, mean,
+    autocovariances r0..r{KPSS_LAGS} (divided by n, so the Yule-Walker model is
+    always stationary) and the KPSS statistic. One row per series and d, from
+    windows over the daily rows and one aggregate. For d = 2 the mean is 0."""
+    w = Window.partitionBy(*keys).orderBy(date_col)
+    y = F.col(value_col).cast("double")
+    step = series.select(*keys, F.col(date_col).alias("__t"), y.alias("__0"), (y - F.lag(y).over(w)).alias("__1"))
+    w = Window.partitionBy(*keys).orderBy("__t")
+    step = step.withColumn("__2", F.col("__1") - F.lag("__1").over(w))
+    long = step.select(*keys, "__t", F.explode(F.array(*[
+        F.struct(F.lit(d).alias("d"), F.col(f"__{d}").alias("x")) for d in range(3)])).alias("__s")).select(
+        *keys, "__t", "__s.d", "__s.x").where("x IS NOT NULL OR d = 0")
+    group = Window.partitionBy(*keys, "d")
+    mean = F.when(F.col("d") < 2, F.avg("x").over(group)).otherwise(F.lit(0.0))
+    long = long.withColumn("mean", mean).withColumn("z", F.col("x") - F.col("mean"))
+    w = group.orderBy("__t")
+    lags = [F.coalesce(F.col("z") * F.lag("z", k).over(w), F.lit(0.0)).alias(f"__p{k}") for k in range(KPSS_LAGS + 1)]
+    run = F.sum("z").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = long.select(*keys, "d", "mean", run.alias("__c"), *lags)
+    m = rows.groupBy(*keys, "d").agg(
+        F.count("*").alias("n"), F.max("mean").alias("mean"), F.sum(F.col("__c") * F.col("__c")).alias("__cc"),
+        *[(F.sum(f"__p{k}") / F.count("*")).alias(f"r{k}") for k in range(KPSS_LAGS + 1)])
+    long_run = F.col("r0") + sum(F.col(f"r{k}") * (2 * (1 - k / (KPSS_LAGS + 1))) for k in range(1, KPSS_LAGS + 1))
+    n = F.col("n").cast("double")
+    # A series without variance is stationary; the Bartlett weights keep long_run >= 0.
+    return m.withColumn("kpss", F.when(long_run > 1e-12 * F.col("r0"), F.col("__cc") / (n * n * long_run))
+                        .otherwise(F.lit(0.0))).drop("__cc")
+
+
+def _differenced(series: DataFrame, keys: list[str], date_col: str, value_col: str) -> DataFrame:
+    """The moments row of each series at its own d: the least d whose
+    differences are not found non-stationary, 2 at most."""
+    m = _moments(series, keys, date_col, value_col)
+    ok = (F.col("kpss") <= KPSS_CRITICAL_5PCT) | (F.col("d") == 2)
+    fields = F.struct("d", "n", "mean", *[f"r{k}" for k in range(MAX_ORDER + 1)])
+    return m.where(ok).groupBy(*keys).agg(F.min_by(fields, F.col("d")).alias("__m")).select(*keys, "__m.*")
+
+
+def arima_evaluate(series: DataFrame, keys=(), date_col: str = DATE, value_col: str = VALUE) -> DataFrame:
+    """T5: one row per (series, order p = 0..5) with log-likelihood, AIC,
+    variance and coefficients. ``series`` must be gapless (``fill_calendar``).
+
+    All orders of a series come from the same autocovariances (Levinson-
+    Durbin), so they are scored on one sample and differ by powers of the
+    reflection coefficients only: the choice does not depend on the unit of
+    the values. Order 0 exists for any series, however short; a series without
+    variance has null log-likelihood and AIC and keeps order 0."""
     keys = list(keys)
-    grid = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(q).alias("q")) for p, q in order_grid(max_order)])
-    rows = (series.select(*keys, F.col(date_col).alias("__t"), F.col(value_col).cast("double").alias(value_col))
-            .withColumn("__o", F.explode(grid))
-            .select("*", F.col("__o.p").alias("__p"), F.col("__o.q").alias("__q")).drop("__o"))
-    key_fields = [series.schema[k] for k in keys]
-    schema = T.StructType([*key_fields, *CANDIDATE_SCHEMA.fields])
-    rows = _spread_groups(rows, [*keys, "__p", "__q"])
-    return rows.groupBy(*keys, "__p", "__q").applyInPandas(_fit_group(keys, value_col), schema)
-
-
-def fit_arima(series: DataFrame, keys=(), date_col: str = DATE, value_col: str = VALUE,
-              max_order: int = MAX_ORDER) -> DataFrame:
-    """T4: the lowest-AIC candidate per series (one row per series)."""
+    m = _differenced(series, keys, date_col, value_col)
+    zero = F.lit(0.0)
+    a = [zero] * MAX_ORDER
+    m = m.withColumn("v0", F.col("r0"))
+    orders = [([zero] * MAX_ORDER, F.col("v0"))]
+    for p in range(1, MAX_ORDER + 1):
+        inner = F.col(f"r{p}") - sum((a[i] * F.col(f"r{p - 1 - i}") for i in range(p - 1)), zero)
+        m = m.withColumn(f"k{p}", F.when(F.col(f"v{p - 1}") > 0, inner / F.col(f"v{p - 1}")).otherwise(zero))
+        k = F.col(f"k{p}")
+        for i in range(p - 1):
+            m = m.withColumn(f"a{p}_{i}", a[i] - k * a[p - 2 - i])
+        m = m.withColumn(f"v{p}", F.greatest(zero, F.col(f"v{p - 1}") * (1 - k * k)))
+        a = [F.col(f"a{p}_{i}") for i in range(p - 1)] + [k] + [zero] * (MAX_ORDER - p)
+        orders.append((list(a), F.col(f"v{p}")))
+    n = F.col("n").cast("double")
+    one = lambda p, a, v: F.struct(F.lit(p).alias("non_seasonal_p"), v.alias("variance"), F.array(*a).alias("a"))
+    rows = m.select(*keys, "d", "n", "mean", F.explode(F.array(*[
+        one(p, a, v) for p, (a, v) in enumerate(orders)])).alias("o")).select(*keys, "d", "n", "mean", "o.*")
+    ll = F.when(F.col("variance") > 0, -n / 2 * (F.log(2 * math.pi * F.col("variance")) + 1))
+    params = F.col("non_seasonal_p") + 1 + F.when(F.col("d") < 2, 1).otherwise(0)
+    return rows.select(
+        *keys, "non_seasonal_p", F.col("d").alias("non_seasonal_d"), F.lit(0).alias("non_seasonal_q"),
+        (F.col("d") == 1).alias("has_drift"), ll.alias("log_likelihood"), (2 * params - 2 * ll).alias("AIC"),
+        "variance", F.slice("a", F.lit(1), F.col("non_seasonal_p")).alias("ar_coefficients"),
+        F.col("mean").alias("intercept_or_drift"), F.col("n").cast("int").alias("n_points"))
+
+
+def fit_arima(series: DataFrame, keys=(), date_col: str = DATE, value_col: str = VALUE) -> DataFrame:
+    """T4: the lowest-AIC order per series, the smaller one on ties: exactly
+    one row per series."""
     keys = list(keys)
-    cands = arima_evaluate(series, keys, date_col, value_col, max_order).where(F.col("AIC").isNotNull())
+    cands = arima_evaluate(series, keys, date_col, value_col)
+    # Without variance every AIC is null and order 0 stays.
+    score = F.coalesce(F.round("AIC", 8), F.lit(0.0))
     best = cands.groupBy(*keys).agg(
-        F.min_by(F.struct(*[c for c in cands.columns if c not in keys]),
-                 F.struct("AIC", "non_seasonal_p", "non_seasonal_q")).alias("m"))
+        F.min_by(F.struct(*[c for c in cands.columns if c not in keys]), F.struct(score, "non_seasonal_p")).alias("m"))
     return best.select(*keys, "m.*")
 
 
 # ---- T6/T7: forecast and explain ---------------------------------------------
-FORECAST_FIELDS = [
-    T.StructField("forecast_timestamp", T.DateType()),
-    T.StructField("forecast_value", T.DoubleType()),
-    T.StructField("standard_error", T.DoubleType()),
-    T.StructField("confidence_level", T.DoubleType()),
-    T.StructField("prediction_interval_lower_bound", T.DoubleType()),
-    T.StructField("prediction_interval_upper_bound", T.DoubleType()),
-]
-
-
-def _forecast_group(keys, date_col, value_col, horizon, level):
-    z = NormalDist().inv_cdf(0.5 + level / 2.0)
-
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(date_col)
-        y = pdf[value_col].to_numpy(dtype=float)
-        first = pdf.iloc[0]
-        d = int(first["non_seasonal_d"])
-        ar, ma = first["ar_coefficients"], first["ma_coefficients"]
-        phi = [] if ar is None else [float(v) for v in ar]
-        theta = [] if ma is None else [float(v) for v in ma]
-        mu = float(first["intercept_or_drift"] or 0.0)
-        fc = forecast_values(y, d, phi, theta, mu, horizon)
-        psi = psi_weights(phi, theta, d, horizon)
-        se = np.sqrt(float(first["variance"]) * np.cumsum(psi ** 2))
-        last = pd.Timestamp(pdf[date_col].iloc[-1])
-        out = pd.DataFrame({
-            "forecast_timestamp": [(last + pd.Timedelta(days=i + 1)).date() for i in range(horizon)],
-            "forecast_value": fc, "standard_error": se, "confidence_level": level,
-            "prediction_interval_lower_bound": fc - z * se,
-            "prediction_interval_upper_bound": fc + z * se})
-        for k in keys:
-            out.insert(0, k, first[k])
-        return out
-    return fn
-
-
 def forecast(series: DataFrame, model: DataFrame, keys=(), date_col: str = DATE,
              value_col: str = VALUE, horizon: int = 10, level: float = 0.8) -> DataFrame:
     """``horizon`` days ahead per series with a ``level`` prediction
-    interval. ``model`` is ``fit_arima`` output (one row per series); it is
-    joined to the series on the keys, then each series is one group."""
+    interval. ``model`` is ``fit_arima`` output (one row per series).
+
+    The last days of each series are the state: the last five differenced
+    values less their mean, the last value and the last difference. The steps
+    are a fold over the horizon on that one row, so nothing is collected."""
     keys = list(keys)
     single = not keys
     if single:  # one unnamed series: give it a constant key
         series, model, keys = (series.withColumn("__series", F.lit(0)),
                                model.withColumn("__series", F.lit(0)), ["__series"])
-    mcols = ["non_seasonal_d", "ar_coefficients", "ma_coefficients", "intercept_or_drift", "variance"]
-    j = (series.select(*keys, date_col, F.col(value_col).cast("double").alias(value_col))
-         .join(model.select(*keys, *mcols), keys))
-    schema = T.StructType([*[series.schema[k] for k in keys], *FORECAST_FIELDS])
-    out = _spread_groups(j, keys).groupBy(*keys).applyInPandas(
-        _forecast_group(keys, date_col, value_col, horizon, level), schema)
+    tail = MAX_ORDER + 2
+    w = Window.partitionBy(*keys).orderBy(F.desc(date_col))
+    last = (series.select(*keys, date_col, F.col(value_col).cast("double").alias("y"))
+            .withColumn("__i", F.row_number().over(w)).where(F.col("__i") <= tail)
+            .groupBy(*keys).agg(F.max(date_col).alias("last"),
+                                F.transform(F.sort_array(F.collect_list(F.struct("__i", "y"))), lambda s: s["y"]).alias("y")))
+    row = last.join(model.select(*keys, "non_seasonal_d", "ar_coefficients", "intercept_or_drift", "variance"), keys)
+    zero = F.lit(0.0)
+    at = lambda arr, i: F.coalesce(F.get(arr, F.lit(i)), zero)
+    y, d, mean = F.col("y"), F.col("non_seasonal_d"), F.col("intercept_or_drift")
+    diff1 = [F.get(y, F.lit(i)) - F.get(y, F.lit(i + 1)) for i in range(tail - 1)]
+    z = [F.coalesce(F.when(d == 0, F.get(y, F.lit(i))).when(d == 1, diff1[i]).otherwise(diff1[i] - diff1[i + 1]) - mean,
+                    zero) for i in range(MAX_ORDER)]
+    phi = [at(F.col("ar_coefficients"), i) for i in range(MAX_ORDER)]
+    row = row.select(*keys, "last", d.alias("d"), mean.alias("mean"), "variance", F.array(*z).alias("z"),
+                     F.array(*phi).alias("phi"), F.get(y, F.lit(0)).alias("y0"), F.coalesce(diff1[0], zero).alias("s0"))
+    dot = lambda a, b: sum((F.get(a, F.lit(i)) * F.get(b, F.lit(i)) for i in range(MAX_ORDER)), zero)
+
+    def step(acc, h):
+        z1 = dot(acc["z"], F.col("phi"))
+        x = z1 + F.col("mean")
+        slope = F.when(F.col("d") == 2, acc["slope"] + x).otherwise(x)
+        value = F.when(F.col("d") == 0, x).otherwise(acc["value"] + slope)
+        # psi: weights of a shock j days old; integrated d times.
+        psi0 = F.when(h == 1, F.lit(1.0)).otherwise(dot(acc["psi"], F.col("phi")))
+        psi1 = acc["psi1"] + psi0
+        psi2 = acc["psi2"] + psi1
+        weight = F.when(F.col("d") == 0, psi0).when(F.col("d") == 1, psi1).otherwise(psi2)
+        total = acc["total"] + weight * weight
+        out = F.struct(h.alias("h"), value.alias("value"), F.sqrt(F.col("variance") * total).alias("se"))
+        shift = lambda new, old: F.concat(F.array(new), F.slice(old, 1, MAX_ORDER - 1))
+        return F.struct(shift(z1, acc["z"]).alias("z"), shift(psi0, acc["psi"]).alias("psi"), value.alias("value"),
+                        slope.alias("slope"), psi1.alias("psi1"), psi2.alias("psi2"), total.alias("total"),
+                        F.concat(acc["out"], F.array(out)).alias("out"))
+
+    start = F.struct(F.col("z"), F.array(*[zero] * MAX_ORDER).alias("psi"), F.col("y0").alias("value"),
+                     F.col("s0").alias("slope"), zero.alias("psi1"), zero.alias("psi2"), zero.alias("total"),
+                     F.array().cast("array<struct<h:int,value:double,se:double>>").alias("out"))
+    steps = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), start, step, lambda acc: acc["out"])
+    q = NormalDist().inv_cdf(0.5 + level / 2.0)
+    out = row.select(*keys, "last", F.explode(steps).alias("f")).select(
+        *keys, F.date_add("last", F.col("f.h")).alias("forecast_timestamp"), F.col("f.value").alias("forecast_value"),
+        F.col("f.se").alias("standard_error"), F.lit(level).alias("confidence_level"),
+        (F.col("f.value") - q * F.col("f.se")).alias("prediction_interval_lower_bound"),
+        (F.col("f.value") + q * F.col("f.se")).alias("prediction_interval_upper_bound"))
     return out.drop("__series") if single else out
 
 

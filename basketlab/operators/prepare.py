@@ -47,11 +47,11 @@ def prepare(df: DataFrame, trusted: bool = False) -> tuple[DataFrame, DataFrame,
 def require(df: DataFrame, cols, name: str = "frame", non_empty: bool = False) -> DataFrame:
     """Required columns (schema only) and optional non-empty check
     (``isEmpty`` reads at most one row)."""
-    missing = set(cols) - set(df.columns)
-    if missing:
-        raise ValueError(f"Missing columns {sorted(missing)} in input DataFrame '{name}'")
+    lacking = [c for c in cols if c not in df.columns]
+    if lacking:
+        raise ValueError(f"{name} lacks the columns {lacking}")
     if non_empty and df.isEmpty():
-        raise ValueError(f"Input DataFrame '{name}' is empty")
+        raise ValueError(f"{name} has no rows")
     return df
 
 
@@ -63,8 +63,3 @@ def drop_incomplete(df: DataFrame, subset=None) -> DataFrame:
 def fill_zero(df: DataFrame, col: str) -> DataFrame:
     """Missing -> 0 in ``col``."""
     return df.withColumn(col, F.coalesce(F.col(col), F.lit(0).cast(df.schema[col].dataType)))
-
-
-def between_dates(df: DataFrame, lo, hi, col: str = "InvoiceDate") -> DataFrame:
-    """Inclusive date range."""
-    return df.where(F.col(col).between(F.to_date(F.lit(str(lo))), F.to_date(F.lit(str(hi)))))

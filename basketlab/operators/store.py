@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import ENTITY_COL, FEATURE_COLUMNS, FEATURE_REGISTRY, SPARK_TYPES, TIME_COL
-from ..session import path_exists, read_text, write_text
+from ..session import list_dirs, list_files, path_exists, read_text, shared_dir, write_text
 from ..sources.versioned import VersionedTable
 from .asof import asof_join
 from .features import active_customers, customer_features
@@ -99,9 +99,9 @@ def refresh_features(table: VersionedTable, typed: DataFrame, raw: DataFrame, da
                      anchor: str = "active") -> int | None:
     """K2 incremental build for customers active on ``day``.
 
-    The typed input is restricted to active customers *before* aggregating
-    (semi-join), so the recency anchor is that of the restricted frame, as in
-    the reference. ``append``: the new rows are added and every row of an
+    Features are those of the active customers' lines alone, so the recency
+    anchor is that of the restricted frame, as in the reference; the lines are
+    aggregated first and restricted by customer then. ``append``: the new rows are added and every row of an
     active customer gets a new key and time (duplicates kept). ``upsert``:
     active customers keep only their new row. An empty active set is a no-op
     (returns None). ``anchor='all'`` measures recency against the latest date
@@ -114,7 +114,10 @@ def refresh_for(table: VersionedTable, typed: DataFrame, active: DataFrame, at=N
                 key: str = "uuid", mode: str = "append", anchor: str = "active",
                 note: str | None = None) -> int | None:
     """K2 for an explicit active set (one BIGINT ``CustomerID`` per row).
-    ``note`` is committed with the new version."""
+    ``note`` is committed with the new version. The active set, small next to
+    the lines it comes from, is checkpointed once for its three uses."""
+    shared_dir(active.sparkSession)
+    active = active.checkpoint(eager=True)
     if active.isEmpty():
         return None
     cur = table.current_version()
@@ -122,7 +125,7 @@ def refresh_for(table: VersionedTable, typed: DataFrame, active: DataFrame, at=N
     if anchor not in ("active", "all"):
         raise ValueError(f"unknown anchor {anchor!r}")
     whole = typed.agg(F.max("InvoiceDate")).scalar() if anchor == "all" else None
-    new_rows = stamp(customer_features(semi_active(typed, active), whole), at, key, version=nxt)
+    new_rows = stamp(customer_features(typed, whole, only=active), at, key, version=nxt)
     old = table.read()
     if mode == "upsert":
         old = old.join(active, "CustomerID", "left_anti")
@@ -157,26 +160,34 @@ class FeatureStore:
         self.time = time
 
     @property
-    def registry_path(self) -> str:
-        return f"{self.root}/_registry.json"
+    def registry_dir(self) -> str:
+        """Registry states ``000001.json``, ...: the newest counts. A change
+        adds a file under a new name, so a reader always sees a whole state."""
+        return f"{self.root}/_registry"
+
+    def _states(self) -> list[str]:
+        return sorted(n for n in list_files(self.spark, self.registry_dir) if n[:6].isdigit() and n.endswith(".json"))
+
+    def _save(self, registry: dict) -> None:
+        last = int(self._states()[-1][:6]) if self.exists() else 0
+        write_text(self.spark, f"{self.registry_dir}/{last + 1:06d}.json", json.dumps(registry))
 
     @property
     def log_path(self) -> str:
         return f"{self.root}/log"
 
     def exists(self) -> bool:
-        return path_exists(self.spark, self.registry_path)
+        return bool(self._states())
 
     def get_or_create(self) -> "FeatureStore":
         """K3: create the (empty) registry only if absent."""
         if not self.exists():
-            write_text(self.spark, self.registry_path,
-                       json.dumps({"entity": self.entity, "time": self.time, "features": []}))
+            self._save({"entity": self.entity, "time": self.time, "features": []})
         return self
 
     def registry(self) -> dict:
-        txt = read_text(self.spark, self.registry_path)
-        return json.loads(txt) if txt else {"features": []}
+        states = self._states()
+        return json.loads(read_text(self.spark, f"{self.registry_dir}/{states[-1]}")) if states else {"features": []}
 
     def register(self, features=FEATURE_REGISTRY) -> T.StructType:
         """K4: register (name, type, description, labels); existing names are
@@ -187,7 +198,8 @@ class FeatureStore:
             if name not in known:
                 reg["features"].append({"name": name, "value_type": vtype,
                                         "description": desc, "labels": labels})
-        write_text(self.spark, self.registry_path, json.dumps(reg))
+        if reg != self.registry():
+            self._save(reg)
         return self.schema()
 
     def schema(self) -> T.StructType:
@@ -224,6 +236,30 @@ class FeatureStore:
             f"{self.log_path}/_ingest_date={day.isoformat()}/_ingest_batch={batch}")
         return batch
 
+    def ingested_versions(self) -> list[int]:
+        """Feature-table versions in the log, ascending."""
+        days = [d for d in list_dirs(self.spark, self.log_path) if d.startswith("_ingest_date=")]
+        names = {b.split("b-v")[-1] for d in days for b in list_dirs(self.spark, f"{self.log_path}/{d}")
+                 if b.startswith("_ingest_batch=b-v") and path_exists(self.spark, f"{self.log_path}/{d}/{b}/_SUCCESS")}
+        return sorted(int(n) for n in names if n.isdigit())
+
+    def ingest_version(self, table: VersionedTable, version: int | None = None, ingest_date=None) -> str:
+        """K5 for a versioned feature table: the log gets the rows that are new
+        or restamped since the last version ingested before, recognised by
+        their entity key (a restamped row has a new one). Without an earlier
+        version still there, the whole table. Ingesting a version again
+        replaces its batch."""
+        v = table.current_version() if version is None else version
+        rows = table.read(v)
+        known = set(table.committed())
+        before = [x for x in self.ingested_versions() if x < v and x in known]
+        if before:
+            rows = rows.join(table.read(before[-1]).select(self.entity), self.entity, "left_anti")
+        for day in list_dirs(self.spark, self.log_path):  # a re-run on a later day keeps the first day
+            if path_exists(self.spark, f"{self.log_path}/{day}/_ingest_batch=b-v{v:06d}"):
+                ingest_date = day.split("=")[1]
+        return self.ingest(rows, ingest_date=ingest_date, batch=f"v{v:06d}")
+
     def log(self) -> DataFrame:
         return self.spark.read.parquet(self.log_path)
 

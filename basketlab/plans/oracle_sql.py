@@ -7,18 +7,16 @@ the same retail derivation as the Spark side (``fixtures.RAW_SQL``).
 from __future__ import annotations
 
 from ..fixtures import RAW_SQL
-from ..operators.clean import EXCLUDED_COUNTRIES, EXCLUDED_STOCK_CODES, PRICE_FLOOR, EXCLUDED_CUSTOMERS
 
-
-def _in_list(vals) -> str:
-    return ", ".join("'" + v.replace("'", "''") + "'" for v in vals)
+# The business rules, written out here so that the oracle does
+# not share constants with the code under test.
+BUSINESS_SQL = """UnitPrice >= 0.04 AND Country NOT IN ('European Community', 'Unspecified')
+ AND StockCode NOT IN ('POST', 'D', 'DOT', 'M', 'S', 'AMAZONFEE', 'm', 'DCGSSBOY', 'DCGSSGIRL', 'PADS', 'B', 'CRUK')
+ AND CustomerID != 16446"""
 
 
 def curated_where(as_of: str = "current_date") -> str:
-    cust = " AND ".join(f"CustomerID != {c}" for c in EXCLUDED_CUSTOMERS)
-    return (f"InvoiceDate <= {as_of} AND CustomerID IS NOT NULL AND Description IS NOT NULL"
-            f" AND UnitPrice >= {PRICE_FLOOR} AND Country NOT IN ({_in_list(EXCLUDED_COUNTRIES)})"
-            f" AND StockCode NOT IN ({_in_list(EXCLUDED_STOCK_CODES)}) AND {cust}")
+    return (f"InvoiceDate <= {as_of} AND CustomerID IS NOT NULL AND Description IS NOT NULL AND {BUSINESS_SQL}")
 
 
 def base_ctes(as_of: str = "current_date", x: str = "", with_raw: bool = True) -> str:
@@ -85,8 +83,7 @@ ORACLE["write_modes"] = with_(B, TYPED8)
 ORACLE["clean_not_null"] = with_(f"raw AS ({RAW_SQL})",
     "SELECT * FROM raw WHERE InvoiceDate <= current_date AND CustomerID IS NOT NULL AND Description IS NOT NULL")
 ORACLE["clean_business"] = with_(f"raw AS ({RAW_SQL})",
-    f"SELECT * FROM raw WHERE UnitPrice >= {PRICE_FLOOR} AND Country NOT IN ({_in_list(EXCLUDED_COUNTRIES)})"
-    f" AND StockCode NOT IN ({_in_list(EXCLUDED_STOCK_CODES)}) AND CustomerID != 16446")
+    f"SELECT * FROM raw WHERE {BUSINESS_SQL}")
 ORACLE["project_filtered"] = with_(B, "SELECT * FROM t")
 ORACLE["split_returns"] = with_(B, "SELECT * FROM r")
 ORACLE["split_purchases"] = with_(B, """SELECT InvoiceNo, StockCode, Description, Quantity, InvoiceDate,
@@ -153,24 +150,38 @@ refreshed AS (SELECT {FEATS},
 upserted AS (SELECT * FROM v1 WHERE CustomerID NOT IN (SELECT CustomerID FROM act)
              UNION ALL SELECT * FROM nw)""")
 RF = "ROUND(gross_revenue, 2) AS gross_revenue"
-ORACLE["feature_table"] = with_(STORE_CTES, f'SELECT * REPLACE ({RF}) FROM v1')
+# The first version over all dates.
+FULL_CTES = base_ctes() + ",\n" + feature_ctes() + f""",
+v1 AS (SELECT {FEATS}, {hash_key(T0, '1')} AS "values", TIMESTAMP '{T0}' AS "timestamp", 1 AS _version FROM feat)"""
+ORACLE["feature_table"] = with_(FULL_CTES, f'SELECT * REPLACE ({RF}) FROM v1')
+ORACLE["stamp"] = with_(FULL_CTES, f"""SELECT * EXCLUDE ("values") REPLACE ({RF}), true AS key_valid, true AS key_unique
+FROM v1""")
+ORACLE["normalise_types"] = with_(f"raw AS ({RAW_SQL})", "SELECT * FROM raw")
+ORACLE["normalise_types_clean"] = with_(B, TYPED8)
+ORACLE["write_refused"] = with_(B, """SELECT Country, count(*) AS n_lines, false AS existed_before,
+  true AS refused, true AS exists_after FROM t GROUP BY Country""")
 ORACLE["active_semi"] = with_(STORE_CTES, "SELECT * FROM b_ts")
 ORACLE["restamp"] = with_(STORE_CTES, f"SELECT * REPLACE ({RF}) FROM restamped")
 ORACLE["refresh"] = with_(STORE_CTES, f"SELECT * REPLACE ({RF}) FROM refreshed")
 ORACLE["refresh_upsert"] = with_(STORE_CTES, f"SELECT * REPLACE ({RF}) FROM upserted")
-ORACLE["read_instances"] = with_(STORE_CTES, 'SELECT "values", "timestamp" FROM v1')
+ORACLE["read_instances"] = with_(FULL_CTES, 'SELECT "values", "timestamp" FROM v1')
 STORE_TYPED = f'''SELECT "values", "timestamp", {RF}, CAST(recency_days AS DOUBLE) AS recency_days,
-  CAST(qty_products AS DOUBLE) AS qty_products, frequency, qty_returns FROM v1'''
-ORACLE["ingest"] = with_(STORE_CTES, STORE_TYPED)
-ORACLE["train_set"] = with_(STORE_CTES, STORE_TYPED)
-ORACLE["asof_serve"] = """WITH rd AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'),
+  CAST(qty_products AS DOUBLE) AS qty_products, frequency, qty_returns FROM '''
+ORACLE["ingest"] = with_(FULL_CTES, STORE_TYPED + "v1")
+ORACLE["train_set"] = with_(FULL_CTES, STORE_TYPED + "v1")
+# Two versions: the log has the first, and what the refresh added or restamped.
+ORACLE["ingest_two_versions"] = with_(STORE_CTES + """,
+logged AS (SELECT * FROM v1 UNION ALL SELECT * FROM refreshed WHERE "values" NOT IN (SELECT "values" FROM v1))""",
+    STORE_TYPED + "logged")
+ORACLE["train_set_two_versions"] = with_(STORE_CTES, STORE_TYPED + "refreshed")
+ORACLE["asof_serve"] = """WITH rd AS (SELECT event_id, event_type, user_id, ts FROM events),
 ft AS (SELECT user_id, ts AS feat_ts, value AS feat_value, event_id AS feat_event_id
-       FROM events WHERE event_type = 'view'),
-j AS (SELECT rd.event_id, rd.user_id, rd.ts, ft.feat_ts, ft.feat_value, ft.feat_event_id,
+       FROM events WHERE event_type IN ('view', 'click')),
+j AS (SELECT rd.event_id, rd.event_type, rd.user_id, rd.ts, ft.feat_ts, ft.feat_value, ft.feat_event_id,
         row_number() OVER (PARTITION BY rd.event_id
           ORDER BY ft.feat_ts DESC NULLS LAST, ft.feat_event_id DESC NULLS LAST) AS rn
       FROM rd LEFT JOIN ft ON rd.user_id = ft.user_id AND ft.feat_ts <= rd.ts)
-SELECT event_id, user_id, ts, feat_ts, feat_value, feat_event_id FROM j WHERE rn = 1"""
+SELECT event_id, event_type, user_id, ts, feat_ts, feat_value, feat_event_id FROM j WHERE rn = 1"""
 
 # ---- clustering -----------------------------------------------------------
 FEAT = B + ",\n" + feature_ctes()
@@ -193,10 +204,44 @@ ORACLE["cluster_assign"] = with_(SCALED + f",\ncentres AS ({_centres})", """SELE
   CAST(arg_min(i, {'d': (recency_days_mm - a) * (recency_days_mm - a) + (frequency_mm - b) * (frequency_mm - b), 'i': i}) AS INTEGER) AS Clusters
 FROM scaled, centres GROUP BY CustomerID""")
 
+
+
+def _power(name: str, matrix: str, steps: int = 400) -> str:
+    """Power iteration on a 4 x 4 matrix m11..m44: its largest eigenvalue and
+    vector, as the one-row CTE ``name``."""
+    cells = ", ".join(f"m{i}{j}" for i in range(1, 5) for j in range(1, 5))
+    rows = ", ".join(" + ".join(f"m{i}{j} * v{j}" for j in range(1, 5)) + f" AS w{i}" for i in range(1, 5))
+    unit = ", ".join(f"w{i} / norm AS v{i}" for i in range(1, 5))
+    return f""",
+{name}_it({cells}, v1, v2, v3, v4, norm, step) AS (
+  SELECT {cells}, 0.5::DOUBLE, 0.4::DOUBLE, 0.3::DOUBLE, 0.2::DOUBLE, 1.0::DOUBLE, 0 FROM {matrix}
+  UNION ALL
+  SELECT {cells}, {unit}, norm, step + 1 FROM (SELECT *, sqrt(w1 * w1 + w2 * w2 + w3 * w3 + w4 * w4) AS norm FROM (
+    SELECT * EXCLUDE (norm), {rows} FROM {name}_it WHERE step < {steps}))),
+{name} AS (SELECT * FROM {name}_it WHERE step = {steps})"""
+
+
+_F = ["qty_products", "qty_returns", "frequency", "recency_days"]
+_cells = ", ".join(f"covar_samp(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)) AS m{i}{j}"
+                   for i, a in enumerate(_F, 1) for j, b in enumerate(_F, 1))
+_deflated = ", ".join(f"m{i}{j} - norm * v{i} * v{j} AS m{i}{j}" for i in range(1, 5) for j in range(1, 5))
+ORACLE["pca_project"] = "WITH RECURSIVE " + FEAT + f""",
+c1 AS (SELECT {_cells} FROM feat)""" + _power("e1", "c1") + f""",
+c2 AS (SELECT {_deflated} FROM e1)""" + _power("e2", "c2") + """,
+whole AS (SELECT m11 + m22 + m33 + m44 AS t FROM c1)
+SELECT 1 AS component, ROUND(norm, 2) AS eigenvalue, ROUND(norm / t, 6) AS share, 0.0 AS low, 1.0 AS high FROM e1, whole
+UNION ALL SELECT 2, ROUND(norm, 2), ROUND(norm / t, 6), 0.0, 1.0 FROM e2, whole"""
+ORACLE["kmeans_train"] = "SELECT CAST(range AS INTEGER) AS cluster, true AS centre_is_mean FROM range(8)"
+ORACLE["batch_predict"] = with_(FEAT, """SELECT CustomerID, qty_products, qty_returns, frequency, recency_days,
+  true AS label_is_nearest FROM feat""")
+ORACLE["model_reload"] = with_(FEAT, "SELECT CustomerID, true AS same_after_reload FROM feat")
+
 # ---- forecasting ----------------------------------------------------------
-SERIES = B + """,
-daily AS (SELECT Country, InvoiceDate, CAST(SUM(Quantity) AS BIGINT) AS Quantity FROM curated
-          WHERE InvoiceDate BETWEEN DATE '1996-01-01' AND DATE '1997-01-01' GROUP BY Country, InvoiceDate),
+def series_ctes(total: bool = False) -> str:
+    """Gapless daily series over all dates, per country or in all (``total``)."""
+    key = "'all'" if total else "Country"
+    return B + f""",
+daily AS (SELECT {key} AS Country, InvoiceDate, CAST(SUM(Quantity) AS BIGINT) AS Quantity FROM curated GROUP BY ALL),
 span AS (SELECT Country, min(InvoiceDate) AS lo, max(InvoiceDate) AS hi FROM daily GROUP BY Country),
 days AS (SELECT Country, CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS InvoiceDate FROM span),
 j AS (SELECT days.Country, days.InvoiceDate, CAST(daily.Quantity AS DOUBLE) AS y
@@ -211,16 +256,117 @@ nb AS (SELECT *,
 series AS (SELECT Country, InvoiceDate,
   CASE WHEN y IS NOT NULL THEN y ELSE py + (ny - py) * CAST(date_diff('day', pd, InvoiceDate) AS DOUBLE)
        / CAST(date_diff('day', pd, nd) AS DOUBLE) END AS Quantity, y IS NULL AS filled FROM nb)"""
-ORACLE["fill_calendar"] = with_(SERIES, "SELECT Country, InvoiceDate, ROUND(Quantity, 6) AS Quantity, filled FROM series")
-ORACLE["decompose"] = with_(SERIES + """,
+
+
+SERIES = series_ctes()
+TREND = """,
 tr AS (SELECT *, CASE WHEN count(Quantity) OVER w = 7 THEN sum(Quantity) OVER w / 7.0 END AS trend,
          (date_diff('day', DATE '1970-01-01', InvoiceDate) % 7 + 7) % 7 AS phase
-       FROM series WINDOW w AS (PARTITION BY Country ORDER BY InvoiceDate ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)),
+       FROM series WINDOW w AS (PARTITION BY Country ORDER BY InvoiceDate ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING))"""
+ORACLE["fill_calendar"] = with_(SERIES, "SELECT Country, InvoiceDate, ROUND(Quantity, 6) AS Quantity, filled FROM series")
+ORACLE["fill_calendar_total"] = with_(series_ctes(True), "SELECT InvoiceDate, ROUND(Quantity, 6) AS Quantity, filled FROM series")
+SEASON = TREND + """,
 ph AS (SELECT Country, phase, avg(Quantity - trend) AS s FROM tr GROUP BY Country, phase),
-ph2 AS (SELECT Country, phase, s - avg(s) OVER (PARTITION BY Country) AS seasonal FROM ph)""",
-"""SELECT Country, InvoiceDate, ROUND(Quantity, 6) AS Quantity, ROUND(trend, 6) AS trend,
-  ROUND(seasonal, 6) AS seasonal, ROUND(Quantity - trend - seasonal, 6) AS residual
-FROM tr LEFT JOIN ph2 USING (Country, phase)""")
+ph2 AS (SELECT Country, phase, s - avg(s) OVER (PARTITION BY Country) AS seasonal FROM ph)"""
+PARTS = """InvoiceDate, ROUND(Quantity, 6) AS Quantity, ROUND(trend, 6) AS trend,
+  ROUND(seasonal, 6) + 0.0 AS seasonal, ROUND(Quantity - trend - seasonal, 6) + 0.0 AS residual
+FROM tr LEFT JOIN ph2 USING (Country, phase)"""
+ORACLE["decompose"] = with_(SERIES + SEASON, "SELECT Country, " + PARTS)
+ORACLE["decompose_total"] = with_(series_ctes(True) + SEASON, "SELECT " + PARTS)
+
+
+def arima_ctes(lags: int = 7, orders: int = 5) -> str:
+    """Autocovariances, KPSS, Levinson-Durbin, candidates and best orders."""
+    prods = ", ".join(f"coalesce(z * lag(z, {k}) OVER w, 0.0) AS p{k}" for k in range(1, lags + 1))
+    sums = ", ".join(f"sum(p{k}) / count(*) AS r{k}" for k in range(lags + 1))
+    long_run = " + ".join(["r0"] + [f"r{k} * {2 * (1 - k / (lags + 1))!r}" for k in range(1, lags + 1)])
+    out = f""",
+x1 AS (SELECT Country, InvoiceDate AS t, Quantity AS x0,
+   Quantity - lag(Quantity) OVER (PARTITION BY Country ORDER BY InvoiceDate) AS x1 FROM series),
+x2 AS (SELECT *, x1 - lag(x1) OVER (PARTITION BY Country ORDER BY t) AS x2 FROM x1),
+lng AS (SELECT Country, t, 0 AS d, x0 AS x FROM x2 UNION ALL SELECT Country, t, 1, x1 FROM x2 WHERE x1 IS NOT NULL
+        UNION ALL SELECT Country, t, 2, x2 FROM x2 WHERE x2 IS NOT NULL),
+ctr AS (SELECT *, CASE WHEN d < 2 THEN avg(x) OVER (PARTITION BY Country, d) ELSE 0.0 END AS mean FROM lng),
+zz AS (SELECT *, x - mean AS z FROM ctr),
+lg AS (SELECT Country, d, mean, sum(z) OVER w AS c, z * z AS p0, {prods}
+       FROM zz WINDOW w AS (PARTITION BY Country, d ORDER BY t)),
+mom AS (SELECT Country, d, count(*) AS n, max(mean) AS mean, sum(c * c) AS cc, {sums} FROM lg GROUP BY Country, d),
+lr AS (SELECT *, {long_run} AS lr FROM mom),
+l0 AS (SELECT *, r0 AS v0 FROM lr WHERE d = 2 OR CASE WHEN lr > 1e-12 * r0 THEN cc / (CAST(n AS DOUBLE) * n * lr) ELSE 0.0 END <= 0.463
+       QUALIFY row_number() OVER (PARTITION BY Country ORDER BY d) = 1)"""
+    cands = ["SELECT Country, 0 AS p, d, n, mean, v0 AS variance, " + ", ".join(
+        f"CAST(NULL AS DOUBLE) AS ar{i + 1}" for i in range(orders)) + f" FROM l{orders}"]
+    for p in range(1, orders + 1):
+        inner = " - ".join([f"r{p}"] + [f"a{p - 1}_{i} * r{p - 1 - i}" for i in range(p - 1)])
+        new = "".join(f", a{p - 1}_{i} - k{p} * a{p - 1}_{p - 2 - i} AS a{p}_{i}" for i in range(p - 1))
+        out += f""",
+k{p} AS (SELECT *, CASE WHEN v{p - 1} > 0 THEN ({inner}) / v{p - 1} ELSE 0.0 END AS k{p} FROM l{p - 1}),
+l{p} AS (SELECT *{new}, k{p} AS a{p}_{p - 1}, greatest(0.0, v{p - 1} * (1 - k{p} * k{p})) AS v{p} FROM k{p})"""
+        cols = [f"a{p}_{i} AS ar{i + 1}" if i < p else f"NULL AS ar{i + 1}" for i in range(orders)]
+        cands.append(f"SELECT Country, {p}, d, n, mean, v{p}, {', '.join(cols)} FROM l{orders}")
+    return out + f""",
+cand0 AS ({' UNION ALL '.join(cands)}),
+cand AS (SELECT *, CASE WHEN variance > 0 THEN -n / 2.0 * (ln(2 * pi() * variance) + 1) END AS ll FROM cand0),
+scored AS (SELECT *, 2 * (p + 1 + CASE WHEN d < 2 THEN 1 ELSE 0 END) - 2 * ll AS aic FROM cand),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY Country ORDER BY coalesce(round(aic, 8), 0.0), p) = 1)"""
+
+
+MODEL_COLS = """Country, p AS non_seasonal_p, d AS non_seasonal_d, 0 AS non_seasonal_q, d = 1 AS has_drift,
+  ROUND(ll, 4) AS log_likelihood, ROUND(aic, 4) AS AIC, ROUND(variance, 4) AS variance,
+  ROUND(ar1, 6) + 0.0 AS ar1, ROUND(ar2, 6) + 0.0 AS ar2, ROUND(ar3, 6) + 0.0 AS ar3, ROUND(ar4, 6) + 0.0 AS ar4,
+  ROUND(ar5, 6) + 0.0 AS ar5, ROUND(mean, 6) + 0.0 AS intercept_or_drift, CAST(n AS INTEGER) AS n_points"""
+ORACLE["arima_evaluate"] = with_(SERIES + arima_ctes(), f"SELECT {MODEL_COLS} FROM scored")
+ORACLE["arima_fit"] = with_(SERIES + arima_ctes(), f"SELECT {MODEL_COLS} FROM best")
+
+
+def forecast_ctes(horizon: int, orders: int = 5) -> str:
+    """The steps ahead as a recursive CTE (state: last values, psi weights)."""
+    zs = [f"z{i}" for i in range(1, orders + 1)]
+    ps = [f"s{i}" for i in range(1, orders + 1)]
+    diff = lambda i: f"(y[{i}] - y[{i + 1}])"
+    init = ", ".join(f"coalesce(CASE d WHEN 0 THEN y[{i}] WHEN 1 THEN {diff(i)} ELSE {diff(i)} - {diff(i + 1)} END - mean, 0.0) AS z{i}"
+                     for i in range(1, orders + 1))
+    dot = lambda cols: " + ".join(f"coalesce(ar{i + 1}, 0.0) * {c}" for i, c in enumerate(cols))
+    model = "Country, d, mean, variance, ar1, ar2, ar3, ar4, ar5, last"
+    return f""",
+lasty AS (SELECT Country, max(InvoiceDate) AS last, list(Quantity ORDER BY InvoiceDate DESC) AS y FROM series GROUP BY Country),
+rec(Country, d, mean, variance, ar1, ar2, ar3, ar4, ar5, last, h, {', '.join(zs)}, {', '.join(ps)}, val, slope, psi1, psi2, total) AS (
+  SELECT {model}, 0, {init}, {', '.join(['0.0::DOUBLE'] * orders)}, y[1], coalesce({diff(1)}, 0.0), 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE
+  FROM best JOIN lasty USING (Country)
+  UNION ALL
+  SELECT {model}, h, zn, {', '.join(zs[:-1])}, pn, {', '.join(ps[:-1])},
+    CASE WHEN d = 0 THEN x ELSE val + sl END, sl, q1, psi2 + q1,
+    total + CASE d WHEN 0 THEN pn * pn WHEN 1 THEN q1 * q1 ELSE (psi2 + q1) * (psi2 + q1) END
+  FROM (SELECT *, psi1 + pn AS q1, CASE WHEN d = 2 THEN slope + x ELSE x END AS sl FROM (
+    SELECT *, zn + mean AS x FROM (
+      SELECT * REPLACE (h + 1 AS h), {dot(zs)} AS zn, CASE WHEN h = 0 THEN 1.0 ELSE {dot(ps)} END AS pn FROM rec WHERE h < {horizon})))),
+fc AS (SELECT Country, CAST(last + h AS DATE) AS ts, val, sqrt(variance * total) AS se FROM rec WHERE h > 0)"""
+
+
+_Q = "1.2815515655446008"
+BOUNDS = f"""ROUND(se, 4) AS standard_error, 0.8::DOUBLE AS confidence_level,
+  ROUND(val - {_Q} * se, 4) + 0.0 AS prediction_interval_lower_bound,
+  ROUND(val + {_Q} * se, 4) + 0.0 AS prediction_interval_upper_bound"""
+
+
+def recursive(ctes: str, body: str) -> str:
+    return f"WITH RECURSIVE {ctes}\n{body}"
+
+
+def _forecast_sql(total: bool) -> str:
+    key = "" if total else "Country, "
+    return recursive(series_ctes(total) + arima_ctes() + forecast_ctes(10), f"""SELECT {key}ts AS forecast_timestamp,
+  ROUND(val, 4) + 0.0 AS forecast_value, {BOUNDS} FROM fc""")
+
+
+ORACLE["forecast"] = _forecast_sql(False)
+ORACLE["forecast_total"] = _forecast_sql(True)
+ORACLE["explain_forecast"] = recursive(SERIES + TREND + arima_ctes() + forecast_ctes(30), f"""
+SELECT Country, InvoiceDate AS time_series_timestamp, 'history' AS time_series_type, ROUND(Quantity, 4) AS time_series_data,
+  NULL::DOUBLE AS standard_error, NULL::DOUBLE AS confidence_level, NULL::DOUBLE AS prediction_interval_lower_bound,
+  NULL::DOUBLE AS prediction_interval_upper_bound, ROUND(trend, 4) AS trend, 0.0::DOUBLE AS seasonal,
+  ROUND(Quantity - trend, 4) + 0.0 AS residual FROM tr
+UNION ALL SELECT Country, ts, 'forecast', ROUND(val, 4) + 0.0, {BOUNDS}, NULL, NULL, NULL FROM fc""")
 
 # ---- streaming ------------------------------------------------------------
 ORACLE["stream_build"] = with_(base_ctes() + ",\n" + feature_ctes(), f"""SELECT {FEATS.replace('gross_revenue', 'ROUND(gross_revenue, 2) AS gross_revenue')},

@@ -2,7 +2,7 @@
 
 Steps, in the reference's order:
   get_data             raw -> curated table (date-partitioned)
-  data_preparation     curated -> filtered / purchases / returns tables
+  data_preparation     curated -> filtered (and, if asked for, purchases / returns) tables
   feature_engineering  full build or, when the table exists, daily refresh
   create_feature_store register features, ingest the feature table
   batch_serve          read instances -> as-of served training set table
@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import clean, cluster, prepare, store
+from ..operators import clean, cluster, features, prepare, store
 from ..schemas import CURATED, ENTITY_COL, MODEL_FEATURES, MODEL_TARGET, N_CLUSTERS, SEED
 from ..sources import tables
 from ..sources.versioned import VersionedTable
@@ -38,6 +38,9 @@ class Conf:
     stable_labels: bool = False     # number clusters by centre order
     k: int = N_CLUSTERS
     seed: int = SEED
+    fit_partitions: int = cluster.FIT_PARTITIONS
+    write_splits: bool = False      # also write the purchases and returns tables
+    keep_versions: int | None = 7   # feature-table versions that stay
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -50,14 +53,14 @@ def get_data(spark: SparkSession, raw: DataFrame, conf: Conf) -> None:
 def data_preparation(spark: SparkSession, conf: Conf) -> None:
     cur = tables.read_until(tables.read_table(spark, conf.path("curated"), CURATED),
                             "InvoiceDate", conf.as_of)
-    f, p, _ = prepare.prepare(cur)
+    # Curated rows have a finite customer, so the cast needs no checking pass.
+    f, p, _ = prepare.prepare(cur, trusted=True)
     tables.write_table(f, conf.path("filtered"), "replace")
-    tables.write_table(p, conf.path("purchases"), "replace")
-    # Returns are rows of the filtered table (two of its columns): read them
-    # from it, a plain column-pruned scan, instead of listing and filtering
-    # the date-partitioned curated table a third time.
-    tables.write_table(prepare.returns(tables.read_table(spark, conf.path("filtered"))),
-                       conf.path("returns"), "replace")
+    if conf.write_splits:
+        # No later step reads these two; the filtered table has all their rows.
+        tables.write_table(p, conf.path("purchases"), "replace")
+        tables.write_table(prepare.returns(tables.read_table(spark, conf.path("filtered"))),
+                           conf.path("returns"), "replace")
 
 
 def feature_engineering(spark: SparkSession, raw: DataFrame, conf: Conf) -> str:
@@ -67,7 +70,9 @@ def feature_engineering(spark: SparkSession, raw: DataFrame, conf: Conf) -> str:
     # without quantity) with all columns the fused aggregation reads.
     typed = tables.read_until(tables.read_table(spark, conf.path("filtered")),
                               "InvoiceDate", conf.as_of)
-    vt = VersionedTable(spark, conf.path("feature_table"))
+    prepare.require(typed, features.FEATURE_INPUT, "filtered", non_empty=True)
+    prepare.require(prepare.purchases(typed), (), "purchases", non_empty=True)
+    vt = VersionedTable(spark, conf.path("feature_table"), keep=conf.keep_versions)
     if not vt.exists():
         store.build_feature_table(vt, typed, conf.at, conf.key)
         return "build"
@@ -80,9 +85,9 @@ def create_feature_store(spark: SparkSession, conf: Conf, ingest_date=None) -> s
     fs = store.FeatureStore(spark, conf.path("feature_store")).get_or_create()
     fs.register()
     vt = VersionedTable(spark, conf.path("feature_table"))
-    # One ingest batch per feature-table version: a re-run replaces it.
-    v = vt.current_version()
-    fs.ingest(vt.read(v), ingest_date=ingest_date, batch=f"v{v:06d}")
+    # One ingest batch per feature-table version, of the rows that changed: a
+    # re-run replaces it.
+    fs.ingest_version(vt, ingest_date=ingest_date)
     return fs
 
 
@@ -99,7 +104,8 @@ def model_train(spark: SparkSession, conf: Conf):
     train = tables.read_table(spark, conf.path("train"))
     # Ordered by the entity key: refitting on the same table gives the same model.
     model = cluster.fit(train, MODEL_FEATURES, conf.k, conf.seed, conf.n_init, target=MODEL_TARGET,
-                        order_by=[ENTITY_COL], parallelism=conf.fit_parallelism)
+                        order_by=[ENTITY_COL], parallelism=conf.fit_parallelism,
+                        fit_partitions=conf.fit_partitions)
     cluster.save_model(model, conf.path("model"))
     return model
 

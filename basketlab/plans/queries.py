@@ -58,7 +58,7 @@ def q_features_join(spark, sf_dir):
 
 # ---- sources and sinks ----------------------------------------------------
 from ..functions import casts  # noqa: E402
-from ..schemas import CURATED, PREPARED  # noqa: E402
+from ..schemas import CURATED, MODEL_FEATURES, N_CLUSTERS, PREPARED  # noqa: E402
 from ..session import scratch_path, shared_dir  # noqa: E402
 from ..sources import tables  # noqa: E402
 
@@ -222,16 +222,25 @@ def _report(df):
     return df.withColumn("gross_revenue", F.round("gross_revenue", 2))
 
 
-def built_table(spark, sf_dir) -> VersionedTable:
+def built_table(spark, sf_dir, as_of=None) -> VersionedTable:
     vt = VersionedTable(spark, scratch_path(spark, "feature-table"))
-    store.build_feature_table(vt, typed(spark, sf_dir, BUILD_AS_OF), at=T0, key="hash")
+    store.build_feature_table(vt, typed(spark, sf_dir, as_of), at=T0, key="hash")
     return vt
 
 
+UUID = "^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
+
+
 @register("stamp")
 def q_stamp(spark, sf_dir):
-    # Random keys (the reference's behaviour): checked on rows and uniqueness.
-    return store.stamp(features.customer_features(typed(spark, sf_dir)), key="uuid")
+    # Random keys (the reference's behaviour): kept once, then reported as
+    # "is a random uuid" and "no other row has it".
+    shared_dir(spark)
+    t = store.stamp(features.customer_features(typed(spark, sf_dir)), at=T0, key="uuid").checkpoint(eager=True)
+    times = t.groupBy("values").agg(F.count("*").alias("n"))
+    return _report(t.join(times, "values").select(
+        *[c for c in t.columns if c != "values"], F.col("values").rlike(UUID).alias("key_valid"),
+        (F.col("n") == 1).alias("key_unique")))
 
 
 @register("feature_table")
@@ -239,6 +248,33 @@ def q_feature_table(spark, sf_dir):
     return _report(built_table(spark, sf_dir).read())
 
 
+@register("normalise_types")
+def q_normalise_types(spark, sf_dir):
+    # Untrusted input: CustomerID has missing values, so it stays as it is.
+    return casts.normalise_types(raw(spark, sf_dir))
+
+
+@register("normalise_types_clean")
+def q_normalise_types_clean(spark, sf_dir):
+    return casts.normalise_types(curated(spark, sf_dir))
+
+
+@register("write_refused")
+def q_write_refused(spark, sf_dir):
+    """S7 and S8 on a real table: absent, written, refused, unchanged."""
+    path = scratch_path(spark, "refused")
+    before = tables.table_exists(spark, path)
+    tables.write_table(typed(spark, sf_dir), path, "fail")
+    try:
+        tables.write_table(typed(spark, sf_dir).limit(1), path, "fail")
+        refused = False
+    except Exception:  # noqa: BLE001 - Spark's own error type differs by sink
+        refused = True
+    return tables.read_table(spark, path, PREPARED).groupBy("Country").agg(F.count("*").alias("n_lines")).select(
+        "Country", "n_lines", F.lit(before).alias("existed_before"), F.lit(refused).alias("refused"),
+        F.lit(tables.table_exists(spark, path)).alias("exists_after"))
+
+
 @register("active_semi")
 def q_active_semi(spark, sf_dir):
     t = prepare.filtered(typed(spark, sf_dir, REFRESH_DAY))
@@ -247,13 +283,13 @@ def q_active_semi(spark, sf_dir):
 
 @register("restamp")
 def q_restamp(spark, sf_dir):
-    vt = built_table(spark, sf_dir)
+    vt = built_table(spark, sf_dir, BUILD_AS_OF)
     return _report(store.restamp(vt.read(), store.active_set(raw(spark, sf_dir), REFRESH_DAY),
                                  at=T1, key="hash"))
 
 
 def _refreshed(spark, sf_dir, mode):
-    vt = built_table(spark, sf_dir)
+    vt = built_table(spark, sf_dir, BUILD_AS_OF)
     store.refresh_features(vt, typed(spark, sf_dir, REFRESH_DAY), raw(spark, sf_dir),
                            REFRESH_DAY, at=T1, key="hash", mode=mode)
     return _report(vt.read())
@@ -298,11 +334,34 @@ def q_train_set(spark, sf_dir):
     return _report(fs.serve(store.read_instances(vt.read()), "*"))
 
 
+def two_versions(spark, sf_dir):
+    """Built, ingested, refreshed, and the changed rows ingested."""
+    vt = built_table(spark, sf_dir, BUILD_AS_OF)
+    fs = store.FeatureStore(spark, scratch_path(spark, "feature-store")).get_or_create()
+    fs.register()
+    fs.ingest_version(vt, ingest_date="2024-01-01")
+    store.refresh_features(vt, typed(spark, sf_dir, REFRESH_DAY), raw(spark, sf_dir), REFRESH_DAY, at=T1, key="hash")
+    fs.ingest_version(vt, ingest_date="2024-01-02")
+    return vt, fs
+
+
+@register("ingest_two_versions")
+def q_ingest_two_versions(spark, sf_dir):
+    return _report(two_versions(spark, sf_dir)[1].log().select(*STORE_COLS))
+
+
+@register("train_set_two_versions")
+def q_train_set_two_versions(spark, sf_dir):
+    vt, fs = two_versions(spark, sf_dir)
+    return _report(fs.serve(store.read_instances(vt.read()), "*"))
+
+
 @register("asof_serve")
 def q_asof_serve(spark, sf_dir):
+    # Every event is a read; what a user looked at or clicked on is the feature.
     ev = fixtures.table(spark, sf_dir, "events")
-    reads = ev.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
-    feats = ev.where(F.col("event_type") == "view").select(
+    reads = ev.select("event_id", "event_type", "user_id", "ts")
+    feats = ev.where(F.col("event_type").isin("view", "click")).select(
         "user_id", F.col("ts").alias("feat_ts"), F.col("value").alias("feat_value"),
         F.col("event_id").alias("feat_event_id"))
     return asof_join(reads, feats, "user_id", "ts", "feat_ts",
@@ -352,22 +411,45 @@ def q_cluster_assign(spark, sf_dir):
 
 @register("pca_project")
 def q_pca_project(spark, sf_dir):
+    """Per component: the variance of the projected customers (an eigenvalue
+    of their covariance) and its share of the whole; scaled bounds 0 and 1."""
     train, model = fitted(spark, sf_dir)
-    return cluster.pca_projection(model, train).select("CustomerID", "pc1", "pc2", "s1", "s2")
+    p = cluster.pca_projection(model, train)
+    whole = p.agg(sum(F.var_samp(F.col(c).cast("double")) for c in MODEL_FEATURES)).scalar()
+    rows = p.select(F.explode(F.array(*[F.struct(F.lit(i).alias("component"), F.col(f"pc{i}").alias("pc"),
+                                                 F.col(f"s{i}").alias("s")) for i in (1, 2)])).alias("r")).select("r.*")
+    var = F.var_samp("pc")
+    return rows.groupBy("component").agg(var.alias("v"), F.min("s").alias("low"), F.max("s").alias("high")).select(
+        "component", F.round(F.col("v"), 2).alias("eigenvalue"), F.round(F.col("v") / whole, 6).alias("share"),
+        F.round("low", 6).alias("low"), F.round("high", 6).alias("high"))
 
 
 @register("kmeans_train")
 def q_kmeans_train(spark, sf_dir):
-    _, model = fitted(spark, sf_dir)
-    rows = [(i, c[0], c[1]) for i, c in enumerate(cluster.centers(model))]
-    # k rows derived from the fitted model (a model summary, not an input).
-    return spark.createDataFrame(rows, "cluster int, c1 double, c2 double")
+    """Per cluster: has members, and its centre is their mean (up to the
+    distance at which the fit stops)."""
+    train, model = fitted(spark, sf_dir)
+    centres = F.array(*[F.array(*map(F.lit, c)) for c in cluster.centers(model)])
+    near = cluster.lloyd_tolerance(model.transform(train).select("__scaled"), 1e-4, N_CLUSTERS, 2) + 1e-9
+    rows = (cluster.pca_projection(model, train)
+            .join(cluster.predict(model, train).select("CustomerID", "Clusters"), "CustomerID"))
+    means = rows.groupBy("Clusters").agg(F.avg("s1").alias("m1"), F.avg("s2").alias("m2"))
+    centre = F.get(centres, F.col("Clusters"))
+    gap = F.sqrt(F.pow(F.col("m1") - centre[0], 2) + F.pow(F.col("m2") - centre[1], 2))
+    return means.select(F.col("Clusters").alias("cluster"), (gap <= near).alias("centre_is_mean"))
+
+
+def _labelled(model, train, labels):
+    """Whether each customer's label is its nearest centre's."""
+    near = cluster.nearest_center(["s1", "s2"], cluster.centers(model))
+    rows = cluster.pca_projection(model, train).join(labels.select("CustomerID", "Clusters"), "CustomerID")
+    return rows.select("CustomerID", *MODEL_FEATURES, (F.col("Clusters") == near).alias("label_is_nearest"))
 
 
 @register("batch_predict")
 def q_batch_predict(spark, sf_dir):
     train, model = fitted(spark, sf_dir)
-    return cluster.predict(model, train)
+    return _labelled(model, train, cluster.predict(model, train))
 
 
 @register("model_reload")
@@ -375,7 +457,9 @@ def q_model_reload(spark, sf_dir):
     train, model = fitted(spark, sf_dir)
     path = scratch_path(spark, "model")
     cluster.save_model(model, path)
-    return cluster.predict(cluster.load_model(path), train)
+    again = cluster.predict(cluster.load_model(path), train).select("CustomerID", F.col("Clusters").alias("again"))
+    return cluster.predict(model, train).join(again, "CustomerID").select(
+        "CustomerID", (F.col("Clusters") == F.col("again")).alias("same_after_reload"))
 
 
 # ---- forecasting ----------------------------------------------------------
@@ -384,52 +468,93 @@ from ..operators import forecast as fcst  # noqa: E402
 SERIES_KEYS = ("Country",)
 
 
-def country_series(spark, sf_dir):
-    """Gapless daily series per country. Bounded by days x series, and read
-    by both the order search and the forecast, so it is checkpointed once in
-    the shared folder instead of being derived twice from the input tables."""
-    daily = features.daily_quantity(curated(spark, sf_dir), SERIES_FROM, SERIES_TO, keys=SERIES_KEYS)
+def daily_series(spark, sf_dir, keys=SERIES_KEYS):
+    """Gapless daily series over all dates. Bounded by days x series, and
+    read by both the order search and the forecast, so it is checkpointed once
+    in the shared folder instead of being derived twice from the input tables."""
+    daily = features.daily_quantity(curated(spark, sf_dir), keys=keys)
     shared_dir(spark)
-    return fcst.fill_calendar(daily, SERIES_KEYS).checkpoint(eager=True)
+    return fcst.fill_calendar(daily, keys).checkpoint(eager=True)
+
+
+def _rounded(df, places, cols):
+    return df.withColumns({c: F.round(c, places) for c in cols})
+
+
+def _filled(spark, sf_dir, keys):
+    return _rounded(daily_series(spark, sf_dir, keys), 6, ["Quantity"])
 
 
 @register("fill_calendar")
 def q_fill_calendar(spark, sf_dir):
-    return country_series(spark, sf_dir).withColumn("Quantity", F.round("Quantity", 6))
+    return _filled(spark, sf_dir, SERIES_KEYS)
+
+
+@register("fill_calendar_total")
+def q_fill_calendar_total(spark, sf_dir):
+    return _filled(spark, sf_dir, ())
+
+
+def _decomposed(spark, sf_dir, keys):
+    d = fcst.decompose(daily_series(spark, sf_dir, keys), keys, period=7)
+    return _rounded(d.select(*keys, "InvoiceDate", "Quantity", "trend", "seasonal", "residual"), 6,
+                    ["Quantity", "trend", "seasonal", "residual"])
 
 
 @register("decompose")
 def q_decompose(spark, sf_dir):
-    d = fcst.decompose(country_series(spark, sf_dir), SERIES_KEYS, period=7)
-    return d.select("Country", "InvoiceDate", *[F.round(c, 6).alias(c) for c in
-                                                ["Quantity", "trend", "seasonal", "residual"]])
+    return _decomposed(spark, sf_dir, SERIES_KEYS)
+
 
+@register("decompose_total")
+def q_decompose_total(spark, sf_dir):
+    return _decomposed(spark, sf_dir, ())
 
-def _model(spark, sf_dir):
-    s = country_series(spark, sf_dir)
-    return s, fcst.fit_arima(s, SERIES_KEYS)
+
+def _model_rows(df):
+    ar = {f"ar{i + 1}": F.round(F.get("ar_coefficients", F.lit(i)), 6) for i in range(fcst.MAX_ORDER)}
+    df = _rounded(_rounded(df, 4, ["log_likelihood", "AIC", "variance"]), 6, ["intercept_or_drift"])
+    return df.withColumns(ar).drop("ar_coefficients")
+
+
+def _model(spark, sf_dir, keys=SERIES_KEYS):
+    s = daily_series(spark, sf_dir, keys)
+    return s, fcst.fit_arima(s, keys)
 
 
 @register("arima_evaluate")
 def q_arima_evaluate(spark, sf_dir):
-    return fcst.arima_evaluate(country_series(spark, sf_dir), SERIES_KEYS)
+    return _model_rows(fcst.arima_evaluate(daily_series(spark, sf_dir), SERIES_KEYS))
 
 
 @register("arima_fit")
 def q_arima_fit(spark, sf_dir):
-    return _model(spark, sf_dir)[1]
+    return _model_rows(_model(spark, sf_dir)[1])
+
+
+_BOUNDS = ["standard_error", "prediction_interval_lower_bound", "prediction_interval_upper_bound"]
+
+
+def _forecast(spark, sf_dir, keys):
+    s, m = _model(spark, sf_dir, keys)
+    return _rounded(fcst.forecast(s, m, keys, horizon=10, level=0.8), 4, ["forecast_value", *_BOUNDS])
 
 
 @register("forecast")
 def q_forecast(spark, sf_dir):
-    s, m = _model(spark, sf_dir)
-    return fcst.forecast(s, m, SERIES_KEYS, horizon=10, level=0.8)
+    return _forecast(spark, sf_dir, SERIES_KEYS)
+
+
+@register("forecast_total")
+def q_forecast_total(spark, sf_dir):
+    return _forecast(spark, sf_dir, ())
 
 
 @register("explain_forecast")
 def q_explain_forecast(spark, sf_dir):
     s, m = _model(spark, sf_dir)
-    return fcst.explain_forecast(s, m, SERIES_KEYS, horizon=30, level=0.8)
+    return _rounded(fcst.explain_forecast(s, m, SERIES_KEYS, horizon=30, level=0.8), 4,
+                    ["time_series_data", "trend", "residual", *_BOUNDS])
 
 
 # ---- streaming ------------------------------------------------------------

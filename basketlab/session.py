@@ -21,6 +21,7 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     # Remove checkpoint files once their DataFrames are garbage collected.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.checkpoint.compress": "true",
 }
 
 
@@ -120,14 +121,6 @@ def _drop_scratch() -> None:
             pass
 
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence test through the Hadoop FileSystem API (works for any scheme)."""
     jvm = spark.sparkContext._jvm
@@ -137,7 +130,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Atomically (write temp + rename) store a small text file, any FS scheme."""
+    """Store a small text file under a NEW name, any FS scheme: written aside
+    and renamed, so it appears whole or not at all. Nothing is replaced: an
+    existing target is an error."""
     jvm = spark.sparkContext._jvm
     hconf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -146,9 +141,22 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     out = fs.create(tmp, True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    fs.rename(tmp, p)
+    if fs.exists(p) or not fs.rename(tmp, p):
+        fs.delete(tmp, False)
+        raise FileExistsError(path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isFile()] if fs.exists(p) else []
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
@@ -177,7 +185,3 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
     if not fs.exists(p):
         return []
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
-
-
-def env_sf_dir(default: str = "/root/testdata/sf0.01") -> str:
-    return os.environ.get("BASKETLAB_SF_DIR", default)

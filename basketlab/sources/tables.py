@@ -22,10 +22,17 @@ def is_path(name: str) -> bool:
 
 
 def read_table(spark: SparkSession, name: str, schema: T.StructType | None = None) -> DataFrame:
-    """Whole table; with ``schema``, names and types are asserted and the
-    columns returned in declared order."""
-    df = spark.read.parquet(name) if is_path(name) else spark.table(name)
-    return assert_schema(df, schema, name) if schema is not None else df
+    """Whole table. With ``schema`` a path is read by it, without looking
+    into the files: columns come in declared order, a table without a single
+    row (and so without a file) is empty instead of unreadable, and a file of
+    other types fails when it is read. A catalog table's own schema is
+    compared with it."""
+    if not is_path(name):
+        df = spark.table(name)
+        return assert_schema(df, schema, name) if schema is not None else df
+    if schema is None:
+        return spark.read.parquet(name)
+    return spark.read.schema(schema).parquet(name).select(*schema.names)
 
 
 def read_until(df: DataFrame, date_col: str = "InvoiceDate", as_of=None) -> DataFrame:
@@ -40,8 +47,13 @@ def read_until(df: DataFrame, date_col: str = "InvoiceDate", as_of=None) -> Data
 
 
 def run_sql(spark: SparkSession, sql: str) -> DataFrame:
-    """S3: analyse (fails fast on bad SQL, like a dry run) and return the
-    result as a distributed DataFrame; nothing is collected."""
+    """S3: validate first, then run. The statement is parsed and analysed
+    with EXPLAIN, which executes nothing, not even a command; errors come up
+    here. The result is a distributed DataFrame; nothing is collected."""
+    plan = spark.sql("EXPLAIN EXTENDED " + sql).first()[0]
+    # EXPLAIN reports an analysis error as text instead of raising it.
+    if "Exception" in plan.split("== Optimized Logical Plan ==")[0]:
+        raise ValueError(f"not a valid statement: {plan[:500]}")
     return spark.sql(sql)
 
 

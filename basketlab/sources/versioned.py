@@ -19,15 +19,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import list_dirs, path_exists, read_text, write_text
+from ..session import delete_path, list_dirs, path_exists, read_text, write_text
 
 MARKER = "_COMMITTED"
 
 
 class VersionedTable:
-    def __init__(self, spark: SparkSession, root: str):
+    """``keep`` committed versions stay (at least 1; None: all). Older ones
+    are retired after a commit, so a reader of the version before last has
+    ``keep - 1`` further writes' time to finish."""
+
+    def __init__(self, spark: SparkSession, root: str, keep: int | None = None):
+        if keep is not None and keep < 1:
+            raise ValueError("keep must be at least 1")
         self.spark = spark
         self.root = root.rstrip("/")
+        self.keep = keep
 
     def path(self, version: int) -> str:
         return f"{self.root}/v={version:06d}"
@@ -78,4 +85,18 @@ class VersionedTable:
         nxt = max([cur or 0, *self._versions()]) + 1
         df.write.mode("overwrite").parquet(self.path(nxt))
         write_text(self.spark, self.marker(nxt), note or "")
+        self.retire()
         return nxt
+
+    def committed(self) -> list[int]:
+        """Committed versions, newest first."""
+        return [v for v in self._versions() if path_exists(self.spark, self.marker(v))]
+
+    def retire(self) -> list[int]:
+        """Delete committed versions beyond the newest ``keep``: the marker
+        first, so a half-deleted version is never read. Returns them."""
+        old = self.committed()[self.keep:] if self.keep else []
+        for v in old:
+            delete_path(self.spark, self.marker(v))
+            delete_path(self.spark, self.path(v))
+        return old

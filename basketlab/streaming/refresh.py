@@ -31,27 +31,44 @@ BATCH_NOTE = "batch="
 
 def applied_batch(vt: VersionedTable) -> int:
     """Id of the last stream batch committed into the table (-1 if none)."""
+    return _applied(vt)[0]
+
+
+def _applied(vt: VersionedTable) -> tuple[int, str | None]:
+    """(batch id, processing day) of the last committed batch."""
     note = vt.current_note()
-    return int(note[len(BATCH_NOTE):]) if note and note.startswith(BATCH_NOTE) else -1
+    if not note or not note.startswith(BATCH_NOTE):
+        return -1, None
+    batch, _, day = note[len(BATCH_NOTE):].partition(" day=")
+    return int(batch), day or None
 
 
-def _process(spark: SparkSession, curated_path: str, table_root: str, at, key, mode, rules):
+def _process(spark: SparkSession, curated_path: str, table_root: str, at, key, mode, rules, as_of=None):
     vt = VersionedTable(spark, table_root)
 
     def fn(batch: DataFrame, batch_id: int) -> None:
-        if batch_id <= applied_batch(vt):
+        last, last_day = _applied(vt)
+        if batch_id <= last:
             return                                   # replayed batch: already applied
+        day = str(as_of if as_of is not None else store.today())
         # Read twice (curated rows, active set): keep it for this batch only.
         # A lost executor's blocks are recomputed from the batch's files.
         batch = batch.persist()
         try:
-            cur = clean.curate(batch, None, rules)
+            # Rows dated after the day stay in the curated table (the file is
+            # consumed and won't come again); every read cuts them off.
+            cur = clean.curate(batch, None, rules, cut_off=False)
             tables.write_partitioned(cur, f"{curated_path}/batch_id={batch_id}", "InvoiceDate",
                                      mode="replace")
-            typed = prepare.cast_trusted(tables.read_table(spark, curated_path, RAW))
-            active = (batch.where(F.col("CustomerID").isNotNull())
-                      .select(F.col("CustomerID").cast("bigint").alias("CustomerID")).distinct())
-            note = f"{BATCH_NOTE}{batch_id}"
+            rows = tables.read_until(tables.read_table(spark, curated_path, RAW), "InvoiceDate", day)
+            typed = prepare.cast_trusted(rows)
+            seen = batch.where((F.col("InvoiceDate") <= F.lit(day).cast("date")) & F.col("CustomerID").isNotNull())
+            if last_day is not None and last_day < day:
+                # Earlier rows whose date has come since the last batch.
+                seen = seen.select("CustomerID").unionByName(
+                    rows.where(F.col("InvoiceDate") > F.lit(last_day).cast("date")).select("CustomerID"))
+            active = seen.select(F.col("CustomerID").cast("bigint").alias("CustomerID")).distinct()
+            note = f"{BATCH_NOTE}{batch_id} day={day}"
             if not vt.exists():
                 store.build_feature_table(vt, typed, at, key, note=note)
             else:
@@ -64,8 +81,9 @@ def _process(spark: SparkSession, curated_path: str, table_root: str, at, key, m
 def start_refresh_stream(spark: SparkSession, landing_dir: str, curated_path: str,
                          table_root: str, checkpoint: str, at=None, key: str = "uuid",
                          mode: str = "append", rules: clean.Rules = clean.Rules(),
-                         available_now: bool = True, max_files_per_trigger: int | None = None):
-    """Start the stream; returns the ``StreamingQuery``.
+                         available_now: bool = True, max_files_per_trigger: int | None = None, as_of=None):
+    """Start the stream; returns the ``StreamingQuery``. ``as_of`` is the
+    processing day (default: today).
 
     ``checkpoint`` and ``table_root`` belong together: the table records the
     last applied batch id of *this* checkpoint's numbering, so a new
@@ -74,7 +92,7 @@ def start_refresh_stream(spark: SparkSession, landing_dir: str, curated_path: st
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = reader.parquet(landing_dir)
-    w = (src.writeStream.foreachBatch(_process(spark, curated_path, table_root, at, key, mode, rules))
+    w = (src.writeStream.foreachBatch(_process(spark, curated_path, table_root, at, key, mode, rules, as_of))
          .option("checkpointLocation", checkpoint))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 day")
     return w.start()

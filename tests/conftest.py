@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -17,6 +18,7 @@ def spark():
         "spark.sql.shuffle.partitions": "8",
         "spark.ui.showConsoleProgress": "false",
         "spark.default.parallelism": "4",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="basketlab-tests-"),
     })
     s.sparkContext.setLogLevel("ERROR")
     yield s

@@ -46,7 +46,7 @@ def test_rows_sit_at_nearest_centre(train, model):
     cs = np.array(cluster.centers(model))
     S = np.stack(t["s"].to_numpy())
     d = ((S[:, None, :] - cs[None, :, :]) ** 2).sum(-1)
-    assert (d.argmin(1) == t["Clusters"].to_numpy()).mean() > 0.99
+    assert (d.argmin(1) == t["Clusters"].to_numpy()).all()
     assert t["Clusters"].nunique() <= 8
 
 
@@ -124,3 +124,23 @@ def test_parallel_n_init_picks_the_same_model(train):
     a = cluster.fit(train, n_init=3, order_by=["CustomerID"])
     b = cluster.fit(train, n_init=3, order_by=["CustomerID"], parallelism=3)
     assert np.allclose(sorted(map(tuple, cluster.centers(a))), sorted(map(tuple, cluster.centers(b))))
+
+
+def test_model_does_not_follow_the_input_layout(train):
+    """A model doesn't depend on input order or partitioning."""
+    a = cluster.fit(train, order_by=["CustomerID"], fit_partitions=3)
+    b = cluster.fit(train.repartition(7).orderBy("frequency"), order_by=["CustomerID"], fit_partitions=3)
+    assert np.allclose(cluster.centers(a), cluster.centers(b))
+
+
+def test_partitions_are_fixed_on_both_sides_of_a_large_row_count(spark, monkeypatch):
+    """Formerly 250,001 rows meant another layout than 250,000."""
+    seen = []
+    persist = type(spark.range(1)).persist
+    monkeypatch.setattr(type(spark.range(1)), "persist",
+                        lambda self, *a: (seen.append(self.rdd.getNumPartitions()), persist(self, *a))[1])
+    for n in (250_000, 250_001):
+        rows = spark.range(n).selectExpr("id AS CustomerID", "id % 7 AS qty_products", "id % 3 AS qty_returns",
+                                         "id % 11 / 10.0 AS frequency", "id % 300 AS recency_days")
+        cluster.fit(rows, order_by=["CustomerID"], k=2)
+    assert seen == [cluster.FIT_PARTITIONS] * 4

@@ -21,49 +21,142 @@ def ar_series(phi, n, seed, c=100.0, sd=1.0):
     return y[200:] + c
 
 
-def test_ar_coefficients_recovered():
-    for phi in ([0.6], [0.5, -0.3]):
-        y = ar_series(phi, 800, 1)
-        fit = fc.fit_arma(y, len(phi), 0, with_mean=True)
-        assert np.allclose(fit["phi"], phi, atol=0.08)
+def many(spark, series):
+    """{key: values} as one table of gapless daily series."""
+    start = dt.date(2020, 1, 1)
+    rows = [(k, start + dt.timedelta(days=i), float(v)) for k, values in series.items() for i, v in enumerate(values)]
+    return spark.createDataFrame(rows, "k string, InvoiceDate date, Quantity double")
 
 
-def test_order_search_picks_ar1(spark):
-    df = series_df(spark, ar_series([0.7], 400, 3))
-    best = fc.fit_arima(df, ["k"]).first()
-    assert best["non_seasonal_d"] == 0
-    assert best["non_seasonal_p"] >= 1
-    cands = fc.arima_evaluate(df, ["k"]).count()
-    assert cands == len(fc.order_grid())
+def yule_walker(x, p):
+    """Coefficients and innovation variance from the linear equations."""
+    x = np.asarray(x, dtype=float)
+    r = [float((x[k:] * x[:len(x) - k]).sum()) / len(x) for k in range(p + 1)]
+    phi = np.linalg.solve([[r[abs(i - j)] for j in range(p)] for i in range(p)], r[1:]) if p else np.array([])
+    return phi, r[0] - float(phi @ r[1:p + 1]) if p else r[0]
+
+
+def test_candidates_solve_the_yule_walker_equations(spark):
+    y = ar_series([0.5, -0.3], 300, 1)
+    rows = fc.arima_evaluate(series_df(spark, y), ["k"]).collect()
+    assert sorted(r.non_seasonal_p for r in rows) == list(range(fc.MAX_ORDER + 1))
+    x = np.diff(y, n=rows[0].non_seasonal_d)
+    for r in rows:
+        assert r.n_points == len(x) and np.isclose(r.intercept_or_drift, x.mean())
+        phi, var = yule_walker(x - x.mean(), r.non_seasonal_p)
+        assert np.allclose(r.ar_coefficients, phi) and np.isclose(r.variance, var)
+        ll = -len(x) / 2 * (np.log(2 * np.pi * var) + 1)
+        assert np.isclose(r.log_likelihood, ll) and np.isclose(r.AIC, 2 * (r.non_seasonal_p + 2) - 2 * ll)
+
+
+def test_kpss_statistic(spark):
+    y = ar_series([0.5], 200, 4)
+    z = y - y.mean()
+    long_run = (z @ z + 2 * sum((1 - k / (fc.KPSS_LAGS + 1)) * (z[k:] @ z[:-k])
+                                for k in range(1, fc.KPSS_LAGS + 1))) / len(z)
+    want = (np.cumsum(z) ** 2).sum() / (len(z) ** 2 * long_run)
+    rows = fc._moments(series_df(spark, y), ["k"], "InvoiceDate", "Quantity").collect()
+    assert np.isclose([r.kpss for r in rows if r.d == 0][0], want)
+
+
+def test_order_search_finds_ar_orders(spark):
+    series = {f"{p}-{i}": ar_series(phi, 800, 10 * p + i) for p, phi in ((1, [0.7]), (2, [0.3, 0.5])) for i in range(6)}
+    best = {r.k: r for r in fc.fit_arima(many(spark, series), ["k"]).collect()}
+    assert len(best) == len(series)
+    assert sum(r.non_seasonal_p == int(k[0]) for k, r in best.items()) >= 6
+    assert all(r.non_seasonal_p >= int(k[0]) for k, r in best.items() if r.non_seasonal_d == 0)
+
+
+def test_white_noise_mostly_gets_order_zero_whatever_the_unit(spark):
+    rng = np.random.default_rng(5)
+    noise = {f"{i:02d}": rng.normal(0, 5, 365) for i in range(30)}
+    found = []
+    for unit in (1, 0.001, 1000):
+        rows = fc.fit_arima(many(spark, {k: unit * v for k, v in noise.items()}), ["k"]).collect()
+        found.append({r.k: (r.non_seasonal_p, r.non_seasonal_d) for r in rows})
+    assert found[0] == found[1] == found[2] and len(found[0]) == 30
+    assert sum(p == 0 for p, _ in found[0].values()) > 15
+
+
+def test_short_and_constant_series_are_kept(spark):
+    df = many(spark, {"one": [4], "two": [4, 6], "three": [4, 6, 5], "same": [7] * 40, "long": ar_series([0.5], 60, 2)})
+    m = fc.fit_arima(df, ["k"])
+    rows = {r.k: r for r in m.collect()}
+    assert set(rows) == {"one", "two", "three", "same", "long"}
+    assert (rows["one"].non_seasonal_p, rows["one"].AIC, rows["same"].AIC) == (0, None, None)
+    out = fc.forecast(df, m, ["k"], horizon=4).collect()
+    assert len(out) == 20 and all(r.forecast_value is not None and r.standard_error >= 0 for r in out)
+    assert {r.forecast_value for r in out if r.k in ("one", "same")} == {4.0, 7.0}
+    ex = fc.explain_forecast(df, m, ["k"], horizon=2).groupBy("k", "time_series_type").count().collect()
+    assert {(r.k, r.time_series_type): r["count"] for r in ex if r.k == "two"} == {
+        ("two", "history"): 2, ("two", "forecast"): 2}
 
 
 def test_linear_trend_d1_drift(spark):
     y = 5.0 + 2.0 * np.arange(200) + np.random.default_rng(2).normal(0, 0.01, 200)
     df = series_df(spark, y)
     m = fc.fit_arima(df, ["k"])
-    assert m.first()["non_seasonal_d"] == 1
+    assert m.first()["non_seasonal_d"] == 1 and m.first()["has_drift"]
     out = fc.forecast(df, m, ["k"], horizon=10).orderBy("forecast_timestamp").toPandas()
     expect = 5.0 + 2.0 * np.arange(200, 210)
     assert np.abs(out["forecast_value"].to_numpy() - expect).max() < 0.5
     assert str(out["forecast_timestamp"].iloc[0]) == "2020-07-19"
 
 
+def plain_forecast(y, d, phi, mean, var, h):
+    """The recursion written out: differences, AR steps, sums; psi weights."""
+    x = list(np.diff(y, n=d))
+    z = [v - mean for v in x]
+    for _ in range(h):
+        z.append(sum(c * z[-1 - i] for i, c in enumerate(phi) if i < len(z)))
+    steps, psi = [v + mean for v in z[-h:]], [1.0]
+    for _ in range(h - 1):
+        psi.append(sum(c * psi[-1 - i] for i, c in enumerate(phi) if i < len(psi)))
+    levels = [np.asarray(y, dtype=float)]
+    for _ in range(d):
+        levels.append(np.diff(levels[-1]))
+    for level in reversed(levels[:-1]) if d else []:
+        steps = list(level[-1] + np.cumsum(steps))
+    for _ in range(d):
+        psi = np.cumsum(psi)
+    return steps, np.sqrt(var * np.cumsum(np.square(psi)))
+
+
+@pytest.mark.parametrize("d", [0, 1, 2])
+def test_forecast_steps_against_plain_recursion(spark, d):
+    y = ar_series([0.5, -0.2], 60, 7)
+    for _ in range(d):
+        y = np.cumsum(y - y.mean() + 0.3)
+    phi, mean = [0.4, -0.3, 0.2], 0.25
+    model = spark.createDataFrame([("s", d, phi, mean, 2.5)], "k string, non_seasonal_d int, "
+                                  "ar_coefficients array<double>, intercept_or_drift double, variance double")
+    out = fc.forecast(series_df(spark, y), model, ["k"], horizon=8).orderBy("forecast_timestamp").toPandas()
+    steps, se = plain_forecast(y, d, phi, mean, 2.5, 8)
+    assert np.allclose(out["forecast_value"], steps) and np.allclose(out["standard_error"], se)
+
+
 def test_interval_width_grows_and_covers(spark):
-    rng_vals = ar_series([0.5], 600, 11, c=50.0)
-    train, test = rng_vals[:500], rng_vals[500:]
-    df = series_df(spark, train)
+    horizon, hits, total = 10, 0, 0
+    series = {f"{i:02d}": ar_series([0.5], 510, 100 + i, c=50.0) for i in range(40)}
+    df = many(spark, {k: v[:500] for k, v in series.items()})
+    out = fc.forecast(df, fc.fit_arima(df, ["k"]), ["k"], horizon=horizon, level=0.8)
+    rows = out.orderBy("k", "forecast_timestamp").collect()
+    for k, y in series.items():
+        mine = [r for r in rows if r.k == k]
+        width = [r.prediction_interval_upper_bound - r.prediction_interval_lower_bound for r in mine]
+        assert np.all(np.diff(width) >= -1e-9) and all(r.confidence_level == 0.8 for r in mine)
+        hits += sum(r.prediction_interval_lower_bound <= v <= r.prediction_interval_upper_bound
+                    for r, v in zip(mine, y[500:]))
+        total += horizon
+    assert 0.7 <= hits / total <= 0.9
+
+
+def test_no_python_in_the_forecast_plans(spark):
+    df = series_df(spark, ar_series([0.4], 50, 5))
     m = fc.fit_arima(df, ["k"])
-    out = fc.forecast(df, m, ["k"], horizon=10, level=0.8).orderBy("forecast_timestamp").toPandas()
-    width = (out["prediction_interval_upper_bound"] - out["prediction_interval_lower_bound"]).to_numpy()
-    assert np.all(np.diff(width) >= -1e-9)
-    assert (out["confidence_level"] == 0.8).all()
-    # coverage of one-step intervals over many origins, pure numpy
-    fit = fc.fit_arma(rng_vals[:500] - 0, 1, 0, with_mean=True)
-    hits = 0
-    for o in range(400, 599):
-        f = fc.forecast_values(rng_vals[:o], 0, fit["phi"], [], fit["mu"], 1)[0]
-        hits += abs(rng_vals[o] - f) <= 1.2816 * np.sqrt(fit["variance"])
-    assert 0.7 <= hits / 199 <= 0.9
+    for plan in (m, fc.forecast(df, m, ["k"]), fc.explain_forecast(df, m, ["k"])):
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in text and "Pandas" not in text and "Arrow" not in text
 
 
 def test_fill_calendar_and_decompose(spark):

@@ -24,7 +24,7 @@ def test_returns_table_equals_curated_returns(spark):
     from basketlab.sources import tables
     from basketlab.schemas import CURATED
     raw = fixtures.raw_invoices(spark, "/root/testdata/sf0.001")
-    conf = pipeline.Conf(root=scratch_path(spark, "t-prep"), as_of="1998-07-20")
+    conf = pipeline.Conf(root=scratch_path(spark, "t-prep"), as_of="1998-07-20", write_splits=True)
     pipeline.get_data(spark, raw, conf)
     pipeline.data_preparation(spark, conf)
     cur = tables.read_until(tables.read_table(spark, conf.path("curated"), CURATED),
@@ -46,3 +46,34 @@ def test_ingest_step_rerun_does_not_duplicate(spark):
     fs = pipeline.create_feature_store(spark, conf, ingest_date="2024-01-01")
     pipeline.create_feature_store(spark, conf, ingest_date="2024-01-01")   # step re-run
     assert n > 0 and fs.log().count() == n
+
+
+def test_three_days_log_each_stamp_once(spark):
+    from basketlab.sources.versioned import VersionedTable
+    raw = fixtures.raw_invoices(spark, "/root/testdata/sf0.001")
+    days = [str(r[0]) for r in raw.select("InvoiceDate").distinct().orderBy("InvoiceDate").collect()[-3:]]
+    conf = pipeline.Conf(root=scratch_path(spark, "t-days"), key="hash", keep_versions=2)
+    stamps = set()
+    for i, day in enumerate(days):
+        conf.as_of, conf.at = day, f"2024-01-0{i + 1}"
+        pipeline.get_data(spark, raw, conf)
+        pipeline.data_preparation(spark, conf)
+        pipeline.feature_engineering(spark, raw, conf)
+        fs = pipeline.create_feature_store(spark, conf, ingest_date=conf.at)
+        table = VersionedTable(spark, conf.path("feature_table")).read()
+        stamps |= {(r["values"], r["timestamp"]) for r in table.collect()}
+        log = fs.log()
+        assert log.count() == len(stamps) == log.select("values", "timestamp").distinct().count()
+    assert VersionedTable(spark, conf.path("feature_table")).committed() == [3, 2]
+    served = fs.serve(table.select("values", "timestamp"))
+    assert served.where("qty_products IS NULL").count() == 0 and served.count() == table.count()
+
+
+def test_empty_input_is_refused(spark):
+    import pytest
+    raw = fixtures.raw_invoices(spark, "/root/testdata/sf0.001")
+    conf = pipeline.Conf(root=scratch_path(spark, "t-empty"), as_of="1901-01-01")
+    pipeline.get_data(spark, raw, conf)
+    pipeline.data_preparation(spark, conf)
+    with pytest.raises(ValueError, match="filtered has no rows"):
+        pipeline.feature_engineering(spark, raw, conf)

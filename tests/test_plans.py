@@ -2,21 +2,10 @@
 
 import pytest
 
-import __spark_entry__ as E
 from basketlab.operators import features
 from basketlab.plans import inspect, queries
 
 SF = "/root/testdata/sf0.001"
-FORECAST = {"arima_evaluate", "arima_fit", "forecast", "explain_forecast"}
-
-
-@pytest.mark.parametrize("key", sorted(E.queries()))
-def test_no_pairwise_joins(spark, key):
-    df = E.queries()[key](spark, SF)
-    s = inspect.summary(df)
-    assert s["pairwise_joins"] == 0, key
-    if key not in FORECAST:
-        assert s["python_nodes"] == 0, key          # Python only in the ARIMA jobs
 
 
 def test_cleaning_filters_reach_the_scan(spark):

@@ -185,3 +185,59 @@ def test_asof_null_entity_or_time_never_matches(spark):
            asof_join(left, right, "ent", "lt", "rt", ["val"], order_by=["rid"]).collect()}
     # every left row is kept; only (1, 1, T0) has a qualifying right row
     assert got == {1: 10, 2: None, 3: None, 4: None}
+
+
+def test_refresh_combines_lines_before_customers_are_dealt_out(spark):
+    """No exchange by CustomerID alone below the first aggregate, with the
+    broadcast of the active set off."""
+    from basketlab.operators.features import customer_features
+    typed = prepare.cast_trusted(raw_df(spark, BASE))
+    active = spark.createDataFrame([(1,)], "CustomerID long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    seen = []
+    checkpoint = type(typed).checkpoint
+    try:
+        type(typed).checkpoint = lambda self, *a, **k: (
+            seen.append(self._jdf.queryExecution().executedPlan().toString()), checkpoint(self, *a, **k))[1]
+        out = customer_features(typed, only=active).collect()
+    finally:
+        type(typed).checkpoint = checkpoint
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = seen[0].splitlines()
+    first = max(i for i, x in enumerate(lines) if "HashAggregate" in x)  # the partial aggregate of raw lines
+    below = lines[first:next(i for i in range(first, len(lines)) if "Scan" in lines[i])]
+    assert "SortMergeJoin" in seen[0] and not any("Exchange" in x for x in below)
+    assert [r.CustomerID for r in out] == [1] and out[0].recency_days == 0
+
+
+def test_retention_keeps_the_newest_versions(spark):
+    vt = VersionedTable(spark, scratch_path(spark, "t-keep"), keep=2)
+    for i in range(4):
+        vt.write(spark.range(i + 1))
+    assert vt.committed() == [4, 3] and vt.read().count() == 4
+    with pytest.raises(ValueError):
+        VersionedTable(spark, "x", keep=0)
+
+
+def test_registry_changes_add_a_state(spark):
+    fs = store.FeatureStore(spark, scratch_path(spark, "t-registry")).get_or_create()
+    assert fs.registry()["features"] == []
+    fs.register()
+    fs.register()
+    assert len(fs._states()) == 2 and len(fs.registry()["features"]) == 5
+
+
+def test_empty_partitioned_table_is_read(spark):
+    from basketlab.schemas import CURATED
+    p = scratch_path(spark, "t-none")
+    tables.write_partitioned(raw_df(spark, []), p)
+    assert tables.read_table(spark, p, CURATED).columns == CURATED.names
+    assert tables.read_table(spark, p, CURATED).count() == 0
+
+
+def test_run_sql_validates_before_it_runs(spark):
+    p = scratch_path(spark, "t-sql")
+    with pytest.raises(Exception, match="(?i)no_such|cannot|not found"):
+        tables.run_sql(spark, f"INSERT OVERWRITE DIRECTORY '{p}' USING parquet SELECT no_such FROM range(3)")
+    assert not tables.table_exists(spark, p)
+    assert tables.run_sql(spark, "SELECT count(*) AS n FROM range(3)").first().n == 3

@@ -75,3 +75,17 @@ def test_table_exists_only_after_a_committed_version(spark):
     assert not tables.table_exists(spark, root)
     vt.write(raw_df(spark, [line("a", 1, 1, D(2020, 1, 1))]))
     assert tables.table_exists(spark, root) and vt.current_version() == 2
+
+
+def test_rows_of_tomorrow_are_used_tomorrow(spark):
+    root = scratch_path(spark, "t-tomorrow")
+    landing, cur, tab, ck = (f"{root}/landing", f"{root}/curated", f"{root}/table", f"{root}/ck")
+
+    def day(rows, as_of):
+        raw_df(spark, rows).write.mode("append").parquet(landing)
+        start_refresh_stream(spark, landing, cur, tab, ck, at=as_of, key="hash", as_of=as_of).awaitTermination()
+        return {r.CustomerID: r.qty_products for r in VersionedTable(spark, tab).read().orderBy("qty_products").collect()}
+
+    assert day([line("a", 1, 1, D(2020, 1, 1)), line("b", 2, 1, D(2020, 1, 1)), line("c", 2, 1, D(2020, 1, 2))],
+               "2020-01-01") == {1: 1, 2: 1}
+    assert day([line("d", 1, 1, D(2020, 1, 2))], "2020-01-02") == {1: 2, 2: 2}
