@@ -202,17 +202,18 @@ def forecast(series: DataFrame, model: DataFrame, keys=(), date_col: str = DATE,
     values less their mean, the last value and the last difference. The steps
     are a fold over the horizon on that one row, so nothing is collected."""
     keys = list(keys)
-    single = not keys
-    if single:  # one unnamed series: give it a constant key
-        series, model, keys = (series.withColumn("__series", F.lit(0)),
-                               model.withColumn("__series", F.lit(0)), ["__series"])
     tail = MAX_ORDER + 2
     w = Window.partitionBy(*keys).orderBy(F.desc(date_col))
     last = (series.select(*keys, date_col, F.col(value_col).cast("double").alias("y"))
             .withColumn("__i", F.row_number().over(w)).where(F.col("__i") <= tail)
             .groupBy(*keys).agg(F.max(date_col).alias("last"),
                                 F.transform(F.sort_array(F.collect_list(F.struct("__i", "y"))), lambda s: s["y"]).alias("y")))
-    row = last.join(model.select(*keys, "non_seasonal_d", "ar_coefficients", "intercept_or_drift", "variance"), keys)
+    model = model.select(*keys, "non_seasonal_d", "ar_coefficients", "intercept_or_drift", "variance")
+    if keys:
+        row = last.join(model, keys)
+    else:  # one unnamed series: a row on either side, put together without a join
+        both = last.unionByName(model, allowMissingColumns=True)
+        row = both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in both.columns])
     zero = F.lit(0.0)
     at = lambda arr, i: F.coalesce(F.get(arr, F.lit(i)), zero)
     y, d, mean = F.col("y"), F.col("non_seasonal_d"), F.col("intercept_or_drift")
@@ -246,12 +247,11 @@ def forecast(series: DataFrame, model: DataFrame, keys=(), date_col: str = DATE,
                      F.array().cast("array<struct<h:int,value:double,se:double>>").alias("out"))
     steps = F.aggregate(F.sequence(F.lit(1), F.lit(horizon)), start, step, lambda acc: acc["out"])
     q = NormalDist().inv_cdf(0.5 + level / 2.0)
-    out = row.select(*keys, "last", F.explode(steps).alias("f")).select(
+    return row.select(*keys, "last", F.explode(steps).alias("f")).select(
         *keys, F.date_add("last", F.col("f.h")).alias("forecast_timestamp"), F.col("f.value").alias("forecast_value"),
         F.col("f.se").alias("standard_error"), F.lit(level).alias("confidence_level"),
         (F.col("f.value") - q * F.col("f.se")).alias("prediction_interval_lower_bound"),
         (F.col("f.value") + q * F.col("f.se")).alias("prediction_interval_upper_bound"))
-    return out.drop("__series") if single else out
 
 
 def explain_forecast(series: DataFrame, model: DataFrame, keys=(), date_col: str = DATE,

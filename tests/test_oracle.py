@@ -23,10 +23,21 @@ def con():
     return c
 
 
+def executed(spark) -> dict[int, str]:
+    """Physical plans of the statements that ran, eager ones included."""
+    found = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return {found.apply(i).executionId(): found.apply(i).physicalPlanDescription() for i in range(found.size())}
+
+
 @pytest.mark.parametrize("key", KEYS)
 def test_query_matches_sql(spark, con, key):
+    before = max(executed(spark), default=-1)
     sdf = QUERIES[key](spark, SF)
     pdf = pd.DataFrame([r.asDict() for r in sdf.collect()], columns=sdf.columns)
+    plans = [p for i, p in executed(spark).items() if i > before]
+    assert plans
+    for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "InPandas", "InArrow"):
+        assert not any(word in p for p in plans), (key, word)
     assert digest(pdf) == digest(con.execute(ORACLE[key]).df())
 
 
