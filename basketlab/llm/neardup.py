@@ -5,10 +5,14 @@
    class, whose smallest id stands for it.
 2. Signatures are cut into bands; classes which share a band are candidates.
    No bucket's pairs are written out: first every member meets the bucket's
-   smallest id, then (in buckets that still hold several components) a
-   pseudo-random member, and at last the members of different components meet
-   each other. Members already connected need no further link, so a group of
-   copies costs its size, not its square, and no link is capped.
+   most central one (its buckets have the most members in all, which the least
+   edited copy's have), then (in buckets that still hold several components) a
+   pseudo-random member. Members already connected need no further link, so a
+   group of copies costs its size, not its square. Of the members left, those
+   outside a bucket's largest component meet the members of other components
+   with which they share one of their rarest shingles: a link shares at least
+   threshold * size shingles, so it shares one of the size - that + 1 rarest
+   ones of either side. That is exact, and no link is capped.
 3. A pair's signatures are compared batch by batch. After n values of which m
    agree, P(similarity >= threshold | m, n) under a uniform prior is the
    probability that Binomial(n + 1, threshold) is at most m; below the miss
@@ -22,7 +26,7 @@ from __future__ import annotations
 
 from math import comb
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,7 +39,7 @@ SIGNED = T.StructType([
 ])
 PAIR = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 #: Word hashes that a Python worker keeps.
-KEEP_WORDS = 1_000_000
+KEEP_WORDS = 200_000
 
 
 def words(text: str) -> list[bytes]:
@@ -177,6 +181,38 @@ def confirmed(pairs: DataFrame, table: DataFrame, percent: int, k: int) -> DataF
             .mapInArrow(run, PAIR).distinct())
 
 
+def sharing_rare(nodes: DataFrame, outer: DataFrame, table: DataFrame, percent: int, k: int) -> DataFrame:
+    """Pairs (a, b) of an ``outer`` node and a node of another component which
+    share one of the rarest shingles of both (by the count among ``nodes``)."""
+    def run(batches):
+        import pyarrow as pa
+        for batch in batches:
+            hashes = [shingle_hashes(t, k).view("int64") for t in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(hashes, pa.list_(pa.int64()))],
+                                             names=["node", "component", "n", "hashes"])
+
+    rows = (nodes.join(table.select("node", F.col("n_shingles").alias("n"), "text"), "node")
+            .select("node", "component", "n", "text")
+            .mapInArrow(run, "node long, component long, n long, hashes array<long>"))
+    exploded = common.materialise(rows.select("node", "component", "n", F.explode("hashes").alias("h")), "shingles")
+    counts = exploded.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
+    shared = exploded.join(counts, "h")
+    # Shingles that no other node has come first; they use up the place of others.
+    by_node = Window.partitionBy("node")
+    place = F.row_number().over(by_node.orderBy("df", "h")) + F.col("n") - F.count("*").over(by_node)
+    rarest = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    rare = (shared.withColumn("place", place).filter(F.col("place") <= rarest)
+            .select("node", "component", "h", "n", (F.col("n") - F.col("place") + 1).alias("left")))
+    x = rare.join(outer, "node", "left_semi").select(
+        F.col("node").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"), F.col("left").alias("lx"), "h")
+    # If h is the first shingle in this order that both have, no more can be
+    # common than are left from there on. (A later h may fail; the first won't.)
+    most = F.least("left", "lx")
+    able = most * 100 >= (F.col("n") + F.col("nx") - most) * percent
+    return (x.join(rare, "h").filter((F.col("cx") != F.col("component")) & able)
+            .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node of each connected component, for
     every node of an edge (a, b)."""
@@ -229,10 +265,13 @@ def near_duplicates(docs: DataFrame, *, id_col="doc_id", text_col="text", shingl
 
     def links(pairs: DataFrame) -> DataFrame:
         survivors = common.materialise(bayes(pairs.distinct(), table_of, percent, hashes, batch, miss), "survivors")
-        return confirmed(survivors, table_of, percent, shingle)
+        return common.materialise(confirmed(survivors, table_of, percent, shingle), "links")
 
-    pivot = members.groupBy("key").agg(F.min("node").alias("a"))
-    first = members.join(pivot, "key").filter("a != node").select("a", F.col("node").alias("b"))
+    crowd = members.join(members.groupBy("key").count(), "key").groupBy("node").agg(F.sum("count").alias("score"))
+    pivot = members.join(crowd, "node").groupBy("key").agg(
+        F.max(F.struct("score", (-F.col("node")).alias("minus"))).alias("p")).select("key", (-F.col("p.minus")).alias("a"))
+    first = (members.join(pivot, "key").filter("a != node")
+             .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")))
     comps = common.materialise(components(links(first)), "round1")
 
     def open_members() -> DataFrame:
@@ -251,11 +290,8 @@ def near_duplicates(docs: DataFrame, *, id_col="doc_id", text_col="text", shingl
     rest = common.materialise(open_members(), "open")
     sizes = rest.groupBy("key", "component").count()
     main = sizes.groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
-    # Outside the bucket's largest component, every member meets all members of other components.
-    outer = rest.join(main, "key").filter("component != main").select("key", F.col("node").alias("x"),
-                                                                      F.col("component").alias("cx"))
-    third = (outer.join(rest, "key").filter("cx != component")
-             .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")))
+    outer = rest.join(main, "key").filter("component != main").select("node").distinct()
+    third = sharing_rare(rest.select("node", "component").distinct(), outer, table_of, percent, shingle)
     stars = comps.select(F.col("node").alias("a"), F.col("component").alias("b"))
     comps = common.materialise(components(stars.unionByName(links(third))), "round3")
 
