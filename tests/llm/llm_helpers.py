@@ -1,5 +1,12 @@
 """Small tables for the tests of the operators."""
 
+import pytest
+
+
+@pytest.fixture(scope="session")
+def sf():
+    return "/root/testdata/sf0.001"
+
 
 def docs_df(spark, rows):
     """Rows (doc_id, text) with further columns whose names clash with the

@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-from llm_helpers import docs_df
+from llm_helpers import docs_df, sf  # noqa: F401
 
 from basketlab.llm import contamination as c
 from basketlab.llm import queries

@@ -1,6 +1,6 @@
 import random
 
-from llm_helpers import docs_df
+from llm_helpers import docs_df, sf  # noqa: F401
 
 from basketlab.llm import neardup, queries
 

@@ -1,6 +1,7 @@
 import duckdb
 import pandas as pd
 import pytest
+from llm_helpers import sf  # noqa: F401
 from oracle_check import digest
 
 from basketlab.llm import preference, queries

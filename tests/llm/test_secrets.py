@@ -1,7 +1,7 @@
 import hashlib
 import re
 
-from llm_helpers import docs_df
+from llm_helpers import docs_df, sf  # noqa: F401
 from pyspark.sql import functions as F
 
 from basketlab.llm import queries, secrets

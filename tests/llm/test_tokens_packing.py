@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from llm_helpers import docs_df
+from llm_helpers import docs_df, sf  # noqa: F401
 
 from basketlab.llm import idstore, packing, queries, tokens
 
