@@ -14,8 +14,11 @@ only as far as that question needs:
   offsets: (B[p], B[p+q]) gives buckets of 2q-grams, and these, reused at two
   offsets, the buckets of whole strings. A block's identifier is taken from
   its strings'. Blocks of one bucket with one identifier are equal throughout:
-  all but the first go. Only buckets whose blocks differ are refined further,
-  string by string.
+  all but the first go. Buckets whose blocks differ are refined again: a block
+  is cut into parts by the place of the least q-gram in the string, and a
+  part's bucket is what all its strings have in common, which is longer. Parts
+  that are alone in their bucket or equal are finished; what is left is
+  compared string by string.
 
 Each task first settles what it can see itself: of equal blocks (or strings)
 it hands on the first, and of a bucket that it knows to be mixed a mark. So a
@@ -117,14 +120,42 @@ def chunks(data, length: int):
         yield first, here, gram_buckets(data[first:first + here + length - 1], q), q
 
 
+def _anchors(grams, n: int, width: int):
+    """Place of the least q-gram of each of n strings of ``width`` q-grams."""
+    import numpy as np
+    at = np.arange(len(grams), dtype=np.uint64)
+    mask = _u64((1 << 21) - 1)
+    return (_least((grams & ~mask) | at, width)[:n] & mask).astype(np.int64)
+
+
+def parts_of(data, length: int, wanted):
+    """The strings marked in ``wanted``, by parts of blocks: arrays (bucket,
+    part identifier, first string, strings)."""
+    import numpy as np
+    out = []
+    for first, n, grams, q in chunks(data, length):
+        p = np.flatnonzero(wanted[first:first + n])
+        if not len(p):
+            continue
+        anchor = _anchors(grams, n, length - q + 1)[p]
+        back = anchor - p
+        width = -(-(length - q + 1) // 4)
+        part = back // width
+        heads = _runs(anchor, part, p - np.arange(len(p)))
+        common = refine(refine(grams, q, len(grams) - q), length - width + 1 - 2 * q,
+                        len(grams) + q - (length - width + 1))
+        bucket = _mix(common[anchor[heads] - width * part[heads]] + part[heads].astype(np.uint64))
+        strings = _mix(string_buckets(grams, q, length, n)[p] + back.astype(np.uint64) * _u64(0x9E3779B97F4A7C15))
+        out.append((bucket, np.add.reduceat(strings, heads), p[heads] + first, np.diff(np.append(heads, len(p)))))
+    return [np.concatenate(x) for x in zip(*out, strict=True)]
+
+
 def blocks_of(data, length: int):
     """Arrays (bucket, block identifier, first string, strings)."""
     import numpy as np
     out = []
     for first, n, grams, q in chunks(data, length):
-        at = np.arange(len(grams), dtype=np.uint64)
-        mask = _u64((1 << 21) - 1)
-        anchor = (_least((grams & ~mask) | at, length - q + 1)[:n] & mask).astype(np.int64)
+        anchor = _anchors(grams, n, length - q + 1)
         starts = np.flatnonzero(np.append(True, anchor[1:] != anchor[:-1]))
         sizes = np.diff(np.append(starts, n))
         inside = np.arange(n) - np.repeat(starts, sizes)
@@ -226,17 +257,35 @@ def _settled(key, place, is_open):
         names=["key", "start", "n", "open"])
 
 
-def compared_blocks(docs: DataFrame, length: int) -> DataFrame:
+def _wanted(data, length: int, ranges):
+    """Marks the strings of (start, n) ranges."""
+    import numpy as np
+    out = np.zeros(len(data) - length + 1, dtype=bool)
+    for r in ranges:
+        out[r["start"]:r["start"] + r["n"]] = True
+    return out
+
+
+def _with_ranges(docs: DataFrame, ranges: DataFrame) -> DataFrame:
+    """key, text and the ranges of the documents that have any. The texts are
+    dealt out by key here and for the result: one exchange, used again."""
+    per_doc = ranges.groupBy("key").agg(F.collect_list(F.struct("start", "n")).alias("ranges"))
+    return docs.select("key", "text").join(per_doc, "key").select("key", "text", "ranges")
+
+
+def compared_blocks(docs: DataFrame, length: int, open_: DataFrame | None = None) -> DataFrame:
     """Rows of SETTLED: blocks that repeat an earlier one, and blocks whose
-    strings must be compared one by one (open)."""
+    strings must be compared further (open). Of all documents, or of the
+    parts of the blocks in ``open_``."""
     def collect(batches):
         import numpy as np
 
-        def rows_of(key, text):
+        def rows_of(key, text, ranges=None):
             data = np.frombuffer(text.encode(), dtype=np.uint8)
             if len(data) < length:
                 return None
-            bucket, block, start, n = blocks_of(data, length)
+            bucket, block, start, n = (blocks_of(data, length) if ranges is None
+                                       else parts_of(data, length, _wanted(data, length, ranges)))
             return bucket, block, np.full(len(start), key), start, n
 
         yield from _collected(batches, rows_of, settle_blocks, ["bucket", "block", "key", "place"])
@@ -258,7 +307,7 @@ def compared_blocks(docs: DataFrame, length: int) -> DataFrame:
             keep = later | is_open | (kind == REPEAT)
             yield _settled(key[keep], place[keep], is_open[keep])
 
-    rows = docs.select("key", "text").mapInArrow(collect, BLOCKS)
+    rows = (docs.select("key", "text") if open_ is None else _with_ranges(docs, open_)).mapInArrow(collect, BLOCKS)
     return rows.repartition("bucket").sortWithinPartitions("bucket", "key", "place").mapInArrow(compare, SETTLED)
 
 
@@ -281,16 +330,14 @@ def settle_strings(string, key, start):
 
 
 def compared_strings(docs: DataFrame, open_: DataFrame, length: int) -> DataFrame:
-    """Rows of SETTLED for the strings of open blocks that start elsewhere too
+    """Rows of SETTLED for the strings of open ranges that start elsewhere too
     and earlier."""
     def collect(batches):
         import numpy as np
 
-        def rows_of(key, text, blocks):
+        def rows_of(key, text, ranges):
             data = np.frombuffer(text.encode(), dtype=np.uint8)
-            wanted = np.zeros(len(data) - length + 1, dtype=bool)
-            for b in blocks:
-                wanted[b["start"]:b["start"] + b["n"]] = True
+            wanted = _wanted(data, length, ranges)
             strings, starts = [], []
             for first, n, grams, q in chunks(data, length):
                 at = np.flatnonzero(wanted[first:first + n])
@@ -312,8 +359,7 @@ def compared_strings(docs: DataFrame, open_: DataFrame, length: int) -> DataFram
             keep = np.concatenate([rows[later], np.flatnonzero(kind == REPEAT)])
             yield _settled(key[keep], place[keep], np.zeros(len(keep), dtype=bool))
 
-    per_doc = open_.groupBy("key").agg(F.collect_list(F.struct("start", "n")).alias("blocks"))
-    rows = docs.select("key", "text").join(per_doc, "key").select("key", "text", "blocks").mapInArrow(collect, STRINGS)
+    rows = _with_ranges(docs, open_).mapInArrow(collect, STRINGS)
     return rows.repartition("string").sortWithinPartitions("string", "key", "place").mapInArrow(compare, SETTLED)
 
 
@@ -329,17 +375,18 @@ def spans_of(n_bytes: int, repeats, length: int) -> list[tuple[int, int]]:
     return [(s, e) for s, e in out]
 
 
-def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """key, doc_id, text: keys unique and in the order of ids. Where ids are
-    null or repeat, rows are numbered in the order of id (null first) and
-    text hash, and kept as a table."""
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame | None]:
+    """(key, text) with keys unique and in the order of ids: the ids
+    themselves. Where ids are null or repeat, rows are numbered in the order of
+    id (null first) and text hash and kept as a table; then also (key, doc_id)."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), common.text_or_empty(text_col).alias("text"))
     n, different = rows.select(F.count("*"), F.count_distinct("doc_id")).first()
     if n == different:
-        return rows.filter("doc_id IS NOT NULL").withColumn("key", F.col("doc_id"))
+        return rows.filter("doc_id IS NOT NULL").select(F.col("doc_id").alias("key"), "text"), None
     order = [F.col("doc_id"), F.xxhash64("text")]
     sorted_ = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    return common.materialise(sorted_.withColumn("key", F.monotonically_increasing_id()), "numbered")
+    table = common.materialise(sorted_.withColumn("key", F.monotonically_increasing_id()), "numbered")
+    return table.select("key", "text"), table.select("key", "doc_id")
 
 
 def removed(docs: DataFrame, length: int = 100, *, id_col="doc_id", text_col="text",
@@ -354,15 +401,18 @@ def removed(docs: DataFrame, length: int = 100, *, id_col="doc_id", text_col="te
     play no part. ``length`` is at least 4.
     """
     common.python_ready(docs.sparkSession)
-    rows = keyed(docs, id_col, text_col)
+    rows, ids = keyed(docs, id_col, text_col)
     first = common.materialise(compared_blocks(rows, length), "blocks")
-    second = compared_strings(rows, first.filter("open"), length)
-    repeats = first.filter("NOT open").unionByName(second).groupBy("key").agg(
+    # Not kept: within one plan the rounds share the exchange of the texts.
+    second = compared_blocks(rows, length, first.filter("open"))
+    third = compared_strings(rows, second.filter("open"), length)
+    settled = first.filter("NOT open").unionByName(second.filter("NOT open")).unionByName(third)
+    repeats = settled.groupBy("key").agg(
         F.collect_list(F.struct("start", "n")).alias("repeats"))
     fields = list(RESULT.fields)
     if with_text:
         fields += T.StructType.fromDDL("spans array<struct<start:int,end:int>>, kept binary").fields
-    schema = T.StructType([T.StructField("doc_id", T.LongType()), *fields[1:]])
+    schema = T.StructType(fields)
 
     def cut(batches):
         import pyarrow as pa
@@ -371,7 +421,7 @@ def removed(docs: DataFrame, length: int = 100, *, id_col="doc_id", text_col="te
             types += [pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])), pa.binary()]
         for batch in batches:
             out = []
-            for doc, text, repeats in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for key, text, repeats in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 data = text.encode()
                 spans = spans_of(len(data), [(r["start"], r["n"]) for r in repeats or ()], length)
                 at, kept = 0, []
@@ -379,11 +429,12 @@ def removed(docs: DataFrame, length: int = 100, *, id_col="doc_id", text_col="te
                     kept.append(data[at:s])
                     at = e
                 kept = b"".join([*kept, data[at:]])
-                row = (doc, len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest())
+                row = (key, len(data), len(data) - len(kept), len(spans), hashlib.sha256(kept).hexdigest())
                 out.append(row + ((([{"start": s, "end": e} for s, e in spans]), kept) if with_text else ()))
             columns = list(zip(*out, strict=True)) or [[]] * len(types)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)],
                                              names=schema.names)
 
-    return (rows.select("key", "doc_id", "text").join(repeats, "key", "left")
-            .select("doc_id", "text", "repeats").mapInArrow(cut, schema))
+    out = rows.join(repeats, "key", "left").select("key", "text", "repeats").mapInArrow(cut, schema)
+    return (out.withColumnRenamed("key", "doc_id") if ids is None
+            else out.join(ids, "key").select("doc_id", *schema.names[1:]))
