@@ -41,7 +41,7 @@ def _byte_symbols() -> dict[int, str]:
 class Encoder:
     """``encode(text)`` gives the ids as little-endian uint32 bytes."""
 
-    def __init__(self, path: str, keep: int = 1_000_000):
+    def __init__(self, path: str, keep: int = 600_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import public_tokenizers
         import regex
