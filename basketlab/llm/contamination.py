@@ -1,12 +1,14 @@
-"""Benchmark decontamination: rare n-gram seeds and Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds and Smith-Waterman alignment.
 
-Two passes over the corpus, both without moving a text. The first counts in
-how many documents each n-gram of the test items occurs. An item's seeds are
-the rarer half of its own n-grams by these counts, so every item keeps seeds
-however often it has leaked. The second pass finds the seeds in each document;
-hits of one item on neighbouring diagonals mark a passage, and the passage is
+One pass over the corpus that moves no text. All n-grams of an item are seeds:
+a choice by document counts loses copies, because the counts come from all
+copies together and say nothing of the n-grams that one edited copy has kept.
+Hits of one item on neighbouring diagonals mark a passage, and the passage is
 aligned with the item word by word. The score is the alignment's share of the
-best the item could reach, so edited and paraphrased copies score too.
+best the item could reach, so edited and paraphrased copies score too, as long
+as n words in a row are kept. What common n-grams hit costs little: documents
+and passages with too few of the item's words for the least score aren't
+aligned, which loses nothing.
 
 The test items go to every task in blocks of at most ``block_words`` words;
 a larger benchmark takes further passes, not more memory.
@@ -53,13 +55,12 @@ class Block:
         self.ids.append(item_id)
         self.items.append(np.array([v.setdefault(w, len(v)) for w in item_words], dtype=np.int64))
 
-    def index(self, seeds: list | None = None) -> "Block":
-        """Of all n-grams, or of the offsets that ``seeds`` has of each item."""
+    def index(self) -> "Block":
         import numpy as np
         places: dict = {}
         for i, item in enumerate(self.items):
             grams = ngram_keys(item, self.n)
-            for offset in range(len(grams)) if seeds is None else seeds[i]:
+            for offset in range(len(grams)):
                 places.setdefault(int(grams[offset]), []).append((i, offset))
         order = sorted(places)
         return Block(self.n, self.ids, self.items, self.vocabulary, np.array(order, dtype=np.uint64),
@@ -126,23 +127,33 @@ def passages(diagonals: list[int], length: int) -> list[tuple[int, int]]:
 
 
 def _matches(text: str, block: Block, least: float) -> list[dict]:
+    import numpy as np
     numbers, at, key = block.hits(words(text))
+    if not len(at):
+        return []
     by_item: dict[int, list[int]] = {}
     for p, k in zip(at, key, strict=True):
         for item, offset in block.places[k]:
             by_item.setdefault(item, []).append(int(p) - offset)
+    held = np.zeros(len(block.vocabulary), dtype=bool)
+    held[numbers[numbers >= 0]] = True
     out = []
     for i, diagonals in sorted(by_item.items()):
         item, best = block.items[i], None
+        # Each word of the item and of the passage matches once at most.
+        if np.count_nonzero(held[item]) < least * len(item):
+            continue
         slack = max(8, len(item) // 4)
         for low, high in passages(diagonals, len(item)):
             first = max(0, low - slack)
             passage = numbers[first:high + len(item) + slack]
+            if np.count_nonzero(np.isin(passage, item)) < least * len(item):
+                continue
             score, end = align(item, passage)
             if best is None or score > best[0]:
                 best = (score, first, end, passage)
-        share = best[0] / (MATCH * len(item))
-        if share >= least:
+        share = best[0] / (MATCH * len(item)) if best else 0
+        if best and share >= least:
             score, first, end, passage = best
             _, back = align(item[::-1], passage[:end][::-1])
             spans = [m.span() for m in _WORD.finditer(text)]
@@ -151,36 +162,6 @@ def _matches(text: str, block: Block, least: float) -> list[dict]:
     return out
 
 
-def _document_counts(docs: DataFrame, text_col: str, block: Block) -> dict[int, int]:
-    """Documents that hold each n-gram of the block, by its place in keys."""
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
-        counts = np.zeros(len(block.keys), dtype=np.int64)
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                _, _, key = block.hits(words(text))
-                if len(key):
-                    counts[np.unique(key)] += 1
-        some = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[some])], names=["gram", "n"])
-
-    rows = docs.select(common.text_or_empty(text_col)).mapInArrow(run, "gram long, n long")
-    return {r[0]: r[1] for r in rows.groupBy("gram").agg(F.sum("n")).collect()}  # n-grams of the block at most
-
-
-def _seeds(block: Block, counts: dict[int, int]) -> list[list[int]]:
-    """Offsets of each item's rarer half of n-grams."""
-    import numpy as np
-    out = []
-    for item in block.items:
-        key = np.searchsorted(block.keys, ngram_keys(item, block.n))
-        n = [counts.get(int(k), 0) for k in key]
-        middle = sorted(n)[(len(n) - 1) // 2]
-        out.append([i for i, x in enumerate(n) if x <= middle])
-    return out
-
-
 def blocks(items: DataFrame, item_col: str, text_col: str, n: int, block_words: int):
     """The items with n words or more, in blocks, one partition at a time."""
     block, held = Block(n), 0
@@ -214,10 +195,7 @@ def annotate(docs: DataFrame, items: DataFrame, *, text_col="text", item_col="it
     schema = T.StructType([*docs.schema.fields, T.StructField(out, MATCHES)])
     result = docs.withColumn(out, F.array().cast(MATCHES))
     for block in blocks(items, item_col, item_text_col, n, block_words):
-        every = block.index()
-        seeded = block.index(_seeds(every, _document_counts(docs, text_col, every)))
-
-        def run(batches, seeded=seeded):
+        def run(batches, seeded=block.index()):
             import pyarrow as pa
             for batch in batches:
                 at = batch.schema.names.index(out)
