@@ -6,7 +6,8 @@ kept as a row of a table. With M the shard's largest norm, a vector x becomes
 largest inner product, and distances obey the triangle inequality. A node has
 a vantage point and the ranges of distances of its two sides; a side at least
 ``bound`` away is skipped once factor * bound reaches the distance of the
-k-th best found. Factor 1 gives exact search; a larger one skips more.
+k-th best found. Factor 1, the default, gives exact search; a larger one skips
+more, and loses true neighbours as soon as the norms differ.
 
 Queries come in blocks, and each (shard, block) is one group, so neither side
 meets whole in one task. Equal vectors of a shard are one point with their
@@ -141,7 +142,7 @@ def build(rows: DataFrame, shards: int, keep: int, leaf: int) -> DataFrame:
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, *, id_col="vec_id", vector_col="embedding",
-            factor: float = 5.0, shard_rows: int = 8192, block_rows: int = 1024, leaf: int = 256) -> DataFrame:
+            factor: float = 1.0, shard_rows: int = 8192, block_rows: int = 1024, leaf: int = 256) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: for each query row its k
     nearest rows of ``vectors`` by inner product in double precision, itself
     (its id) left out, ties to the smaller id; all rows if there are fewer.

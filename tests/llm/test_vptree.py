@@ -60,3 +60,24 @@ def test_op3_recall(spark):
     assert len(hits) >= 0.9 * len(want)
     score = {(q, i): s for q, _, i, s in want}
     assert all(abs(score[q, i] - s) < 1e-12 for q, _, i, s in out if (q, i) in score)
+
+
+@pytest.mark.parametrize("spread", [0.1, 0.3])
+def test_recall_on_full_shards_with_unequal_norms(spark, tmp_path, spread):
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    rng = np.random.default_rng(3)
+    n = 16384
+    v = rng.normal(size=(n, 64))
+    v *= (np.exp(spread * rng.normal(size=n)) / np.linalg.norm(v, axis=1))[:, None]
+    v = v.astype("f4")
+    pq.write_table(pa.table({"vec_id": np.arange(n), "embedding": pa.array(list(v), pa.list_(pa.float32()))}),
+                   tmp_path / "v.parquet")
+    df = spark.read.parquet(str(tmp_path / "v.parquet"))
+    out = got(vptree.nearest(df, df.filter("vec_id % 64 = 0"), 20))  # default factor and shards
+    x = v.astype("f8")
+    scores = x[::64] @ x.T
+    scores[np.arange(len(scores)), np.arange(0, n, 64)] = -np.inf
+    want = {(64 * q, int(i)) for q, row in enumerate(np.argsort(-scores, axis=1)[:, :20]) for i in row}
+    assert len(out) == len(want)
+    assert {(q, i) for q, _, i, _ in out} == want
