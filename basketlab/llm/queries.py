@@ -56,7 +56,7 @@ def op9_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.read(spark, sf_dir, "documents")
-    samples = secrets.samples_from(docs.select("doc_id", common.text_or_empty().alias("text")), documents=2000)
+    samples = secrets.samples_from(docs.select(common.text_or_empty().alias("text")))
     return secrets.digest(secrets.scan(docs, secrets.train(samples)))
 
 

@@ -83,36 +83,34 @@ class Model:
 
 def train(samples: DataFrame, alphabet: str = ALPHABET, smoothing: float = 0.5) -> Model:
     """From labelled strings: ``text`` and ``label`` (1 random string, 0
-    ordinary identifier). Null texts and labels, and characters beyond the
+    ordinary identifier); equal ones are cut into pairs once. Null texts and labels, and characters beyond the
     alphabet, don't count; with no samples every ratio is 0. The driver gets
     counts of character pairs: at most len(alphabet)**2 a label."""
-    rows = samples.filter("text IS NOT NULL AND label IN (0, 1) AND length(text) > 1").select(
-        F.col("label").cast("int").alias("label"), F.explode(F.transform(
+    strings = (samples.filter("text IS NOT NULL AND label IN (0, 1) AND length(text) > 1")
+               .groupBy(F.col("label").cast("int").alias("label"), "text").agg(F.count("*").alias("n")))
+    rows = strings.select("label", "n", F.explode(F.transform(
             F.sequence(F.lit(1), F.length("text") - 1), lambda i: F.substring("text", i, F.lit(2)))).alias("pair"))
     inside = "^[" + alphabet.replace("-", r"\-") + "]{2}$"
     n, place = len(alphabet), {c: i for i, c in enumerate(alphabet)}
     counts = [[[smoothing] * n for _ in range(n)] for _ in range(2)]
-    for label, pair, k in rows.filter(F.col("pair").rlike(inside)).groupBy("label", "pair").count().collect():
+    for label, pair, k in rows.filter(F.col("pair").rlike(inside)).groupBy("label", "pair").agg(F.sum("n")).collect():
         counts[label][place[pair[0]]][place[pair[1]]] += k
     sums = [[sum(row) for row in one] for one in counts]
     return Model(alphabet, [math.log(counts[1][i][j] / sums[1][i]) - math.log(counts[0][i][j] / sums[0][i])
                             for i in range(n) for j in range(n)])
 
 
-def samples_from(docs: DataFrame, documents: int = 2000) -> DataFrame:
-    """Labelled strings taken from ``docs`` (with doc_id and ``text``): the
-    values of all base matches are random strings; tokens of four characters
-    or more outside such matches, from the ``documents`` documents with the
-    smallest hashed ids, are ordinary identifiers."""
-    found = base_spans(docs.select("doc_id", "text"))
+def samples_from(docs: DataFrame) -> DataFrame:
+    """Labelled strings taken from all ``docs`` (with ``text``): the values of
+    base matches are random strings; tokens of four characters or more outside
+    such matches are ordinary identifiers."""
+    found = base_spans(docs.select("text"))
     values = F.concat(F.transform("assign", lambda x: F.regexp_extract(x["value"], ASSIGN, 2)),
                       F.transform("access", lambda x: x["value"]), F.transform("hex", lambda x: x["value"]))
     random = found.select(F.explode(values).alias("text"), F.lit(1).alias("label"))
-    chosen = docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(documents)
-    plain = docs.join(F.broadcast(chosen.distinct()), "doc_id", "left_semi")
     rest = F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), f"{ACCESS}|{HEX}", " ")
-    ordinary = plain.select(F.explode(F.regexp_extract_all(rest, F.lit(TOKEN % 4), F.lit(0))).alias("text"),
-                            F.lit(0).alias("label"))
+    ordinary = docs.select(F.explode(F.regexp_extract_all(rest, F.lit(TOKEN % 4), F.lit(0))).alias("text"),
+                           F.lit(0).alias("label"))
     return random.unionByName(ordinary)
 
 

@@ -42,7 +42,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    samples = secrets.samples_from(docs.select("doc_id", common.text_or_empty().alias("text")), documents=2000)
+    samples = secrets.samples_from(docs.select(common.text_or_empty().alias("text")))
     clean = secrets.redacted(docs, secrets.train(samples))
     if "n_chars" in clean.columns:
         n = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType))

@@ -1,6 +1,8 @@
 import hashlib
+import itertools
 import re
 
+import numpy as np
 from llm_helpers import docs_df, sf  # noqa: F401
 from pyspark.sql import functions as F
 
@@ -91,3 +93,20 @@ def test_no_python_in_the_plan(spark, sf):
 def test_op10_whole_table(spark, sf):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     check(rows, queries.op10_secret_scan(spark, sf).collect())
+
+
+def test_model_reads_every_document(spark):
+    """3,000 documents: the model equals plain counts over all their tokens."""
+    tokens = [f"name{i}of" for i in range(3000)]
+    keys = [hashlib.sha256(str(i).encode()).hexdigest() for i in range(50)]
+    df = spark.createDataFrame([(i, f"the {t}, {keys[i % 50]}") for i, t in enumerate(tokens)], "doc_id long, text string")
+    samples = secrets.samples_from(df)
+    assert sorted(r.text for r in samples.filter("label = 0").collect()) == sorted(tokens)
+    n, place = len(secrets.ALPHABET), {c: i for i, c in enumerate(secrets.ALPHABET)}
+    counts = np.full((2, n, n), 0.5)
+    for label, texts in ((0, tokens), (1, [keys[i % 50] for i in range(3000)])):
+        for t in texts:
+            for a, b in itertools.pairwise(t):
+                counts[label][place[a]][place[b]] += 1
+    want = np.log(counts / counts.sum(axis=2, keepdims=True))
+    assert np.allclose(secrets.train(samples).ratio, (want[1] - want[0]).ravel())
