@@ -94,6 +94,17 @@ def _sample(labels: DataFrame, per_label: int) -> DataFrame:
                   [once.filter(F.col("label") == k).orderBy(*order).limit(per_label) for k in (0, 1)])
 
 
+def _pieces(docs: DataFrame, piece: int, most: int) -> list[bytes]:
+    """The texts in UTF-8 in pieces, in order; of more than ``most`` pieces
+    those with the smallest hashes of id and place."""
+    data = docs.select("doc_id", F.encode("text", "UTF-8").alias("data")).filter(F.octet_length("data") > 0)
+    last = F.floor((F.octet_length("data") - 1) / piece).cast("int")
+    parts = data.select("doc_id", "data", F.explode(F.sequence(F.lit(0), last)).alias("at")).select(
+        "doc_id", "at", F.substring("data", F.col("at") * piece + 1, F.lit(piece)).alias("part"))
+    rows = parts.orderBy(F.xxhash64("doc_id", "at"), "doc_id", "at").limit(most).collect()
+    return [bytes(r.part) for r in sorted(rows, key=lambda r: (r.doc_id, r.at))]
+
+
 def train(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="text", dictionary_rows: int = 1500,
           calibration_rows: int = 2000, sample_chars: int = 32_768, dictionary_bytes: int = 65_536,
           piece: int = 1024) -> Model:
@@ -101,8 +112,9 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="text
     with the smaller label).
 
     The sample is bounded: of each label, the ``dictionary_rows`` documents
-    with the smallest hashed ids give up to ``sample_chars`` characters to
-    its dictionary (collected to the driver), and the next
+    with the smallest hashed ids give their pieces to its dictionary
+    (collected to the driver), from anywhere in their texts and by a hash, up
+    to ``sample_chars`` bytes a document asked for; the next
     ``calibration_rows``, with their whole texts, fit the curve (their two
     features are). If a label has no documents, the score is the share of the
     other, evened out, for every text.
@@ -125,12 +137,8 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="text
         n = {k: chosen_docs.filter(F.col("label") == k).count() for k in (0, 1)}
         p = (n[1] + 1) / (n[0] + n[1] + 2)
         return Model(b"", b"", piece, (math.log(p / (1 - p)), 0.0, 0.0))
-    texts = {0: [], 1: []}
-    for doc, label, text in (chosen_docs.select("doc_id", "label", F.substring("text", 1, sample_chars))
-                             .orderBy("doc_id").collect()):
-        if doc in seen:
-            data = text.encode()
-            texts[label] += [data[i:i + piece] for i in range(0, len(data), piece)]
+    texts = {k: _pieces(chosen_docs.filter(F.col("doc_id").isin(sorted(place[k]))), piece,
+                        dictionary_rows * sample_chars // piece) for k in (0, 1)}
     model = Model(_dictionary(texts[1], dictionary_bytes), _dictionary(texts[0], dictionary_bytes), piece, (0, 0, 0))
     rows = (features(chosen_docs.select("doc_id", "label", "text"), model, ["doc_id", "label"])
             .select("doc_id", "label", "difference", "density").collect())

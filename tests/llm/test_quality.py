@@ -41,3 +41,21 @@ def test_no_labels_or_documents(spark):
     assert [r.score for r in quality.score(docs, quality.train(docs, none)).collect()] == [0.5, 0.5]
     empty = docs_df(spark, [])
     assert quality.score(empty, quality.train(empty, none)).count() == 0
+
+
+def test_dictionaries_read_whole_texts(spark, monkeypatch):
+    """Pieces come from the tails of long texts too, and keep the bound."""
+    texts = {i: "".join(f"{i}:{j:05d} " for j in range(7000)) + "é" for i in range(1, 9)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in texts], "doc_id long, label int")
+    seen = []
+    monkeypatch.setattr(quality, "_dictionary", lambda samples, size: seen.append(samples) or b"".join(samples)[-size:])
+    quality.train(docs, labels)
+    pieces = {t.encode()[i:i + 1024] for t in texts.values() for i in range(0, len(t.encode()), 1024)}
+    for samples in seen:
+        assert set(samples) <= pieces
+        assert sum(map(len, samples)) == 2 * len(texts[1].encode())  # two documents of a label, whole
+    quality.train(docs, labels, dictionary_rows=2, sample_chars=16_384)
+    for samples in seen[2:]:
+        assert set(samples) <= pieces and len(samples) == 32
+        assert max(int(s[-40:].decode(errors="ignore").split()[-2].split(":")[1]) for s in samples) > 4096
