@@ -6,7 +6,7 @@ pattern; the running sum of both lengths gives positions in code points.
 
 The models are first-order Markov chains over the characters of tokens, one
 of random strings and one of ordinary identifiers, trained from labelled
-samples. A token that no pattern has found is added when the log-likelihood
+samples. A token that is more than a match of a pattern is added when the log-likelihood
 ratio of its transitions, in nats a transition, reaches a limit.
 """
 
@@ -119,8 +119,8 @@ def scan(docs: DataFrame, model: Model, *, id_col="doc_id", text_col="text", lea
     """Per document: doc_id, text and ``spans``, an array of (start, kind, end)
     in order, with positions in code points, end exclusive, and kind a place
     in KINDS. Base spans always stay; a Markov span is a token of at least
-    ``least_chars`` characters that no base span touches and whose
-    log-likelihood ratio a transition is at least ``least_ratio``. Null texts
+    ``least_chars`` characters that lies in no base span (it may overlap some)
+    and whose log-likelihood ratio a transition is at least ``least_ratio``. Null texts
     are empty and have no spans, null ids stay null, repeated rows are
     scanned each, an empty table gives no rows."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), common.text_or_empty(text_col).alias("text"))
@@ -137,7 +137,7 @@ def _scanned(rows: DataFrame, model: Model, least_chars: int, least_ratio: float
             x["start"].alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end")))
 
     rows = rows.withColumn("base", F.concat(typed("assign"), typed("access"), typed("hex")))
-    free = F.filter("token", lambda x: ~F.exists("base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"])))
+    free = F.filter("token", lambda x: ~F.exists("base", lambda b: (b["start"] <= x["start"]) & (x["end"] <= b["end"])))
     rows = rows.withColumn("token", F.when(F.size("token") > 0, free).otherwise(F.col("token")))
     added = F.filter("token", lambda x: model.score(x["value"]) >= least_ratio)
     spans = F.array_sort(F.concat("base", typed("markov", F.when(F.size("token") > 0, added).otherwise(F.col("token")))))

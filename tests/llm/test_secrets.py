@@ -110,3 +110,21 @@ def test_model_reads_every_document(spark):
                 counts[label][place[a]][place[b]] += 1
     want = np.log(counts / counts.sum(axis=2, keepdims=True))
     assert np.allclose(secrets.train(samples).ratio, (want[1] - want[0]).ravel())
+
+
+def test_long_key_around_a_base_match(spark):
+    """A key that holds a run of hex or an access key is reported whole; one
+    that is no more than its base span is not reported again."""
+    keys = [hashlib.sha256(str(i).encode()).hexdigest().upper() for i in range(200)]
+    samples = spark.createDataFrame([(k, 1) for k in keys + [k.lower() for k in keys]]
+                                    + [("ordinary_identifier_name", 0)] * 200, "text string, label int")
+    model = secrets.train(samples)
+    long = [keys[0] + HEXES[:30] + keys[1], keys[2] + "_AKIA" + keys[3][:16]]
+    texts = [f"é {t} end" for t in (*long, HEXES)]
+    spans = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans]
+             for r in secrets.scan(docs_df(spark, list(enumerate(texts))), model).collect()}
+    for i, t in enumerate(long):
+        assert (3, 2, 2 + len(t)) in spans[i] and len(spans[i]) == 2
+    assert spans[2] == [(2, 2, 2 + len(HEXES))]
+    clean = secrets.redacted(docs_df(spark, list(enumerate(texts))), model).collect()
+    assert {r.text for r in clean} == {"é [SECRET] end"}
