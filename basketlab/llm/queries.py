@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common, contamination, html, idstore, neardup, packing, preference, quality, repeats, secrets, tokens, vptree
+from . import alignment, common, contamination, html, idstore, neardup, packing, preference, quality, repeats, secrets, tokens, vptree
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,9 +60,14 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(docs, secrets.train(samples)))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(common.read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_preference_pairs, op3_vantage_point, op4_html_text, op5_decontamination,
-    op6_near_duplicates, op7_quality, op8_id_store, op9_repeated_bytes, op10_secret_scan)}
+    op6_near_duplicates, op7_quality, op8_id_store, op9_repeated_bytes, op10_secret_scan,
+    op11_token_alignment)}
 
 #: DuckDB twins of the queries that SQL can express.
 ORACLE: dict[str, str] = {"op2_preference_pairs": preference.ORACLE_SQL}
