@@ -6,7 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, common, contamination, html, idstore, neardup, packing, preference, quality, repeats, secrets, tokens, vptree
+from . import (
+    alignment, common, contamination, html, idstore, neardup, packing, preference, quality, repeats, secrets, tokens,
+    toxicity, vptree, whitening)
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,10 +66,20 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.aligned(common.read(spark, sf_dir, "documents"))
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = common.read(spark, sf_dir, "documents")
+    labels = common.read(spark, sf_dir, "labels").filter(~quality.held_out())
+    return toxicity.score(docs, toxicity.train(docs, labels.select("doc_id", F.col("toxic").alias("label"))))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(common.read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_preference_pairs, op3_vantage_point, op4_html_text, op5_decontamination,
     op6_near_duplicates, op7_quality, op8_id_store, op9_repeated_bytes, op10_secret_scan,
-    op11_token_alignment)}
+    op11_token_alignment, op12_toxicity, op13_embedding_whitening)}
 
 #: DuckDB twins of the queries that SQL can express.
 ORACLE: dict[str, str] = {"op2_preference_pairs": preference.ORACLE_SQL}
