@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketlab.session import scratch_path, shared_dir, ship_package
+from basketlab.session import delete_path, scratch_path, shared_dir, ship_package
+
+#: Removes a query's shuffle files as soon as it ends: its result is a table.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -14,11 +17,30 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once into the cluster's shared folder and return the
-    reread table: a cut of the lineage that survives the loss of executors."""
+    reread table: a cut of the lineage that survives the loss of executors.
+    The shuffle files behind it go once it is written."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm/{name}")
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.__dict__["scratch"] = path
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete ``materialise``d tables that nothing reads any more."""
+    for table in tables:
+        path = table.__dict__.pop("scratch", None)
+        if path:
+            delete_path(table.sparkSession, path)
 
 
 def python_ready(spark: SparkSession) -> None:

@@ -181,9 +181,10 @@ def confirmed(pairs: DataFrame, table: DataFrame, percent: int, k: int) -> DataF
             .mapInArrow(run, PAIR).distinct())
 
 
-def sharing_rare(nodes: DataFrame, outer: DataFrame, table: DataFrame, percent: int, k: int) -> DataFrame:
-    """Pairs (a, b) of an ``outer`` node and a node of another component which
-    share one of the rarest shingles of both (by the count among ``nodes``)."""
+def rare_shingles(nodes: DataFrame, outer: DataFrame, table: DataFrame, percent: int, k: int) -> DataFrame:
+    """(node, component, h, n, left): each node's rarest shingles, by the
+    count among ``outer`` nodes, as far as a link's first common one can lie.
+    What no outer node has comes first and needs no row."""
     def run(batches):
         import pyarrow as pa
         for batch in batches:
@@ -191,18 +192,25 @@ def sharing_rare(nodes: DataFrame, outer: DataFrame, table: DataFrame, percent:
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(hashes, pa.list_(pa.int64()))],
                                              names=["node", "component", "n", "hashes"])
 
-    rows = (nodes.join(table.select("node", F.col("n_shingles").alias("n"), "text"), "node")
-            .select("node", "component", "n", "text")
-            .mapInArrow(run, "node long, component long, n long, hashes array<long>"))
-    exploded = common.materialise(rows.select("node", "component", "n", F.explode("hashes").alias("h")), "shingles")
-    counts = exploded.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
-    shared = exploded.join(counts, "h")
-    # Shingles that no other node has come first; they use up the place of others.
+    def exploded(some: DataFrame) -> DataFrame:
+        rows = (some.join(table.select("node", F.col("n_shingles").alias("n"), "text"), "node")
+                .select("node", "component", "n", "text")
+                .mapInArrow(run, "node long, component long, n long, hashes array<long>"))
+        return rows.select("node", "component", "n", F.explode("hashes").alias("h"))
+
+    counts = exploded(nodes.join(outer, "node", "left_semi")).groupBy("h").agg(F.count("*").alias("df"))
+    shared = exploded(nodes).join(counts, "h")
+    # Shingles that no outer node has come first; they use up the place of others.
     by_node = Window.partitionBy("node")
     place = F.row_number().over(by_node.orderBy("df", "h")) + F.col("n") - F.count("*").over(by_node)
     rarest = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    rare = (shared.withColumn("place", place).filter(F.col("place") <= rarest)
+    return (shared.withColumn("place", place).filter(F.col("place") <= rarest)
             .select("node", "component", "h", "n", (F.col("n") - F.col("place") + 1).alias("left")))
+
+
+def sharing_rare(rare: DataFrame, outer: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of an ``outer`` node and a node of another component which
+    share one of the rarest shingles of both."""
     x = rare.join(outer, "node", "left_semi").select(
         F.col("node").alias("x"), F.col("component").alias("cx"), F.col("n").alias("nx"), F.col("left").alias("lx"), "h")
     # If h is the first shingle in this order that both have, no more can be
@@ -227,13 +235,17 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "a").select(F.explode(F.array(
             F.struct(F.col("b").alias("a"), F.col("m").alias("b")),
             F.struct(F.col("a"), F.col("m").alias("b")))).alias("e")).select("e.*")
-        edges = common.materialise(small.filter("a != b").distinct(), "components")
+        last, edges = edges, common.materialise(small.filter("a != b").distinct(), "components")
+        common.release(last)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:
             break
         state = now
     stars = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return stars.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    found = common.materialise(
+        stars.unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()), "labels")
+    common.release(edges)
+    return found
 
 
 def near_duplicates(docs: DataFrame, *, id_col="doc_id", text_col="text", shingle: int = 5, percent: int = 80,
@@ -263,16 +275,29 @@ def near_duplicates(docs: DataFrame, *, id_col="doc_id", text_col="text", shingl
         chosen.join(texts, ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "set_key"])
         .select(F.col("doc_id").alias("node"), "n_shingles", "signature", "text"), "candidates")
 
-    def links(pairs: DataFrame) -> DataFrame:
+    # The signatures of all other documents aren't needed any more.
+    slim = common.materialise(table.select("doc_id", "n_shingles", "set_key"), "sets")
+    common.release(table)
+    classes = (slim.filter("n_shingles > 0 AND doc_id IS NOT NULL")
+               .groupBy("set_key").agg(F.min("doc_id").alias("node")))
+
+    def grown(pairs: DataFrame, stars: DataFrame | None) -> DataFrame:
+        """Components after the links among ``pairs``."""
         survivors = common.materialise(bayes(pairs.distinct(), table_of, percent, hashes, batch, miss), "survivors")
-        return common.materialise(confirmed(survivors, table_of, percent, shingle), "links")
+        links = common.materialise(confirmed(survivors, table_of, percent, shingle), "links")
+        common.release(survivors)
+        edges = links if stars is None else stars.select(
+            F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)
+        found = components(edges)
+        common.release(links, *([] if stars is None else [stars]))
+        return found
 
     crowd = members.join(members.groupBy("key").count(), "key").groupBy("node").agg(F.sum("count").alias("score"))
     pivot = members.join(crowd, "node").groupBy("key").agg(
         F.max(F.struct("score", (-F.col("node")).alias("minus"))).alias("p")).select("key", (-F.col("p.minus")).alias("a"))
     first = (members.join(pivot, "key").filter("a != node")
              .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b")))
-    comps = common.materialise(components(links(first)), "round1")
+    comps = grown(first, None)
 
     def open_members() -> DataFrame:
         """Members of buckets which hold several components still."""
@@ -284,19 +309,21 @@ def near_duplicates(docs: DataFrame, *, id_col="doc_id", text_col="text", shingl
     pivot = rest.groupBy("key").agg(F.min_by(F.struct("node", "component"), F.xxhash64("key", "node")).alias("p"))
     second = (rest.join(pivot, "key").filter("component != p.component")
               .select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b")))
-    stars = comps.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    comps = common.materialise(components(stars.unionByName(links(second))), "round2")
+    comps = grown(second, comps)
 
     rest = common.materialise(open_members(), "open")
+    common.release(members)
     sizes = rest.groupBy("key", "component").count()
     main = sizes.groupBy("key").agg(F.max_by("component", F.struct("count", "component")).alias("main"))
-    outer = rest.join(main, "key").filter("component != main").select("node").distinct()
-    third = sharing_rare(rest.select("node", "component").distinct(), outer, table_of, percent, shingle)
-    stars = comps.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    comps = common.materialise(components(stars.unionByName(links(third))), "round3")
+    outer = common.materialise(rest.join(main, "key").filter("component != main").select("node").distinct(), "outer")
+    nodes = common.materialise(rest.select("node", "component").distinct(), "nodes")
+    common.release(rest)
+    rare = common.materialise(rare_shingles(nodes, outer, table_of, percent, shingle), "rare")
+    comps = grown(sharing_rare(rare, outer, percent), comps)
+    common.release(nodes, outer, rare, table_of)
 
     label = classes.join(comps, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"))
-    out = table.select("doc_id", "n_shingles", "set_key").join(label, "set_key", "left")
+    out = slim.join(label, "set_key", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
