@@ -114,8 +114,8 @@ def write(docs: DataFrame, out: str, path: str, *, id_col="doc_id", text_col="te
         kinds = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.int32(),
                  pa.binary(), pa.binary(), pa.binary(), pa.binary()]
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                x = enc.encode(text) + end
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                x = enc.encode(text.as_py()) + end
                 if ids and held + len(x) // 4 > segment_ids:
                     yield flush()
                     number, held, ids, docs_held = number + 1, 0, [], []

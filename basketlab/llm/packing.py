@@ -50,8 +50,8 @@ def pieces(docs: DataFrame, path: str, *, id_col="doc_id", text_col="text",
         enc, end = tokens.encoder(path), end_id.to_bytes(4, "little")
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = enc.encode(text) + end
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                ids = enc.encode(text.as_py()) + end
                 rows += [(doc, k, s, n, zlib.crc32(memoryview(ids)[4 * s:4 * (s + n)]))
                          for k, (s, n) in enumerate(cut(len(ids) // 4, capacity))]
             columns = list(zip(*rows, strict=True)) or [[]] * 5

@@ -29,9 +29,28 @@ def test_encoder_equals_the_library(text):
 
 def test_encoder_on_odd_texts():
     e = tokens.Encoder(PATH, keep=3)
-    for text in ODD * 2:
+    for text in ODD * 4:
         assert e.encode(text) == e.plain(text), repr(text)
-    assert len(e.known) <= 3
+    assert len(e.known) <= 3 and len(e.known.older) <= 3
+
+
+@given(st.lists(st.sampled_from(["word", "Wörd", "don't", "a.\nB", "end.%%%", "x,\ny", "b\t\nc", "naïve.", "日本.", "_x", "3.14", "é\n\nz",
+                                 "l'été,", "\nq", "r\n"]), max_size=30))
+@settings(max_examples=200, deadline=None)
+def test_pieces_with_marks_and_line_breaks(parts):
+    e = tokens.Encoder(PATH, keep=4) if not parts else tokens.encoder(PATH)
+    text = " ".join(parts)
+    assert e.encode(text) == e.plain(text)
+
+
+def test_words_are_kept_from_their_second_sight_on():
+    made = []
+    m = tokens.Memory(lambda p: made.append(p) or p.upper(), keep=2)
+    for p in ("a", "a", "a", "b", "b", "c", "c", "a", "c", "z" * 99, "z" * 99):
+        assert m[p] == p.upper()
+    # "a" is found in the older generation; a very long piece is never kept.
+    assert made.count("a") == 2 and made.count("b") == 2 and made.count("z" * 99) == 2
+    assert len(m) <= 2 and len(m.older) <= 2
 
 
 def optimum(items, capacity):
