@@ -20,20 +20,19 @@ then meets its counts once.
 
 from __future__ import annotations
 
+from array import array
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import common
+from . import common, tokens
 
 #: Ends of A and B in a piece of the merge.
 PIECE = 1 << 14
 #: Characters of text in a block; a longer document is a block of its own.
 BLOCK_CHARS = 4_000_000
-#: Characters in one call of the tokenizers.
-CALL_CHARS = 200_000
 STATS = [("doc_id", T.LongType()), ("n_a", T.LongType()), ("n_b", T.LongType()), ("n_groups", T.LongType()),
          ("n_links", T.LongType()), ("groups_sha256", T.StringType())]
 BLOCKS = T.StructType([
@@ -107,59 +106,66 @@ def merged(a, b, piece: int = PIECE):
 
 
 class Tokenizers:
-    """Both tokenizers, their tokens' bytes, and the digest's strings."""
+    """Both tokenizers, their tokens' bytes, and the digest's strings.
 
-    def __init__(self, path_a: str, path_b: str):
-        import os
+    No token of B runs over the border between a non-space and a space (the
+    vocabulary is checked), and none of A does, so texts are cut there and
+    both sides' ids of a piece are remembered together.
+    """
 
+    def __init__(self, path_a: str, path_b: str, keep: int = 200_000):
         import numpy as np
         import sentencepiece
-        from tokenizers import Tokenizer
-
-        from .tokens import _byte_symbols
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True  # a special token's string inside a text is ordinary text
+        self.a = tokens.Encoder(path_a)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
-        byte_of = {c: b for b, c in _byte_symbols().items()}
-        vocabulary = self.a.get_vocab()
-        self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
-        for token, i in vocabulary.items():
-            known = all(c in byte_of for c in token)
-            self.bytes_a[i] = bytes(byte_of[c] for c in token) if known else token.encode()
+        self.bytes_a = tokens.token_bytes(self.a.tok.get_vocab())
         self.bytes_b = []
-        for i in range(self.b.get_piece_size()):
-            piece = self.b.id_to_piece(i)
-            self.bytes_b.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i)
-                                else piece.replace("▁", " ").encode())
+        names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        for i, name in enumerate(names):
+            self.bytes_b.append(bytes([int(name[3:5], 16)]) if self.b.is_byte(i) else name.replace("▁", " ").encode())
+        self.cuts = not any("▁" in name.lstrip("▁") for name in names)
         self.sizes_a = np.array([len(x) for x in self.bytes_a], dtype=np.int64)
         self.sizes_b = np.array([len(x) for x in self.bytes_b], dtype=np.int64)
+        self.known = tokens.Memory(self._piece, keep)
         # Per id: inside its group, and as the last one of its side.
         self.strings = [f"{i}{end}" for i in range(len(self.bytes_a)) for end in ",|"]
         self.strings += [f"{i}{end}" for i in range(len(self.bytes_b)) for end in ",;"]
 
-    def encode(self, texts: list[str]):
-        """Per text the ids of A and of B, as arrays; both empty where the
-        tokens' bytes aren't the bytes of a space and the text, or the text is
-        empty. A call of the libraries gets ``CALL_CHARS`` or one text: their
-        results hold far more than the ids."""
+    def _piece(self, piece: str) -> tuple[bytes, bytes]:
+        """Ids of a piece with a space in front, as uint32; nothing if the
+        tokens' bytes are others."""
+        data = (" " + piece).encode()
+        a, b = self.a.after_space(piece), array("I", self.b.encode(piece))
+        same = (b"".join(map(self.bytes_a.__getitem__, memoryview(a).cast("I"))) == data
+                and b"".join(map(self.bytes_b.__getitem__, b)) == data)
+        return (a, b.tobytes()) if same else _NOTHING
+
+    def _whole(self, text: str) -> tuple[bytes, bytes]:
+        """The same of a text, by the libraries' own calls."""
+        data = (" " + text).encode()
+        a, b = self.a.plain(" " + text), array("I", self.b.encode(text))
+        same = (b"".join(map(self.bytes_a.__getitem__, memoryview(a).cast("I"))) == data
+                and b"".join(map(self.bytes_b.__getitem__, b)) == data)
+        return (a, b.tobytes()) if same else _NOTHING
+
+    def encode(self, text: str):
+        """Ids of A for a space and the text, and of B for the text, as
+        arrays; both empty where the tokens' bytes aren't the bytes of a space
+        and the text, or the text is empty."""
         import numpy as np
-        start = 0
-        while start < len(texts):
-            end, chars = start + 1, len(texts[start])
-            while end < len(texts) and chars + len(texts[end]) <= CALL_CHARS:
-                chars, end = chars + len(texts[end]), end + 1
-            some = texts[start:end]
-            spaced = [" " + t for t in some]
-            ids_a = [x.ids for x in self.a.encode_batch_fast(spaced, add_special_tokens=False)]
-            for text, a, b in zip(spaced, ids_a, self.b.encode(some, num_threads=1), strict=True):
-                data = text.encode()
-                same = (len(text) > 1 and b"".join(map(self.bytes_a.__getitem__, a)) == data
-                        and b"".join(map(self.bytes_b.__getitem__, b)) == data)
-                yield tuple(np.array(x if same else [], dtype=np.int32) for x in (a, b))
-            start = end
-
-
+        found = _NOTHING
+        if text:
+            # In front of the text, too, stands a space.
+            parts = None if text[0] == " " or not self.cuts else tokens.pieces(text)
+            some = None if parts is None else list(map(self.known.__getitem__, parts))
+            if some is None or _NOTHING in some:
+                found = self._whole(text)
+            else:
+                found = tuple(b"".join([x[k] for x in some]) for k in (0, 1))
+        return tuple(np.frombuffer(x, dtype="<u4").astype(np.int32) for x in found)
+
+
+_NOTHING = (b"", b"")
 _KNOWN: dict[tuple, Tokenizers] = {}
 
 
@@ -185,7 +191,7 @@ class Aligned:
 
 def align(tok: Tokenizers, texts: list[str], piece: int = PIECE) -> Aligned:
     import numpy as np
-    pairs = list(tok.encode(texts))
+    pairs = list(map(tok.encode, texts))
     none = np.zeros(0, dtype=np.int64)
     ids_a, ids_b = (np.concatenate([none, *(p[k] for p in pairs)]) for k in (0, 1))
     n_a, n_b = (np.array([len(p[k]) for p in pairs], dtype=np.int64) for k in (0, 1))
