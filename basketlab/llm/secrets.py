@@ -3,6 +3,10 @@
 Everything is DataFrame expressions. A pattern's matches come from
 ``regexp_extract_all`` and the text between them from ``split`` on the same
 pattern; the running sum of both lengths gives positions in code points.
+Running sums and maxima over an array go in blocks of about the root of its
+size, characters come from one ``split``, and cuts of a text are made inside
+blocks of it: a text of a million characters or a hundred thousand matches
+takes seconds, not their square.
 
 The models are first-order Markov chains over the characters of tokens, one
 of random strings and one of ordinary identifiers, trained from labelled
@@ -32,22 +36,58 @@ TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}+"
 SPANS = "array<struct<start:int,kind:int,end:int>>"
 
 
+def _scan(values: Column, start: Column, step, kind: str) -> Column:
+    """Of an array the running results of ``step`` in front of each element,
+    from ``start`` on. It copies what it has at each element: for short arrays."""
+    empty = F.array().cast(f"array<{kind}>")
+    return F.aggregate(values, F.struct(start.alias("at"), empty.alias("out")), lambda acc, x: F.struct(
+        step(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out")), lambda acc: acc["out"])
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of the value, which is computed once however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(values: Column, step, kind: str = "int") -> Column:
+    """The same from 0 for arrays of any size: blocks of about the root of the
+    size, first their totals, then inside each. ``step`` must be associative."""
+    zero = F.lit(0).cast(kind)
+
+    def blocked(v: Column) -> Column:
+        width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(v))).cast("int"))
+        starts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(v) - 1), width)
+        return F.when(F.size(v) > 0, F.transform(starts, lambda at: F.slice(v, at + 1, width))).otherwise(
+            F.array().cast(f"array<array<{kind}>>"))
+
+    def summed(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.aggregate(b, zero, lambda at, x: step(at, x)))
+        return F.flatten(F.zip_with(blocks, _scan(totals, zero, step, kind),
+                                    lambda b, base: _scan(b, base, step, kind)))
+
+    return _let(_let(values, blocked), summed)
+
+
+def _characters(text: Column) -> Column:
+    """The characters, by one walk."""
+    return F.filter(F.split(text, ""), lambda c: c != "")
+
+
 def _matches(df: DataFrame, name: str, pattern: str) -> DataFrame:
     """Adds ``name``: array of (start, end, value) of the pattern's leftmost,
     non-overlapping matches in ``text``."""
     df = df.withColumn("found", F.regexp_extract_all("text", F.lit(pattern), F.lit(0)))
     empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
-
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["value"])
-        span = F.struct(start.alias("start"), end.alias("end"), x["value"].alias("value"))
-        return F.when(x["value"].isNull(), acc).otherwise(
-            F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans")))
-
-    pairs = F.arrays_zip(F.split("text", pattern, -1).alias("gap"), F.col("found").alias("value"))
-    walked = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("spans")), step, lambda acc: acc["spans"])
-    return df.withColumn(name, F.when(F.size("found") > 0, walked).otherwise(empty)).drop("found")
+    some = F.size("found") > 0
+    # The text behind the last match comes last.
+    gaps = F.slice(F.split("text", pattern, -1), F.lit(1), F.size("found"))
+    df = df.withColumn("gaps", F.when(some, F.transform(gaps, F.length)))
+    df = df.withColumn("before", F.when(some, running(
+        F.zip_with("gaps", "found", lambda g, v: g + F.length(v)), lambda at, x: at + x)))
+    spans = F.transform(F.arrays_zip("before", "gaps", "found"), lambda x: F.struct(
+        (x["before"] + x["gaps"]).alias("start"), (x["before"] + x["gaps"] + F.length(x["found"])).alias("end"),
+        x["found"].alias("value")))
+    return df.withColumn(name, F.when(some, spans).otherwise(empty)).drop("found", "gaps", "before")
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
@@ -68,8 +108,7 @@ class Model:
         """Log-likelihood ratio a transition. Other characters don't count."""
         n = len(self.alphabet)
         table = F.from_json(F.lit("[" + ",".join(f"{x:.5f}" for x in self.ratio) + "]"), "array<double>")
-        places = F.transform(F.sequence(F.lit(1), F.length(token)),
-                             lambda i: F.instr(F.lit(self.alphabet), F.substring(token, i, F.lit(1))))
+        places = F.transform(_characters(token), lambda c: F.instr(F.lit(self.alphabet), c))
 
         def step(acc: Column, p: Column) -> Column:
             known = (p > 0) & (acc["last"] > 0)
@@ -88,8 +127,10 @@ def train(samples: DataFrame, alphabet: str = ALPHABET, smoothing: float = 0.5)
     counts of character pairs: at most len(alphabet)**2 a label."""
     strings = (samples.filter("text IS NOT NULL AND label IN (0, 1) AND length(text) > 1")
                .groupBy(F.col("label").cast("int").alias("label"), "text").agg(F.count("*").alias("n")))
-    rows = strings.select("label", "n", F.explode(F.transform(
-            F.sequence(F.lit(1), F.length("text") - 1), lambda i: F.substring("text", i, F.lit(2)))).alias("pair"))
+    strings = strings.select("label", "n", _characters(F.col("text")).alias("c"))
+    rows = strings.select("label", "n", F.explode(F.zip_with(
+        F.slice("c", F.lit(1), F.size("c") - 1), F.slice("c", F.lit(2), F.size("c") - 1),
+        lambda a, b: F.concat(a, b))).alias("pair"))
     inside = "^[" + alphabet.replace("-", r"\-") + "]{2}$"
     n, place = len(alphabet), {c: i for i, c in enumerate(alphabet)}
     counts = [[[smoothing] * n for _ in range(n)] for _ in range(2)]
@@ -122,7 +163,9 @@ def scan(docs: DataFrame, model: Model, *, id_col="doc_id", text_col="text", lea
     ``least_chars`` characters that lies in no base span (it may overlap some)
     and whose log-likelihood ratio a transition is at least ``least_ratio``. Null texts
     are empty and have no spans, null ids stay null, repeated rows are
-    scanned each, an empty table gives no rows."""
+    scanned each, an empty table gives no rows. Spans that start together are
+    in the order of KINDS. Very long texts, tokens and runs of matches are
+    read to their end; other columns, whatever their names, play no part."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), common.text_or_empty(text_col).alias("text"))
     return _scanned(rows, model, least_chars, least_ratio).select("doc_id", "text", "spans")
 
@@ -137,8 +180,20 @@ def _scanned(rows: DataFrame, model: Model, least_chars: int, least_ratio: float
             x["start"].alias("start"), F.lit(kind).alias("kind"), x["end"].alias("end")))
 
     rows = rows.withColumn("base", F.concat(typed("assign"), typed("access"), typed("hex")))
-    free = F.filter("token", lambda x: ~F.exists("base", lambda b: (b["start"] <= x["start"]) & (x["end"] <= b["end"])))
-    rows = rows.withColumn("token", F.when(F.size("token") > 0, free).otherwise(F.col("token")))
+    # In order of their starts, base spans first: a token lies in one of them
+    # if the farthest end so far reaches its own.
+    entry = lambda at, end, value: F.struct(at.alias("start"), value.isNotNull().alias("token"), end.alias("end"),
+                                            value.alias("value"))
+    none = F.lit(None).cast("string")
+    rows = rows.withColumn("both", F.when(F.size("token") > 0, F.array_sort(F.concat(
+        F.transform("base", lambda x: entry(x["start"], x["end"], none)),
+        F.transform("token", lambda x: entry(x["start"], x["end"], x["value"]))))))
+    far = running(F.transform("both", lambda x: F.when(x["token"], 0).otherwise(x["end"])),
+                  lambda at, x: F.greatest(at, x))
+    rows = rows.withColumn("far", F.when(F.size("token") > 0, far))
+    free = F.filter(F.arrays_zip("both", "far"), lambda x: x["both"]["token"] & (x["far"] < x["both"]["end"]))
+    empty = F.array().cast("array<struct<start:int,token:boolean,end:int,value:string>>")
+    rows = rows.withColumn("token", F.when(F.size("token") > 0, F.transform(free, lambda x: x["both"])).otherwise(empty))
     added = F.filter("token", lambda x: model.score(x["value"]) >= least_ratio)
     spans = F.array_sort(F.concat("base", typed("markov", F.when(F.size("token") > 0, added).otherwise(F.col("token")))))
     return rows.withColumn("spans", spans.cast(SPANS))
@@ -170,14 +225,30 @@ def digest(scanned: DataFrame) -> DataFrame:
                           of("markov").alias("n_markov"))
 
 
+#: Characters of the blocks that cuts are made in.
+BLOCK = 4096
+
+
+def _cut(blocks: Column, start: Column, end: Column) -> Column:
+    """Characters ``start`` to ``end`` (exclusive) of a text in blocks."""
+    inside = lambda i: F.substring(
+        F.get(blocks, i), F.greatest(F.lit(0), start - i * BLOCK) + 1,
+        F.least(F.lit(BLOCK), end - i * BLOCK) - F.greatest(F.lit(0), start - i * BLOCK))
+    numbers = F.sequence(F.floor(start / BLOCK).cast("int"), F.floor((end - 1) / BLOCK).cast("int"))
+    return F.when(start < end, F.array_join(F.transform(numbers, inside), "")).otherwise("")
+
+
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
-    """The text with every span (overlapping ones together) replaced."""
-    def step(acc: Column, x: Column) -> Column:
-        seen = x["start"] < acc["at"]
-        out = F.when(seen, acc["out"]).otherwise(F.concat(
-            acc["out"], F.substring(text, acc["at"] + 1, x["start"] - acc["at"]), F.lit(mark)))
-        return F.struct(out.alias("out"), F.greatest(acc["at"], x["end"]).alias("at"))
-
-    done = F.aggregate(spans, F.struct(F.lit("").alias("out"), F.lit(0).alias("at")), step,
-                       lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, done).otherwise(text)
+    """The text with every span (overlapping ones together) replaced. Spans
+    are in order of their starts."""
+    far = running(F.transform(spans, lambda x: x["end"]), lambda at, x: F.greatest(at, x))
+    opens = F.filter(F.zip_with(spans, far, lambda x, f: F.struct(f.alias("from"), x["start"].alias("to"))),
+                     lambda x: x["to"] >= x["from"])
+
+    def pieced(blocks: Column) -> Column:
+        parts = F.transform(opens, lambda x: F.concat(_cut(blocks, x["from"], x["to"]), F.lit(mark)))
+        tail = _cut(blocks, F.array_max(F.transform(spans, lambda x: x["end"])), F.length(text))
+        return F.concat(F.array_join(parts, ""), tail)
+
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    return F.when(F.size(spans) > 0, _let(blocks, pieced)).otherwise(text)

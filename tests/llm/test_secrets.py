@@ -128,3 +128,86 @@ def test_long_key_around_a_base_match(spark):
     assert spans[2] == [(2, 2, 2 + len(HEXES))]
     clean = secrets.redacted(docs_df(spark, list(enumerate(texts))), model).collect()
     assert {r.text for r in clean} == {"é [SECRET] end"}
+
+
+def test_markov_spans_against_a_plain_model(spark, sf):
+    """Counts, ratios and spans from the definition."""
+    rows = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    rows += [(9000, f"zz {HEXES[:40].upper()}QX/{HEXES[:30]} and ordinary_identifier_name_here"), (9001, "Zq9" * 12),
+             (9002, "é 0b96a8c8d79c4a50_85c919698889f59b+72ab7bb6 and 72ab7bb60b96a8c8d79/c4a5085c919698889 x")]
+    df = docs_df(spark, rows).select("doc_id", "text")
+    model = secrets.train(secrets.samples_from(df))
+    n, place = len(secrets.ALPHABET), {c: i for i, c in enumerate(secrets.ALPHABET)}
+    counts = np.full((2, n, n), 0.5)
+
+    def learn(label, token):
+        for a, b in itertools.pairwise(token):
+            if a in place and b in place:
+                counts[label][place[a]][place[b]] += 1
+
+    word = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}"
+    for _, t in rows:
+        for m in ASSIGN.finditer(t):
+            if len(m[2]) >= 6:
+                learn(1, m[2])
+        for s, k, e in base(t):
+            if k:
+                learn(1, t[s:e])
+        rest = re.sub(r"AKIA[A-Z0-9]{16,}|[0-9a-f]{24,}", " ", ASSIGN.sub(" ", t))
+        for m in re.finditer(word % 4, rest):
+            learn(0, m[0])
+    share = np.log(counts / counts.sum(axis=2, keepdims=True))
+    ratio = share[1] - share[0]
+    assert np.allclose(model.ratio, ratio.ravel())
+
+    def markov(t):
+        spans = base(t)
+        for m in re.finditer(word % 20, t):
+            if any(s <= m.start() and m.end() <= e for s, _, e in spans):
+                continue
+            gains = [round(ratio[place[a]][place[b]], 5) for a, b in itertools.pairwise(m[0])]
+            if sum(gains) / (len(m[0]) - 1) >= 0.5:
+                yield m.start(), 3, m.end()
+
+    got = {r.doc_id: [tuple(s) for s in r.spans] for r in secrets.scan(df, model).collect()}
+    found = 0
+    for d, t in rows:
+        want = sorted([*base(t), *markov(t)])
+        found += sum(k == 3 for _, k, _ in want)
+        assert got[d] == want
+    assert found
+
+
+def test_long_tokens_and_many_matches_are_linear(spark):
+    """A million characters in one token; a hundred thousand matches and
+    tokens in one text: seconds each."""
+    import time
+    rng = np.random.default_rng(3)
+    letters = np.array(list("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"))
+    image = "".join(rng.choice(letters, 1_000_000))
+    many = " ".join(f"é token=abcdef{i} {'Zq9xK2' * 4}{i}" for i in range(100_000))
+    samples = [(hashlib.sha256(str(i).encode()).hexdigest(), 1) for i in range(50)] + [("plain_identifier_name", 0)] * 50
+    samples += [("".join(rng.choice(letters, 40)), 1) for _ in range(200)]
+    model = secrets.train(spark.createDataFrame(samples, "text string, label int"))
+    for text, kinds in ((image, {3: 1}), (many, {0: 100_000, 3: 100_000})):
+        df = docs_df(spark, [(1, text)])
+        start = time.time()
+        spans = secrets.scan(df, model, least_ratio=-9.0).select("spans").first().spans
+        assert time.time() - start < 30
+        found = {k: sum(s.kind == k for s in spans) for k in kinds}
+        assert found == kinds
+        start = time.time()
+        clean = secrets.redacted(df, model, least_ratio=-9.0).select("text").first().text
+        assert time.time() - start < 40
+        assert clean == ("[SECRET]" if text is image else " ".join(["é [SECRET] [SECRET]"] * 100_000))
+
+
+def test_running_results_in_blocks(spark):
+    rng = np.random.default_rng(2)
+    arrays = [[], [5], *([int(x) for x in rng.integers(0, 100, n)] for n in (2, 3, 9, 10, 50, 1000))]
+    df = spark.createDataFrame([(a,) for a in arrays], "a array<int>")
+    rows = df.select("a", secrets.running(F.col("a"), lambda x, y: x + y).alias("s"),
+                     secrets.running(F.col("a"), lambda x, y: F.greatest(x, y)).alias("m")).collect()
+    for r in rows:
+        assert r.s == [sum(r.a[:i]) for i in range(len(r.a))]
+        assert r.m == [max(r.a[:i], default=0) for i in range(len(r.a))]
