@@ -10,8 +10,8 @@ as n words in a row are kept. What common n-grams hit costs little: documents
 and passages with too few of the item's words for the least score aren't
 aligned, which loses nothing.
 
-The test items go to every task in blocks of at most ``block_words`` words;
-a larger benchmark takes further passes, not more memory.
+The test items go to every task in blocks of at most ``block_words`` words,
+one block after the other.
 """
 
 from __future__ import annotations
@@ -114,15 +114,17 @@ def align(item, passage) -> tuple[int, int]:
 
 
 def passages(diagonals: list[int], length: int) -> list[tuple[int, int]]:
-    """(first, last) diagonal of each group of hits: groups lie apart by more
-    than a quarter of the item."""
-    gap = max(8, length // 4)
-    out = []
+    """(first, end) word places of the stretches to align. An alignment that
+    reaches half of the item's best has at most ``length`` gaps, so one
+    through a hit lies within that distance of it; stretches which touch are
+    one, so runs of a copy with words inserted between them stay together."""
+    out: list[list[int]] = []
     for d in sorted(diagonals):
-        if out and d - out[-1][1] <= gap:
-            out[-1][1] = d
+        first, end = max(0, d - length), d + 2 * length
+        if out and first <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], end)
         else:
-            out.append([d, d])
+            out.append([first, end])
     return [tuple(x) for x in out]
 
 
@@ -143,10 +145,8 @@ def _matches(text: str, block: Block, least: float) -> list[dict]:
         # Each word of the item and of the passage matches once at most.
         if np.count_nonzero(held[item]) < least * len(item):
             continue
-        slack = max(8, len(item) // 4)
-        for low, high in passages(diagonals, len(item)):
-            first = max(0, low - slack)
-            passage = numbers[first:high + len(item) + slack]
+        for first, end in passages(diagonals, len(item)):
+            passage = numbers[first:end]
             if np.count_nonzero(np.isin(passage, item)) < least * len(item):
                 continue
             score, end = align(item, passage)
@@ -187,14 +187,23 @@ def annotate(docs: DataFrame, items: DataFrame, *, text_col="text", item_col="it
     nothing; null items have no words. Null texts are empty and match nothing.
     An item repeated in a document is reported once, at its best passage.
     Repeated rows of either table are treated each on its own. A column named
-    ``out`` is replaced; no items give empty lists.
+    ``out`` is replaced; no items give empty lists. Blocks of items run one
+    after the other, with the rows written in between, so a larger benchmark
+    takes no more memory in a task. ``least`` must be 0.5 or more: passages
+    are cut for that.
     """
     spark = docs.sparkSession
     common.python_ready(spark)
     docs = docs.drop(out)
     schema = T.StructType([*docs.schema.fields, T.StructField(out, MATCHES)])
     result = docs.withColumn(out, F.array().cast(MATCHES))
-    for block in blocks(items, item_col, item_text_col, n, block_words):
+    if least < 0.5:
+        raise ValueError("least must be at least 0.5")
+    for number, block in enumerate(blocks(items, item_col, item_text_col, n, block_words)):
+        if number:
+            last, result = result, common.materialise(result, "annotated")
+            common.release(last)
+
         def run(batches, seeded=block.index()):
             import pyarrow as pa
             for batch in batches:

@@ -112,3 +112,31 @@ def test_edited_copies_against_exhaustive_alignment(spark):
     got = {(r.doc_id, r.item_id) for r in c.contaminated(docs_df(spark, rows), bench).collect()}
     assert got == want & kept  # a copy without four words in a row has no seed
     assert len(want - kept) <= 2
+
+
+def test_inserted_words_against_exhaustive_alignment(spark):
+    """Copies in runs of four words or more, with words inserted between."""
+    rng = random.Random(21)
+    items = {i: make(rng, rng.randint(20, 60)) for i in range(60)}
+    items[60] = [f"u{i}" for i in range(40)]
+    leaks = {60: [w for i in range(4) for w in (*items[60][10 * i:10 * i + 10], *([f"new{i}"] * 11 if i < 3 else []))]}
+    for i in range(60):
+        leak, at = [], 0
+        while at < len(items[i]):
+            step = rng.randint(4, 12)
+            leak += items[i][at:at + step] + [f"in{rng.random()}" for _ in range(rng.randint(0, 9))]
+            at += step
+        leaks[i] = leak
+    rows = [(i, " ".join(make(rng, 80) + leak + make(rng, 80))) for i, leak in leaks.items()]
+    rows += [(500 + i, " ".join(make(rng, 300))) for i in range(60)]
+    number: dict = {}
+    code = lambda ws: np.array([number.setdefault(w, len(number)) for w in ws], dtype=np.int64)
+    coded, want = [(d, code(c.words(t))) for d, t in rows], set()
+    for i, w in items.items():
+        item = code(w)
+        want |= {(d, i) for d, text in coded if c.align(item, text)[0] >= 0.5 * c.MATCH * len(item)}
+    assert (60, 60) in want and len(want) > 30
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    for block_words in (2_000_000, 900):
+        out = c.contaminated(docs_df(spark, rows), bench, block_words=block_words).collect()
+        assert {(r.doc_id, r.item_id) for r in out} == want
