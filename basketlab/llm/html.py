@@ -1,7 +1,9 @@
 """Main text of web pages by composite text density.
 
 A page becomes a tree of elements. Elements that are never part of an article
-(by tag, role or the words of their class and id) are taken out. For every
+(by tag, role or the words of their class and id) are taken out, unless they
+hold the page's main element or, on a page without one, most of its text; if
+nothing is left, only tags and roles count. For every
 node that is left the link-adjusted characters per tag are computed, with C, T
 characters and tags, LC, LT those inside links, and nLC = C - LC:
 
@@ -26,7 +28,8 @@ from pyspark.sql import types as T
 from . import common
 
 TEXTS = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("url", T.StringType()),
-                      T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
+                      T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType()),
+                      T.StructField("widened", T.BooleanType())])
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
@@ -45,8 +48,12 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
 #: An element that an implied end tag doesn't reach through.
 SCOPES = frozenset("table ul ol dl select body html article section main div blockquote td th".split())
 
+#: Words that make a class say what a page has or lacks, not what it is.
+STATES = frozenset("no not has have with without is".split())
+#: Words that also name parts of an article, if those hold paragraphs.
+WEAK_WORDS = frozenset("overlay modal popup header banner widget widgets".split())
 DROPPED_TAGS = frozenset("""head script style title noscript template iframe object embed applet svg math canvas nav
-aside footer form button select option input textarea dialog menu audio video map noembed noframes xmp""".split())
+aside footer button select option input textarea dialog menu audio video map noembed noframes xmp""".split())
 DROPPED_ROLES = frozenset("""navigation banner contentinfo complementary search form dialog alertdialog alert menu
 menubar toolbar""".split())
 COMMENT_WORDS = frozenset("comment comments commentlist disqus reply replies respond".split())
@@ -66,11 +73,15 @@ class Node:
         self.words, self.role, self.hidden = (), "", False
         self.block = tag in BLOCKS
         self.drop = self.core = False
+        self.links = 0
         if attrs and tag != "a":
             for m in _ATTR.finditer(attrs):
                 name, value = (m[1] or m[5]).lower(), m[2] or m[3] or m[4] or ""
                 if name in ("class", "id"):
-                    self.words = (*self.words, *(w.lower() for w in _WORD.findall(value)))
+                    for token in value.split():
+                        words = [w.lower() for w in _WORD.findall(token)]
+                        if words and words[0] not in STATES:
+                            self.words = (*self.words, *words)
                 elif name == "role":
                     self.role = value.strip().lower()
                 elif name == "hidden" or (name == "aria-hidden" and value.lower() == "true") or (
@@ -142,26 +153,31 @@ def preorder(root: Node) -> list[Node]:
     return out
 
 
-def _prune(nodes: list[Node]) -> None:
-    """Marks ``drop``; a node that holds the article's own element or a main
-    heading isn't dropped for the words of its class."""
+def _prune(nodes: list[Node], body: Node, by_words: bool) -> None:
+    """Marks ``drop``. A form or a class's words take out no node that holds
+    the article's own element or a main heading, nor one with more than half
+    of the text beside links on a page that has neither. ``chars`` must be of
+    whole subtrees."""
     for node in reversed(nodes):
         if node.tag in ("article", "main", "h1") and not COMMENT_WORDS & {*node.words}:
             node.core = True
         if node.core and node.parent is not None:
             node.parent.core = True
+    paragraphs = {id(x.parent) for x in nodes if x.tag == "p" and x.chars > x.link_chars}
+    within = set()
     for node in nodes:
+        if id(node.parent) in within or node.tag in ("article", "main"):
+            within.add(id(node))
         if node.tag in ("html", "body"):
             continue
-        above = node.parent
-        inside = False
-        if node.tag == "header":
-            while above is not None and not inside:
-                inside, above = above.tag in ("article", "main"), above.parent
+        holds = node.core or (not body.core and 2 * (node.chars - node.link_chars) > body.chars - body.link_chars)
         words = {*node.words}
-        node.drop = (node.tag in DROPPED_TAGS or (node.tag == "header" and not inside and not node.core) or node.hidden
-                     or node.role in DROPPED_ROLES or bool(COMMENT_WORDS & words)
-                     or (not node.core and bool(DROPPED_WORDS & words)))
+        named = DROPPED_WORDS & words
+        if named <= WEAK_WORDS and id(node) in within and id(node) in paragraphs and 3 * node.link_chars < node.chars:
+            named = frozenset()
+        node.drop = (node.tag in DROPPED_TAGS or (node.tag == "header" and id(node) not in within and not node.core)
+                     or node.hidden or node.role in DROPPED_ROLES or (node.tag == "form" and by_words and not holds)
+                     or (by_words and bool(COMMENT_WORDS & words)) or (by_words and bool(named) and not holds))
 
 
 def _count(nodes: list[Node]) -> None:
@@ -195,21 +211,15 @@ def _menu(node: Node) -> bool:
     return node.links >= 3 and node.link_chars == node.chars
 
 
-def selected(root: Node) -> tuple[Node, set[int]]:
-    """The subtree of the article, and ids of the nodes beside its path which
-    belong to the text as well."""
+def selected(root: Node, by_words: bool = True) -> tuple[Node, set[int], bool]:
+    """The subtree of the article, ids of the nodes beside its path which
+    belong to the text as well, and whether the article's own element replaced
+    a smaller subtree that the densities chose."""
     nodes = preorder(root)
-    _prune(nodes)
-    for node in nodes:  # before the counts of the whole body, nothing is dropped
-        node.links = 0
-    kept = [x.drop for x in nodes]
-    for x in nodes:
-        x.drop = False
-    _count(nodes)
+    _count(nodes)  # of the whole body: nothing is dropped yet
     body = next((x for x in nodes if x.tag == "body"), root)
     share = body.link_chars / max(1, body.chars)
-    for x, drop in zip(nodes, kept, strict=True):
-        x.drop = drop
+    _prune(nodes, body, by_words)
     _count(nodes)
     live = {id(body)}
     for node in nodes:
@@ -225,7 +235,7 @@ def selected(root: Node) -> tuple[Node, set[int]]:
         if total > top:
             best, top = node, total
     # The article's own element holds its heading and short parts too.
-    node = best
+    node = chosen = best
     while node is not None and node is not body:
         if node.tag in ("article", "main"):
             best = node
@@ -239,19 +249,31 @@ def selected(root: Node) -> tuple[Node, set[int]]:
     for node in path:
         beside |= {id(x) for x in node.parent.items if isinstance(x, Node) and x is not node and not x.drop
                    and x.chars and x.density >= threshold and 2 * x.link_chars < x.chars}
-    return best, beside
+    return best, beside, best is not chosen
 
 
 def main_text(html: str) -> str:
     """The article's blocks in page order, joined by a line feed; white space
     inside a block is one space; empty if there is none."""
-    root = parse(html)
-    best, beside = selected(root)
+    return extracted(html)[0]
+
+
+def extracted(html: str) -> tuple[str, bool]:
+    """The text, and whether it was widened to the article's own element."""
+    for by_words in (True, False):
+        root = parse(html)
+        best, beside, widened = selected(root, by_words)
+        if text := _blocks(root, best, beside):
+            return text, widened
+    return "", False
+
+
+def _blocks(root: Node, best: Node, beside: set[int]) -> str:
     blocks, words = [], []
-    # (node or text, inside the selection); None ends a block.
-    todo: list = [(root, False)]
+    # (node or text, inside the selection, inside an article's own element); None ends a block.
+    todo: list = [(root, False, False)]
     while todo:
-        x, inside = todo.pop()
+        x, inside, own = todo.pop()
         if x is None:
             if words:
                 blocks.append(" ".join("".join(words).split()))
@@ -261,32 +283,35 @@ def main_text(html: str) -> str:
                 words.append(x)
         elif not x.drop:
             inside = inside or x is best or id(x) in beside
-            if inside and x is not best and x.block and _menu(x):
+            own = own or x.tag in ("article", "main")
+            # A list of links is a menu, unless it is the article's.
+            if inside and not own and x is not best and x.block and _menu(x):
                 continue
             if x.tag == "br":
                 words.append(" ")
             if x.block:
-                todo.append((None, inside))
-            todo += [(y, inside) for y in reversed(x.items)]
+                todo.append((None, inside, own))
+            todo += [(y, inside, own) for y in reversed(x.items)]
             if x.block:
-                todo.append((None, inside))
+                todo.append((None, inside, own))
     if words:
         blocks.append(" ".join("".join(words).split()))
     return "\n".join(b for b in blocks if b)
 
 
 def extract(pages: DataFrame, *, id_col="page_id", url_col="url", html_col="html") -> DataFrame:
-    """Per page: page_id, url, text and n_chars (code points). Null html is
+    """Per page: page_id, url, text, n_chars (code points) and widened (the
+    article's own element replaced a smaller choice). Null html is
     empty, null ids and urls stay null, broken or cut markup is read as far
     as it goes, repeated rows are extracted each, an empty table gives no
     rows, other columns play no part."""
     def run(batches):
         import pyarrow as pa
         for batch in batches:
-            texts = [main_text(x) for x in batch.column(2).to_pylist()]
+            found = [extracted(x) for x in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(texts, pa.string()),
-                 pa.array([len(t) for t in texts], pa.int64())], names=TEXTS.names)
+                [batch.column(0), batch.column(1), pa.array([t for t, _ in found], pa.string()),
+                 pa.array([len(t) for t, _ in found], pa.int64()), pa.array([w for _, w in found])], names=TEXTS.names)
 
     common.python_ready(pages.sparkSession)
     return pages.select(F.col(id_col).cast("long"), F.col(url_col).cast("string"),

@@ -40,6 +40,42 @@ def test_inside_the_article():
     assert html.main_text(page(article(close=inner + "</article>"))) == WANT + "\none\ntwo\nmore\ntail end"
 
 
+TEXT = "".join(f"<p>{p}</p>" for p in PARAS)
+PLAIN = WANT.split("\n", 1)[1]
+
+
+def test_nothing_hides_the_only_text():
+    for form in ("<form id=aspnetForm>", "<form>"):
+        assert html.main_text(page(form + article() + "<input><select><option>a</select></form>")) == WANT
+        assert html.main_text(page(form + "<div>" + TEXT + "</div></form>")) == PLAIN
+    for name in ("content no-sidebar", "page has-banner", "with-sidebar", "banner", "overlay modal"):
+        assert html.main_text(page(f"<div class='{name}'>" + TEXT + "</div>", before=NAV)) == PLAIN, name
+    assert html.main_text(page("<div class='comments'><p>All there is.</p></div>")) == "All there is."
+    # With an article elsewhere, a long side part stays out.
+    long = "<div class='sidebar'><p>" + "Side words here. " * 60 + "</p></div>"
+    assert html.main_text(page(article(), before=long)) == WANT
+
+
+def test_lists_of_links_in_the_article_stay():
+    sources = "<ul>" + "".join(f"<li><a href='/s{i}'>Source {i}</a></li>" for i in range(4)) + "</ul>"
+    want = WANT + "\n" + "\n".join(f"Source {i}" for i in range(4))
+    assert html.main_text(page(article(close=sources + "</article>"))) == want
+    assert html.main_text(page(article(close=sources + "</article>"), before=PLAIN_MENU)) == want
+    assert html.main_text(page(article(close=f"<div class=related>{sources}</div></article>"))) == WANT
+
+
+def test_weak_words_keep_paragraphs_of_the_article():
+    part = "<div class='overlay-map'><p>The map shows the river and the town.</p></div>"
+    assert html.main_text(page(article(close=part + "</article>"))) == WANT + "\nThe map shows the river and the town."
+    assert html.main_text(page(article(close="<div class='overlay'>Close it</div></article>"))) == WANT
+
+
+def test_widened():
+    assert html.extracted(page("<div>" + TEXT + "</div>"))[1] is False
+    text, widened = html.extracted(page("<article><h1>Head  line</h1><div>" + TEXT * 3 + "</div></article>"))
+    assert text.startswith("Head line") and widened
+
+
 def test_broken_markup():
     assert html.main_text("") == ""
     assert html.main_text("no markup &amp; at   all") == "no markup & at all"
