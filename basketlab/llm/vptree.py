@@ -11,7 +11,9 @@ more, and loses true neighbours as soon as the norms differ.
 
 Queries come in blocks, and each (shard, block) is one group, so neither side
 meets whole in one task. Equal vectors of a shard are one point with their
-k + 1 smallest ids, which is all a query can ask for.
+k + 1 smallest ids, which is all a query can ask for. The search keeps a few
+points more than k; where the last of them still ties with the k-th, as with
+quantised vectors, the shard's points are all compared for that query.
 """
 
 from __future__ import annotations
@@ -113,6 +115,41 @@ class Tree:
         return place, best
 
 
+    def best_ids(self, query, own: int, where, found, k: int, spare: int):
+        """(ids, inner products) of the k best rows but ``own``, ties to the
+        smaller id, from the places that ``search`` found and its inner
+        products. They are summed anew, the same way for all points."""
+        import numpy as np
+        scores = (self.points[where, :-1] * query).sum(axis=1)
+        who, score = self._rows(where, scores, own)
+        top = np.lexsort((who, -score))[:k]
+        # Rounding of a sum of products, of either kind.
+        margin = 8 * len(query) * np.finfo(float).eps * np.sqrt((query @ query) * self.squares[0])
+        if len(where) < min(k + spare, len(self.points)) or len(where) == len(self.points):
+            return who[top], score[top]
+        if len(top) == k and found.min() < score[top[-1]] - margin:
+            return who[top], score[top]
+        # Points that weren't kept may tie with the k-th: all that come up to it.
+        near = np.flatnonzero(self.points[:, :-1] @ query >= (score[top[-1]] if len(top) == k else -np.inf) - margin)
+        scores = np.concatenate([(self.points[some, :-1] * query).sum(axis=1) for some in np.array_split(
+            near, -(-len(near) // 4096))])
+        who, score = self._rows(near, scores, own)
+        top = np.lexsort((who, -score))[:k]
+        return who[top], score[top]
+
+    def _rows(self, places, scores, own: int):
+        """The points' ids without ``own``, and their scores."""
+        import numpy as np
+        who = np.concatenate([self.ids[p] for p in places])
+        score = np.repeat(scores, [len(self.ids[p]) for p in places])
+        other = who != own
+        return who[other], score[other]
+
+
+#: Points kept beyond k, so that rounding in the search decides no tie.
+SPARE = 8
+
+
 def valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """vec_id, v (doubles): rows with an id and a vector that is not null or
     zero, holds no null or non-finite component, and has the commonest length."""
@@ -171,19 +208,13 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, *, id_col="vec_
             tree = pickle.loads(trees.column("tree")[0].as_py())
             ids = queries.column("vec_id").to_numpy()
             q = np.array(queries.column("v").to_pylist(), dtype=np.float64)
-            # A few more than k, so that rounding in the search decides no tie.
-            places, found = tree.search(q, k + 8, factor)
-            for own, vector, where, ok in zip(ids, q, places, np.isfinite(found), strict=True):
-                where = where[ok]
-                scores = (tree.points[where, :-1] * vector).sum(axis=1)
-                who = np.concatenate([tree.ids[p] for p in where])
-                score = np.repeat(scores, [len(tree.ids[p]) for p in where])
-                other = who != own
-                who, score = who[other], score[other]
-                top = np.lexsort((who, -score))[:k]
-                out[0].append(np.full(len(top), own))
-                out[1].append(who[top])
-                out[2].append(score[top])
+            places, found = tree.search(q, k + SPARE, factor)
+            for own, vector, where, score in zip(ids, q, places, found, strict=True):
+                ok = np.isfinite(score)
+                who, score = tree.best_ids(vector, own, where[ok], score[ok], k, SPARE)
+                out[0].append(np.full(len(who), own))
+                out[1].append(who)
+                out[2].append(score)
         columns = [np.concatenate(c) if c else [] for c in out]
         return pa.table({f.name: pa.array(c, t) for f, c, t in zip(
             FOUND.fields, columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)})

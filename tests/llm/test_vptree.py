@@ -41,6 +41,24 @@ def test_factor_one_is_exact(spark, seed):
     assert np.allclose([x[3] for x in got(out)], [x[3] for x in want], rtol=0, atol=1e-12)
 
 
+def test_ties_of_different_vectors(spark):
+    """Signs only: thousands of vectors share a score."""
+    rng = np.random.default_rng(4)
+    v = np.unique(rng.choice([-1.0, 1.0], size=(4000, 12)), axis=0)
+    rng.shuffle(v)
+    rows = [(int(i), [float(x) for x in row]) for i, row in enumerate(v)]
+    assert len(rows) > 2500
+    df = table(spark, rows)
+    out = vptree.nearest(df, df.filter("vec_id % 20 = 0"), 20)  # default parameters
+    x = v.astype("f8")
+    want = []
+    for q in range(0, len(v), 20):
+        score = x @ x[q]
+        order = [int(i) for i in np.lexsort((np.arange(len(v)), -score)) if i != q][:20]
+        want += [(q, rank, i, float(score[i])) for rank, i in enumerate(order, 1)]
+    assert got(out) == sorted(want)
+
+
 def test_few_candidates_and_no_rows(spark):
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (20, [0.0, 1.0])]
     df = table(spark, rows)
