@@ -275,14 +275,115 @@ ORACLE["decompose"] = with_(SERIES + SEASON, "SELECT Country, " + PARTS)
 ORACLE["decompose_total"] = with_(series_ctes(True) + SEASON, "SELECT " + PARTS)
 
 
-def arima_ctes(lags: int = 7, orders: int = 5) -> str:
-    """Autocovariances, KPSS, Levinson-Durbin, candidates and best orders."""
+def line_ctes(n: str, table: str, source: str, out: str, half: int, stride: int = 1) -> str:
+    """CTEs ``{n}`` (and ``{n}l``): adds ``out``, the tricube-weighted local
+    line through ``source`` at each row, ``half`` steps on either side."""
+    span = range(-half, half + 1)
+    name = lambda j: f"g{j + half}"
+    lags = ", ".join(f"lag({source}, {j * stride}) OVER w AS {name(j)}" for j in span)
+    total = lambda power, value: " + ".join(
+        f"coalesce({(1 - (abs(j) / (half + 1)) ** 3) ** 3 * (-j) ** power!r} * "
+        f"{name(j) if value else f'({name(j)} * 0 + 1)'}, 0.0)" for j in span)
+    return f""",
+{n}l AS (SELECT *, {lags} FROM {table} WINDOW w AS (PARTITION BY Country ORDER BY InvoiceDate)),
+{n} AS (SELECT * EXCLUDE ({', '.join(map(name, span))}, sw, sx, sxx, sy, sxy),
+  CASE WHEN sw * sxx - sx * sx > 1e-9 THEN (sy * sxx - sxy * sx) / (sw * sxx - sx * sx) ELSE sy / sw END AS {out}
+  FROM (SELECT *, {total(0, False)} AS sw, {total(1, False)} AS sx, {total(2, False)} AS sxx,
+        {total(0, True)} AS sy, {total(1, True)} AS sxy FROM {n}l))"""
+
+
+def season_ctes() -> str:
+    """``parts``: the weekly seasonal-trend decomposition; ``adj``: without
+    the season."""
+    out, table = "", "(SELECT Country, InvoiceDate, Quantity, 0.0::DOUBLE AS trend FROM series)"
+    near = ", ".join(["m"] + [f"lead(m, {k}) OVER w" for k in (1, 2, 3)] + [f"lag(m, {k}) OVER w" for k in (1, 2, 3)])
+    for i in (1, 2):
+        out += f""",
+sx{i} AS (SELECT * EXCLUDE (trend), Quantity - trend AS x FROM {table})""" + line_ctes(f"sc{i}", f"sx{i}", "x", "c", 3, 7) + f""",
+sm{i} AS (SELECT *, CASE WHEN count(c) OVER w = 7 THEN sum(c) OVER w / 7.0 END AS m FROM sc{i}
+  WINDOW w AS (PARTITION BY Country ORDER BY InvoiceDate ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)),
+ss{i} AS (SELECT Country, InvoiceDate, Quantity, coalesce(c - coalesce({near}), 0.0) AS seasonal FROM sm{i}
+  WINDOW w AS (PARTITION BY Country ORDER BY InvoiceDate)),
+sd{i} AS (SELECT *, Quantity - seasonal AS x FROM ss{i})""" + line_ctes(f"st{i}", f"sd{i}", "x", "trend", 7)
+        table = f"(SELECT Country, InvoiceDate, Quantity, trend FROM st{i})"
+    return out + """,
+parts AS (SELECT Country, InvoiceDate, Quantity, trend, seasonal, Quantity - trend - seasonal AS residual FROM st2),
+adj AS (SELECT Country, InvoiceDate, Quantity - seasonal AS Quantity FROM parts)"""
+
+
+ORACLE["seasonal_trend"] = with_(SERIES + season_ctes(), """SELECT Country, InvoiceDate, ROUND(Quantity, 5) AS Quantity,
+  ROUND(trend, 5) + 0.0 AS trend, ROUND(seasonal, 5) + 0.0 AS seasonal, ROUND(residual, 5) + 0.0 AS residual FROM parts""")
+
+
+def solve_ctes(orders: int) -> tuple[str, list[str]]:
+    """From the moments ``mts`` of the lagged shocks and values to ``solved``:
+    elimination without pivoting for q = 0, 1, 2 lagged shocks (first) and all
+    lagged values, the coefficients of every order, its squared error, and the
+    partial autocorrelations of its autoregressive part. One CTE a step. Also
+    the candidates with q > 0, one SELECT each."""
+    place = ["z", "e1", "e2", *(f"z{i}" for i in range(1, orders + 1))]
+    moment = lambda a, b: "s_" + "_".join(sorted((a, b), key=place.index))
+    names = {q: [f"e{i}" for i in range(1, q + 1)] + [f"z{i}" for i in range(1, orders + 1)] for q in range(3)}
+    todo = [(p, q) for q in (1, 2) for p in range(orders + 1)]
+    steps: list[tuple[bool, dict[str, str]]] = []
+    first = {}
+    for q, some in names.items():
+        for i, a in enumerate(some):
+            first[f"c{q}_{i}"] = moment("z", a)
+            first |= {f"u{q}_{i}_{j}": moment(a, some[j]) for j in range(i, len(some))}
+    steps.append((False, first))
+    for k in range(orders + 2):
+        step = {}
+        for q, some in names.items():
+            for i in range(k + 1, len(some)):
+                times = f"coalesce(u{q}_{k}_{i} / nullif(u{q}_{k}_{k}, 0), 0)"
+                step[f"c{q}_{i}"] = f"c{q}_{i} - {times} * c{q}_{k}"
+                step |= {f"u{q}_{i}_{j}": f"u{q}_{i}_{j} - {times} * u{q}_{k}_{j}" for j in range(i, len(some))}
+        if step:
+            steps.append((True, step))
+    steps.append((False, {f"r{q}_{p}": " - ".join(["s_z_z"] + [f"coalesce(c{q}_{i} * c{q}_{i} / nullif(u{q}_{i}_{i}, 0), 0)"
+                                                           for i in range(p + q)]) for q in names for p in range(orders + 1)}))
+    for back in range(orders + 2):
+        steps.append((False, {f"x{q}_{p}_{i}": "(" + " - ".join([f"c{q}_{i}"] + [f"u{q}_{i}_{j} * x{q}_{p}_{j}" for j in range(i + 1, p + q)])
+                              + f") / nullif(u{q}_{i}_{i}, 0)" for p, q in todo if (i := p + q - 1 - back) >= 0}))
+    steps.append((False, {f"f{q}_{p}_{i}": f"x{q}_{p}_{q + i}" for p, q in todo for i in range(p)}))
+    for down in range(orders - 1):  # partial autocorrelations from the last one down
+        step = {}
+        for p, q in todo:
+            top = p - 1 - down
+            k = f"f{q}_{p}_{top}"
+            step |= {f"f{q}_{p}_{i}": f"(f{q}_{p}_{i} + {k} * f{q}_{p}_{top - 1 - i}) / nullif(1 - {k} * {k}, 0)"
+                     for i in range(top if top > 0 else 0)}
+        steps.append((True, step))
+    text, table = "", "mts"
+    for number, (replaces, step) in enumerate(steps):
+        columns = ", ".join(f"{v} AS {n}" for n, v in step.items())
+        name = "eliminated" if number == len(steps) - 1 else f"step{number}"
+        text += f""",
+{name} AS MATERIALIZED (SELECT * {f'REPLACE ({columns})' if replaces else ', ' + columns} FROM {table})"""
+        table = name
+    rows = []
+    for p, q in todo:
+        x = lambda i: f"x{q}_{p}_{i}"  # noqa: B023, E731
+        ok = [f"u{q}_{i}_{i} > 1e-9 * {moment(a, a)}" for i, a in enumerate(names[q][:p + q])]
+        ok += [f"abs({x(0)}) < 1"] if q == 1 else [f"abs({x(1)}) < 1", f"{x(1)} + {x(0)} > -1", f"{x(1)} - {x(0)} > -1"]
+        ok += [f"abs(f{q}_{p}_{i}) < 1" for i in range(p)]
+        ar = ", ".join(f"{x(q + i)} AS ar{i + 1}" if i < p else f"NULL AS ar{i + 1}" for i in range(orders))
+        ma = ", ".join(f"{x(i)} AS ma{i + 1}" if i < q else f"NULL AS ma{i + 1}" for i in (0, 1))
+        rows.append(f"SELECT Country, {p}, {q}, d, n, mean, v{p} * r{q}_{p} / nullif(r0_{p}, 0), {ar}, {ma}, sh1, sh2 "
+                    f"FROM solved WHERE days >= 30 AND r{q}_{p} > 0 AND r0_{p} > 0 AND " + " AND ".join(ok))
+    return text, rows
+
+
+def arima_ctes(lags: int = 7, orders: int = 5, source: str = "series") -> str:
+    """Autocovariances, KPSS, Levinson-Durbin, lagged shocks, candidates and
+    best orders."""
     prods = ", ".join(f"coalesce(z * lag(z, {k}) OVER w, 0.0) AS p{k}" for k in range(1, lags + 1))
     sums = ", ".join(f"sum(p{k}) / count(*) AS r{k}" for k in range(lags + 1))
     long_run = " + ".join(["r0"] + [f"r{k} * {2 * (1 - k / (lags + 1))!r}" for k in range(1, lags + 1)])
     out = f""",
 x1 AS (SELECT Country, InvoiceDate AS t, Quantity AS x0,
-   Quantity - lag(Quantity) OVER (PARTITION BY Country ORDER BY InvoiceDate) AS x1 FROM series),
+   Quantity - lag(Quantity) OVER (PARTITION BY Country ORDER BY InvoiceDate) AS x1 FROM {source}),
 x2 AS (SELECT *, x1 - lag(x1) OVER (PARTITION BY Country ORDER BY t) AS x2 FROM x1),
 lng AS (SELECT Country, t, 0 AS d, x0 AS x FROM x2 UNION ALL SELECT Country, t, 1, x1 FROM x2 WHERE x1 IS NOT NULL
         UNION ALL SELECT Country, t, 2, x2 FROM x2 WHERE x2 IS NOT NULL),
@@ -294,53 +395,75 @@ mom AS (SELECT Country, d, count(*) AS n, max(mean) AS mean, sum(c * c) AS cc, {
 lr AS (SELECT *, {long_run} AS lr FROM mom),
 l0 AS (SELECT *, r0 AS v0 FROM lr WHERE d = 2 OR CASE WHEN lr > 1e-12 * r0 THEN cc / (CAST(n AS DOUBLE) * n * lr) ELSE 0.0 END <= 0.463
        QUALIFY row_number() OVER (PARTITION BY Country ORDER BY d) = 1)"""
-    cands = ["SELECT Country, 0 AS p, d, n, mean, v0 AS variance, " + ", ".join(
-        f"CAST(NULL AS DOUBLE) AS ar{i + 1}" for i in range(orders)) + f" FROM l{orders}"]
-    for p in range(1, orders + 1):
+    none = "CAST(NULL AS DOUBLE) AS ma1, CAST(NULL AS DOUBLE) AS ma2, 0.0::DOUBLE AS sh1, 0.0::DOUBLE AS sh2"
+    cands = ["SELECT Country, 0 AS p, 0 AS q, d, n, mean, v0 AS variance, " + ", ".join(
+        f"CAST(NULL AS DOUBLE) AS ar{i + 1}" for i in range(orders)) + f", {none} FROM l{lags}"]
+    for p in range(1, lags + 1):
         inner = " - ".join([f"r{p}"] + [f"a{p - 1}_{i} * r{p - 1 - i}" for i in range(p - 1)])
         new = "".join(f", a{p - 1}_{i} - k{p} * a{p - 1}_{p - 2 - i} AS a{p}_{i}" for i in range(p - 1))
         out += f""",
 k{p} AS (SELECT *, CASE WHEN v{p - 1} > 0 THEN ({inner}) / v{p - 1} ELSE 0.0 END AS k{p} FROM l{p - 1}),
 l{p} AS (SELECT *{new}, k{p} AS a{p}_{p - 1}, greatest(0.0, v{p - 1} * (1 - k{p} * k{p})) AS v{p} FROM k{p})"""
         cols = [f"a{p}_{i} AS ar{i + 1}" if i < p else f"NULL AS ar{i + 1}" for i in range(orders)]
-        cands.append(f"SELECT Country, {p}, d, n, mean, v{p}, {', '.join(cols)} FROM l{orders}")
+        if p <= orders:
+            cands.append(f"SELECT Country, {p}, 0, d, n, mean, v{p}, {', '.join(cols)}, {none} FROM l{lags}")
+    shock = " - ".join(["z"] + [f"a{lags}_{k - 1} * lag(z, {k}) OVER w" for k in range(1, lags + 1)])
+    names = ["z", "e1", "e2", *(f"z{i}" for i in range(1, orders + 1))]
+    products = ", ".join(f"sum({a} * {b}) FILTER (WHERE e2 IS NOT NULL) AS s_{a}_{b}" for i, a in enumerate(names) for b in names[i:])
+    solved, rows = solve_ctes(orders)
+    cands += rows
     return out + f""",
+shk AS (SELECT Country, t, z, {shock} AS e0 FROM zz JOIN l{lags} USING (Country, d) WINDOW w AS (PARTITION BY Country ORDER BY t)),
+lgd AS (SELECT *, lag(e0, 1) OVER w AS e1, lag(e0, 2) OVER w AS e2, {', '.join(f'lag(z, {i}) OVER w AS z{i}' for i in range(1, orders + 1))}
+        FROM shk WINDOW w AS (PARTITION BY Country ORDER BY t)),
+mts AS (SELECT Country, count(*) FILTER (WHERE e2 IS NOT NULL) AS days, {products},
+        arg_max(coalesce(e0, 0.0), t) AS sh1, arg_max(coalesce(e1, 0.0), t) AS sh2 FROM lgd GROUP BY Country){solved},
+solved AS MATERIALIZED (SELECT * FROM eliminated JOIN
+           (SELECT Country, d, n, mean, {', '.join(f'v{p}' for p in range(orders + 1))} FROM l{lags}) USING (Country)),
 cand0 AS ({' UNION ALL '.join(cands)}),
 cand AS (SELECT *, CASE WHEN variance > 0 THEN -n / 2.0 * (ln(2 * pi() * variance) + 1) END AS ll FROM cand0),
-scored AS (SELECT *, 2 * (p + 1 + CASE WHEN d < 2 THEN 1 ELSE 0 END) - 2 * ll AS aic FROM cand),
-best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY Country ORDER BY coalesce(round(aic, 8), 0.0), p) = 1)"""
+scored AS (SELECT *, 2 * (p + q + 1 + CASE WHEN d < 2 THEN 1 ELSE 0 END) - 2 * ll AS aic FROM cand),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY Country ORDER BY coalesce(round(aic, 8), 0.0), p + q, q) = 1)"""
 
 
-MODEL_COLS = """Country, p AS non_seasonal_p, d AS non_seasonal_d, 0 AS non_seasonal_q, d = 1 AS has_drift,
+MODEL_COLS = """Country, p AS non_seasonal_p, d AS non_seasonal_d, q AS non_seasonal_q, d = 1 AS has_drift,
   ROUND(ll, 4) AS log_likelihood, ROUND(aic, 4) AS AIC, ROUND(variance, 4) AS variance,
   ROUND(ar1, 6) + 0.0 AS ar1, ROUND(ar2, 6) + 0.0 AS ar2, ROUND(ar3, 6) + 0.0 AS ar3, ROUND(ar4, 6) + 0.0 AS ar4,
-  ROUND(ar5, 6) + 0.0 AS ar5, ROUND(mean, 6) + 0.0 AS intercept_or_drift, CAST(n AS INTEGER) AS n_points"""
+  ROUND(ar5, 6) + 0.0 AS ar5, ROUND(ma1, 6) + 0.0 AS ma1, ROUND(ma2, 6) + 0.0 AS ma2, ROUND(mean, 6) + 0.0 AS intercept_or_drift, CAST(n AS INTEGER) AS n_points"""
 ORACLE["arima_evaluate"] = with_(SERIES + arima_ctes(), f"SELECT {MODEL_COLS} FROM scored")
 ORACLE["arima_fit"] = with_(SERIES + arima_ctes(), f"SELECT {MODEL_COLS} FROM best")
+ORACLE["arima_fit_seasonal"] = with_(SERIES + season_ctes() + arima_ctes(source="adj"), f"SELECT {MODEL_COLS} FROM best")
 
 
 def forecast_ctes(horizon: int, orders: int = 5) -> str:
-    """The steps ahead as a recursive CTE (state: last values, psi weights)."""
+    """The steps ahead as a recursive CTE (state: last values and shocks, psi
+    weights), from the adjusted series; the last week's season is added."""
     zs = [f"z{i}" for i in range(1, orders + 1)]
     ps = [f"s{i}" for i in range(1, orders + 1)]
     diff = lambda i: f"(y[{i}] - y[{i + 1}])"
     init = ", ".join(f"coalesce(CASE d WHEN 0 THEN y[{i}] WHEN 1 THEN {diff(i)} ELSE {diff(i)} - {diff(i + 1)} END - mean, 0.0) AS z{i}"
                      for i in range(1, orders + 1))
     dot = lambda cols: " + ".join(f"coalesce(ar{i + 1}, 0.0) * {c}" for i, c in enumerate(cols))
-    model = "Country, d, mean, variance, ar1, ar2, ar3, ar4, ar5, last"
+    model = "Country, d, mean, variance, ar1, ar2, ar3, ar4, ar5, ma1, ma2, last, ss"
+    state = f"h, {', '.join(zs)}, e1, e2, {', '.join(ps)}, y0, s0, bend, moved, psi1, psi2, total"
     return f""",
-lasty AS (SELECT Country, max(InvoiceDate) AS last, list(Quantity ORDER BY InvoiceDate DESC) AS y FROM series GROUP BY Country),
-rec(Country, d, mean, variance, ar1, ar2, ar3, ar4, ar5, last, h, {', '.join(zs)}, {', '.join(ps)}, val, slope, psi1, psi2, total) AS (
-  SELECT {model}, 0, {init}, {', '.join(['0.0::DOUBLE'] * orders)}, y[1], coalesce({diff(1)}, 0.0), 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE
+lasty AS (SELECT Country, max(InvoiceDate) AS last, list(Quantity - seasonal ORDER BY InvoiceDate DESC) AS y,
+          list(seasonal ORDER BY InvoiceDate DESC)[1:7] AS ss FROM parts GROUP BY Country),
+rec({model}, {state}) AS (
+  SELECT {model}, 0, {init}, sh1, sh2, {', '.join(['0.0::DOUBLE'] * orders)}, y[1], coalesce({diff(1)}, 0.0),
+    0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE
   FROM best JOIN lasty USING (Country)
   UNION ALL
-  SELECT {model}, h, zn, {', '.join(zs[:-1])}, pn, {', '.join(ps[:-1])},
-    CASE WHEN d = 0 THEN x ELSE val + sl END, sl, q1, psi2 + q1,
+  SELECT {model}, h, zn, {', '.join(zs[:-1])}, 0.0, e1, pn, {', '.join(ps[:-1])}, y0, s0, bend + zn,
+    CASE d WHEN 0 THEN zn WHEN 1 THEN moved + zn ELSE moved + bend + zn END, q1, psi2 + q1,
     total + CASE d WHEN 0 THEN pn * pn WHEN 1 THEN q1 * q1 ELSE (psi2 + q1) * (psi2 + q1) END
-  FROM (SELECT *, psi1 + pn AS q1, CASE WHEN d = 2 THEN slope + x ELSE x END AS sl FROM (
-    SELECT *, zn + mean AS x FROM (
-      SELECT * REPLACE (h + 1 AS h), {dot(zs)} AS zn, CASE WHEN h = 0 THEN 1.0 ELSE {dot(ps)} END AS pn FROM rec WHERE h < {horizon})))),
-fc AS (SELECT Country, CAST(last + h AS DATE) AS ts, val, sqrt(variance * total) AS se FROM rec WHERE h > 0)"""
+  FROM (SELECT *, psi1 + pn AS q1 FROM (
+      SELECT * REPLACE (h + 1 AS h), {dot(zs)} + coalesce(ma1, 0.0) * e1 + coalesce(ma2, 0.0) * e2 AS zn,
+        CASE h WHEN 0 THEN 1.0 ELSE {dot(ps)} + CASE h WHEN 1 THEN coalesce(ma1, 0.0) WHEN 2 THEN coalesce(ma2, 0.0) ELSE 0.0 END END AS pn
+      FROM rec WHERE h < {horizon}))),
+fc AS (SELECT Country, CAST(last + h AS DATE) AS ts, tr, ar, sn, tr + ar + sn AS val, se FROM (
+  SELECT *, CASE d WHEN 0 THEN mean WHEN 1 THEN y0 + h * mean ELSE y0 + h * s0 END AS tr, moved AS ar,
+    coalesce(ss[((7 - h % 7) % 7) + 1], 0.0) AS sn, sqrt(variance * total) AS se FROM rec WHERE h > 0))"""
 
 
 _Q = "1.2815515655446008"
@@ -355,18 +478,19 @@ def recursive(ctes: str, body: str) -> str:
 
 def _forecast_sql(total: bool) -> str:
     key = "" if total else "Country, "
-    return recursive(series_ctes(total) + arima_ctes() + forecast_ctes(10), f"""SELECT {key}ts AS forecast_timestamp,
-  ROUND(val, 4) + 0.0 AS forecast_value, {BOUNDS} FROM fc""")
+    return recursive(series_ctes(total) + season_ctes() + arima_ctes(source="adj") + forecast_ctes(10), f"""
+SELECT {key}ts AS forecast_timestamp, ROUND(val, 4) + 0.0 AS forecast_value, {BOUNDS} FROM fc""")
 
 
 ORACLE["forecast"] = _forecast_sql(False)
 ORACLE["forecast_total"] = _forecast_sql(True)
-ORACLE["explain_forecast"] = recursive(SERIES + TREND + arima_ctes() + forecast_ctes(30), f"""
+ORACLE["explain_forecast"] = recursive(SERIES + season_ctes() + arima_ctes(source="adj") + forecast_ctes(30), f"""
 SELECT Country, InvoiceDate AS time_series_timestamp, 'history' AS time_series_type, ROUND(Quantity, 4) AS time_series_data,
   NULL::DOUBLE AS standard_error, NULL::DOUBLE AS confidence_level, NULL::DOUBLE AS prediction_interval_lower_bound,
-  NULL::DOUBLE AS prediction_interval_upper_bound, ROUND(trend, 4) AS trend, 0.0::DOUBLE AS seasonal,
-  ROUND(Quantity - trend, 4) + 0.0 AS residual FROM tr
-UNION ALL SELECT Country, ts, 'forecast', ROUND(val, 4) + 0.0, {BOUNDS}, NULL, NULL, NULL FROM fc""")
+  NULL::DOUBLE AS prediction_interval_upper_bound, ROUND(trend, 4) + 0.0 AS trend, ROUND(seasonal, 4) + 0.0 AS seasonal,
+  ROUND(residual, 4) + 0.0 AS residual FROM parts
+UNION ALL SELECT Country, ts, 'forecast', ROUND(val, 4) + 0.0, {BOUNDS}, ROUND(tr, 4) + 0.0, ROUND(sn, 4) + 0.0,
+  ROUND(ar, 4) + 0.0 FROM fc""")
 
 # ---- streaming ------------------------------------------------------------
 ORACLE["stream_build"] = with_(base_ctes() + ",\n" + feature_ctes(), f"""SELECT {FEATS.replace('gross_revenue', 'ROUND(gross_revenue, 2) AS gross_revenue')},

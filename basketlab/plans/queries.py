@@ -511,15 +511,23 @@ def q_decompose_total(spark, sf_dir):
     return _decomposed(spark, sf_dir, ())
 
 
+@register("seasonal_trend")
+def q_seasonal_trend(spark, sf_dir):
+    parts = fcst.seasonal_trend(daily_series(spark, sf_dir), SERIES_KEYS, period=7)
+    return _rounded(parts, 5, ["Quantity", "trend", "seasonal", "residual"])
+
+
 def _model_rows(df):
     ar = {f"ar{i + 1}": F.round(F.get("ar_coefficients", F.lit(i)), 6) for i in range(fcst.MAX_ORDER)}
+    ma = {f"ma{i + 1}": F.round(F.get("ma_coefficients", F.lit(i)), 6) for i in range(fcst.arma.MAX_Q)}
     df = _rounded(_rounded(df, 4, ["log_likelihood", "AIC", "variance"]), 6, ["intercept_or_drift"])
-    return df.withColumns(ar).drop("ar_coefficients")
+    return df.withColumns(ar | ma).drop("ar_coefficients", "ma_coefficients", "last_shocks")
 
 
 def _model(spark, sf_dir, keys=SERIES_KEYS):
-    s = daily_series(spark, sf_dir, keys)
-    return s, fcst.fit_arima(s, keys)
+    """The series with its weekly season, and the model of the rest."""
+    parts = fcst.seasonal_trend(daily_series(spark, sf_dir, keys), keys, period=7).checkpoint(eager=True)
+    return parts, fcst.fit_arima(fcst.adjusted(parts, keys), keys)
 
 
 @register("arima_evaluate")
@@ -529,6 +537,11 @@ def q_arima_evaluate(spark, sf_dir):
 
 @register("arima_fit")
 def q_arima_fit(spark, sf_dir):
+    return _model_rows(fcst.fit_arima(daily_series(spark, sf_dir), SERIES_KEYS))
+
+
+@register("arima_fit_seasonal")
+def q_arima_fit_seasonal(spark, sf_dir):
     return _model_rows(_model(spark, sf_dir)[1])
 
 
@@ -554,7 +567,7 @@ def q_forecast_total(spark, sf_dir):
 def q_explain_forecast(spark, sf_dir):
     s, m = _model(spark, sf_dir)
     return _rounded(fcst.explain_forecast(s, m, SERIES_KEYS, horizon=30, level=0.8), 4,
-                    ["time_series_data", "trend", "residual", *_BOUNDS])
+                    ["time_series_data", "trend", "seasonal", "residual", *_BOUNDS])
 
 
 # ---- streaming ------------------------------------------------------------
