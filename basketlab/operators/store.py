@@ -120,12 +120,17 @@ def refresh_for(table: VersionedTable, typed: DataFrame, active: DataFrame, at=N
     active = active.checkpoint(eager=True)
     if active.isEmpty():
         return None
-    cur = table.current_version()
-    nxt = (cur or 0) + 1
     if anchor not in ("active", "all"):
         raise ValueError(f"unknown anchor {anchor!r}")
     whole = typed.agg(F.max("InvoiceDate")).scalar() if anchor == "all" else None
-    new_rows = stamp(customer_features(typed, whole, only=active), at, key, version=nxt)
+    return replace_active(table, customer_features(typed, whole, only=active), active, at, key, mode, note)
+
+
+def replace_active(table: VersionedTable, new_features: DataFrame, active: DataFrame, at=None, key: str = "uuid",
+                   mode: str = "append", note: str | None = None) -> int:
+    """The next version of the feature table: with the new feature rows of the
+    active customers (``mode`` as in ``refresh_features``)."""
+    new_rows = stamp(new_features, at, key, version=(table.current_version() or 0) + 1)
     old = table.read()
     if mode == "upsert":
         old = old.join(active, "CustomerID", "left_anti")
@@ -244,21 +249,25 @@ class FeatureStore:
         return sorted(int(n) for n in names if n.isdigit())
 
     def ingest_version(self, table: VersionedTable, version: int | None = None, ingest_date=None) -> str:
-        """K5 for a versioned feature table: the log gets the rows that are new
-        or restamped since the last version ingested before, recognised by
-        their entity key (a restamped row has a new one). Without an earlier
-        version still there, the whole table. Ingesting a version again
-        replaces its batch."""
+        """K5 for a versioned feature table: the log gets the rows that it
+        doesn't hold yet, new or restamped, recognised by their entity key (a
+        restamped row has a new one). That doesn't depend on which versions of
+        the table are still there, nor on how many were passed over. Ingesting
+        a version again replaces its batch."""
         v = table.current_version() if version is None else version
-        rows = table.read(v)
-        known = set(table.committed())
-        before = [x for x in self.ingested_versions() if x < v and x in known]
-        if before:
-            rows = rows.join(table.read(before[-1]).select(self.entity), self.entity, "left_anti")
-        for day in list_dirs(self.spark, self.log_path):  # a re-run on a later day keeps the first day
-            if path_exists(self.spark, f"{self.log_path}/{day}/_ingest_batch=b-v{v:06d}"):
-                ingest_date = day.split("=")[1]
-        return self.ingest(rows, ingest_date=ingest_date, batch=f"v{v:06d}")
+        rows, batch = table.read(v), f"b-v{v:06d}"
+        days = list_dirs(self.spark, self.log_path)
+        other = False
+        for day in days:
+            for name in list_dirs(self.spark, f"{self.log_path}/{day}"):
+                if name == f"_ingest_batch={batch}":
+                    ingest_date = day.split("=")[1]  # a re-run on a later day keeps the first day
+                else:
+                    other = other or path_exists(self.spark, f"{self.log_path}/{day}/{name}/_SUCCESS")
+        if other:
+            held = self.log().filter(F.col("_ingest_batch") != batch).select(self.entity)
+            rows = rows.join(held, self.entity, "left_anti")
+        return self.ingest(rows, ingest_date=ingest_date, batch=batch[2:])
 
     def log(self) -> DataFrame:
         return self.spark.read.parquet(self.log_path)

@@ -47,13 +47,12 @@ def read_until(df: DataFrame, date_col: str = "InvoiceDate", as_of=None) -> Data
 
 
 def run_sql(spark: SparkSession, sql: str) -> DataFrame:
-    """S3: validate first, then run. The statement is parsed and analysed
-    with EXPLAIN, which executes nothing, not even a command; errors come up
-    here. The result is a distributed DataFrame; nothing is collected."""
-    plan = spark.sql("EXPLAIN EXTENDED " + sql).first()[0]
-    # EXPLAIN reports an analysis error as text instead of raising it.
-    if "Exception" in plan.split("== Optimized Logical Plan ==")[0]:
-        raise ValueError(f"not a valid statement: {plan[:500]}")
+    """S3: validate first, then run. The statement is parsed and analysed,
+    which executes nothing, not even a command; errors come up here. The
+    result is a distributed DataFrame; nothing is collected."""
+    state = spark._jsparkSession.sessionState()
+    plan = state.sqlParser().parsePlan(sql)
+    state.executePlan(plan, getattr(state, "executePlan$default$2")()).assertAnalyzed()
     return spark.sql(sql)
 
 

@@ -241,3 +241,31 @@ def test_run_sql_validates_before_it_runs(spark):
         tables.run_sql(spark, f"INSERT OVERWRITE DIRECTORY '{p}' USING parquet SELECT no_such FROM range(3)")
     assert not tables.table_exists(spark, p)
     assert tables.run_sql(spark, "SELECT count(*) AS n FROM range(3)").first().n == 3
+
+
+def test_run_sql_takes_any_valid_statement(spark):
+    assert tables.run_sql(spark, "SELECT 'Exception report' AS a").first().a == "Exception report"
+    with pytest.raises(Exception, match="(?i)syntax|parse"):
+        tables.run_sql(spark, "SELEC 1")
+    path = scratch_path(spark, "t-sql")
+    tables.run_sql(spark, f"INSERT OVERWRITE DIRECTORY '{path}' USING parquet SELECT 'Exception' AS e FROM range(3)")
+    assert spark.read.parquet(path).count() == 3
+
+
+@pytest.mark.parametrize("keep", [1, 2, None])
+def test_log_holds_each_row_once_whatever_is_retired(spark, keep):
+    """Three versions of 10, 11 and 12 rows, ingested each, one of them late."""
+    vt = VersionedTable(spark, scratch_path(spark, "t-versions"), keep=keep)
+    fs = store.FeatureStore(spark, scratch_path(spark, "t-log")).get_or_create()
+    fs.register()
+    make = lambda n: spark.range(n).selectExpr(
+        "id AS CustomerID", "1.0D AS gross_revenue", "1 AS recency_days", "2L AS qty_products", "0.5D AS frequency",
+        "0L AS qty_returns", "concat('k', id) AS values", "timestamp'2024-01-01' AS timestamp", "1 AS _version")
+    for n in (10, 11, 12):
+        vt.write(make(n))
+        if n != 11:
+            fs.ingest_version(vt, ingest_date=f"2024-01-{n}")
+    fs.ingest_version(vt, ingest_date="2024-01-20")  # the last one again
+    assert sorted(r.values for r in fs.log().select("values").collect()) == sorted(f"k{i}" for i in range(12))
+    days = {str(r._ingest_date) for r in fs.log().select("_ingest_date").distinct().collect()}
+    assert days == {"2024-01-10", "2024-01-12"}
