@@ -134,24 +134,7 @@ def customer_features(typed: DataFrame, anchor: Column | None = None,
     aggregations: below them it would deal the raw lines out by customer, and
     a customer with many lines would meet in one task uncombined.
     """
-    require(typed, FEATURE_INPUT, "typed lines")
-    Q = _q()
-    purch = Q >= 0
-    level1 = typed.groupBy("CustomerID", "InvoiceNo", "InvoiceDate").agg(
-        F.sum(F.when(purch, Q * F.col("UnitPrice"))).alias("rev"),
-        F.count(F.when(purch, F.col("StockCode"))).alias("lines"),
-        F.count(F.when(purch, F.lit(1))).alias("n_purch"),
-        F.sum(F.when(Q < 0, Q)).alias("ret"))
-    bought = F.col("n_purch") > 0
-    level2 = level1.groupBy("CustomerID").agg(
-        F.sum("rev").alias("rev"),
-        F.sum("lines").alias("lines"),
-        F.sum("ret").alias("ret"),
-        F.max(F.when(bought, F.col("InvoiceDate"))).alias("last_"),
-        F.min(F.when(bought, F.col("InvoiceDate"))).alias("first_"),
-        F.count(F.when(bought, F.col("InvoiceNo"))).alias("buy_"),
-        F.max("n_purch").alias("n_purch"),
-        F.max("InvoiceDate").alias("max_any"))
+    level2 = merged(daily_partials(typed))
     if only is not None:
         level2 = level2.join(only, "CustomerID", "left_semi")
     # The anchor covers every filtered row; rows without customer sit in the
@@ -165,6 +148,41 @@ def customer_features(typed: DataFrame, anchor: Column | None = None,
     level2 = level2.checkpoint(eager=True)
     if anchor is None:
         anchor = level2.agg(F.max("max_any")).scalar()
+    return from_partials(level2, anchor)
+
+
+def daily_partials(typed: DataFrame) -> DataFrame:
+    """Per (customer, invoice, day) the sums, counts and extremes that the
+    features are made of, in the form that ``merged`` adds up. A day's invoices
+    are counted here once, and belong to no other day. Rows without a customer are one
+    group, which counts for the anchor alone."""
+    require(typed, FEATURE_INPUT, "typed lines")
+    Q = _q()
+    purch = Q >= 0
+    level1 = typed.groupBy("CustomerID", "InvoiceNo", "InvoiceDate").agg(
+        F.sum(F.when(purch, Q * F.col("UnitPrice"))).alias("rev"),
+        F.count(F.when(purch, F.col("StockCode"))).alias("lines"),
+        F.count(F.when(purch, F.lit(1))).alias("n_purch"),
+        F.sum(F.when(Q < 0, Q)).alias("ret"))
+    bought = F.col("n_purch") > 0
+    day = F.col("InvoiceDate")
+    return level1.select(
+        "CustomerID", "rev", "lines", "ret", F.when(bought, day).alias("last_"), F.when(bought, day).alias("first_"),
+        F.when(bought & F.col("InvoiceNo").isNotNull(), 1).otherwise(0).cast("bigint").alias("buy_"), "n_purch",
+        day.alias("max_any"))
+
+
+def merged(partials: DataFrame, *by) -> DataFrame:
+    """Partial rows added up per customer (and the columns ``by``); the result
+    can be merged again with others."""
+    return partials.groupBy("CustomerID", *by).agg(
+        F.sum("rev").alias("rev"), F.sum("lines").alias("lines"), F.sum("ret").alias("ret"),
+        F.max("last_").alias("last_"), F.min("first_").alias("first_"), F.sum("buy_").alias("buy_"),
+        F.max("n_purch").alias("n_purch"), F.max("max_any").alias("max_any"))
+
+
+def from_partials(level2: DataFrame, anchor: Column) -> DataFrame:
+    """The feature rows of merged partials, for customers with a purchase."""
     days = whole_days(F.col("last_"), F.col("first_")) + 1
     keep = (F.col("CustomerID").isNotNull() & (F.col("n_purch") > 0)
             & F.col("last_").isNotNull())
