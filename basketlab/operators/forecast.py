@@ -243,7 +243,8 @@ def _shock_rows(series: DataFrame, m: DataFrame, keys: list[str], date_col: str,
             .select(*keys, "__t", "z", *[f"long{k}" for k in range(1, KPSS_LAGS + 1)]))
 
 
-def arima_evaluate(series: DataFrame, keys=(), date_col: str = DATE, value_col: str = VALUE) -> DataFrame:
+def arima_evaluate(series: DataFrame, keys=(), date_col: str = DATE, value_col: str = VALUE,
+                   flags: DataFrame | None = None) -> DataFrame:
     """T5: one row per (series, orders p = 0..5 and q = 0..2) with
     log-likelihood, AIC, variance and coefficients. ``series`` must be gapless
     (``fill_calendar``).
@@ -255,7 +256,8 @@ def arima_evaluate(series: DataFrame, keys=(), date_col: str = DATE, value_col:
     of the same p is multiplied by the share of the squared error that the
     shocks of the days before leave, measured on one sample for all of them.
     Order (0, 0) exists for any series, however short; a series without
-    variance has null log-likelihood and AIC and keeps that order."""
+    variance has null log-likelihood and AIC and keeps that order. ``flags``
+    (one row per series, ``anomalies.flags``) adds its columns."""
     keys = list(keys)
     own = keys
     if not keys:
@@ -283,12 +285,17 @@ def arima_evaluate(series: DataFrame, keys=(), date_col: str = DATE, value_col:
     n = F.col("n").cast("double")
     ll = F.when(F.col("variance") > 0, -n / 2 * (F.log(2 * math.pi * F.col("variance")) + 1))
     params = F.col("p") + F.col("q") + 1 + F.when(F.col("d") < 2, 1).otherwise(0)
+    if flags is not None:
+        if not keys:
+            raise ValueError("flags need the keys of several series")
+        rows = rows.join(flags, keys)
+    own_flags = [] if flags is None else [c for c in flags.columns if c not in keys]
     return rows.select(
         *keys, F.col("p").alias("non_seasonal_p"), F.col("d").alias("non_seasonal_d"), F.col("q").alias("non_seasonal_q"),
         (F.col("d") == 1).alias("has_drift"), ll.alias("log_likelihood"), (2 * params - 2 * ll).alias("AIC"),
         "variance", F.col("ar").alias("ar_coefficients"), F.col("ma").alias("ma_coefficients"),
         F.col("shocks").alias("last_shocks"), F.col("mean").alias("intercept_or_drift"),
-        F.col("n").cast("int").alias("n_points"))
+        F.col("n").cast("int").alias("n_points"), *own_flags)
 
 
 def fit_arima(series: DataFrame, keys=(), date_col: str = DATE, value_col: str = VALUE) -> DataFrame:

@@ -163,6 +163,7 @@ ORACLE["write_refused"] = with_(B, """SELECT Country, count(*) AS n_lines, false
 ORACLE["active_semi"] = with_(STORE_CTES, "SELECT * FROM b_ts")
 ORACLE["restamp"] = with_(STORE_CTES, f"SELECT * REPLACE ({RF}) FROM restamped")
 ORACLE["refresh"] = with_(STORE_CTES, f"SELECT * REPLACE ({RF}) FROM refreshed")
+ORACLE["refresh_state"] = ORACLE["refresh"]
 ORACLE["refresh_upsert"] = with_(STORE_CTES, f"SELECT * REPLACE ({RF}) FROM upserted")
 ORACLE["read_instances"] = with_(FULL_CTES, 'SELECT "values", "timestamp" FROM v1')
 STORE_TYPED = f'''SELECT "values", "timestamp", {RF}, CAST(recency_days AS DOUBLE) AS recency_days,
@@ -315,6 +316,39 @@ ORACLE["seasonal_trend"] = with_(SERIES + season_ctes(), """SELECT Country, Invo
   ROUND(trend, 5) + 0.0 AS trend, ROUND(seasonal, 5) + 0.0 AS seasonal, ROUND(residual, 5) + 0.0 AS residual FROM parts""")
 
 
+def anomaly_ctes(rounds: int = 3) -> str:
+    """``marked``: spikes, dips and steps of ``parts``, and the values without."""
+    out = """,
+an1 AS (SELECT Country, InvoiceDate, Quantity, seasonal, Quantity - seasonal AS x,
+  median(Quantity - seasonal) OVER (PARTITION BY Country ORDER BY InvoiceDate ROWS BETWEEN 7 PRECEDING AND 7 FOLLOWING) AS m FROM parts),
+an2 AS (SELECT *, x - m AS dev, median(abs(x - m)) OVER (PARTITION BY Country ORDER BY InvoiceDate
+  ROWS BETWEEN 7 PRECEDING AND 7 FOLLOWING) AS a FROM an1),
+an3 AS (SELECT * REPLACE (CASE WHEN a > 0 AND abs(dev) > 5.0 * 1.4826 * a THEN m ELSE x END AS x),
+  a > 0 AND dev > 5.0 * 1.4826 * a AS spike, a > 0 AND -dev > 5.0 * 1.4826 * a AS dip FROM an2),
+an4 AS (SELECT *, abs(x - lag(x) OVER (PARTITION BY Country ORDER BY InvoiceDate)) AS nd FROM an3),
+cut0 AS (SELECT *, median(nd) OVER (PARTITION BY Country) * (1.4826 / sqrt(2)) AS noise, 1 AS g, NULL::DOUBLE AS jump FROM an4)"""
+    for i in range(1, rounds + 1):
+        out += f""",
+ctr{i} AS (SELECT *, x - avg(x) OVER (PARTITION BY Country, g) AS c FROM cut{i - 1}),
+scr{i} AS (SELECT *, abs(sum(c) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS far,
+  count(*) OVER (w ROWS BETWEEN 13 PRECEDING AND CURRENT ROW) = 14 AND count(*) OVER (w ROWS BETWEEN 1 FOLLOWING AND 14 FOLLOWING) = 14 AS whole,
+  avg(x) OVER (w ROWS BETWEEN 1 FOLLOWING AND 14 FOLLOWING) - avg(x) OVER (w ROWS BETWEEN 13 PRECEDING AND CURRENT ROW) AS up
+  FROM ctr{i} WINDOW w AS (PARTITION BY Country, g ORDER BY InvoiceDate)),
+top{i} AS (SELECT Country, g, InvoiceDate + 1 AS first, up FROM scr{i} WHERE whole
+  QUALIFY row_number() OVER (PARTITION BY Country, g ORDER BY far DESC) = 1),
+cut{i} AS (SELECT p.* REPLACE (CASE WHEN p.InvoiceDate = t.first THEN t.up ELSE p.jump END AS jump,
+    2 * p.g + CASE WHEN p.InvoiceDate >= t.first THEN 1 ELSE 0 END AS g)
+  FROM cut{i - 1} p LEFT JOIN top{i} t ON p.Country = t.Country AND p.g = t.g AND p.noise > 0 AND abs(t.up) >= 5.0 * p.noise)"""
+    return out + f""",
+marked AS (SELECT Country, InvoiceDate, Quantity, spike, dip, jump IS NOT NULL AS step, x + seasonal AS cleaned,
+  x + seasonal + coalesce(sum(jump) OVER (PARTITION BY Country ORDER BY InvoiceDate ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), 0.0) AS steady
+  FROM cut{rounds})"""
+
+
+ORACLE["series_anomalies"] = with_(SERIES + season_ctes() + anomaly_ctes(), """SELECT Country, InvoiceDate,
+  ROUND(Quantity, 5) AS Quantity, spike, dip, step, ROUND(cleaned, 5) + 0.0 AS cleaned, ROUND(steady, 5) + 0.0 AS steady FROM marked""")
+
+
 def solve_ctes(orders: int) -> tuple[str, list[str]]:
     """From the moments ``mts`` of the lagged shocks and values to ``solved``:
     elimination without pivoting for q = 0, 1, 2 lagged shocks (first) and all
@@ -430,7 +464,9 @@ MODEL_COLS = """Country, p AS non_seasonal_p, d AS non_seasonal_d, q AS non_seas
   ROUND(ll, 4) AS log_likelihood, ROUND(aic, 4) AS AIC, ROUND(variance, 4) AS variance,
   ROUND(ar1, 6) + 0.0 AS ar1, ROUND(ar2, 6) + 0.0 AS ar2, ROUND(ar3, 6) + 0.0 AS ar3, ROUND(ar4, 6) + 0.0 AS ar4,
   ROUND(ar5, 6) + 0.0 AS ar5, ROUND(ma1, 6) + 0.0 AS ma1, ROUND(ma2, 6) + 0.0 AS ma2, ROUND(mean, 6) + 0.0 AS intercept_or_drift, CAST(n AS INTEGER) AS n_points"""
-ORACLE["arima_evaluate"] = with_(SERIES + arima_ctes(), f"SELECT {MODEL_COLS} FROM scored")
+ORACLE["arima_evaluate"] = with_(SERIES + season_ctes() + anomaly_ctes() + arima_ctes(), f"""SELECT {MODEL_COLS},
+  has_spikes_and_dips, has_step_changes FROM scored JOIN (SELECT Country, bool_or(spike OR dip) AS has_spikes_and_dips,
+  bool_or(step) AS has_step_changes FROM marked GROUP BY Country) USING (Country)""")
 ORACLE["arima_fit"] = with_(SERIES + arima_ctes(), f"SELECT {MODEL_COLS} FROM best")
 ORACLE["arima_fit_seasonal"] = with_(SERIES + season_ctes() + arima_ctes(source="adj"), f"SELECT {MODEL_COLS} FROM best")
 

@@ -212,7 +212,7 @@ def q_cast_date(spark, sf_dir):
 
 
 # ---- feature store --------------------------------------------------------
-from ..operators import store  # noqa: E402
+from ..operators import state, store  # noqa: E402
 from ..operators.asof import asof_join  # noqa: E402
 from ..sources.versioned import VersionedTable  # noqa: E402
 from .oracle_sql import BUILD_AS_OF, REFRESH_DAY, T0, T1  # noqa: E402
@@ -305,6 +305,18 @@ def q_refresh_upsert(spark, sf_dir):
     return _refreshed(spark, sf_dir, "upsert")
 
 
+@register("refresh_state")
+def q_refresh_state(spark, sf_dir):
+    """The refresh from a stored state and the lines of one day."""
+    vt = built_table(spark, sf_dir, BUILD_AS_OF)
+    st = state.CustomerState(spark, scratch_path(spark, "state"))
+    st.build(typed(spark, sf_dir, BUILD_AS_OF))
+    one = F.col("InvoiceDate") == F.lit(REFRESH_DAY).cast("date")
+    state.refresh_from_state(vt, st, typed(spark, sf_dir, REFRESH_DAY).filter(one), raw(spark, sf_dir).filter(one),
+                             REFRESH_DAY, at=T1, key="hash")
+    return _report(vt.read())
+
+
 @register("read_instances")
 def q_read_instances(spark, sf_dir):
     return store.read_instances(built_table(spark, sf_dir).read())
@@ -463,6 +475,7 @@ def q_model_reload(spark, sf_dir):
 
 
 # ---- forecasting ----------------------------------------------------------
+from ..operators import anomalies as anom  # noqa: E402
 from ..operators import forecast as fcst  # noqa: E402
 
 SERIES_KEYS = ("Country",)
@@ -517,6 +530,12 @@ def q_seasonal_trend(spark, sf_dir):
     return _rounded(parts, 5, ["Quantity", "trend", "seasonal", "residual"])
 
 
+@register("series_anomalies")
+def q_series_anomalies(spark, sf_dir):
+    parts = fcst.seasonal_trend(daily_series(spark, sf_dir), SERIES_KEYS, period=7)
+    return _rounded(anom.anomalies(parts, SERIES_KEYS), 5, ["Quantity", "cleaned", "steady"])
+
+
 def _model_rows(df):
     ar = {f"ar{i + 1}": F.round(F.get("ar_coefficients", F.lit(i)), 6) for i in range(fcst.MAX_ORDER)}
     ma = {f"ma{i + 1}": F.round(F.get("ma_coefficients", F.lit(i)), 6) for i in range(fcst.arma.MAX_Q)}
@@ -532,7 +551,10 @@ def _model(spark, sf_dir, keys=SERIES_KEYS):
 
 @register("arima_evaluate")
 def q_arima_evaluate(spark, sf_dir):
-    return _model_rows(fcst.arima_evaluate(daily_series(spark, sf_dir), SERIES_KEYS))
+    s = daily_series(spark, sf_dir)
+    parts = fcst.seasonal_trend(s, SERIES_KEYS, period=7)
+    flags = anom.flags(anom.anomalies(parts, SERIES_KEYS), SERIES_KEYS)
+    return _model_rows(fcst.arima_evaluate(s, SERIES_KEYS, flags=flags))
 
 
 @register("arima_fit")
