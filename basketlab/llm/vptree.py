@@ -1,19 +1,24 @@
 """Nearest neighbours by inner product from vantage-point trees.
 
-Vectors are dealt to shards by a hash of their row; each shard is one tree,
-kept as a row of a table. With M the shard's largest norm, a vector x becomes
-(x, sqrt(M^2 - |x|^2)) and a query (q, 0): the smallest distance is then the
-largest inner product, and distances obey the triangle inequality. A node has
-a vantage point and the ranges of distances of its two sides; a side at least
-``bound`` away is skipped once factor * bound reaches the distance of the
-k-th best found. Factor 1, the default, gives exact search; a larger one skips
-more, and loses true neighbours as soon as the norms differ.
-
-Queries come in blocks, and each (shard, block) is one group, so neither side
-meets whole in one task. Equal vectors of a shard are one point with their
-k + 1 smallest ids, which is all a query can ask for. The search keeps a few
-points more than k; where the last of them still ties with the k-th, as with
-quantised vectors, the shard's points are all compared for that query.
+With M the largest norm, a vector x becomes (x, sqrt(M^2 - |x|^2)) and a query
+(q, 0): the smallest distance is then the largest inner product, and distances
+obey the triangle inequality. Vectors go to the cell of the nearest of some
+pivots (a bounded sample); a cell is one shard, or several of bounded size, and
+each shard is one tree, kept as a row of a table. A node has a vantage point
+and the ranges of distances of its two sides; a side at least ``bound`` away is
+skipped once factor * bound reaches the distance of the k-th best found. Factor
+1, the default, gives exact search; a larger one skips more, and loses true
+neighbours as soon as the norms differ.
+
+A query first searches the nearest cells that hold more than k vectors. What it
+finds there bounds the rest: it goes on to those cells only whose range of
+distances from their pivot can still beat its k-th best, by the same rule.
+Queries of a shard come in blocks, and each (shard, block) with a query is one
+group, so neither side meets whole in one task. Equal vectors of a shard are
+one point with their k + 1 smallest ids, which is all a query can ask for. The
+search keeps a few points more than k; where the last of them still ties with
+the k-th, as with quantised vectors, the shard's points are all compared for
+that query.
 """
 
 from __future__ import annotations
@@ -162,7 +167,99 @@ def valid(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.filter(F.size("v") == (sizes[0] if sizes else 0))
 
 
-def build(rows: DataFrame, shards: int, keep: int, leaf: int) -> DataFrame:
+#: Pivots at most: what every task holds.
+MOST_PIVOTS = 1024
+
+
+class Cells:
+    """Pivots (rows of a matrix), the largest squared norm of all vectors and,
+    once counted, each cell's range of distances and number of shards."""
+
+    def __init__(self, pivots, largest: float):
+        import numpy as np
+        self.pivots, self.largest = np.array(pivots, dtype=np.float64), largest
+        norms = (self.pivots ** 2).sum(axis=1)
+        self.lifts = np.sqrt(np.maximum(largest - norms, 0))
+        self.low = self.high = self.rows = self.shards = self.first = None
+
+    def distances(self, vectors):
+        """From each vector (lifted to norm M) to each pivot."""
+        import numpy as np
+        lift = np.sqrt(np.maximum(self.largest - (vectors ** 2).sum(axis=1), 0))
+        inner = vectors @ self.pivots.T + lift[:, None] * self.lifts
+        return np.sqrt(np.maximum(2 * self.largest - 2 * inner, 0))
+
+    def query_distances(self, queries):
+        import numpy as np
+        squares = (queries ** 2).sum(axis=1)
+        return np.sqrt(np.maximum(squares[:, None] + self.largest - 2 * (queries @ self.pivots.T), 0))
+
+    def count(self, found, shard_rows: int) -> None:
+        """``found``: (cell, rows, least, largest distance) of the cells used."""
+        import numpy as np
+        n = len(self.pivots)
+        self.rows, self.low, self.high = np.zeros(n, dtype=np.int64), np.full(n, np.inf), np.full(n, -np.inf)
+        for cell, rows, low, high in found:
+            self.rows[cell], self.low[cell], self.high[cell] = rows, low, high
+        self.shards = -(-self.rows // shard_rows)
+        self.first = np.cumsum(self.shards) - self.shards
+
+    def nearest(self, queries, k: int):
+        """Per query the nearest cells which hold more than k rows together."""
+        import numpy as np
+        order = np.argsort(self.query_distances(queries), axis=1, kind="stable")
+        held = np.cumsum(self.rows[order], axis=1)
+        needed = (held <= k).sum(axis=1) + 1
+        return [row[:n][self.rows[row[:n]] > 0] for row, n in zip(order, needed, strict=True)]
+
+    def open(self, queries, worst, factor: float):
+        """Per query the cells that may hold a row as good as ``worst``, the
+        k-th best inner product so far."""
+        import numpy as np
+        d = self.query_distances(queries)
+        squares = (queries ** 2).sum(axis=1)
+        # Distances of nearby points keep half of the digits.
+        margin = 1e-6 * np.sqrt(squares + self.largest)
+        limit = np.sqrt(np.maximum(squares + self.largest - 2 * worst, 0)) + margin
+        bound = np.maximum(np.maximum(self.low - d, d - self.high), 0)
+        return [np.flatnonzero(row & (self.rows > 0)) for row in factor * bound <= limit[:, None]]
+
+    def shards_of(self, cells) -> list[int]:
+        return [int(self.first[c]) + i for c in cells for i in range(int(self.shards[c]))]
+
+
+def cells_of(rows: DataFrame, shard_rows: int) -> tuple[DataFrame, Cells] | None:
+    """``rows`` with their cell and shard, and the cells."""
+    size = rows.agg(F.count("*"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()
+    if not size[0]:
+        return None
+    wanted = min(MOST_PIVOTS, -(-size[0] // shard_rows))
+    pivots = [r.v for r in rows.orderBy(F.xxhash64("vec_id", "v")).select("v").limit(wanted).collect()]
+    cells = Cells(pivots, size[1])
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            d = cells.distances(np.array(batch.column("v").to_pylist(), dtype=np.float64))
+            cell = d.argmin(axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("vec_id"), batch.column("v"), pa.array(cell, pa.int32()),
+                 pa.array(d[np.arange(len(cell)), cell], pa.float64())], names=["vec_id", "v", "cell", "distance"])
+
+    placed = common.materialise(
+        rows.select("vec_id", "v").mapInArrow(run, "vec_id long, v array<double>, cell int, distance double"), "cells")
+    cells.count([tuple(r) for r in placed.groupBy("cell").agg(
+        F.count("*"), F.min("distance"), F.max("distance")).collect()], shard_rows)  # a row a pivot at most
+    first, shards = (F.get(F.array(*[F.lit(int(x)) for x in v]), F.col("cell")) for v in (cells.first, cells.shards))
+    # Equal rows share a hash; their place in the table tells them apart.
+    deal = F.pmod(F.pmod(F.xxhash64("vec_id", "v"), shards) + F.monotonically_increasing_id() % shards, shards)
+    return placed.select("vec_id", "v", (first + deal).cast("int").alias("shard")), cells
+
+
+def build(rows: DataFrame, keep: int, leaf: int) -> DataFrame:
     """The index: one row (shard, tree) of bounded size per shard."""
     def run(table):
         import numpy as np
@@ -172,33 +269,44 @@ def build(rows: DataFrame, shards: int, keep: int, leaf: int) -> DataFrame:
         return pa.table({"shard": pa.array([table.column("shard")[0].as_py()], pa.int32()),
                          "tree": pa.array([pickle.dumps(tree, protocol=5)], pa.binary())})
 
-    shard = F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards)).cast("int")
-    # Equal rows share a hash; their place in the input tells them apart.
-    shard = F.pmod(shard + F.monotonically_increasing_id() % shards, F.lit(shards)).cast("int")
-    return rows.select("vec_id", "v", shard.alias("shard")).groupBy("shard").applyInArrow(run, TREES)
+    return rows.select("vec_id", "v", "shard").groupBy("shard").applyInArrow(run, TREES)
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, *, id_col="vec_id", vector_col="embedding",
-            factor: float = 1.0, shard_rows: int = 8192, block_rows: int = 1024, leaf: int = 256) -> DataFrame:
-    """query_id, rank (from 1), vec_id, score: for each query row its k
-    nearest rows of ``vectors`` by inner product in double precision, itself
-    (its id) left out, ties to the smaller id; all rows if there are fewer.
+def routed(asked: DataFrame, cells: Cells, k: int, factor: float) -> DataFrame:
+    """Queries with the cells they have searched (``done``), the shards they
+    go to now and, with a column ``worst`` (null: nothing found yet), by the
+    bounds instead of by nearness."""
+    again = "worst" in asked.columns
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            q = np.array(batch.column("v").to_pylist(), dtype=np.float64)
+            if again:
+                worst = batch.column("worst").fill_null(-np.inf).to_numpy(zero_copy_only=False)
+                done = batch.column("done").to_pylist()
+                go = [np.setdiff1d(c, d) for c, d in zip(cells.open(q, worst, factor), done, strict=True)]
+            else:
+                go = cells.nearest(q, k)
+            shards = [cells.shards_of(c) for c in go]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("vec_id"), batch.column("v"), pa.array([c.tolist() for c in go], pa.list_(pa.int32())),
+                 pa.array(shards, pa.list_(pa.int32()))], names=["vec_id", "v", "done", "shards"])
+
+    return asked.mapInArrow(run, "vec_id long, v array<double>, done array<int>, shards array<int>")
 
-    Null, zero or non-finite vectors, null ids and vectors of an unusual
-    length take no part on either side. Repeated rows are candidates each;
-    a query that occurs twice is answered once. Empty tables give no rows.
-    """
-    spark = vectors.sparkSession
-    common.python_ready(spark)
-    rows = common.materialise(valid(vectors, id_col, vector_col), "vectors")
-    asked = common.materialise(valid(queries, id_col, vector_col).dropDuplicates(["vec_id"]), "queries")
-    shards = max(1, -(-rows.count() // shard_rows))
-    n_blocks = max(1, -(-asked.count() // block_rows))
-    trees = common.materialise(build(rows, shards, k + 1, leaf), "trees")
-    block = F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)).cast("int")
-    left = (asked.select("vec_id", "v", block.alias("block"))
-            .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))
-    right = trees.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+
+def searched(sent: DataFrame, trees: DataFrame, k: int, factor: float, block_rows: int) -> DataFrame:
+    """The k best of each (query, shard) of ``sent`` (vec_id, v, shards)."""
+    left = sent.select("vec_id", "v", F.explode("shards").alias("shard"))
+    many = left.groupBy("shard").agg(F.ceil(F.count("*") / block_rows).alias("blocks"))
+    left = left.join(many, "shard").select(
+        "vec_id", "v", "shard", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"))
+    right = trees.join(many, "shard").select(
+        F.col("shard").alias("at"), "tree", F.explode(F.sequence(F.lit(0), F.col("blocks").cast("int") - 1)).alias("part"))
 
     def run(queries, trees):
         import numpy as np
@@ -219,7 +327,34 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, *, id_col="vec_
         return pa.table({f.name: pa.array(c, t) for f, c, t in zip(
             FOUND.fields, columns, (pa.int64(), pa.int64(), pa.float64()), strict=True)})
 
-    found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(run, FOUND)
+    return left.groupBy("shard", "block").cogroup(right.groupBy("at", "part")).applyInArrow(run, FOUND)
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, *, id_col="vec_id", vector_col="embedding",
+            factor: float = 1.0, shard_rows: int = 8192, block_rows: int = 1024, leaf: int = 256) -> DataFrame:
+    """query_id, rank (from 1), vec_id, score: for each query row its k
+    nearest rows of ``vectors`` by inner product in double precision, itself
+    (its id) left out, ties to the smaller id; all rows if there are fewer.
+
+    Null, zero or non-finite vectors, null ids and vectors of an unusual
+    length take no part on either side. Repeated rows are candidates each;
+    a query that occurs twice is answered once. Empty tables give no rows.
+    """
+    spark = vectors.sparkSession
+    common.python_ready(spark)
+    rows = common.materialise(valid(vectors, id_col, vector_col), "vectors")
+    asked = common.materialise(valid(queries, id_col, vector_col).dropDuplicates(["vec_id"]), "queries")
+    placed = cells_of(rows, shard_rows)
+    if placed is None:
+        return spark.createDataFrame([], T.StructType([
+            FOUND["query_id"], T.StructField("rank", T.IntegerType()), FOUND["vec_id"], FOUND["score"]]))
+    placed, cells = placed
+    trees = common.materialise(build(placed, k + 1, leaf), "trees")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")  # k rows a shard at most
-    return (found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    ranked = lambda found: found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    first = common.materialise(routed(asked.select("vec_id", "v"), cells, k, factor), "first")
+    near = common.materialise(searched(first, trees, k, factor, block_rows), "near")
+    worst = ranked(near).filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").alias("worst"))
+    rest = routed(first.select("vec_id", "v", "done").join(worst, "vec_id", "left"), cells, k, factor)
+    far = searched(common.materialise(rest, "second"), trees, k, factor, block_rows)
+    return ranked(near.unionByName(far)).select("query_id", "rank", "vec_id", "score")

@@ -59,6 +59,24 @@ def test_ties_of_different_vectors(spark):
     assert got(out) == sorted(want)
 
 
+def test_clustered_vectors_are_searched_near_them(spark):
+    """Exact, and most (query, shard) pairs are never sent."""
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(30, 16)) * 10
+    v = (centres[rng.integers(0, 30, 6000)] + rng.normal(size=(6000, 16)) * 0.3).astype("f4")
+    rows = [(i, [float(x) for x in row]) for i, row in enumerate(v)]
+    df = table(spark, rows)
+    out = vptree.nearest(df, df.filter("vec_id % 20 = 0"), 20, shard_rows=100, block_rows=50, leaf=16)
+    want = brute(rows, 20, lambda i: i % 20 == 0)
+    assert [(q, r, i) for q, r, i, _ in got(out)] == [(q, r, i) for q, r, i, _ in want]
+    valid = vptree.valid(df, "vec_id", "embedding")
+    _, cells = vptree.cells_of(valid, 100)
+    x = v.astype("f8")
+    kth = np.sort(x[::20] @ x.T, axis=1)[:, -21]
+    sent = sum(len(cells.shards_of(c)) for c in cells.open(x[::20], kth, 1.0))
+    assert sent < 0.3 * 300 * int(cells.shards.sum())
+
+
 def test_few_candidates_and_no_rows(spark):
     rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (20, [0.0, 1.0])]
     df = table(spark, rows)
