@@ -6,7 +6,7 @@ copies together and say nothing of the n-grams that one edited copy has kept.
 Hits of one item on neighbouring diagonals mark a passage, and the passage is
 aligned with the item word by word. The score is the alignment's share of the
 best the item could reach, so edited and paraphrased copies score too, as long
-as n words in a row are kept. What common n-grams hit costs little: documents
+as n words in a row are kept. An item of fewer words has to stand there whole. What common n-grams hit costs little: documents
 and passages with too few of the item's words for the least score aren't
 aligned, which loses nothing.
 
@@ -48,6 +48,8 @@ class Block:
     #: Sorted n-gram keys, and for each the (item, offset) places.
     keys: object = None
     places: list = field(default_factory=list)
+    #: Items of fewer than n words: length -> key of the whole item -> items.
+    short: dict = field(default_factory=dict)
 
     def add(self, item_id, item_words: list[str]) -> None:
         import numpy as np
@@ -58,13 +60,18 @@ class Block:
     def index(self) -> "Block":
         import numpy as np
         places: dict = {}
+        short: dict = {}
         for i, item in enumerate(self.items):
+            if len(item) < self.n:
+                whole = int(ngram_keys(item, len(item))[0])
+                short.setdefault(len(item), {}).setdefault(whole, []).append(i)
+                continue
             grams = ngram_keys(item, self.n)
             for offset in range(len(grams)):
                 places.setdefault(int(grams[offset]), []).append((i, offset))
         order = sorted(places)
         return Block(self.n, self.ids, self.items, self.vocabulary, np.array(order, dtype=np.uint64),
-                     [places[k] for k in order])
+                     [places[k] for k in order], short)
 
     def hits(self, text_words: list[str]):
         """The text as numbers (-1: in no item), positions of known n-grams,
@@ -84,6 +91,21 @@ class Block:
         return numbers, at[found], key[found]
 
 
+    def whole(self, numbers) -> dict[int, list[int]]:
+        """Items of fewer than n words that stand in the text word by word,
+        and the places where they start."""
+        import numpy as np
+        out: dict[int, list[int]] = {}
+        for length, items in self.short.items():
+            keys = ngram_keys(numbers, length)
+            keys[np.convolve(numbers < 0, np.ones(length, dtype=np.int64), "valid") > 0 if len(keys) else []] = 0
+            for at in np.flatnonzero(np.isin(keys, np.array(list(items), dtype=np.uint64))):
+                for i in items[int(keys[at])]:
+                    if (numbers[at:at + length] == self.items[i]).all():
+                        out.setdefault(i, []).append(int(at))
+        return out
+
+
 def ngram_keys(numbers, n: int):
     import numpy as np
     x = numbers.astype(np.uint64)
@@ -131,7 +153,8 @@ def passages(diagonals: list[int], length: int) -> list[tuple[int, int]]:
 def _matches(text: str, block: Block, least: float) -> list[dict]:
     import numpy as np
     numbers, at, key = block.hits(words(text))
-    if not len(at):
+    found = block.whole(numbers) if block.short and len(numbers) else {}
+    if not len(at) and not found:
         return []
     by_item: dict[int, list[int]] = {}
     for p, k in zip(at, key, strict=True):
@@ -140,6 +163,10 @@ def _matches(text: str, block: Block, least: float) -> list[dict]:
     held = np.zeros(len(block.vocabulary), dtype=bool)
     held[numbers[numbers >= 0]] = True
     out = []
+    spans = [m.span() for m in _WORD.finditer(text)] if found else None
+    for i, starts in sorted(found.items()):
+        out.append({"item_id": block.ids[i], "score": 1.0, "n_seeds": len(starts), "start": spans[starts[0]][0],
+                    "end": spans[starts[0] + len(block.items[i]) - 1][1]})
     for i, diagonals in sorted(by_item.items()):
         item, best = block.items[i], None
         # Each word of the item and of the passage matches once at most.
@@ -163,11 +190,11 @@ def _matches(text: str, block: Block, least: float) -> list[dict]:
 
 
 def blocks(items: DataFrame, item_col: str, text_col: str, n: int, block_words: int):
-    """The items with n words or more, in blocks, one partition at a time."""
+    """The items with words, in blocks, one partition at a time."""
     block, held = Block(n), 0
     for item_id, text in items.select(F.col(item_col).cast("long"), common.text_or_empty(text_col)).toLocalIterator():
         w = words(text)
-        if len(w) < n:
+        if not w:
             continue
         if held and held + len(w) > block_words:
             yield block
@@ -183,8 +210,8 @@ def annotate(docs: DataFrame, items: DataFrame, *, text_col="text", item_col="it
     """``docs`` with the column ``out``: the test items that a document holds,
     as (item_id, score, n_seeds, start, end), the passage in code points.
 
-    Items of fewer than ``n`` words can't be told from ordinary text and match
-    nothing; null items have no words. Null texts are empty and match nothing.
+    Items of fewer than ``n`` words match where all of their words stand in a
+    row; items without words, and null ones, match nothing. Null texts are empty and match nothing.
     An item repeated in a document is reported once, at its best passage.
     Repeated rows of either table are treated each on its own. A column named
     ``out`` is replaced; no items give empty lists. Blocks of items run one

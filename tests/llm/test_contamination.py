@@ -53,7 +53,7 @@ def test_exact_edited_and_clean(spark):
              (1002, " ".join(items[4])), (1003, "x " * 60000 + " ".join(items[5]))]
     want |= {(None, 3), (1002, 4), (1003, 5)}
     bench = spark.createDataFrame([(i, " ".join(w), 1) for i, w in items.items()]
-                                  + [(50, None, 1), (51, "the", 1), (52, "", 1)], "item_id long, text string, score int")
+                                  + [(50, None, 1), (51, "unseen", 1), (52, "", 1)], "item_id long, text string, score int")
     for block_words in (2_000_000, 200):
         out = c.contaminated(docs_df(spark, rows), bench, block_words=block_words).collect()
         assert {(r.doc_id, r.item_id) for r in out} == want
@@ -140,3 +140,17 @@ def test_inserted_words_against_exhaustive_alignment(spark):
     for block_words in (2_000_000, 900):
         out = c.contaminated(docs_df(spark, rows), bench, block_words=block_words).collect()
         assert {(r.doc_id, r.item_id) for r in out} == want
+
+
+def test_items_of_few_words_match_whole(spark):
+    bench = spark.createDataFrame([(1, "blue whale"), (2, "Zebra!"), (3, "one two three"), (4, "one two three four five"),
+                                   (5, "blue whale")], "item_id long, text string")
+    rows = [(1, "a BLUE, whale swims; zebra."), (2, "blue and whale"), (3, "x one two three"), (4, "one two"), (5, "zebra"),
+            (6, "zero one two three four five six"), (7, None), (8, "blue blue whale zebra zebra")]
+    out = c.contaminated(docs_df(spark, rows), bench).collect()
+    texts = dict(rows)
+    found = {(r.doc_id, r.item_id): texts[r.doc_id][r.start:r.end] for r in out if r.item_id != 4}
+    assert found == {(1, 1): "BLUE, whale", (1, 5): "BLUE, whale", (1, 2): "zebra", (3, 3): "one two three",
+                     (5, 2): "zebra", (6, 3): "one two three", (8, 1): "blue whale", (8, 5): "blue whale", (8, 2): "zebra"}
+    assert {r.doc_id for r in out if r.item_id == 4} == {6}
+    assert {r.n_seeds for r in out if (r.doc_id, r.item_id) == (8, 2)} == {2}
