@@ -37,6 +37,8 @@ from . import common
 
 #: Positions handled at once, and blocks or strings settled at once in a task.
 CHUNK, FLUSH = 1 << 20, 1 << 20
+#: A block's strings are counted in 10 bits, and it has up to three quarters of this.
+LONGEST = 1360
 #: Kinds of rows: to compare, mark of a mixed bucket, settled.
 ROW, MIXED, REPEAT, OPEN = range(4)
 
@@ -398,8 +400,11 @@ def removed(docs: DataFrame, length: int = 100, *, id_col="doc_id", text_col="te
     document's end, and strings are judged on the input. Null ids come before
     all others; rows that repeat an id are documents of their own, in the
     order of a hash of their text. An empty table gives no rows; other columns
-    play no part. ``length`` is at least 4.
+    play no part. ``length`` is at least 4 and at most ``LONGEST``. Very long
+    texts are read in chunks of a mebibyte that overlap by a string.
     """
+    if not 4 <= length <= LONGEST:
+        raise ValueError(f"length must be from 4 to {LONGEST}")
     common.python_ready(docs.sparkSession)
     rows, ids = keyed(docs, id_col, text_col)
     first = common.materialise(compared_blocks(rows, length), "blocks")

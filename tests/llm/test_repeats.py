@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pytest
 from llm_helpers import docs_df, sf  # noqa: F401
 
 from basketlab.llm import queries, repeats
@@ -85,6 +86,27 @@ def test_small_parts_give_the_same(spark, monkeypatch):
     assert held
 
 
+def test_texts_beyond_a_chunk(spark):
+    """More than a mebibyte: copies over the border of two chunks, and whole."""
+    rng = np.random.default_rng(8)
+    long = rng.integers(97, 123, 1_300_000, dtype=np.uint8).tobytes().decode()
+    edge = repeats.CHUNK
+    rows = [(1, long), (2, "new " + long[edge - 150:edge + 170] + " end"), (3, long[900_000:] + "x" + long[:50_000])]
+    got = sorted((tuple(r) for r in repeats.removed(docs_df(spark, rows), 100).collect()), key=key)
+    assert got == sorted(brute(rows, 100), key=key)
+
+
+def test_length_has_bounds(spark):
+    for length in (3, repeats.LONGEST + 1, 3000):
+        with pytest.raises(ValueError):
+            repeats.removed(docs_df(spark, [(1, "x")]), length)
+    rng = random.Random(3)
+    passage = "".join(rng.choice("abcdefgh") for _ in range(4000))
+    rows = [(1, passage), (2, "q" + passage[1000:3500])]
+    got = sorted((tuple(r) for r in repeats.removed(docs_df(spark, rows), repeats.LONGEST).collect()), key=key)
+    assert got == sorted(brute(rows, repeats.LONGEST), key=key)
+
+
 def test_null_and_repeated_ids(spark):
     t = "one string that is long enough to be found again"
     rows = [(None, t), (5, t), (5, t), (5, "other"), (3, None), (9, t + t)]
