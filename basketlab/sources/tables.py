@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from ..schemas import assert_schema
 from ..session import path_exists
+from .versioned import VersionedTable
 
 MODES = {"replace": "overwrite", "append": "append", "fail": "errorifexists",
          "overwrite": "overwrite", "errorifexists": "errorifexists"}
@@ -26,10 +27,13 @@ def read_table(spark: SparkSession, name: str, schema: T.StructType | None = Non
     into the files: columns come in declared order, a table without a single
     row (and so without a file) is empty instead of unreadable, and a file of
     other types fails when it is read. A catalog table's own schema is
-    compared with it."""
+    compared with it. A versioned table is read at its current version."""
     if not is_path(name):
         df = spark.table(name)
         return assert_schema(df, schema, name) if schema is not None else df
+    versions = VersionedTable(spark, name)
+    if (now := versions.current_version()) is not None:
+        name = versions.path(now)
     if schema is None:
         return spark.read.parquet(name)
     return spark.read.schema(schema).parquet(name).select(*schema.names)
@@ -66,7 +70,7 @@ def write_table(df: DataFrame, name: str, mode: str = "replace") -> None:
 
 
 def write_partitioned(df: DataFrame, name: str, part_col: str = "InvoiceDate",
-                      mode: str = "replace") -> None:
+                      mode: str = "replace", atomic: bool = True) -> None:
     """Create-or-replace a table partitioned by ``part_col``.
 
     A ``rebalance`` hint on the partition column hash-distributes rows by
@@ -74,12 +78,24 @@ def write_partitioned(df: DataFrame, name: str, part_col: str = "InvoiceDate",
     share of all rows over several tasks and merges small ones. There is no
     sampling pass over the input (range partitioning would recompute the
     whole upstream plan once more to sample it).
+
+    A path is replaced by a next version of the table (``VersionedTable``,
+    the last two stay): readers see the old rows until the new ones are
+    committed, also if the write fails, and a date that is gone has no folder
+    left over. ``atomic=False`` overwrites the folder itself, for a writer
+    that alone reads it.
     """
-    w = df.hint("rebalance", part_col).write.mode(MODES[mode]).partitionBy(part_col)
-    if is_path(name):
-        w.parquet(name)
-    else:
-        w.format("parquet").saveAsTable(name)
+    df = df.hint("rebalance", part_col)
+    if not is_path(name):
+        df.write.mode(MODES[mode]).partitionBy(part_col).format("parquet").saveAsTable(name)
+        return
+    versions = VersionedTable(df.sparkSession, name, keep=2)
+    if atomic and MODES[mode] == "overwrite":
+        versions.write(df, partition_by=part_col)
+        return
+    if MODES[mode] == "append" and (now := versions.current_version()) is not None:
+        name = versions.path(now)
+    df.write.mode(MODES[mode]).partitionBy(part_col).parquet(name)
 
 
 def read_partitioned(spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:
@@ -93,7 +109,6 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     plain table's ``_SUCCESS`` file, or a committed version of a versioned
     table)."""
     if is_path(name):
-        from .versioned import VersionedTable
         return (path_exists(spark, name.rstrip("/") + "/_SUCCESS")
                 or VersionedTable(spark, name).exists())
     return spark.catalog.tableExists(name)

@@ -71,7 +71,8 @@ class VersionedTable:
             raise FileNotFoundError(f"versioned table {self.root} has no version")
         return self.spark.read.parquet(self.path(v))
 
-    def write(self, df: DataFrame, mode: str = "replace", note: str | None = None) -> int:
+    def write(self, df: DataFrame, mode: str = "replace", note: str | None = None,
+              partition_by: str | None = None) -> int:
         """Write ``df`` as the next version. ``mode='fail'`` refuses when a
         version exists; ``'append'`` writes old ∪ new as the next version.
         ``note`` (one line) is committed together with the version."""
@@ -83,7 +84,7 @@ class VersionedTable:
         # Above every folder present: a failed attempt's leftovers are never
         # mixed with new files, and a reader never sees a half-written version.
         nxt = max([cur or 0, *self._versions()]) + 1
-        df.write.mode("overwrite").parquet(self.path(nxt))
+        df.write.mode("overwrite").parquet(self.path(nxt), partitionBy=partition_by)
         write_text(self.spark, self.marker(nxt), note or "")
         self.retire()
         return nxt

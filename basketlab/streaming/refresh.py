@@ -58,7 +58,7 @@ def _process(spark: SparkSession, curated_path: str, table_root: str, at, key, m
             # Rows dated after the day stay in the curated table (the file is
             # consumed and won't come again); every read cuts them off.
             cur = clean.curate(batch, None, rules, cut_off=False)
-            tables.write_partitioned(cur, f"{curated_path}/batch_id={batch_id}", "InvoiceDate",
+            tables.write_partitioned(cur, f"{curated_path}/batch_id={batch_id}", "InvoiceDate", atomic=False,
                                      mode="replace")
             rows = tables.read_until(tables.read_table(spark, curated_path, RAW), "InvoiceDate", day)
             typed = prepare.cast_trusted(rows)

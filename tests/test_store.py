@@ -269,3 +269,23 @@ def test_log_holds_each_row_once_whatever_is_retired(spark, keep):
     assert sorted(r.values for r in fs.log().select("values").collect()) == sorted(f"k{i}" for i in range(12))
     days = {str(r._ingest_date) for r in fs.log().select("_ingest_date").distinct().collect()}
     assert days == {"2024-01-10", "2024-01-12"}
+
+
+def test_partitioned_table_is_replaced_whole_or_not_at_all(spark):
+    p = scratch_path(spark, "t-atomic")
+    rows = lambda days: spark.createDataFrame([(i, D(2020, 1, d)) for i, d in enumerate(days)], "n int, InvoiceDate date")
+    tables.write_partitioned(rows([1, 2, 3]), p)
+    before = tables.read_table(spark, p)
+    bad = rows([4, 5, 6, 7]).withColumn("n", F.when(F.col("n") == 3, F.raise_error(F.lit("lost")).cast("int")).otherwise(F.col("n")))
+    with pytest.raises(Exception, match="lost"):
+        tables.write_partitioned(bad, p)
+    for reader in (before, tables.read_table(spark, p)):  # during and after the failed write
+        assert sorted(r.InvoiceDate.day for r in reader.collect()) == [1, 2, 3]
+    tables.write_partitioned(rows([3, 9]), p)
+    assert sorted(r.InvoiceDate.day for r in tables.read_table(spark, p).collect()) == [3, 9]
+    assert sorted(r.InvoiceDate.day for r in before.collect()) == [1, 2, 3]  # a reader of the old version goes on
+    tables.write_partitioned(rows([10]), p, mode="append")
+    assert sorted(r.InvoiceDate.day for r in tables.read_table(spark, p).collect()) == [3, 9, 10]
+    assert tables.table_exists(spark, p) and not tables.table_exists(spark, p + "-none")
+    one_day = tables.read_table(spark, p).filter("InvoiceDate = DATE '2020-01-09'")
+    assert "PartitionFilters: [isnotnull(InvoiceDate" in one_day._jdf.queryExecution().executedPlan().toString()
