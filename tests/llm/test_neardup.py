@@ -68,3 +68,18 @@ def test_no_documents(spark):
 def test_op6_whole_table(spark, sf):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
     assert got(queries.op6_near_duplicates(spark, sf)) == brute(rows, 4, 80)
+
+
+def test_very_long_documents(spark):
+    """Hundreds of thousands of words: a near copy, and one that is too far."""
+    rng = random.Random(9)
+    text = [f"w{rng.randrange(50_000)}" for _ in range(200_000)]
+    near, far = list(text), list(text)
+    for p in rng.sample(range(len(text)), 8_000):  # four of five shingles hold each word: 0.72 of all stay
+        far[p] = "x"
+    for p in rng.sample(range(len(text)), 4_000):
+        near[p] = "y"
+    rows = [(5, " ".join(text)), (3, " ".join(near)), (9, " ".join(far)), (1, " ".join(text[:50]))]
+    assert got(neardup.near_duplicates(docs_df(spark, rows), shingle=4)) == brute(rows, 4, 80)
+    linked = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs_df(spark, rows), shingle=4).collect()}
+    assert linked[5] == linked[3] == 3 and linked[1] == 1

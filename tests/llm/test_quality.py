@@ -1,6 +1,8 @@
+import math
 import random
 import zlib
 
+import numpy as np
 from llm_helpers import docs_df
 
 from basketlab.llm import quality, queries
@@ -59,3 +61,53 @@ def test_dictionaries_read_whole_texts(spark, monkeypatch):
     for samples in seen[2:]:
         assert set(samples) <= pieces and len(samples) == 32
         assert max(int(s[-40:].decode(errors="ignore").split()[-2].split(":")[1]) for s in samples) > 4096
+
+
+def test_scores_against_a_plain_recomputation(spark):
+    """Compressed sizes, features and curve, document by document, from the
+    model's dictionaries alone; very long texts to their end."""
+    import zstandard
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    model = queries.quality_model(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    long = spark.createDataFrame([(90_000, "a good sentence of words. " * 60_000), (90_001, None), (90_002, "é" * 1500)],
+                                 "doc_id long, text string")
+    docs = docs.unionByName(long)
+    got = {r.doc_id: r for r in quality.score(docs, model).collect()}
+
+    def size(data, dictionary):
+        c = zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(dictionary), write_checksum=False,
+                                     write_content_size=False, write_dict_id=False)
+        pieces = [data[i:i + 1024] for i in range(0, len(data), 1024)] or [b""]
+        return sum(len(c.compress(p)) for p in pieces)
+
+    assert model.good and model.bad
+    for r in docs.collect():
+        data = (r.text or "").encode()
+        good, bad = size(data, model.good), size(data, model.bad)
+        z = (model.weights[0] + model.weights[1] * (bad - good) / (bad + good)
+             + model.weights[2] * math.log((good + 1) / (len(data) + 1)))
+        assert math.isclose(got[r.doc_id].score, 1 / (1 + math.exp(-max(-60, min(60, z)))), rel_tol=1e-9)
+
+
+def test_curve_is_the_best_fit():
+    """The weights are where the penalised log loss is flat, and the intercept
+    moves by the odds of the labels' share."""
+    rng = np.random.default_rng(5)
+    x = np.column_stack([rng.normal(0, 0.02, 400), rng.normal(-1, 0.3, 400)])
+    y = (rng.random(400) < 1 / (1 + np.exp(-(80 * x[:, 0] + 2 * (x[:, 1] + 1))))).astype(int)
+    w = quality._logistic(x, y)
+
+    def loss(w):
+        z = w[0] + x @ np.array(w[1:])
+        scaled = np.array([w[0] + x.mean(axis=0) @ np.array(w[1:]), *(np.array(w[1:]) * x.std(axis=0))])
+        return np.logaddexp(0, z).sum() - (y * z).sum() + 0.5e-3 * (scaled ** 2).sum()
+
+    for i in range(3):
+        for step in (1e-3, -1e-3):
+            other = list(w)
+            other[i] += step * max(1, abs(w[i]))
+            assert loss(other) >= loss(w) - 1e-9
+    moved = quality.calibrate(x, y, 0.1)
+    p = (y.sum() + 1) / (len(y) + 2)
+    assert np.isclose(moved[0] - w[0], math.log(0.1 / 0.9) - math.log(p / (1 - p))) and moved[1:] == w[1:]
