@@ -37,8 +37,11 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = contamination.annotate(docs, common.read(spark, sf_dir, "benchmark"), out="benchmark_matches")
-    return found.filter(F.size("benchmark_matches") == 0).drop("benchmark_matches")
+    out = "benchmark_matches"
+    while out in docs.columns:  # a column of the documents may have any name
+        out += "_"
+    found = contamination.annotate(docs, common.read(spark, sf_dir, "benchmark"), out=out)
+    return found.filter(F.size(out) == 0).drop(out)
 
 
 def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
