@@ -102,3 +102,19 @@ def test_odd_documents(spark):
             assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
         assert docs.count() <= len(table)
         assert p.STAGES[-1][1](spark, docs, "/root/testdata/sf0.001").count() == docs.count()
+
+
+def test_clashing_column_names(spark):
+    """Extra columns that are named like the operators' own come through."""
+    extra = ["benchmark_matches", "kept_id", "kept", "component_id", "score", "difference", "density", "row", "spans", "base"]
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(40)
+    docs = docs.selectExpr("*", *[f"concat('{c}', doc_id) AS {c}" for c in extra])
+    before = {r.doc_id: r for r in docs.collect()}
+    out = docs
+    for _, stage in p.STAGES[:-1]:
+        out = stage(spark, out, "/root/testdata/sf0.001")
+        assert out.columns == docs.columns
+    rows = out.collect()
+    assert rows
+    for r in rows:
+        assert all(r[c] == f"{c}{r.doc_id}" == before[r.doc_id][c] for c in extra)
