@@ -331,7 +331,7 @@ def searched(sent: DataFrame, trees: DataFrame, k: int, factor: float, block_row
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, *, id_col="vec_id", vector_col="embedding",
-            factor: float = 1.0, shard_rows: int = 8192, block_rows: int = 1024, leaf: int = 256) -> DataFrame:
+            factor: float = 1.0, shard_rows: int = 32_768, block_rows: int = 8192, leaf: int = 256) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: for each query row its k
     nearest rows of ``vectors`` by inner product in double precision, itself
     (its id) left out, ties to the smaller id; all rows if there are fewer.
