@@ -161,7 +161,7 @@ def _sample(docs: DataFrame, labels: DataFrame, per_label: int, chars: int) -> D
 
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="text", per_label: int = 4000,
-          chars_per_label: int = 24_000_000, least_docs: int = 2, **options) -> Model:
+          chars_per_label: int = 16_000_000, least_docs: int = 2, **options) -> Model:
     """Learn from ``labels`` (doc_id, label 0 or 1; repeated ids count once,
     with the smaller label; a repeated document id is one document).
 
