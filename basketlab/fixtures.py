@@ -15,8 +15,8 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
           "benchmark", "labels", "conversations"]
 
-# Stock codes that cleaning must drop, as they occur in raw data. Written out
-# here, not taken from the rules under test.
+# Stock codes that cleaning must drop, as they occur in raw data.
+# Written out here, not taken from the rules under test.
 DIRTY_CODES = ["POST", "D", "DOT", "M", "S", "AMAZONFEE", "m", "DCGSSBOY", "DCGSSGIRL", "PADS", "B", "CRUK"]
 
 
