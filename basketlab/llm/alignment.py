@@ -32,7 +32,7 @@ from . import common, tokens
 #: Ends of A and B in a piece of the merge.
 PIECE = 1 << 14
 #: Characters of text in a block; a longer document is a block of its own.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 2_000_000
 STATS = [("doc_id", T.LongType()), ("n_a", T.LongType()), ("n_b", T.LongType()), ("n_groups", T.LongType()),
          ("n_links", T.LongType()), ("groups_sha256", T.StringType())]
 BLOCKS = T.StructType([
