@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .secrets import running
+
 # The markers around a turn.
 START, END = "<|im_start|>", "<|im_end|>"
 TRAINED_ROLE = "assistant"
@@ -32,16 +34,16 @@ def render(turns: Column) -> Column:
 
 def mask(turns: Column) -> Column:
     """(start, end) of the trained spans in ``render(turns)``, in code points."""
-    empty = F.array().cast("array<struct<start:int,end:int>>")
+    before = running(F.transform(turns, lambda t: F.length(_header(t)) + F.length(t["text"]) + len(END) + 1),
+                     lambda at, x: at + x)
 
-    def step(acc: Column, t: Column) -> Column:
-        start = acc["at"] + F.length(_header(t))
-        end = start + F.length(t["text"]) + len(END)
-        span = F.array(F.struct(start.alias("start"), end.alias("end")))
-        spans = F.when(t["role"] == TRAINED_ROLE, F.concat(acc["spans"], span)).otherwise(acc["spans"])
-        return F.struct((end + 1).alias("at"), spans.alias("spans"))
+    def span(t: Column, at: Column) -> Column:
+        start = at + F.length(_header(t))
+        return F.struct((t["role"] == TRAINED_ROLE).alias("trained"), start.alias("start"),
+                        (start + F.length(t["text"]) + len(END)).alias("end"))
 
-    return F.aggregate(turns, F.struct(F.lit(0).alias("at"), empty.alias("spans")), step, lambda acc: acc["spans"])
+    spans = F.filter(F.zip_with(turns, before, span), lambda x: x["trained"])
+    return F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
 
 
 def pairs(turns: DataFrame) -> DataFrame:
@@ -54,7 +56,8 @@ def pairs(turns: DataFrame) -> DataFrame:
     with one side only has no prompt and an empty other completion; equal
     sides leave both completions empty. Rows with a null pair id or another
     side belong to no pair. Repeated rows are turns each, an empty table gives
-    no rows, other columns play no part.
+    no rows, other columns play no part. A conversation of very many turns, or
+    very long ones, is read in whole, in time that grows with its length.
     """
     turn = F.struct(F.col("turn"), _marked(F.col("role")).alias("role"), _marked(F.col("text")).alias("text"))
     sides = turns.filter("pair_id IS NOT NULL AND side IN ('chosen', 'rejected')").groupBy("pair_id").agg(

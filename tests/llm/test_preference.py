@@ -55,3 +55,24 @@ def test_op2_equals_sql(spark, sf):
 def test_no_python_in_the_plan(spark, sf):
     plan = queries.op2_preference_pairs(spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_long_conversations(spark):
+    """Twenty thousand turns a side, and a turn of a million characters."""
+    import time
+    roles = ("user", "assistant")
+    schema = "pair_id long, side string, turn long, role string, text string"
+    df = spark.range(40_000).selectExpr(
+        "1L AS pair_id", "IF(id % 2 = 0, 'chosen', 'rejected') AS side", "id div 2 AS turn",
+        "IF(id div 2 % 2 = 0, 'user', 'assistant') AS role", "IF(id < 20000, 'same', concat('é', id)) AS text")
+    big = spark.createDataFrame([(2, s, t, roles[t], ("x" * 1_000_000) + s if t else "q") for s in ("chosen", "rejected")
+                                 for t in (0, 1)], schema)
+    start = time.time()
+    out = {r.pair_id: r for r in preference.pairs(df.unionByName(big)).collect()}
+    assert time.time() - start < 60
+    r = out[1]
+    assert r.n_prompt_turns == 10_000 and r.prompt == "".join(one(roles[t % 2], "same") for t in range(10_000))
+    assert len(r.chosen_mask) == len(r.rejected_mask) == 5_000
+    assert all(r.chosen[m.start:m.end] == f"é{2 * (10_001 + 2 * i)}<|im_end|>" for i, m in enumerate(r.chosen_mask))
+    assert out[2].n_prompt_turns == 1 and [out[2].chosen[m.start:m.end] for m in out[2].chosen_mask] == [
+        "x" * 1_000_000 + "chosen<|im_end|>"]
