@@ -116,15 +116,15 @@ def _local_line(df: DataFrame, source: str, out: str, w, half: int, stride: int
     weight = _tricube(half)
     lag = {j: f"__lag{j + half}" for j in weight}
     df = df.withColumns({lag[j]: F.lag(source, j * stride).over(w) for j in weight})
-    zero = F.lit(0.0)
 
-    def total(power: int, value: bool) -> Column:
-        # Rows j steps back lie at -j.
-        return sum((F.when(F.col(lag[j]).isNotNull(), F.lit(weight[j] * (-j) ** power)
-                           * (F.col(lag[j]) if value else F.lit(1.0))).otherwise(zero) for j in weight), zero)
+    def total(power: int, value: str) -> Column:
+        # Rows j steps back lie at -j. Written as SQL text: there are many terms.
+        return F.expr(" + ".join(f"CASE WHEN {lag[j]} IS NOT NULL THEN ({weight[j] * (-j) ** power!r}D) * {value.format(lag[j])} "
+                                 "ELSE 0D END" for j in weight))
 
-    df = df.withColumns({"__s0": total(0, False), "__s1": total(1, False), "__s2": total(2, False),
-                         "__y0": total(0, True), "__y1": total(1, True)})
+    zero = F.lit(0.0)
+    df = df.withColumns({"__s0": total(0, "1D"), "__s1": total(1, "1D"), "__s2": total(2, "1D"),
+                         "__y0": total(0, "{}"), "__y1": total(1, "{}")})
     det = F.col("__s0") * F.col("__s2") - F.col("__s1") * F.col("__s1")
     line = (F.col("__y0") * F.col("__s2") - F.col("__y1") * F.col("__s1")) / F.nullif(det, zero)
     value = F.when(det > 1e-9, line).otherwise(F.col("__y0") / F.col("__s0"))
