@@ -113,10 +113,10 @@ class Tokenizers:
     both sides' ids of a piece are remembered together.
     """
 
-    def __init__(self, path_a: str, path_b: str, keep: int = 200_000):
+    def __init__(self, path_a: str, path_b: str, keep: int = 100_000):
         import numpy as np
         import sentencepiece
-        self.a = tokens.Encoder(path_a)
+        self.a = tokens.Encoder(path_a, keep // 2)  # whole pieces are remembered here
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.bytes_a = tokens.token_bytes(self.a.tok.get_vocab())
         self.bytes_b = []
