@@ -225,6 +225,8 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node of each connected component, for
     every node of an edge (a, b)."""
     edges = edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    # A round uses its edges four times: as a table they are planned once.
+    edges = common.materialise(edges, "edges")
     state = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -286,6 +288,9 @@ def near_duplicates(docs: DataFrame, *, id_col="doc_id", text_col="text", shingl
         survivors = common.materialise(bayes(pairs.distinct(), table_of, percent, hashes, batch, miss), "survivors")
         links = common.materialise(confirmed(survivors, table_of, percent, shingle), "links")
         common.release(survivors)
+        if stars is not None and links.isEmpty():
+            common.release(links)
+            return stars
         edges = links if stars is None else stars.select(
             F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links)
         found = components(edges)

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -86,7 +87,6 @@ def _logistic(x, y, ridge: float = 1e-3):
 
 def _sample(labels: DataFrame, per_label: int) -> DataFrame:
     """doc_id, label, place: the labelled ids with the smallest hashes."""
-    from functools import reduce
     once = (labels.filter("doc_id IS NOT NULL AND label IN (0, 1)")
             .groupBy("doc_id").agg(F.min("label").alias("label")))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
@@ -94,15 +94,30 @@ def _sample(labels: DataFrame, per_label: int) -> DataFrame:
                   [once.filter(F.col("label") == k).orderBy(*order).limit(per_label) for k in (0, 1)])
 
 
-def _pieces(docs: DataFrame, piece: int, most: int) -> list[bytes]:
-    """The texts in UTF-8 in pieces, in order; of more than ``most`` pieces
-    those with the smallest hashes of id and place."""
+def _pieces(docs: DataFrame, piece: int, most: int) -> DataFrame:
+    """doc_id, at, part: the texts in UTF-8 in pieces; of more than ``most``
+    pieces those with the smallest hashes of id and place."""
     data = docs.select("doc_id", F.encode("text", "UTF-8").alias("data")).filter(F.octet_length("data") > 0)
     last = F.floor((F.octet_length("data") - 1) / piece).cast("int")
     parts = data.select("doc_id", "data", F.explode(F.sequence(F.lit(0), last)).alias("at")).select(
         "doc_id", "at", F.substring("data", F.col("at") * piece + 1, F.lit(piece)).alias("part"))
-    rows = parts.orderBy(F.xxhash64("doc_id", "at"), "doc_id", "at").limit(most).collect()
-    return [bytes(r.part) for r in sorted(rows, key=lambda r: (r.doc_id, r.at))]
+    return parts.orderBy(F.xxhash64("doc_id", "at"), "doc_id", "at").limit(most)
+
+
+def _dictionaries(pieces: dict[int, DataFrame], size: int) -> dict[int, bytes]:
+    """Each label's dictionary, trained on its pieces in the order of id and
+    place. A task trains it: of the sample the driver gets ``size`` bytes a label."""
+    make = _dictionary
+
+    def run(group):
+        import pyarrow as pa
+        group = group.sort_by([("doc_id", "ascending"), ("at", "ascending")])
+        data = make(group.column("part").to_pylist(), size)
+        return pa.table({"label": group.column("label").slice(0, 1), "data": pa.array([data], pa.binary())})
+
+    rows = [df.withColumn("label", F.lit(k)) for k, df in pieces.items()]
+    made = reduce(DataFrame.unionByName, rows).groupBy("label").applyInArrow(run, "label int, data binary")
+    return dict.fromkeys(pieces, b"") | {r.label: bytes(r.data) for r in made.collect()}
 
 
 def train(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="text", dictionary_rows: int = 1500,
@@ -112,9 +127,9 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="text
     with the smaller label).
 
     The sample is bounded: of each label, the ``dictionary_rows`` documents
-    with the smallest hashed ids give their pieces to its dictionary
-    (collected to the driver), from anywhere in their texts and by a hash, up
-    to ``sample_chars`` bytes a document asked for; the next
+    with the smallest hashed ids give their pieces to its dictionary (trained
+    in a task), from anywhere in their texts and by a hash, up to
+    ``sample_chars`` bytes a document asked for; the next
     ``calibration_rows``, with their whole texts, fit the curve (their two
     features are). If a label has no documents, the score is the share of the
     other, evened out, for every text.
@@ -137,9 +152,9 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col="doc_id", text_col="text
         n = {k: chosen_docs.filter(F.col("label") == k).count() for k in (0, 1)}
         p = (n[1] + 1) / (n[0] + n[1] + 2)
         return Model(b"", b"", piece, (math.log(p / (1 - p)), 0.0, 0.0))
-    texts = {k: _pieces(chosen_docs.filter(F.col("doc_id").isin(sorted(place[k]))), piece,
-                        dictionary_rows * sample_chars // piece) for k in (0, 1)}
-    model = Model(_dictionary(texts[1], dictionary_bytes), _dictionary(texts[0], dictionary_bytes), piece, (0, 0, 0))
+    made = _dictionaries({k: _pieces(chosen_docs.filter(F.col("doc_id").isin(sorted(place[k]))), piece,
+                                     dictionary_rows * sample_chars // piece) for k in (0, 1)}, dictionary_bytes)
+    model = Model(made[1], made[0], piece, (0, 0, 0))
     rows = (features(chosen_docs.select("doc_id", "label", "text"), model, ["doc_id", "label"])
             .select("doc_id", "label", "difference", "density").collect())
     # Both labels in their own proportions again, so that the curve is calibrated.

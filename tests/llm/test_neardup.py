@@ -83,3 +83,14 @@ def test_very_long_documents(spark):
     assert got(neardup.near_duplicates(docs_df(spark, rows), shingle=4)) == brute(rows, 4, 80)
     linked = {r.doc_id: r.component_id for r in neardup.near_duplicates(docs_df(spark, rows), shingle=4).collect()}
     assert linked[5] == linked[3] == 3 and linked[1] == 1
+
+
+def test_components_only_after_new_links(spark, monkeypatch):
+    """A round that finds no link leaves the components as they are."""
+    rng, calls, found = random.Random(11), [], neardup.components
+    monkeypatch.setattr(neardup, "components", lambda edges: calls.append(1) or found(edges))
+    words = [[f"w{rng.randrange(10 ** 6)}" for _ in range(60)] for _ in range(6)]
+    rows = [(10 * i + j, " ".join(w[:60 - j])) for i, w in enumerate(words) for j in range(3)]
+    df = neardup.near_duplicates(docs_df(spark, rows))
+    assert got(df) == brute(rows, 5, 80)
+    assert len(calls) == 1

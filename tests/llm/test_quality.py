@@ -63,6 +63,38 @@ def test_dictionaries_read_whole_texts(spark, monkeypatch):
         assert max(int(s[-40:].decode(errors="ignore").split()[-2].split(":")[1]) for s in samples) > 4096
 
 
+def test_dictionaries_are_made_in_tasks(spark, monkeypatch):
+    """The pieces of the sample, whole, bounded and in order, don't pass
+    through the driver: it collects ids, features and finished dictionaries."""
+    texts = {i: "".join(f"{i}:{j:05d} " for j in range(7000)) + "é" for i in range(1, 9)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in texts], "doc_id long, label int")
+    frame, sent = type(docs), []
+    collect = frame.collect
+
+    def counted(df):
+        rows = collect(df)
+        sent.append(sum(len(v) if isinstance(v, bytes | bytearray | str) else 8 for r in rows for v in r))
+        return rows
+
+    monkeypatch.setattr(frame, "collect", counted)
+    quality.train(docs, labels, dictionary_bytes=4096)
+    assert sent and sum(sent) < 10_000  # the sample's texts have 250,000 bytes
+
+    monkeypatch.setattr(quality, "_dictionary", lambda samples, size: b"|||".join(samples))
+    pieces = [t.encode()[i:i + 1024] for t in texts.values() for i in range(0, len(t.encode()), 1024)]
+    model = quality.train(docs, labels)
+    for data in (model.good, model.bad):
+        got = data.split(b"|||")
+        assert got == [p for p in pieces if p in set(got)]
+        assert sum(map(len, got)) == 2 * len(texts[1].encode())  # two documents of a label, whole
+    model = quality.train(docs, labels, dictionary_rows=2, sample_chars=16_384)
+    for data in (model.good, model.bad):
+        got = data.split(b"|||")
+        assert got == [p for p in pieces if p in set(got)] and len(got) == 32
+        assert max(int(s[-40:].decode(errors="ignore").split()[-2].split(":")[1]) for s in got) > 4096
+
+
 def test_scores_against_a_plain_recomputation(spark):
     """Compressed sizes, features and curve, document by document, from the
     model's dictionaries alone; very long texts to their end."""
